@@ -1,0 +1,182 @@
+"""Secret scans over an incremental ledger of blobs (operator 7).
+
+A blob is the content of one historical version of a path, known by its SHA-256
+digest. The ledger keeps, for each blob, which rule versions have scanned it
+and what they found. A scan takes only the pairs of blob and rule version that
+the ledger lacks, appends its findings, and joins all findings back to every
+path that holds the blob: a second scan of the same versions reads no text of a
+blob twice, and a new rule version scans old blobs with that rule alone.
+
+Null texts count as empty. Equal texts share a blob. Spans are in code points,
+end exclusive. An empty table gives no rows and an empty ledger.
+"""
+
+from __future__ import annotations
+
+import re
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tramline.llm.common import Buffer, rows, shared_dir, small, table
+
+
+class Rule(NamedTuple):
+    kind: str
+    version: int
+    pattern: str
+    least: int  # characters that `group` has at least
+    group: int = 0
+    anchors: tuple[str, ...] = ()  # lower-case strings of which every match holds one
+
+    @property
+    def name(self) -> str:
+        return f"{self.kind}@{self.version}"
+
+
+#: The base kinds, in the order in which spans of one start are listed.
+BASE = (
+    Rule("assign", 1, r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2, ("password", "passwd", "secret", "token", "api_key", "apikey")),
+    Rule("access", 1, r"AKIA[A-Z0-9]+", 20, 0, ("akia",)),
+    Rule("hex", 1, r"[0-9a-f]+", 24),
+)
+#: Kinds that the scan adds.
+MORE = (
+    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0, ("private key-----",)),
+    Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 40, 0, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
+    Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 15, 0, ("xox",)),
+    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30, 0, ("eyj",)),
+    Rule("login", 1, r"[a-z][a-z0-9+.-]*://[^\s:/@]{1,64}:[^\s:/@]{3,128}@", 10, 0, ("://",)),
+)
+RULES = BASE + MORE
+
+_FINDINGS = "array<struct<rule:string,kind:string,start:int,end:int>>"
+
+
+def _compiled(rule: Rule) -> re.Pattern:
+    if rule.kind == "hex" and rule.group == 0 and rule.pattern.endswith("+"):
+        # a maximal run that is too short can hold no match that is long enough
+        return re.compile(f"{rule.pattern[:-1]}{{{rule.least},}}")
+    return re.compile(rule.pattern)
+
+
+def find(text: str, rules: tuple[Rule, ...] | list[Rule] = RULES, compiled: dict[str, re.Pattern] | None = None) -> list[tuple[str, str, int, int]]:
+    """(rule, kind, start, end) of each match, leftmost and without overlap in a kind; those too short are dropped."""
+    found, low = [], None
+    for rule in rules:
+        if rule.anchors:
+            low = text.lower() if low is None else low
+            if not any(a in low for a in rule.anchors):
+                continue
+        for m in ((compiled or {}).get(rule.name) or _compiled(rule)).finditer(text):
+            if m.end(rule.group) - m.start(rule.group) >= rule.least:
+                found.append((rule.name, rule.kind, m.start(), m.end()))
+    return found
+
+
+def blob_of(text: str = "text") -> Column:
+    return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
+    """(blob, rules, findings) or None if there is no ledger yet."""
+    try:
+        return spark.read.schema(f"blob string, rules array<string>, findings {_FINDINGS}").parquet(ledger)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
+
+
+def update_ledger(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scans the pairs of blob and rule version that the ledger lacks, appends them, returns the ledger."""
+    spark = docs.sparkSession
+    names = F.array(*(F.lit(r.name) for r in rules))
+    blobs = docs.select(blob_of().alias("blob"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    before = read_ledger(spark, ledger)
+    if before is None:
+        blobs = blobs.withColumn("missing", names)
+    else:
+        seen = before.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        blobs = blobs.join(small(seen, 400), "blob", "left").withColumn("missing", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))))
+        blobs = blobs.where(F.size("missing") > 0).select("blob", "text", "missing")
+    by_name = {r.name: r for r in rules}
+    out = pa.schema([("blob", pa.string()), ("rules", pa.list_(pa.string())), ("findings", pa.list_(pa.struct([("rule", pa.string()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))])
+
+    def scan(batches):
+        compiled = {r.name: _compiled(r) for r in rules}
+        done: set[bytes] = set()  # a task scans a blob once, however many paths hold it
+        buffer = Buffer(out)
+        for blob, text, missing in rows(batches, "blob", "text", "missing"):
+            if blob in done:
+                continue
+            done.add(blob)
+            found = find(text.decode(), [by_name[n] for n in missing], compiled)
+            buffer.add(blob.decode(), missing, [{"rule": r, "kind": k, "start": s, "end": e} for r, k, s, e in found])
+            if buffer.full:
+                yield buffer.take()
+        yield buffer.take()
+
+    blobs.mapInArrow(scan, f"blob string, rules array<string>, findings {_FINDINGS}").write.mode("append").option("compression", "zstd").parquet(ledger)
+    return read_ledger(spark, ledger)
+
+
+def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, spans): for each blob with findings of these rule versions, its spans by start and kind."""
+    order = F.create_map(*(F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)))
+    one = ledger.where(F.size("findings") > 0).select("blob", F.explode("findings").alias("f")).where(F.col("f.rule").isin([r.name for r in rules]))
+    one = one.select("blob", "f.kind", "f.start", "f.end").distinct()
+    span = F.struct(F.col("start"), order[F.col("kind")].alias("place"), F.col("end"), F.col("kind"))
+    return one.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+
+
+def scan_paths(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(doc_id, blob, spans) for every row of docs; spans is empty where nothing is found."""
+    spark = docs.sparkSession
+    found = findings(update_ledger(docs, ledger or f"{shared_dir(spark)}/ledger", rules), rules)
+    none = F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")
+    return docs.select("doc_id", blob_of().alias("blob")).join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
+
+
+def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
+    """docs with each span, or run of overlapping spans, in ``text`` replaced by ``mark``."""
+    import pandas as pd
+
+    spark = docs.sparkSession
+    found = findings(update_ledger(docs, ledger or f"{shared_dir(spark)}/ledger", rules), rules)
+    found = found.select(F.col("blob").alias("_tl_blob"), F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("_tl_spans"))
+
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for t, own in zip(text, spans, strict=True):
+            if t is not None and own is not None and len(own):
+                pieces, at = [], 0
+                for s in own:
+                    if s["start"] >= at:
+                        pieces += [t[at : s["start"]], mark]
+                    at = max(at, s["end"])
+                t = "".join([*pieces, t[at:]])
+            out.append(t)
+        return pd.Series(out, dtype=object)
+
+    joined = docs.withColumn("_tl_blob", blob_of()).join(small(found, 600), "_tl_blob", "left")
+    clean = joined.where("_tl_spans IS NULL").select(*docs.columns)
+    dirty = joined.where("_tl_spans IS NOT NULL").withColumn("text", cut("text", "_tl_spans"))
+    return clean.unionByName(dirty.select(*docs.columns))
+
+
+def digest(kinds: list[str] | None = None) -> Column:
+    """``kind:start:end`` of spans, comma-joined."""
+    spans = F.col("spans") if kinds is None else F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole document, on a new ledger."""
+    out = scan_paths(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(digest([r.kind for r in BASE]), 256).alias("base_sha256"), digest().alias("spans"))
