@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tramline.llm import decontamination, licenses, packing, secrets, sharding
+from tramline.llm import decontamination, licenses, neardup, packing, quality, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_packing": packing.op2_packing,
+    "op3_quality": quality.op3_quality,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op6_jaccard_join": neardup.op6_jaccard_join,
     "op7_secrets": secrets.op7_secrets,
     "op8_sharding": sharding.op8_sharding,
     "op10_licenses": licenses.op10_licenses,
@@ -14,4 +17,5 @@ QUERIES = {
 
 SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
+    "op3_quality": quality.ORACLE_SQL,
 }
