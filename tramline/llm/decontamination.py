@@ -18,17 +18,21 @@ documents give no rows, no items give documents without hits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from tramline.llm.common import arrow_schema, partition_number, rows, stored, table, text_key, words
 
 #: Words of a block at least, unless its task has no more; a single longer document is a block.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 #: Unused positions between two documents: more than any slop, so no match spans two.
 GAP = 16
 #: Words of test items that are searched, and broadcast, at once.
@@ -154,43 +158,51 @@ def search(postings: DataFrame, directory: DataFrame, batch: list[tuple[object,
     spark = postings.sparkSession
     windows = spark.sparkContext.broadcast(windows_of(batch, n))
     terms = spark.createDataFrame([(bytearray(t),) for t in {t for _, own in batch for t in own}], "term binary")  # at most the words of a batch
-    wanted = postings.join(F.broadcast(terms), "term", "left_semi").select("block", "term", "positions", F.lit(None).cast("bigint").alias("base"))
-    where = directory.groupBy("block").agg(F.sort_array(F.collect_list("base")).alias("bases"))
-    lists = wanted.groupBy("block").agg(F.collect_list(F.struct("term", "positions")).alias("lists"))
+    wanted = postings.join(F.broadcast(terms), "term", "left_semi").select("block", "term", "positions", F.lit(None).cast("array<bigint>").alias("bases"))
+    where = directory.groupBy("block").agg(F.sort_array(F.collect_list("base")).alias("bases")).select("block", F.lit(None).cast("binary").alias("term"), F.lit(None).cast("binary").alias("positions"), "bases")
+    # a block's rows follow one another, the places of its documents first
+    lists = where.unionByName(wanted).repartition("block").sortWithinPartitions("block", "term")
     schema = f"block bigint, base bigint, starts array<bigint>, ends array<bigint>, items array<{item_type}>, near_items array<{item_type}>"
 
-    def run(frames):
-        for frame in frames:
-            for block, bases, own in zip(frame["block"], frame["bases"], frame["lists"], strict=True):
-                bases = np.asarray(bases, dtype=np.int64)
-                found = {bytes(x["term"]): np.cumsum(np.frombuffer(x["positions"], dtype="<i4"), dtype=np.int64) for x in own}
-                hits: list[tuple[np.ndarray, int]] = []
-                exact: dict[int, set] = {}
-                close: dict[int, set] = {}
-                for window, starts, near in search_block(found, windows.value, slop):
-                    items = windows.value[window]
-                    for places, to in ((starts, exact), (near, close)):
-                        for doc in np.unique(np.searchsorted(bases, np.maximum(places, 0), side="right") - 1).tolist():
-                            to.setdefault(doc, set()).update(items)
-                    if len(starts):
-                        hits.append((starts, len(window)))
-                if not close:
-                    continue
-                first = np.concatenate([s for s, _ in hits]) if hits else np.zeros(0, dtype=np.int64)
-                last = np.concatenate([s + k for s, k in hits]) if hits else first
-                order = np.argsort(first, kind="stable")
-                first, last = first[order], np.maximum.accumulate(last[order]) if len(last) else last
-                new = np.flatnonzero(np.concatenate([[True], first[1:] > last[:-1]])) if len(first) else np.zeros(0, dtype=np.int64)
-                first, last = first[new], last[np.append(new[1:], len(last)) - 1] if len(new) else last
-                doc = np.searchsorted(bases, first, side="right") - 1
-                out = []
-                for d in sorted(close):
-                    own_spans = doc == d
-                    out.append((block, int(bases[d]), first[own_spans] - bases[d], last[own_spans] - bases[d], list(exact.get(d, ())), list(close[d])))
-                yield pd.DataFrame(out, columns=["block", "base", "starts", "ends", "items", "near_items"])
-
-    found = lists.join(where, "block").select("block", "bases", "lists").repartition(F.col("block")).mapInPandas(run, schema)
-    return found
+    def run(batches):
+        for block, own in groupby(rows(batches, "block", "term", "positions", "bases"), key=itemgetter(0)):
+            _, _, _, bases = next(own)
+            bases = np.asarray(bases, dtype=np.int64)
+            found = {term: np.cumsum(np.frombuffer(positions, dtype="<i4"), dtype=np.int32) for _, term, positions, _ in own}
+            hits: list[tuple[np.ndarray, int]] = []
+            exact: dict[int, set] = {}
+            close: dict[int, set] = {}
+            for window, starts, near in search_block(found, windows.value, slop):
+                items = windows.value[window]
+                for places, to in ((starts, exact), (near, close)):
+                    for doc in np.unique(np.searchsorted(bases, np.maximum(places, 0), side="right") - 1).tolist():
+                        to.setdefault(doc, set()).update(items)
+                if len(starts):
+                    hits.append((starts, len(window)))
+            if not close:
+                continue
+            first, last = _merged(hits)
+            doc = np.searchsorted(bases, first, side="right") - 1
+            out = []
+            for d in sorted(close):
+                spans = doc == d
+                out.append((block, int(bases[d]), (first[spans] - bases[d]).tolist(), (last[spans] - bases[d]).tolist(), list(exact.get(d, ())), list(close[d])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out, strict=True), made.types, strict=True)], schema=made)
+
+    made = to_arrow_schema(_parse_datatype_string(schema))
+    return lists.mapInArrow(run, schema)
+
+
+def _merged(hits: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that cover (starts, length) and don't overlap or touch."""
+    if not hits:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    first = np.concatenate([s for s, _ in hits]).astype(np.int64)
+    last = np.concatenate([s + k for s, k in hits]).astype(np.int64)
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], np.maximum.accumulate(last[order])
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > last[:-1]]))
+    return first[new], last[np.append(new[1:], len(last)) - 1]
 
 
 def merge_spans(found: DataFrame, item_type: str) -> DataFrame:

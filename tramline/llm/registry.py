@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tramline.llm import decontamination, licenses, neardup, packing, quality, secrets, sharding, toxicity
+from tramline.llm import decontamination, licenses, neardup, packing, quality, scoring, secrets, sharding, tokencounts, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_packing": packing.op2_packing,
     "op3_quality": quality.op3_quality,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_token_counts": tokencounts.op5_token_counts,
     "op6_jaccard_join": neardup.op6_jaccard_join,
     "op7_secrets": secrets.op7_secrets,
     "op8_sharding": sharding.op8_sharding,
+    "op9_lm_score": scoring.op9_lm_score,
     "op10_licenses": licenses.op10_licenses,
 }
 
