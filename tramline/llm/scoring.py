@@ -26,6 +26,7 @@ with no training rows every decision has probability 1/2 and every count is 0.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -332,6 +333,17 @@ class Lookup:
         return out, found
 
 
+_made: dict[str, tuple[Lookup, Lookup]] = {}
+
+
+def _tables(name: str, to) -> tuple[Lookup, Lookup]:
+    """The tables of a broadcast, made once in each Python process; those of an earlier one are dropped."""
+    if name not in _made:
+        _made.clear()
+        _made[name] = tuple(Lookup(*pair) for pair in to.value)
+    return _made[name]
+
+
 def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     spark = docs.sparkSession
@@ -356,10 +368,11 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broad
 
 def _score_broadcast(texts: DataFrame, to, depth: int) -> DataFrame:
     id_type = texts.schema["doc_id"].dataType.simpleString()
+    name = uuid.uuid4().hex
     out = pa.schema([arrow_schema(texts.select("doc_id")).field(0), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("words", pa.float64()), ("bits", pa.float64())])
 
     def run(batches):
-        gram_values, word_values = (Lookup(*pair) for pair in to.value)
+        gram_values, word_values = _tables(name, to)
 
         def flush(held, parts, owners):
             value, _ = gram_values(grams(parts, depth))
