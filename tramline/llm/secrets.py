@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -143,8 +144,6 @@ def scan_paths(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ..
 
 def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """docs with each span, or run of overlapping spans, in ``text`` replaced by ``mark``."""
-    import pandas as pd
-
     spark = docs.sparkSession
     found = findings(update_ledger(docs, ledger or f"{shared_dir(spark)}/ledger", rules), rules)
     found = found.select(F.col("blob").alias("_tl_blob"), F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("_tl_spans"))
