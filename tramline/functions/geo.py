@@ -83,12 +83,12 @@ def grid_to_wgs84(east, north) -> tuple[np.ndarray, np.ndarray]:
     psi = nu / rho
     lat = foot - t / rho * east**2 / (2 * nu) * (1 - east**2 / (12 * nu**2) * (9 * psi * (1 - t**2) + 12 * t**2 - 4 * psi**2))
     lon = lon0 + east / (nu * np.cos(foot)) * (1 - east**2 / (6 * nu**2) * (psi + 2 * t**2))
-    # to Earth-centred coordinates, then seven parameters (coordinate-frame rotation, EPSG:1825)
+    # to Earth-centred coordinates, then seven parameters (EPSG:1825)
     nu = a / np.sqrt(1 - e2 * np.sin(lat) ** 2)
     x, y, z = nu * np.cos(lat) * np.cos(lon), nu * np.cos(lat) * np.sin(lon), nu * (1 - e2) * np.sin(lat)
     rx, ry, rz = (math.radians(s / 3600) for s in (0.067753, -2.243649, -1.158827))
     scale = 1 - 1.094246e-6
-    x, y, z = -162.619 + scale * (x + rz * y - ry * z), -276.959 + scale * (-rz * x + y + rx * z), -161.764 + scale * (ry * x - rx * y + z)
+    x, y, z = -162.619 + scale * (x - rz * y + ry * z), -276.959 + scale * (rz * x + y - rx * z), -161.764 + scale * (-ry * x + rx * y + z)
     a, f = 6378137.0, 1 / 298.257223563
     e2 = f * (2 - f)
     p = np.hypot(x, y)

@@ -49,9 +49,10 @@ def part_of(key: Column, i: int, separator: str = "-") -> Column:
 
 
 def route_short_name(route_id: Column) -> Column:
-    """Second part of AGENCY-NAME-..., for ids of three parts or more of GMB the third."""
+    """What follows the agency in AGENCY-NAME...; region and code of a three-part GMB id; an id without a dash itself."""
     parts = F.split(route_id, "-")
-    return F.when((F.size(parts) >= 3) & (F.get(parts, F.lit(0)) == "GMB"), F.get(parts, F.lit(2))).when(F.size(parts) >= 2, F.get(parts, F.lit(1))).otherwise(route_id)
+    at = lambda i: F.get(parts, F.lit(i))
+    return F.when((F.size(parts) == 3) & (at(0) == "GMB"), F.concat_ws("-", at(1), at(2))).when(F.size(parts) >= 2, at(1)).otherwise(route_id)
 
 
 def split_first(text: Column, separators: list[str]) -> Column:

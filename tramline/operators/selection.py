@@ -28,9 +28,9 @@ def keep_ties(df: DataFrame, keys: str | list[str], by: Column) -> DataFrame:
     return df.withColumn("_rank", F.rank().over(Window.partitionBy(*_cols(keys)).orderBy(by))).where("_rank = 1").drop("_rank")
 
 
-def first_and_last(df: DataFrame, keys: str | list[str], order: Column, **columns: str) -> DataFrame:
+def first_and_last(df: DataFrame, keys: str | list[str], by: Column, **columns: str) -> DataFrame:
     """For each name=column, name_first and name_last in the given order."""
-    return df.groupBy(*_cols(keys)).agg(*(x for name, c in columns.items() for x in (F.min_by(c, order).alias(f"{name}_first"), F.max_by(c, order).alias(f"{name}_last"))))
+    return df.groupBy(*_cols(keys)).agg(*(x for name, c in columns.items() for x in (F.min_by(c, by).alias(f"{name}_first"), F.max_by(c, by).alias(f"{name}_last"))))
 
 
 def primary_and_alternative(df: DataFrame, keys: str | list[str], order: list[Column], columns: list[str]) -> DataFrame:

@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from tramline.plans import q_fares, q_joins, q_scalars, q_schedule, q_sets
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+for _module in (q_schedule, q_joins, q_fares, q_sets, q_scalars):
+    QUERIES.update(_module.REGISTRY.queries)
+    SQL.update(_module.REGISTRY.sql)
