@@ -81,7 +81,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = value = (xxhash.xxh3_64_intdigest(word) & (2**64 - 1)) - 2**63
         return value
@@ -243,16 +243,23 @@ def probabilities(grams_counted: DataFrame, depth: int = DEPTH) -> DataFrame:
     node = pa.schema([("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("weighted", pa.float64())])
 
     def groups(batches):
-        """Parts one after another; rows come sorted."""
+        """Whole parts, many small ones together; rows come sorted."""
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
         for batch in batches:
             near, code, n = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("near", "code", "n"))
-            cut = np.append(np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]])), len(near)) if len(near) else []
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                if held and held[-1][0][0] != near[a]:
+            if not len(near):
+                continue
+            if size >= TOGETHER // 16:
+                # the rows up to the first of another part belong to what is held
+                cut = int(np.searchsorted(near, held[-1][0][-1], side="right"))
+                if cut < len(near):
+                    held.append((near[:cut], code[:cut], n[:cut]))
                     yield tuple(np.concatenate(x) for x in zip(*held, strict=True))[1:]
-                    held = []
-                held.append((near[a:b], code[a:b], n[a:b]))
+                    held, size = [], 0
+                    near, code, n = near[cut:], code[cut:], n[cut:]
+            held.append((near, code, n))
+            size += len(near)
         if held:
             yield tuple(np.concatenate(x) for x in zip(*held, strict=True))[1:]
 
@@ -264,8 +271,8 @@ def probabilities(grams_counted: DataFrame, depth: int = DEPTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(low.key), pa.array(low.zeros), pa.array(low.ones), pa.array(low.weighted)], schema=node)
 
     # at most 65,536 x 255 nodes, of which a text corpus has a small part
-    low = parts.mapInArrow(up, "key bigint, zeros double, ones double, weighted double").toPandas().sort_values("key")
-    tree = _upper(*(low[c].to_numpy() for c in ("key", "zeros", "ones", "weighted")))
+    low = parts.mapInArrow(up, "key bigint, zeros double, ones double, weighted double").toArrow()
+    tree = _upper(*(low.column(c).to_numpy() for c in ("key", "zeros", "ones", "weighted")))
     to = grams_counted.sparkSession.sparkContext.broadcast(tree)
     value = pa.schema([("code", pa.int64()), ("value", pa.float32())])
 
@@ -357,9 +364,13 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broad
     log2 = math.log10(2)
     scale = math.log10(n_train + v_train + 1)
     if v_train + gram_values.count() <= broadcast_items:
-        both = [f.toPandas() for f in (gram_values, word_values)]
-        to = spark.sparkContext.broadcast([(f["code"].to_numpy(), f["value"].to_numpy()) for f in both])
-        del both
+        pairs = []
+        for values in (gram_values, word_values):
+            found = values.select("code", "value").toArrow()
+            pairs.append((found.column("code").to_numpy(), found.column("value").to_numpy()))
+            del found
+        to = spark.sparkContext.broadcast(pairs)
+        del pairs
         scored = _score_broadcast(texts, to, depth)
     else:
         scored = _score_joined(texts, gram_values, word_values, depth)
