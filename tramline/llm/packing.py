@@ -50,10 +50,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path, self.library = path, None
         self.ranked = self._ranked(path)
 
     @staticmethod
@@ -77,7 +74,12 @@ class Encoder:
         return tiktoken.Encoding("ranked", pat_str=CUT, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == 256 + len(merged) else None
 
     def slow(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+            self.library.encode_special_tokens = True
+        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         if self.ranked is None:
