@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tramline.functions import svc_time as T
 from tramline.functions import text as X
-from tramline.plans.registry import Registry
 from tramline.plans import alerts
+from tramline.plans.registry import Registry
 from tramline.sources import html
 
 REGISTRY = Registry()
@@ -33,7 +33,7 @@ def json_map_explode(read):
 
 
 def _spoken(name: str):
-    return F.upper(F.concat(F.col(name), F.lit(" OF THE ("), F.col(name), F.lit(" AND MTR) TSZ-WAN II"))) if name else None
+    return F.upper(F.concat(F.col(name), F.lit(" OF THE ("), F.col(name), F.lit(" AND MTR) TSZ-WAN II")))
 
 
 @query(r"""
