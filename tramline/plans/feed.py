@@ -20,7 +20,7 @@ from tramline.plans.silver import Silver
 #: Fixed rules by agency: government agencies that may match, tolerance of stop counts, whether directions must agree.
 AGENCIES = [("KMB", ["KMB", "LWB", "KMB+CTB", "KWB"], 20, True), ("CTB", ["CTB"], 12, False), ("GMB", ["GMB"], 15, False), ("MTRB", ["LRTFeeder"], 12, False), ("NLB", ["NLB"], 15, False)]
 #: Agencies whose shapes a trip may take.
-SHAPE_AGENCIES = {"KMB": ["KMB", "LWB", "KMB+CTB"], "CTB": ["CTB", "NWFB", "KMB+CTB"], "GMB": ["GMB"], "MTRB": ["LRTFeeder"], "NLB": ["NLB"]}
+SHAPE_AGENCIES = {"KMB": ["KMB", "LWB", "KMB+CTB", "KWB"], "CTB": ["CTB", "NWFB", "KMB+CTB"], "GMB": ["GMB"], "MTRB": ["LRTFeeder"], "NLB": ["NLB"]}
 CURRENCY = "HKD"
 #: Seconds between stops where nothing is known.
 STOP_SECONDS = 120
@@ -371,22 +371,27 @@ def shapes(waypoints: DataFrame) -> DataFrame:
 
 
 def match_shapes(own_trips: DataFrame, waypoints: DataFrame, gov_routes: DataFrame, margin: float = 500.0, ends: DataFrame | None = None) -> DataFrame:
-    """Trips with a shape of their government route and bound, of an agency that they may use; else null.
+    """Trips with a shape of their government route and direction, of an agency that they may use; else null.
 
-    With ``ends`` (trip_ends), a shape that fits turned round by more than a margin gives way to that of the other bound.
+    Trips without a government route take the first shape of their short name and direction. With ``ends``
+    (trip_ends), a shape that fits turned round by more than a margin gives way to that of the other direction.
     """
-    own = waypoints.join(gov_routes.select("route_id", "agency_id"), "route_id").select(F.col("route_id").alias("gov_route_id"), F.col("bound").alias("gov_bound"), "agency_id", F.concat_ws("-", "route_id", "bound").alias("shape_id"), "points")
+    shape = F.concat_ws("-", "route_id", "bound").alias("_shape")
+    own = waypoints.join(gov_routes.select("route_id", "agency_id", F.col("route_short_name").alias("route")), "route_id").select(F.col("route_id").alias("gov_route_id"), "bound", "agency_id", "route", shape, "points")
     allowed = F.lit(False)
     for agency, names in SHAPE_AGENCIES.items():
         allowed = allowed | ((F.col("agency") == agency) & F.col("agency_id").isin(*names))
-    joined = own_trips.join(own, ["gov_route_id", "gov_bound"], "left").withColumn("shape_id", F.when(allowed, F.col("shape_id")))
+    asked = own_trips.select("trip_id", "agency", "route", "gov_route_id", F.when(F.col("direction_id") == 1, "I").otherwise("O").alias("bound"))
+    direct = asked.where("gov_route_id IS NOT NULL").drop("route").join(own.drop("route"), ["gov_route_id", "bound"]).where(allowed)
+    named = asked.where("gov_route_id IS NULL").drop("gov_route_id").join(own, ["route", "bound"]).where(allowed)
+    found = selection.keep_first(direct.select("trip_id", "gov_route_id", "bound", "_shape", "points").unionByName(named.select("trip_id", "gov_route_id", "bound", "_shape", "points")), "trip_id", [F.col("_shape")])
     if ends is not None:
         point = lambda i, j: F.element_at(F.element_at("points", i), j)
-        far = joined.join(ends, "trip_id", "left").withColumns({"s_lat": point(1, 2), "s_lon": point(1, 1), "e_lat": point(-1, 2), "e_lon": point(-1, 1)})
+        far = found.join(ends, "trip_id", "left").withColumns({"s_lat": point(1, 2), "s_lon": point(1, 1), "e_lat": point(-1, 2), "e_lon": point(-1, 1)})
         turned = spatial.inversion(far, ("lat_first", "lon_first", "lat_last", "lon_last"), ("s_lat", "s_lon", "e_lat", "e_lon"), margin)
-        other = own.select("gov_route_id", F.col("gov_bound").alias("_other"), F.col("shape_id").alias("_shape"))
-        joined = turned.withColumn("_other", X.swap_bound(F.col("gov_bound"))).join(other, ["gov_route_id", "_other"], "left").withColumn("shape_id", F.when(F.col("shape_id").isNotNull() & F.coalesce("warning", F.lit(False)), F.coalesce("_shape", "shape_id")).otherwise(F.col("shape_id")))
-    return joined.select(*own_trips.columns, "shape_id")
+        other = own.select("gov_route_id", X.swap_bound(F.col("bound")).alias("bound"), F.col("_shape").alias("_other"))
+        found = turned.join(other, ["gov_route_id", "bound"], "left").withColumn("_shape", F.when(F.coalesce("warning", F.lit(False)), F.coalesce("_other", "_shape")).otherwise(F.col("_shape")))
+    return own_trips.join(found.select("trip_id", F.col("_shape").alias("shape_id")), "trip_id", "left").select(*own_trips.columns, "shape_id")
 
 
 #: Separators of Chinese route names, the first that occurs counts.
