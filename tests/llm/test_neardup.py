@@ -73,9 +73,6 @@ def test_keep_one(spark, docs, rows):
     out = [(r["doc_id"], r["text"]) for r in kept.collect()]
     wordless = [r for r in rows if not sets(r[1])]
     assert sorted((r for r in out if not sets(r[1])), key=repr) == sorted(wordless, key=repr)
-    classes = {}
-    for (i, t), (_, c, _) in zip(sorted(rows, key=lambda r: repr((r[0],))), [None] * len(rows), strict=True) if False else []:
-        classes[i] = c
     found = N.near_duplicates(docs).collect()
     groups = {bytes(r["root"]) for r in found if r["root"] is not None}
     assert len([r for r in out if sets(r[1])]) == len(groups)

@@ -6,6 +6,8 @@ import hashlib
 import random
 import re
 
+from compare import same_rows
+
 from tramline.llm import secrets as S
 
 PLAIN = {
@@ -68,6 +70,12 @@ def test_redaction(spark, docs):
     assert out.columns == docs.columns and out.count() == docs.count()
 
 
+def test_query_equals_sql(spark, duck, data):
+    cursor = duck.execute(S.ORACLE_SQL)
+    columns = [d[0] for d in cursor.description]
+    same_rows(S.op7_secrets(spark, data), cursor.fetchall(), columns)
+
+
 def test_query(spark, data):
     out = S.op7_secrets(spark, data)
     assert out.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]

@@ -23,7 +23,15 @@ WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <=
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+#: Rows of an Arrow batch at most, so that a batch of whole texts stays small outside the heap.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder; from now on the session's Arrow batches have at most BATCH_ROWS rows."""
+    rows_now = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows_now, "10000")) <= BATCH_ROWS:
+        spark.conf.set(rows_now, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -48,6 +56,20 @@ def small(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) * row_bytes <= BROADCAST_BYTES else df
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", parts: int = 64, share: int = 4096) -> DataFrame:
+    """left join right on a key of which right has one row; rows of a hot key are dealt over ``parts`` salts.
+
+    A key is hot if it holds more than one row in ``share``, so there are fewer
+    than ``share`` hot keys, and their list is small enough to broadcast.
+    """
+    least = left.count() // share + 1
+    hot = F.broadcast(left.groupBy(F.col(key).alias("_tl_hot")).agg(F.count("*").alias("n")).where((F.col("n") > least) & (F.col("n") > 8)).select("_tl_hot"))
+    dealt = left.join(hot, F.col(key) == F.col("_tl_hot"), "left").withColumn("_tl_salt", F.when(F.col("_tl_hot").isNotNull(), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))).otherwise(0).cast("int")).drop("_tl_hot")
+    salts = F.when(F.col("_tl_hot").isNotNull(), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    copied = right.join(hot, F.col(key) == F.col("_tl_hot"), "left").withColumn("_tl_salt", F.explode(salts)).drop("_tl_hot")
+    return dealt.join(copied, [key, "_tl_salt"], how).drop("_tl_salt")
+
+
 def text_key(text: str | Column = "text") -> Column:
     """16 bytes that stand for a text; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Buffer, rows, small, stored, table, text_key, words
+from tramline.llm.common import Buffer, rows, small, spread_join, stored, table, text_key, words
 
 N_WORDS = 5
 THRESHOLD = 0.8
@@ -316,9 +316,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", threshold: float
     n_links, edges = links(docs, of, threshold, tile)
     member = components(edges).select(F.col("node").alias("key"), "root")
     rooted = of.select("key", F.col("id").alias("copy_id")).join(member, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = stored(rooted)
     low = rooted.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    known = rooted.join(low, "root").join(n_links, "key", "left").select("key", "root", "class_id", "copy_id", "n_links")
-    out = every.join(known, "key", "left")
+    known = spread_join(rooted, low, "root").join(n_links, "key", "left").select("key", "root", "class_id", "copy_id", "n_links")
+    out = spread_join(every, known, "key")
     return out.select("id", "key", "root", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
@@ -327,7 +328,9 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = near_duplicates(docs, threshold=threshold).where("root IS NOT NULL")
     each = stored(found.groupBy("root", "id", "key").agg(F.count("*").alias("n")))
     best = each.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "key")).alias("best"), F.count("*").alias("kinds"))
-    marked = each.join(best.where("kinds > 1"), "root", "left").select("id", "key", "n", (F.col("best").isNull() | (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key")))).alias("chosen"))
+    best = best.where("kinds > 1").select("root", F.col("best.id").alias("best_id"), F.col("best.key").alias("best_key"))
+    chosen = F.col("best_key").isNull() | (F.col("id").eqNullSafe(F.col("best_id")) & (F.col("key") == F.col("best_key")))
+    marked = spread_join(each, stored(best), "root").select("id", "key", "n", chosen.alias("chosen"))
     marked = marked.select(F.col("id").alias("_tl_id"), F.col("key").alias("_tl_key"), "n", "chosen")
 
     def without(left: DataFrame, right: DataFrame, how: str) -> DataFrame:

@@ -20,4 +20,5 @@ QUERIES = {
 SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
+    "op7_secrets": secrets.ORACLE_SQL,
 }

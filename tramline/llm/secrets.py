@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Buffer, rows, shared_dir, small, table
+from tramline.llm.common import Buffer, rows, shared_dir, small, spread_join, stored, table
 
 
 class Rule(NamedTuple):
@@ -50,7 +50,7 @@ MORE = (
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 40, 0, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 15, 0, ("xox",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30, 0, ("eyj",)),
-    Rule("login", 1, r"[a-z][a-z0-9+.-]*://[^\s:/@]{1,64}:[^\s:/@]{3,128}@", 10, 0, ("://",)),
+    Rule("login", 1, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]{1,64}:[^\x00-\x20:/@]{3,128}@", 10, 0, ("://",)),
 )
 RULES = BASE + MORE
 
@@ -139,7 +139,7 @@ def scan_paths(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ..
     spark = docs.sparkSession
     found = findings(update_ledger(docs, ledger or f"{shared_dir(spark)}/ledger", rules), rules)
     none = F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")
-    return docs.select("doc_id", blob_of().alias("blob")).join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
+    return spread_join(stored(docs.select("doc_id", blob_of().alias("blob"))), found, "blob").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
@@ -179,3 +179,22 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan_paths(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(digest([r.kind for r in BASE]), 256).alias("base_sha256"), digest().alias("spans"))
+
+
+def _kind_sql(place: int, rule: Rule) -> str:
+    """Matches of one rule in SQL: a match starts where the pieces and matches before it end."""
+    pattern = _compiled(rule).pattern.replace("'", "''")
+    return f"""SELECT r, {place} AS place, '{rule.kind}' AS kind, list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a, length(m[i]) AS n, length(g[i]) >= {rule.least} AS good
+  FROM (SELECT r, s, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT r, regexp_split_to_array(t, '{pattern}') AS s, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g FROM d))"""
+
+
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(_kind_sql(i, r) for i, r in enumerate(RULES))}),
+x AS (SELECT r, place, kind, CAST(a AS BIGINT) AS a, kind || ':' || CAST(a AS BIGINT) || ':' || CAST(a + n AS BIGINT) AS w FROM f WHERE good),
+y AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(w, ',' ORDER BY a, place) FILTER (place < {len(BASE)}) AS base, string_agg(w, ',' ORDER BY a, place) AS every FROM x GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM d LEFT JOIN y USING (r)
+"""

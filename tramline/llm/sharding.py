@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Buffer, partition_number, rows, stored, text_key
+from tramline.llm.common import Buffer, partition_number, rows, spread_join, stored, text_key
 
 #: Partial partitions that are differenced at once, in a task or on the driver.
 CHUNK = 20_000
@@ -101,7 +101,7 @@ def shard(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = stored(docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), text_key().alias("id")))
     groups = keyed.groupBy("id").agg(F.sum("size").alias("bytes"))
-    placed = keyed.join(balance(groups, shards, chunk), "id").select("doc_id", "size", "text_crc32", "shard")
+    placed = spread_join(keyed, balance(groups, shards, chunk), "id", "inner").select("doc_id", "size", "text_crc32", "shard")
     fields = placed.schema["doc_id"].dataType.simpleString()
     out = None
 
