@@ -290,3 +290,27 @@ def test_exits(spark):
     found = spark.createDataFrame([("ADMIRALTY STATION EXIT A", 834500.0, 815500.0, "Lift at A, C1"), ("ADMIRALTY STATION EXIT B1", 834510.0, 815510.0, None)], "name string, east double, north double, facility string")
     out = {r["exit"]: (r["barrier_free"], round(r["lat"], 2)) for r in readers.station_exits(stations, found).collect()}
     assert out == {"A": (True, 22.28), "B1": (False, 22.28)}
+
+
+def test_audits_and_small_steps(spark, network):
+    df = spark.createDataFrame
+    cols = "route string, lat_first double, lon_first double, lat_last double, lon_last double"
+    mine = df([("1", 22.0, 114.0, 22.5, 114.0), ("2", 22.0, 114.0, 22.5, 114.0)], cols)
+    other = df([("1", 22.5, 114.0, 22.0, 114.0), ("2", 22.0, 114.0, 22.5, 114.0)], cols)
+    assert {r["route"]: r["flip"] for r in feed.cooperative_flips(mine, other, ["route"]).collect()} == {"1": True, "2": False}
+    sample = {(r["route_id"], r["bound"]): r["trip_id"] for r in feed.sample_trips(network[1]).collect()}
+    assert sample["10", "O"] == "10-1-287-0600" and sample["10", "I"] == "10-2-287-0700"
+    areas = df([("a", ["s", "t", "s"]), ("b", [])], "area_id string, stop_ids array<string>")
+    assert sorted(tuple(r) for r in feed.area_stops(areas).collect()) == [("a", "s"), ("a", "t")]
+    register = df([(7, "CTB", "B2", 1), (9, "CTB", "B2", 0), (8, "KMB", "B2", 0), (3, "CTB", "Z", 2)], "ROUTE_ID int, COMPANY_CODE string, ROUTE_NAMEC string, SPECIAL_TYPE int")
+    assert [tuple(r) for r in feed.match_by_register(df([("B2",), ("B2",)], "route string"), register).collect()] == [("B2", 9)]
+    report = {r["agency"]: (r["routes"], r["matched"]) for r in feed.match_report(feed.together(network[0]), feed.match(feed.together(network[0]), network[1])).collect()}
+    assert report == {"KMB": (3, 2), "CTB": (3, 2)}
+
+
+def test_shapes_take_trip_names(spark):
+    shapes = spark.createDataFrame([("s", 1), ("t", 1)], "shape_id string, shape_pt_sequence int")
+    trips = spark.createDataFrame([("b", "s"), ("a", "s"), ("c", None)], "trip_id string, shape_id string")
+    one, two = sinks.shapes_named_by_trip(shapes, trips)
+    assert [tuple(r) for r in one.collect()] == [("a", 1)]
+    assert {r["trip_id"]: r["shape_id"] for r in two.collect()} == {"a": "a", "b": "a", "c": None}

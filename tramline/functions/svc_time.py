@@ -50,3 +50,8 @@ def headway_seconds(text: Column) -> Column:
     mean = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x) / F.size(xs)
     minutes = F.when(bare.contains("/"), mean(listed)).when(bare.contains("-"), F.when(F.size(ranged) == 2, mean(ranged))).otherwise(bare.try_cast("double"))
     return (minutes * 60).cast("int")
+
+
+def seconds_over(kilometres: Column, detour: float = 1.5, speed: float = 25.0) -> Column:
+    """Seconds for a distance as the crow flies, with a detour factor, at a speed in km/h."""
+    return kilometres * (detour * 3600 / speed)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions import svc_time as T
 from tramline.functions import text as X
-from tramline.functions.geo import haversine_m
+from tramline.functions.geo import haversine_m, planar
 from tramline.operators import calendars, fares, schedule, selection, spatial
 from tramline.plans.silver import Silver
 
@@ -363,6 +363,31 @@ def auto_invert(own_trips: DataFrame, found: DataFrame) -> DataFrame:
     return own_trips.join(flips, "trip_id", "left").withColumn("gov_bound", F.when(F.col("_flip"), X.swap_bound(F.col("gov_bound"))).otherwise(F.col("gov_bound"))).drop("_flip")
 
 
+def cooperative_flips(mine: DataFrame, other: DataFrame, keys: list[str], factor: float = 0.8) -> DataFrame:
+    """Routes that two operators run together and of which one turns the direction round: an audit, no change.
+
+    Both sides have keys and lat_first, lon_first, lat_last, lon_last; distances are planar, in degrees. A route is
+    turned if its ends lie nearer to the other's opposite ends, by a factor.
+    """
+    names = ("lat_first", "lon_first", "lat_last", "lon_last")
+    both = mine.join(other.select(*keys, *(F.col(n).alias(f"o_{n}") for n in names)), keys)
+    d = lambda a, b: planar(F.col(f"lat_{a}"), F.col(f"lon_{a}"), F.col(f"o_lat_{b}"), F.col(f"o_lon_{b}"))
+    out = both.withColumns({"aligned": d("first", "first") + d("last", "last"), "turned": d("first", "last") + d("last", "first")})
+    return out.withColumn("flip", F.col("turned") < factor * F.col("aligned")).select(*keys, "aligned", "turned", "flip")
+
+
+def sample_trips(gov: Gov) -> DataFrame:
+    """(route_id, bound, trip_id): the least trip id of each route and direction, known by the id's direction part."""
+    both = F.when(F.col("trip_id").like("%-%1-%"), "O").when(F.col("trip_id").like("%-%2-%"), "I")
+    marked = gov.trips.withColumn("bound", F.coalesce(F.nullif(X.trip_direction(F.col("trip_id")), F.lit("UNKNOWN")), both)).where("bound IS NOT NULL")
+    return marked.groupBy("route_id", "bound").agg(F.min("trip_id").alias("trip_id"))
+
+
+def area_stops(groups: DataFrame) -> DataFrame:
+    """(area_id, stop_id) of areas with arrays of stops, each pair once."""
+    return groups.select("area_id", F.explode("stop_ids").alias("stop_id")).distinct()
+
+
 def shapes(waypoints: DataFrame) -> DataFrame:
     """Points of polylines with the metres from their beginning."""
     long = waypoints.select(F.concat_ws("-", "route_id", "bound").alias("shape_id"), F.posexplode("points").alias("place", "p"))
