@@ -115,3 +115,14 @@ def test_awkward(spark, docs, no_docs, rows):
     only_held = docs.where(S.held_out())
     out = S.score(only_held).collect()
     assert len(out) == only_held.count() and all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in out)
+
+
+def test_parts_equal_the_whole(spark):
+    """Probabilities from parts of the trees are those of one tree."""
+    rng = np.random.default_rng(5)
+    codes = np.unique(np.concatenate([S.grams(list(S.pieces(bytes(rng.choice(list(b"abcd e"), size=200))))) for _ in range(20)]))
+    n = rng.integers(0, 4, len(codes))
+    out = S.probabilities(spark.createDataFrame([(int(c), int(x)) for c, x in zip(codes, n, strict=True)], "code bigint, n bigint")).orderBy("code").collect()
+    whole = S.log2_probability(codes, S.levels(codes[n > 0], n[n > 0].astype(float), 0, S.DEPTH), S.DEPTH)
+    assert [r["code"] for r in out] == codes.tolist()
+    assert np.allclose([r["value"] for r in out], whole, rtol=1e-5, atol=1e-5)

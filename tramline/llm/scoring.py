@@ -13,8 +13,8 @@ its last estimate takes the rest. The product over decisions gives the code
 length of each byte, and a text's score is minus their sum in decimal digits.
 
 Counts of (context, byte) come from the whole corpus through one aggregation.
-Trees are split by the two nearest bytes; below depth 2 each part is worked on
-by itself, and only the few nodes of depth 2 go to the driver. Probabilities of
+Trees are split by the three nearest bytes; from depth 3 on each part is worked
+on by itself, and only the few nodes of depth 2 go to the driver. Probabilities of
 all (context, byte) pairs, and counts of words, are looked up from a broadcast
 if their counted number is within BROADCAST_ITEMS, and joined beyond it.
 
@@ -26,7 +26,6 @@ with no training rows every decision has probability 1/2 and every count is 0.
 from __future__ import annotations
 
 import math
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +35,14 @@ from pyspark.sql import functions as F
 from tramline.llm.common import LOWER_BYTES, arrow_schema, batch_of, rows, stored, table, text_key
 
 DEPTH = 5
+#: Bytes by which the trees are split into parts.
+SPLIT = 3
 END = b"\xff"
 #: Symbols, and bytes of one text, that are worked on at once.
 BLOCK, SEGMENT = 1 << 20, 1 << 19
 #: Symbols that a task counts together before it hands the counts on.
-TOGETHER = 6 << 20
-#: Items of 12 bytes that are broadcast at most.
+TOGETHER = 4 << 20
+#: Items of 12 to 16 bytes that are broadcast at most.
 BROADCAST_ITEMS = 8_000_000
 GRAM, WORD = 0, 1
 _WORD_END = b"\n"  # stands for the end among words; no word holds it
@@ -236,7 +237,7 @@ def log2_probability(codes: np.ndarray, tree: list[Level], full: int) -> np.ndar
 
 def probabilities(grams_counted: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(code, value): log2 probability of every gram of the corpus."""
-    top = 8 * (depth - 1)
+    top = 8 * (depth + 1 - SPLIT)
     parts = grams_counted.select(F.shiftright("code", top).alias("near"), "code", "n").repartition("near").sortWithinPartitions("near", "code")
     parts = stored(parts)  # both passes see the same parts, and read them in parallel
     parts = parts.repartition("near").sortWithinPartitions("near", "code")
@@ -250,7 +251,7 @@ def probabilities(grams_counted: DataFrame, depth: int = DEPTH) -> DataFrame:
             near, code, n = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("near", "code", "n"))
             if not len(near):
                 continue
-            if size >= TOGETHER // 16:
+            if size >= BLOCK // 4:
                 # the rows up to the first of another part belong to what is held
                 cut = int(np.searchsorted(near, held[-1][0][-1], side="right"))
                 if cut < len(near):
@@ -267,11 +268,12 @@ def probabilities(grams_counted: DataFrame, depth: int = DEPTH) -> DataFrame:
         for code, n in groups(batches):
             seen = n > 0
             if seen.any():
-                low = levels(code[seen], n[seen].astype(np.float64), 2, depth)[0]
+                low = levels(code[seen], n[seen].astype(np.float64), SPLIT, depth)[0]
                 yield pa.RecordBatch.from_arrays([pa.array(low.key), pa.array(low.zeros), pa.array(low.ones), pa.array(low.weighted)], schema=node)
 
     # at most 65,536 x 255 nodes, of which a text corpus has a small part
-    low = parts.mapInArrow(up, "key bigint, zeros double, ones double, weighted double").toArrow()
+    above = F.expr("shiftleft(shiftright(key, 16), 8) | (key & 255)").alias("key")
+    low = parts.mapInArrow(up, "key bigint, zeros double, ones double, weighted double").groupBy(above).agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted"))).toArrow()
     tree = _upper(*(low.column(c).to_numpy() for c in ("key", "zeros", "ones", "weighted")))
     to = grams_counted.sparkSession.sparkContext.broadcast(tree)
     value = pa.schema([("code", pa.int64()), ("value", pa.float32())])
@@ -279,22 +281,22 @@ def probabilities(grams_counted: DataFrame, depth: int = DEPTH) -> DataFrame:
     def down(batches):
         for code, n in groups(batches):
             seen = n > 0
-            tree = to.value + (levels(code[seen], n[seen].astype(np.float64), 2, depth) if seen.any() else [])
+            tree = to.value + (levels(code[seen], n[seen].astype(np.float64), SPLIT, depth) if seen.any() else [])
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(log2_probability(code, tree, depth).astype(np.float32))], schema=value)
 
     return stored(parts.mapInArrow(down, "code bigint, value float"))
 
 
-def _upper(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray) -> list[Level]:
-    """Depths 0 and 1 from the nodes of depth 2."""
-    out: list[Level] = []
-    for _ in range(2):
-        parent = ((key >> 16) << 8) | (key & 255)
+def _upper(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> list[Level]:
+    """Depths 0 to SPLIT - 1 from the sums of the children at depth SPLIT."""
+    order = np.argsort(key, kind="stable")
+    out = [Level(key[order], zeros[order], ones[order], below[order])]
+    while len(out) < SPLIT:
+        last = out[0]
+        parent = ((last.key >> 16) << 8) | (last.key & 255)
         above, at = np.unique(parent, return_inverse=True)
         add = lambda x: np.bincount(at, weights=x, minlength=len(above))  # noqa: B023, E731
-        made = Level(above, add(zeros), add(ones), add(weighted))
-        out.insert(0, made)
-        key, zeros, ones, weighted = made.key, made.zeros, made.ones, made.weighted
+        out.insert(0, Level(above, add(last.zeros), add(last.ones), last.gathered(above)))
     return out
 
 
@@ -302,55 +304,58 @@ def _upper(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.nd
 
 
 class Lookup:
-    """An open-addressing table from 64-bit codes to floats."""
+    """An open-addressing table, three fifths full, from 64-bit codes to floats; it is made on the driver and broadcast as it is."""
+
+    FREE = np.int64(-(2**63))  # no code; a word hashes to it with probability 2^-64
 
     def __init__(self, codes: np.ndarray, values: np.ndarray):
-        self.size = max(16, len(codes) * 3 // 2)
-        self.used = np.zeros(self.size, dtype=bool)
-        self.codes, self.values = np.zeros(self.size, dtype=np.int64), np.zeros(self.size, dtype=np.float32)
-        left, slot = np.arange(len(codes)), self._slot(codes)
+        self.size = max(16, len(codes) * 5 // 3)
+        self.codes, self.values = np.full(self.size, self.FREE), np.zeros(self.size, dtype=values.dtype)
+        for s in range(0, len(codes), BLOCK):
+            self._insert(codes[s : s + BLOCK], values[s : s + BLOCK])
+
+    def _insert(self, codes: np.ndarray, values: np.ndarray) -> None:
+        left, slot = np.arange(len(codes)), self._slot(np.ascontiguousarray(codes))
         while len(left):
-            free = ~self.used[slot]
+            free = self.codes[slot] == self.FREE
             _, first = np.unique(np.where(free, slot, -1), return_index=True)
             first = first[free[first]]
             here = slot[first]
-            self.used[here], self.codes[here], self.values[here] = True, codes[left[first]], values[left[first]]
+            self.codes[here], self.values[here] = codes[left[first]], values[left[first]]
             rest = np.ones(len(left), dtype=bool)
             rest[first] = False
             left, slot = left[rest], (slot[rest] + 1) % self.size
 
     def _slot(self, codes: np.ndarray) -> np.ndarray:
-        mixed = (codes.view(np.uint64) ^ (codes.view(np.uint64) >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-        return (((mixed >> np.uint64(32)) * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
+        mixed = codes.view(np.uint64) >> np.uint64(29)
+        mixed ^= codes.view(np.uint64)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed >>= np.uint64(32)
+        mixed *= np.uint64(self.size)
+        mixed >>= np.uint64(32)
+        return mixed.view(np.int64)
 
     def __call__(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values, found); values are 0 where a code is not found."""
         slot = self._slot(codes)
-        found = self.used[slot] & (self.codes[slot] == codes)
-        out = np.where(found, self.values[slot], np.float32(0))
-        left = np.flatnonzero(~found & self.used[slot])
+        own = self.codes.take(slot)
+        found = own == codes
+        out = self.values.take(slot)
+        left = np.flatnonzero(~found)
+        out[left] = 0
+        left = left[own[left] != self.FREE]
         at = slot[left]
         while len(left):
-            at = (at + 1) % self.size
-            used = self.used[at]
-            hit = used & (self.codes[at] == codes[left])
+            at += 1
+            at[at == self.size] = 0
+            own = self.codes.take(at)
+            hit = own == codes[left]
             out[left[hit]], found[left[hit]] = self.values[at[hit]], True
-            on = used & ~hit
+            on = (own != self.FREE) & ~hit
             left, at = left[on], at[on]
         return out, found
 
 
-_made: dict[str, tuple[Lookup, Lookup]] = {}
-
-
-def _tables(name: str, to) -> tuple[Lookup, Lookup]:
-    """The tables of a broadcast, made once in each Python process; those of an earlier one are dropped."""
-    if name not in _made:
-        _made.clear()
-        _made[name] = tuple(Lookup(*pair) for pair in to.value)
-    return _made[name]
-
-
 def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     spark = docs.sparkSession
@@ -359,18 +364,18 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broad
     totals = counted.where(f"kind = {WORD}").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_train, v_train = int(totals["n"] or 0), int(totals["v"])
     gram_values = probabilities(counted.where(f"kind = {GRAM}").select("code", "n"), depth)
-    word_values = counted.where(f"kind = {WORD}").select("code", F.log10(F.col("n") + 1.0).cast("float").alias("value"))
+    word_values = counted.where(f"kind = {WORD}").select("code", F.log10(F.col("n") + 1.0).alias("value"))
     texts = docs.select("doc_id", held.alias("held_out"), "text")
     log2 = math.log10(2)
     scale = math.log10(n_train + v_train + 1)
     if v_train + gram_values.count() <= broadcast_items:
-        pairs = []
+        made = []
         for values in (gram_values, word_values):
             found = values.select("code", "value").toArrow()
-            pairs.append((found.column("code").to_numpy(), found.column("value").to_numpy()))
+            made.append(Lookup(found.column("code").to_numpy(), found.column("value").to_numpy()))
             del found
-        to = spark.sparkContext.broadcast(pairs)
-        del pairs
+        to = spark.sparkContext.broadcast(made)
+        del made
         scored = _score_broadcast(texts, to, depth)
     else:
         scored = _score_joined(texts, gram_values, word_values, depth)
@@ -379,11 +384,10 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broad
 
 def _score_broadcast(texts: DataFrame, to, depth: int) -> DataFrame:
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    name = uuid.uuid4().hex
     out = pa.schema([arrow_schema(texts.select("doc_id")).field(0), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("words", pa.float64()), ("bits", pa.float64())])
 
     def run(batches):
-        gram_values, word_values = _tables(name, to)
+        gram_values, word_values = to.value
 
         def flush(held, parts, owners):
             value, _ = gram_values(grams(parts, depth))
@@ -401,7 +405,7 @@ def _score_broadcast(texts: DataFrame, to, depth: int) -> DataFrame:
         for doc_id, is_held, text in rows(batches, "doc_id", "held_out", "text"):
             codes = word_codes(text)
             value, found = word_values(codes)
-            row = (doc_id, is_held, len(codes), int(found.sum()), float(value.astype(np.float64).sum()))
+            row = (doc_id, is_held, len(codes), int(found.sum()), float(value.sum()))
             own = list(pieces(text, depth))
             if len(own) > 1:  # a long text by itself, piece by piece
                 if held:
@@ -438,7 +442,7 @@ def _score_joined(texts: DataFrame, gram_values: DataFrame, word_values: DataFra
     keyed = texts.withColumn("_tl_key", text_key())
     distinct = keyed.select(F.col("_tl_key").alias("key"), "text").dropDuplicates(["key"])
     used = distinct.mapInArrow(run, "key binary, kind int, code bigint, n bigint")
-    values = gram_values.select(F.lit(GRAM).alias("kind"), "code", "value").unionByName(word_values.select(F.lit(WORD).alias("kind"), "code", "value"))
+    values = gram_values.select(F.lit(GRAM).alias("kind"), "code", F.col("value").cast("double").alias("value")).unionByName(word_values.select(F.lit(WORD).alias("kind"), "code", "value"))
     joined = used.join(values, ["kind", "code"], "left")
     is_word = F.col("kind") == WORD
     worth = F.col("n") * F.col("value").cast("double")
