@@ -56,14 +56,16 @@ def small(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) * row_bytes <= BROADCAST_BYTES else df
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", parts: int = 64, share: int = 4096) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", parts: int = 64, share: int = 4096, sizes: DataFrame | None = None, total: int | None = None) -> DataFrame:
     """left join right on a key of which right has one row; rows of a hot key are dealt over ``parts`` salts.
 
     A key is hot if it holds more than one row in ``share``, so there are fewer
-    than ``share`` hot keys, and their list is small enough to broadcast.
+    than ``share`` hot keys, and their list is small enough to broadcast. Where
+    the rows of each key are known, ``sizes`` (key, n) and ``total`` say so.
     """
-    least = left.count() // share + 1
-    hot = F.broadcast(left.groupBy(F.col(key).alias("_tl_hot")).agg(F.count("*").alias("n")).where((F.col("n") > least) & (F.col("n") > 8)).select("_tl_hot"))
+    least = max(8, (left.count() if total is None else total) // share + 1)
+    each = left.groupBy(key).agg(F.count("*").alias("n")) if sizes is None else sizes
+    hot = F.broadcast(each.where(F.col("n") > least).select(F.col(key).alias("_tl_hot")))
     dealt = left.join(hot, F.col(key) == F.col("_tl_hot"), "left").withColumn("_tl_salt", F.when(F.col("_tl_hot").isNotNull(), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))).otherwise(0).cast("int")).drop("_tl_hot")
     salts = F.when(F.col("_tl_hot").isNotNull(), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     copied = right.join(hot, F.col(key) == F.col("_tl_hot"), "left").withColumn("_tl_salt", F.explode(salts)).drop("_tl_hot")

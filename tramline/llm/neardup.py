@@ -131,10 +131,12 @@ def classes(docs: DataFrame, id_column: str = "doc_id") -> tuple[DataFrame, Data
 
 def tiles(of: DataFrame, values: int = VALUES, band: int = BAND, tile: int = TILE) -> DataFrame:
     """(band, bucket, a, b, left, right, key): classes of buckets with two or more, copied to every pair of tiles they are in."""
-    width = 2 * band
-    entry = of.select("key", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(values // band - 1)), lambda k: F.substring(F.col("signature"), k * width + 1, F.lit(width)))).alias("band", "bucket"))
-    sizes = entry.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = entry.join(sizes, ["band", "bucket"])
+    width, bands = 2 * band, values // band
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.substring(F.col("signature"), k * width + 1, F.lit(width)))
+    entry = of.select("key", F.posexplode(pieces).alias("band", "piece"))
+    entry = entry.select("key", "band", F.concat(F.unhex(F.lpad(F.hex("band"), 2, "0")), "piece").alias("bucket"))
+    sizes = stored(entry.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    met = spread_join(entry, sizes, "bucket", "inner", sizes=sizes, total=bands * of.count())
     met = met.withColumn("tiles", F.ceil(F.col("n") / tile).cast("int")).withColumn("own", F.pmod(F.xxhash64("key", "band"), F.col("tiles")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     return met.select("band", "bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right"), "key")
@@ -291,7 +293,7 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: each greater neighbour goes to the least of the neighbourhood
         both = arcs.unionByName(arcs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        large = spread_join(both, least, "u", "inner").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         # small star: the node and its lesser neighbours go to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         pointed = large.join(low, "u")
