@@ -152,7 +152,7 @@ def test_mtr_bus_and_nlb(spark):
     bus = silver.mtr_bus(df([("K1", "甲至乙", "Alpha to Beta", "")], schemas.MTR_BUS["routes"]), df([("K1", "O", "1.00", "a", "22.4", "114.0", "甲", "Alpha"), ("K1", "O", "2.00", "b", "22.5", "114.0", "乙", "Beta"), ("K1", "I", "1.00", "b2", "22.500001", "114.0", "乙", "Beta")], schemas.MTR_BUS["route_stops"]))
     assert {r["stop_id"] for r in bus.stops.collect()} == {"MTRB-a", "MTRB-b"}
     assert {(r["route_key"], r["stop_id"]) for r in bus.patterns.collect()} == {("K1-O", "MTRB-a"), ("K1-O", "MTRB-b"), ("K1-I", "MTRB-b")}
-    assert {(r["bound"], r["dest_en"]) for r in bus.routes.collect()} == {("O", "Beta"), ("I", "Alpha")}
+    assert {(r["bound"], r["dest_en"], r["dest_tc"]) for r in bus.routes.collect()} == {("O", "Beta", "乙"), ("I", "Alpha", "甲")}
     lantao = silver.nlb(df([("1", "3M", "甲 > 乙", "", "Mui Wo > Tung Chung"), ("2", "3M", "乙 > 甲", "", "Tung Chung > Mui Wo"), ("3", "X", "丙", "", "Loop")], schemas.NLB["routes"]), df([("7", "站", "", "Stop", "", "", "22.2", "113.9")], schemas.NLB["stops"]), df([("1", "3M", "7", 1)], "routeId string, routeNo string, stopId string, sequence int"))
     assert {(r["route_key"], r["bound"], r["dest_en"]) for r in lantao.routes.collect()} == {("1", "O", "Tung Chung"), ("2", "I", "Mui Wo"), ("3", "O", "Loop")}
 
@@ -178,7 +178,7 @@ def test_light_rail(spark):
     raw = df([("505", "1", "x", f"{i}", f"站{i}", f"Stop {i}", f"{i}.00") for i in (1, 2, 3)] + [("705", "1", "x", f"{i}", f"站{i}", f"Stop {i}", f"{i}.00") for i in (3, 4)], schemas.RAIL["light_rail_stops"])
     timetable = df([("505", "Stop 3", 0, "05:30", "00:10"), ("505", "Stop 3", 1, "05:40", "00:20"), ("505", "Stop 1", 0, "06:00", "00:10")], "route string, direction string, position int, first_train string, last_train string")
     places = df([("1", 22.4, 113.9)], "stop_id string, lat double, lon double")
-    out = feed.light_rail(raw, places, timetable, ["705"], {"505": "#DA2128"})
+    out = feed.light_rail(raw, places, timetable)
     times = [(r["stop_id"], r["arrival_time"]) for r in out.stop_times.where("trip_id = 'LR-505-O'").orderBy("stop_sequence").collect()]
     assert times == [("LR1", "00:00:00"), ("LR2", "00:05:00"), ("LR3", "00:10:00")]
     assert {r["trip_id"] for r in out.trips.collect()} == {"LR-505-O", "LR-705"}

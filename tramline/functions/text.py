@@ -130,7 +130,7 @@ def is_circular(*names: Column) -> Column:
     """Whether a name says in English or Chinese that a route is circular."""
     out = F.lit(False)
     for name in names:
-        out = out | F.coalesce(name.rlike("(?i)circular") | name.rlike("循環|循环"), F.lit(False))
+        out = out | F.coalesce(name.rlike("(?i)circular") | name.rlike("循環|环线|循环"), F.lit(False))
     return out
 
 

@@ -15,6 +15,7 @@ from tramline.functions import svc_time as T
 from tramline.functions import text as X
 from tramline.functions.geo import haversine_m, planar
 from tramline.operators import calendars, fares, schedule, selection, spatial
+from tramline.plans import fixed
 from tramline.plans.silver import Silver
 
 #: Fixed rules by agency: government agencies that may match, tolerance of stop counts, whether directions must agree.
@@ -123,18 +124,18 @@ def trips(silver: Silver, matches: DataFrame) -> DataFrame:
     return selection.keep_first(out, "trip_id", [F.col("gov_route_id"), F.col("route_key")])
 
 
-def routes(silver: Silver, colors: dict[str, str] | None = None) -> DataFrame:
-    """One row for each route: named by the first outbound and inbound origins, else by the ends of what there is."""
+def routes(silver: Silver, colors: dict[str, str] = fixed.COLORS) -> DataFrame:
+    """One row for each route: named by the first outbound and inbound origins, else by the ends of what there is;
+    coloured by the first of its agencies."""
     order = F.struct("service_type", "route_key")
     side = lambda c, b: F.min_by(F.when(F.col("bound") == b, F.col(c)), F.when(F.col("bound") == b, order))
     both = silver.routes.groupBy("agency", "route").agg(*(side(c, b).alias(f"{c}_{b}") for c in ("orig_en", "dest_en") for b in "OI"))
     begin = F.coalesce("orig_en_O", "orig_en_I")
     end = F.when(F.col("orig_en_O").isNotNull() & F.col("orig_en_I").isNotNull(), F.col("orig_en_I")).otherwise(F.coalesce("dest_en_O", "dest_en_I"))
     color = F.lit(None).cast("string")
-    for agency, value in (colors or {}).items():
-        color = F.when(F.col("agency") == agency, value).otherwise(color)
-    named = both.select(F.concat_ws("-", "agency", "route").alias("route_id"), F.col("agency").alias("agency_id"), F.col("route").alias("route_short_name"), F.concat_ws(" - ", begin, end).alias("route_long_name"), F.lit(3).alias("route_type"), F.lit(None).cast("string").alias("network_id"), X.hex_color(color).alias("route_color"))
-    return named.withColumn("route_text_color", X.text_color(F.col("route_color")))
+    for agency, value in colors.items():
+        color = F.when(F.split_part("agency", F.lit("+"), F.lit(1)) == agency, value).otherwise(color)
+    return both.select(F.concat_ws("-", "agency", "route").alias("route_id"), F.col("agency").alias("agency_id"), F.col("route").alias("route_short_name"), F.concat_ws(" - ", begin, end).alias("route_long_name"), F.lit(3).alias("route_type"), F.concat_ws("-", "agency", "route").alias("network_id"), X.hex_color(color).alias("route_color"), F.lit(fixed.TEXT_COLOR).alias("route_text_color"))
 
 
 def stops(silver: Silver, rail_stations: DataFrame | None = None, platforms: DataFrame | None = None, entrances: DataFrame | None = None, used: DataFrame | None = None) -> DataFrame:
@@ -231,7 +232,7 @@ class LightRail(NamedTuple):
     stop_times: DataFrame
 
 
-def light_rail(raw: DataFrame, places: DataFrame, timetable: DataFrame, circular: list[str], colors: dict[str, str] | None = None) -> LightRail:
+def light_rail(raw: DataFrame, places: DataFrame, timetable: DataFrame, circular: list[str] = fixed.LIGHT_RAIL_CIRCULAR, colors: dict[str, str] = fixed.LIGHT_RAIL_COLORS) -> LightRail:
     """Routes, stops, trips and times from route stops (route, bound, stop_id, name_en, name_tc, seq).
 
     Seconds per stop come from the first trains at the ends of the direction whose name holds the destination, else of
@@ -253,9 +254,9 @@ def light_rail(raw: DataFrame, places: DataFrame, timetable: DataFrame, circular
     times = index.join(made, ["route", "way"]).select("trip_id", clock.alias("arrival_time"), clock.alias("departure_time"), F.concat(F.lit("LR"), F.col("stop_id")).alias("stop_id"), (F.col("index") + 1).alias("stop_sequence"))
     long_name = F.when(loop, F.col("dest_en")).when(F.col("orig_en") == F.col("dest_en"), F.col("dest_en")).otherwise(F.concat_ws(" - ", "orig_en", "dest_en"))
     color = F.lit(None).cast("string")
-    for route, value in (colors or {}).items():
+    for route, value in colors.items():
         color = F.when(F.col("route") == route, value).otherwise(color)
-    named = selection.keep_first(heads, "route", [F.desc("way")]).select(F.concat(F.lit("LR-"), F.col("route")).alias("route_id"), F.lit("LR").alias("agency_id"), F.col("route").alias("route_short_name"), long_name.alias("route_long_name"), F.lit(0).alias("route_type"), F.coalesce(X.hex_color(color), F.lit("D3A809")).alias("route_color"))
+    named = selection.keep_first(heads, "route", [F.desc("way")]).select(F.concat(F.lit("LR-"), F.col("route")).alias("route_id"), F.lit("LR").alias("agency_id"), F.col("route").alias("route_short_name"), long_name.alias("route_long_name"), F.lit(0).alias("route_type"), F.coalesce(X.hex_color(color), F.lit(fixed.LIGHT_RAIL_DEFAULT_COLOR)).alias("route_color"))
     stop_rows = selection.keep_first(own, "stop_id", [F.col("route"), F.col("way"), F.col("sequence")]).join(places, "stop_id", "left").select(F.concat(F.lit("LR"), F.col("stop_id")).alias("stop_id"), F.col("name_en").alias("stop_name"), F.col("lat").alias("stop_lat"), F.col("lon").alias("stop_lon"))
     return LightRail(named.withColumn("route_text_color", X.text_color(F.col("route_color"))), stop_rows, made.drop("average"), times)
 
@@ -285,17 +286,11 @@ def clocked(intervals: DataFrame) -> DataFrame:
     return intervals.select("trip_id", T.to_clock(F.col("start")).alias("start_time"), T.to_clock(F.col("end")).alias("end_time"), F.col("headway").cast("int").alias("headway_secs"))
 
 
-#: Lines by the names under which headways are published, in the order in which they are tried.
-LINES = [("EAL", "East Rail"), ("TML", "Tuen Ma"), ("TWL", "Tsuen Wan"), ("KTL", "Kwun Tong"), ("ISL", "Island"), ("TKL", "Tseung Kwan O"), ("SIL", "South Island"), ("AEL", "Airport Express"), ("TCL", "Tung Chung"), ("DRL", "Disneyland Resort")]
-#: Slices of a rail day: from, to, headway, and which published headway goes before it.
-SLICES = [(19800, 25200, 360, "none"), (25200, 36000, 180, "peak"), (36000, 61200, 300, "mid"), (61200, 72000, 180, "peak"), (72000, 82800, 360, "mid"), (82800, 90000, 600, "none")]
-
-
 def line_of(name: Column) -> Column:
     """The first line whose code or name equals a published name, or is part of it."""
     bare = F.trim(F.replace(F.lower(name), F.lit(" line"), F.lit("")))
     out = F.lit(None).cast("string")
-    for code, base in reversed(LINES):
+    for code, base in reversed(fixed.LINES):
         out = F.when(bare.contains(base.lower()) | bare.contains(code.lower()), code).otherwise(out)
     return out
 
@@ -308,7 +303,7 @@ def rail_frequencies(own_trips: DataFrame, published: DataFrame | None) -> DataF
     else:
         by_line = published.select(line_of(F.col("line")).alias("line"), T.headway_seconds(F.col("morning_peak")).alias("peak"), T.headway_seconds(F.col("non_peak")).alias("mid")).where("line IS NOT NULL").groupBy("line").agg(F.max("peak").alias("peak"), F.max("mid").alias("mid"))
         own = own.join(by_line, "line", "left")
-    return clocked(schedule.day_slices(own, SLICES, F.nullif("peak", F.lit(0)), F.when(F.col("_slice.kind") == "mid", F.nullif("mid", F.lit(0)))))
+    return clocked(schedule.day_slices(own, fixed.SLICES, F.nullif("peak", F.lit(0)), F.when(F.col("_slice.kind") == "mid", F.nullif("mid", F.lit(0)))))
 
 
 class Ferry(NamedTuple):
@@ -419,10 +414,6 @@ def match_shapes(own_trips: DataFrame, waypoints: DataFrame, gov_routes: DataFra
     return own_trips.join(found.select("trip_id", F.col("_shape").alias("shape_id")), "trip_id", "left").select(*own_trips.columns, "shape_id")
 
 
-#: Separators of Chinese route names, the first that occurs counts.
-CN_SEPARATORS = [" > ", "↔", "⇄", "至", " - "]
-
-
 def headsigns(own_trips: DataFrame, language: str = "en", rail: DataFrame | None = None) -> DataFrame:
     """trip_headsign: the route's destination, for rail the terminal, else the route's short name."""
     given = F.col(f"dest_{language}")
@@ -545,5 +536,4 @@ def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFra
 
 
 def agencies(spark: SparkSession) -> DataFrame:
-    names = [("KMB", "Kowloon Motor Bus"), ("CTB", "Citybus"), ("GMB", "Green Minibus"), ("MTRB", "MTR Bus"), ("NLB", "New Lantao Bus"), ("MTRR", "MTR"), ("LR", "Light Rail"), ("FERRY", "Ferries")]
-    return spark.createDataFrame([(i, n, "https://www.td.gov.hk", "Asia/Hong_Kong", "en") for i, n in names], "agency_id string, agency_name string, agency_url string, agency_timezone string, agency_lang string")
+    return spark.createDataFrame([(i, n, u, fixed.TIMEZONE, fixed.LANGUAGE) for i, n, u in fixed.AGENCIES], "agency_id string, agency_name string, agency_url string, agency_timezone string, agency_lang string")

@@ -16,6 +16,7 @@ from tramline.functions import text as X
 from tramline.operators.schedule import merge_overlap
 from tramline.operators.selection import keep_first, primary_and_alternative, referential
 from tramline.operators.spatial import greedy_clusters
+from tramline.plans.fixed import CN_SEPARATORS
 
 
 class Silver(NamedTuple):
@@ -108,10 +109,11 @@ def mtr_bus(routes: DataFrame, route_stops: DataFrame) -> Silver:
     main = keep_first(routes, "route_id", [F.col("route_name_eng")])
     both = merged.select("route_id", "direction").distinct().join(main, "route_id")
     out = F.col("direction") == "O"
+    cn = X.split_first(F.col("route_name_chi"), CN_SEPARATORS)
     first, last = F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.get(parts, F.lit(0)))
     key = F.concat_ws("-", "route_id", "direction")
     return Silver(
-        _routes(both, "MTRB", route=F.col("route_id"), bound=F.col("direction"), service_type=F.lit("1"), route_key=key, orig_en=F.when(out, first).otherwise(last), dest_en=F.when(out, last).otherwise(first), orig_tc=F.col("route_name_chi"), dest_tc=F.col("route_name_chi"), is_circular=F.lower("is_circular").isin("true", "1", "y", "yes")),
+        _routes(both, "MTRB", route=F.col("route_id"), bound=F.col("direction"), service_type=F.lit("1"), route_key=key, orig_en=F.when(out, first).otherwise(last), dest_en=F.when(out, last).otherwise(first), orig_tc=F.when(out, cn["origin"]).otherwise(cn["destination"]), dest_tc=F.when(out, cn["destination"]).otherwise(cn["origin"]), is_circular=F.lower("is_circular").isin("true", "1", "y", "yes")),
         _stops(kept, "MTRB", "station_id", F.col("station_name_eng"), F.col("station_name_chi"), "lat", "lon"),
         _patterns(merged, "MTRB", key, _stop_id("MTRB", "stop"), F.col("station_seqno")),
     )
