@@ -175,14 +175,14 @@ def test_rail(spark):
 
 def test_light_rail(spark):
     df = spark.createDataFrame
-    raw = df([("505", "1", "x", f"{i}", f"站{i}", f"Stop {i}", f"{i}.00") for i in (1, 2, 3)] + [("705", "1", "x", f"{i}", f"站{i}", f"Stop {i}", f"{i}.00") for i in (3, 4)], schemas.RAIL["light_rail_stops"])
+    raw = df([("505", "1", "x", f"{i}", f"站{i}", f"Stop {i}", f"{i}.00") for i in (1, 2, 3)] + [("705", "1", "x", f"{i}", f"站{i}", f"Stop {i}", f"{k}.00") for k, i in enumerate((3, 4, 3), 1)], schemas.RAIL["light_rail_stops"])
     timetable = df([("505", "Stop 3", 0, "05:30", "00:10"), ("505", "Stop 3", 1, "05:40", "00:20"), ("505", "Stop 1", 0, "06:00", "00:10")], "route string, direction string, position int, first_train string, last_train string")
     places = df([("1", 22.4, 113.9)], "stop_id string, lat double, lon double")
     out = feed.light_rail(raw, places, timetable)
     times = [(r["stop_id"], r["arrival_time"]) for r in out.stop_times.where("trip_id = 'LR-505-O'").orderBy("stop_sequence").collect()]
     assert times == [("LR1", "00:00:00"), ("LR2", "00:05:00"), ("LR3", "00:10:00")]
     assert {r["trip_id"] for r in out.trips.collect()} == {"LR-505-O", "LR-705"}
-    assert {(r["route_id"], r["route_long_name"], r["route_text_color"]) for r in out.routes.collect()} == {("LR-505", "Stop 1 - Stop 3", "FFFFFF"), ("LR-705", "Stop 4", "FFFFFF")}
+    assert {(r["route_id"], r["route_long_name"], r["route_text_color"]) for r in out.routes.collect()} == {("LR-505", "Stop 1 - Stop 3", "FFFFFF"), ("LR-705", "Stop 3 (Circular)", "FFFFFF")}
 
 
 def test_pathways(spark):

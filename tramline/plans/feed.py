@@ -240,8 +240,10 @@ def light_rail(raw: DataFrame, places: DataFrame, timetable: DataFrame, circular
     """
     loop = F.col("route").isin(*circular) if circular else F.lit(False)
     own = raw.withColumn("sequence", X.sequence_number(F.col("seq"))).where("sequence IS NOT NULL").withColumn("way", F.when(loop, "O").otherwise(F.when(F.col("bound").isin("1", "O"), "O").otherwise("I")))
+    # the last row names the destination, also where it closes the circle; each stop is called at once
+    heads = own.groupBy("route", "way").agg(*(f(c, "sequence").alias(n) for c, n, f in (("name_en", "orig_en", F.min_by), ("name_en", "dest_en", F.max_by), ("name_tc", "orig_tc", F.min_by), ("name_tc", "dest_tc", F.max_by))), F.count_distinct("stop_id").alias("n"))
+    heads = heads.withColumns({"dest_en": F.when(loop, F.concat("dest_en", F.lit(" (Circular)"))).otherwise(F.col("dest_en")), "dest_tc": F.when(loop, F.concat("dest_tc", F.lit(" (循環線)"))).otherwise(F.col("dest_tc"))})
     own = selection.keep_first(own, ["route", "way", "stop_id"], [F.col("sequence")])
-    heads = own.groupBy("route", "way").agg(*(f(c, "sequence").alias(n) for c, n, f in (("name_en", "orig_en", F.min_by), ("name_en", "dest_en", F.max_by), ("name_tc", "orig_tc", F.min_by), ("name_tc", "dest_tc", F.max_by))), F.count("*").alias("n"))
     ends = timetable.groupBy("route", "direction").agg(F.min_by("first_train", "position").alias("begin"), F.max_by(F.coalesce("first_train", "last_train"), "position").alias("finish"))
     bare = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\(.*$", "")))
     choice = heads.join(ends, "route", "left").withColumn("rank", F.when(F.col("direction") == "circular", 0).when((bare("dest_en") != "") & F.contains(F.lower("direction"), bare("dest_en")), 1).when((bare("dest_tc") != "") & F.contains(F.lower("direction"), bare("dest_tc")), 2).otherwise(3))
