@@ -34,13 +34,27 @@ def test_feed(spark, tmp_path):
         writer.writerow([c.split()[0] for c in schemas.GOV[name].split(", ")])
         writer.writerows(rows)
         (raw / "gov" / f"{name}.txt").write_text(out.getvalue())
+    rail = raw / "rail"
+    rail.mkdir()
+    (rail / "lines_and_stations.csv").write_text("Line Code,Direction,Station Code,Station ID,Chinese Name,English Name,Sequence\nTML,UT,TUM,120,屯門,Tuen Mun,1.00\nTML,UT,SIH,119,兆康,Siu Hong,2.00\n", encoding="utf-8")
+    platform = lambda i, lat: {"amenity_id": f"a{i}", "ref": str(i), "coordinates": {"lat": lat, "lon": 114.0}, "lines_and_directions": [{"line_code": "TML", "direction": "UT"}]}
+    (rail / "platforms.json").write_text(json.dumps({"p1": platform(1, 22.39), "p2": platform(2, 22.41)}))
+    (rail / "stations.json").write_text(json.dumps({"TUM": {"platforms": ["p1"]}, "SIH": {"platforms": ["p2"]}}))
+    (rail / "station_times.json").write_text(json.dumps({"TUM": {"SIH": 170}}))
+    (rail / "light_rail_stops.csv").write_text("route,bound,code,id,tc,en,seq\n505,1,x,1,甲,One,1.00\n505,1,x,2,乙,Two,2.00\n", encoding="utf-8")
+    (rail / "light_rail_places.csv").write_text("stop_id,lat,lon\n1,22.4,113.9\n")
+    (rail / "light_rail_times.json").write_text(json.dumps([{"route": "505", "direction": "Two", "position": i, "first_train": f"05:3{4 * i}", "last_train": "00:10"} for i in (0, 1)]))
     main(["feed", str(raw), str(tmp_path / "feed"), "--zip", str(tmp_path / "feed.zip")], spark)
     with zipfile.ZipFile(tmp_path / "feed.zip") as z:
         table = lambda n: list(csv.DictReader(io.StringIO(z.read(n).decode())))
-        assert {"KMB-1-O-1-a", "FERRY-30-1-b"} == {r["trip_id"] for r in table("trips.txt")}
+        assert {"KMB-1-O-1-a", "FERRY-30-1-b", "MTRR-TML-UT", "LR-505-O"} == {r["trip_id"] for r in table("trips.txt")}
         assert [(r["start_time"], r["end_time"]) for r in table("frequencies.txt") if r["trip_id"] == "KMB-1-O-1-a"] == [("06:00:00", "25:00:00")]
         assert [r["arrival_time"] for r in table("stop_times.txt") if r["trip_id"] == "KMB-1-O-1-a"] == ["00:00:00", "00:01:15", "00:03:15"]
-        assert {(r["service_id"], r["monday"], r["saturday"]) for r in table("calendar.txt")} == {("KMB-1-O-a", "1", "0"), ("FERRY-b", "0", "1")}
+        assert {(r["service_id"], r["monday"], r["saturday"]) for r in table("calendar.txt")} == {("KMB-1-O-a", "1", "0"), ("FERRY-b", "0", "1"), ("MTRR-TML-DEFAULT", "1", "1"), ("LR-505-DEFAULT", "1", "1")}
+        times = {(r["trip_id"], r["stop_id"], r["arrival_time"]) for r in table("stop_times.txt")}
+        assert {("MTRR-TML-UT", "MTR-PLATFORM-a2", "00:02:50"), ("LR-505-O", "LR2", "00:04:00")} <= times
+        assert {(r["stop_id"], r["location_type"], r["parent_station"]) for r in table("stops.txt")} >= {("MTR-TUM", "1", ""), ("MTR-PLATFORM-a1", "0", "MTR-TUM"), ("LR1", "0", "")}
+        assert {r["trip_headsign"] for r in table("trips.txt") if r["trip_id"].startswith(("MTRR", "LR"))} == {"Siu Hong", "Two"}
         assert [r["price"] for r in table("fare_stages.csv")] == ["7.5"]
         assert {r["stop_id"] for r in table("stops.txt")} >= {"KMB-S0", "FERRY-f0"}
 

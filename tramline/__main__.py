@@ -4,7 +4,9 @@
     python -m tramline alerts EVENTS FILE
 
 RAW has kmb/, ctb/, nlb/ and gmb/ with JSON, mtr_bus/ with CSV, gov/ with the government feed's text files,
-journey_times.json and, if there are shapes, waypoints/. Sources that are missing are left out.
+journey_times.json and, if there are shapes, waypoints/; for rail, rail/ with lines_and_stations.csv, platforms.json
+(by platform), stations.json (platforms by station), station_times.json and light_rail_stops.csv, light_rail_places.csv and
+light_rail_times.json. Sources that are missing are left out.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tramline.operators import calendars
 from tramline.operators.selection import union_all
-from tramline.plans import alerts, feed, silver
+from tramline.plans import alerts, feed, fixed, silver
 from tramline.sources import readers, schemas, sinks
 
 
@@ -50,6 +54,42 @@ def operators(spark: SparkSession, raw: str) -> list[silver.Silver]:
     return out
 
 
+def add_rail(spark: SparkSession, raw: str, tables: dict[str, DataFrame]) -> None:
+    """Heavy rail at its platforms, in the slices of a day."""
+    lines = present(lambda: readers.csv(spark, f"{raw}/rail/lines_and_stations.csv", schemas.RAIL["lines_and_stations"]))
+    platforms, station_of = (present(lambda n=n: readers.by_key(spark, f"{raw}/rail/{n}.json", k)) for n, k in (("platforms", schemas.PLATFORMS), ("stations", schemas.STATIONS)))
+    edges = present(lambda: readers.edges(spark, f"{raw}/rail/station_times.json"))
+    if any(x is None for x in (lines, platforms, station_of, edges)):
+        return
+    lines = feed.rail_lines(lines)
+    own = platforms.select(F.col("key").alias("platform"), "value.*")
+    where = station_of.select(F.col("key").alias("station_code"), F.explode("value.platforms").alias("platform"))
+    placed = feed.rail_platforms(own, where)
+    trips = feed.rail_trips(lines)
+    heads = feed.rail_headsigns(trips, feed.rail_terminals(lines)).select("trip_id", F.col("en").alias("trip_headsign"))
+    names = lines.groupBy("station_code").agg(F.min("name_en").alias("stop_name"))
+    at = own.join(where, "platform").select("station_code", F.concat(F.lit("MTR-PLATFORM-"), F.col("amenity_id")).alias("stop_id"), F.col("ref").alias("platform_code"), F.col("coordinates.lat").alias("stop_lat"), F.col("coordinates.lon").alias("stop_lon"))
+    stop = at.join(names, "station_code").select("stop_id", "stop_name", "stop_lat", "stop_lon", F.lit(0).alias("location_type"), F.concat(F.lit("MTR-"), F.col("station_code")).alias("parent_station"), "platform_code")
+    station = at.groupBy("station_code").agg(F.avg("stop_lat").alias("stop_lat"), F.avg("stop_lon").alias("stop_lon")).join(names, "station_code").select(F.concat(F.lit("MTR-"), F.col("station_code")).alias("stop_id"), "stop_name", "stop_lat", "stop_lon", F.lit(1).alias("location_type"))
+    code_name = F.create_map(*(F.lit(x) for pair in fixed.LINES for x in pair))
+    route = lines.select("line").distinct().select(F.concat(F.lit("MTRR-"), F.col("line")).alias("route_id"), F.lit("MTRR").alias("agency_id"), F.col("line").alias("route_short_name"), F.coalesce(F.try_element_at(code_name, F.col("line")), F.col("line")).alias("route_long_name"), F.lit(1).alias("route_type"), F.concat(F.lit("MTRR-"), F.col("line")).alias("network_id"), F.lit(fixed.COLORS["MTRR"]).alias("route_color"), F.lit(fixed.TEXT_COLOR).alias("route_text_color"))
+    more = {"routes": route, "stops": union_all(stop, station), "trips": trips.join(heads, "trip_id", "left"), "stop_times": feed.finalise_stop_times(feed.rail_stop_times(lines, trips, placed, edges), stop), "frequencies": feed.rail_frequencies(trips, None)}
+    for name, df in more.items():
+        tables[name] = union_all(tables[name], df)
+
+
+def add_light_rail(spark: SparkSession, raw: str, tables: dict[str, DataFrame]) -> None:
+    stops = present(lambda: readers.csv(spark, f"{raw}/rail/light_rail_stops.csv", schemas.RAIL["light_rail_stops"]))
+    places = present(lambda: readers.csv(spark, f"{raw}/rail/light_rail_places.csv", "stop_id string, lat double, lon double"))
+    times = present(lambda: readers.json_rows(spark, f"{raw}/rail/light_rail_times.json", "route string, direction string, position int, first_train string, last_train string"))
+    if any(x is None for x in (stops, places, times)):
+        return
+    own = feed.light_rail(stops, places, times)
+    for name in ("routes", "stops", "trips", "stop_times"):
+        tables[name] = union_all(tables[name], getattr(own, name))
+    tables["frequencies"] = union_all(tables["frequencies"], feed.rail_frequencies(own.trips.select("trip_id", F.lit(None).cast("string").alias("line")), None))
+
+
 def build_feed(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
     own = operators(spark, raw)
     if not own:
@@ -62,8 +102,9 @@ def build_feed(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
     ferry = feed.ferries(feed.Gov(*(gov[n] for n in ("routes", "trips", "stop_times", "stops", "frequencies"))))
     for name in ("routes", "stops", "stop_times", "frequencies", "trips"):
         tables[name] = union_all(tables[name], getattr(ferry, name))
-    from tramline.operators import calendars
-
+    add_rail(spark, raw, tables)
+    add_light_rail(spark, raw, tables)
+    tables["stops"] = tables["stops"].withColumn("location_type", F.coalesce("location_type", F.lit(0)))
     services = tables["trips"].select("service_id", "original_service_id")
     tables["calendar"] = calendars.calendar(services, gov["calendar"])
     tables["calendar_dates"] = calendars.calendar_dates(services, gov["calendar_dates"])

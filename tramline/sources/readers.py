@@ -53,6 +53,12 @@ def edges(spark: SparkSession, path: str) -> DataFrame:
     return inner.select("from_id", "to_id", F.col("seconds").try_cast("double").alias("seconds"))
 
 
+def by_key(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(key, value) of a document that is a map; schema is the map's type."""
+    text = spark.read.option("wholetext", True).text(path)
+    return text.select(F.explode(F.from_json("value", schema)).alias("key", "value"))
+
+
 def hourly_edges(spark: SparkSession, folder: str) -> DataFrame:
     """(weekday, hour, from_id, to_id, seconds) of files WEEKDAY/HOUR.json."""
     text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder).withColumn("path", F.col("_metadata.file_path"))
