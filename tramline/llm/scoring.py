@@ -16,7 +16,8 @@ Counts of (context, byte) come from the whole corpus through one aggregation.
 Trees are split by the three nearest bytes; from depth 3 on each part is worked
 on by itself, and only the few nodes of depth 2 go to the driver. Probabilities of
 all (context, byte) pairs, and counts of words, are looked up from a broadcast
-if their counted number is within BROADCAST_ITEMS, and joined beyond it.
+if their counted number is within BROADCAST_ITEMS; beyond it the distinct
+items of blocks of texts are joined with them.
 
 Null texts count as empty: one end symbol. Null ids belong to training. Rows
 with equal ids or texts are scored one by one. An empty table gives no rows;
@@ -26,13 +27,15 @@ with no training rows every decision has probability 1/2 and every count is 0.
 from __future__ import annotations
 
 import math
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import LOWER_BYTES, arrow_schema, batch_of, rows, stored, table, text_key
+from tramline.llm.common import LOWER_BYTES, arrow_schema, batch_of, partition_number, rows, stored, table
 
 DEPTH = 5
 #: Bytes by which the trees are split into parts.
@@ -427,27 +430,84 @@ def _score_broadcast(texts: DataFrame, to, depth: int) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, words double, bits double")
 
 
+class Sorted:
+    """Lookup in sorted arrays, for the items of one block."""
+
+    def __init__(self, codes: list[np.ndarray], values: list[np.ndarray]):
+        code = np.concatenate([np.zeros(0, dtype=np.int64), *codes])
+        self.codes, first = np.unique(code, return_index=True)
+        self.values = np.concatenate([np.zeros(0), *values])[first]
+
+    def __call__(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.codes):
+            return np.zeros(len(codes)), np.zeros(len(codes), dtype=bool)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        found = self.codes[at] == codes
+        return np.where(found, self.values[at], 0.0), found
+
+
 def _score_joined(texts: DataFrame, gram_values: DataFrame, word_values: DataFrame, depth: int) -> DataFrame:
-    """The same without a broadcast: items of each distinct text are joined with their values."""
-    items = pa.schema([("key", pa.binary()), ("kind", pa.int32()), ("code", pa.int64()), ("n", pa.int64())])
+    """The same without a broadcast: the distinct items of each block of texts are joined with their values, and each
+    block's values stand before its texts where it is scored. Blocks are of bounded size, so no key is hot."""
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    id_field = arrow_schema(texts.select("doc_id")).field(0)
+    blocked = pa.schema([("block", pa.int64()), id_field, ("held_out", pa.bool_()), ("text", pa.binary())])
+
+    def number(batches):
+        block, size = partition_number() << 32, 0
+        for batch in batches:
+            held: list[list] = [[], [], [], []]
+            for doc_id, is_held, text in rows([batch], "doc_id", "held_out", "text"):
+                for column, value in zip(held, (block, doc_id, is_held, text), strict=True):
+                    column.append(value)
+                size += len(text or b"") + 1
+                if size >= TOGETHER:
+                    block, size = block + 1, 0
+            yield batch_of(blocked, held)
+
+    blocks = stored(texts.mapInArrow(number, f"block bigint, doc_id {id_type}, held_out boolean, text binary"))
+    items = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("code", pa.int64())])
+
+    def wanted(batches):
+        for block, own in groupby(rows(batches, "block", "text"), key=itemgetter(0)):
+            parts, codes = [], []
+            for _, text in own:
+                parts += pieces(text, depth)
+                codes.append(word_codes(text))
+            for kind, found in ((GRAM, [grams(parts, depth)]), (WORD, codes)):
+                code, _ = _counted(found)
+                yield batch_of(items, [pa.array(np.full(len(code), block)), pa.array(np.full(len(code), kind, dtype=np.int32)), pa.array(code)])
 
-    def run(batches):
-        for key, text in rows(batches, "key", "text"):
-            for part in pieces(text, depth):
-                code, n = _counted([grams([part], depth)])
-                yield batch_of(items, [[key] * len(code), [GRAM] * len(code), pa.array(code), pa.array(n)])
-            code, n = _counted([word_codes(text)])
-            yield batch_of(items, [[key] * len(code), [WORD] * len(code), pa.array(code), pa.array(n)])
-
-    keyed = texts.withColumn("_tl_key", text_key())
-    distinct = keyed.select(F.col("_tl_key").alias("key"), "text").dropDuplicates(["key"])
-    used = distinct.mapInArrow(run, "key binary, kind int, code bigint, n bigint")
     values = gram_values.select(F.lit(GRAM).alias("kind"), "code", F.col("value").cast("double").alias("value")).unionByName(word_values.select(F.lit(WORD).alias("kind"), "code", "value"))
-    joined = used.join(values, ["kind", "code"], "left")
-    is_word = F.col("kind") == WORD
-    worth = F.col("n") * F.col("value").cast("double")
-    summed = joined.groupBy(F.col("key").alias("_tl_key")).agg(F.sum(F.when(is_word, F.col("n"))).alias("n_tokens"), F.sum(F.when(is_word & F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("n_known"), F.coalesce(F.sum(F.when(is_word, worth)), F.lit(0.0)).alias("words"), F.coalesce(F.sum(F.when(~is_word, worth)), F.lit(0.0)).alias("bits"))
-    return keyed.select("doc_id", "held_out", "_tl_key").join(summed, "_tl_key").drop("_tl_key")
+    known = blocks.mapInArrow(wanted, "block bigint, kind int, code bigint").join(values, ["kind", "code"]).select("block", F.lit(0).alias("tag"), "kind", "code", "value")
+    lines = known.unionByName(blocks.withColumn("tag", F.lit(1)), allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "tag")
+    out = pa.schema([id_field, ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("words", pa.float64()), ("bits", pa.float64())])
+
+    def run(batches):
+        now, held, tables = None, {}, None
+        for batch in batches:
+            block, tag = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("block", "tag"))
+            cuts = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (tag[1:] != tag[:-1])])) if len(block) else []
+            for a, b in zip(cuts, [*cuts[1:], len(block)], strict=True):
+                part = batch.slice(a, b - a)
+                if block[a] != now:
+                    now, held, tables = block[a], {GRAM: ([], []), WORD: ([], [])}, None
+                if tag[a] == 0:
+                    kind, code, value = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("kind", "code", "value"))
+                    for k, (codes, found) in held.items():
+                        codes.append(code[kind == k])
+                        found.append(value[kind == k])
+                    continue
+                if tables is None:
+                    tables = {k: Sorted(*x) for k, x in held.items()}
+                scored = []
+                for doc_id, is_held, text in rows([part], "doc_id", "held_out", "text"):
+                    value, found = tables[WORD](word_codes(text))
+                    bits = sum(float(tables[GRAM](grams([p], depth))[0].sum()) for p in pieces(text, depth))
+                    scored.append((doc_id, is_held, len(value), int(found.sum()), float(value.sum()), bits))
+                yield batch_of(out, list(map(list, zip(*scored, strict=True))))
+
+    return lines.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, words double, bits double")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
