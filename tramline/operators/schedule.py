@@ -110,14 +110,17 @@ def merge_overlap(out: Column, back: Column) -> Column:
 
 
 def splice_circular(stops: DataFrame, route: str, bound: str, order: str, stop: str) -> DataFrame:
-    """(route, stop, sequence): outbound stops, then inbound ones from the first that outbound lacks (from the start if none is)."""
-    out = stops.where(F.col(bound) == "O").select(route, stop, order)
-    back = stops.where(F.col(bound) == "I").select(route, stop, order)
-    begin = back.join(out.select(route, stop).distinct(), [route, stop], "left_anti").groupBy(route).agg(F.min(order).alias("_begin"))
-    ends = out.groupBy(route).agg(F.max(order).alias("_base"))
-    later = back.join(ends, route).join(begin, route, "left").where(F.col(order) >= F.coalesce("_begin", F.lit(1)))
-    place = F.row_number().over(Window.partitionBy(route).orderBy(order))
-    return out.select(route, stop, F.col(order).cast("int").alias("sequence")).unionByName(later.select(route, stop, (F.col("_base") + place).cast("int").alias("sequence")))
+    """(route, stop, sequence): outbound stops, then inbound ones from the first that outbound lacks (from the start if none is).
+
+    Windows by route alone and by route and stop share one shuffle.
+    """
+    by_route, outbound = Window.partitionBy(route), F.col(bound) == "O"
+    marked = stops.where(F.col(bound).isin("O", "I")).select(route, stop, order, bound).withColumn("_known", F.max(outbound).over(Window.partitionBy(route, stop)))
+    first_new = F.min(F.when(~outbound & ~F.col("_known"), F.col(order))).over(by_route)
+    marked = marked.withColumns({"_base": F.max(F.when(outbound, F.col(order))).over(by_route), "_begin": F.coalesce(first_new, F.lit(1))})
+    kept = marked.where(outbound | (F.col("_base").isNotNull() & (F.col(order) >= F.col("_begin"))))
+    place = F.row_number().over(Window.partitionBy(route, bound).orderBy(order))
+    return kept.select(route, stop, F.when(outbound, F.col(order)).otherwise(F.col("_base") + place).cast("int").alias("sequence"))
 
 
 def interpolated(index: Column, average: Column) -> Column:

@@ -49,9 +49,10 @@ STOPS = "stops AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTIT
 
 
 def stops(read) -> DataFrame:
+    """STOPS; dealt by trip once, which all later windows and joins by trip make use of."""
     from tramline.operators.selection import keep_first
 
-    return keep_first(read("lineitem"), ["l_orderkey", "l_linenumber"], [F.col(c) for c in ("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")])
+    return keep_first(read("lineitem").repartition("l_orderkey"), ["l_orderkey", "l_linenumber"], [F.col(c) for c in ("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")])
 
 
 def second_of_day(stamp: str = "ts"):
