@@ -42,7 +42,7 @@ RULES = {
     "repeats": ("n_repeat_words", "n_words"),
 }
 #: How many times worse it is to reject a share of the good than to keep that share of the poor.
-DEAR = 5
+DEAR = 20
 
 _WORDS = r"array_remove(split(coalesce(text, ''), '[ \\t-\\r]+'), '')"
 _LINES = r"filter(split(coalesce(text, ''), '\n'), x -> btrim(x, ' \t\u000b\f\r') <> '')"
