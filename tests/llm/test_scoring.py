@@ -77,7 +77,7 @@ def test_pieces_cover_a_text(monkeypatch):
 
 def test_lookup():
     codes = np.unique(np.random.default_rng(1).integers(-(2**62), 2**62, 50_000))
-    table = S.Lookup(codes, np.arange(len(codes), dtype=np.float32))
+    table = S.Lookup(len(codes), np.float32).fill(codes, np.arange(len(codes), dtype=np.float32))
     value, found = table(codes)
     assert found.all() and (value == np.arange(len(codes))).all()
     assert not table(codes + 1)[1][~np.isin(codes + 1, codes)].any()

@@ -26,6 +26,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,27 +46,12 @@ TILE = 256
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, kept for the next text; the store is emptied when it is large."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 150_000:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def shingles(text: bytes | None, n: int = N_WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text."""
     own = words(text)
     if not own:
         return np.zeros(0, dtype=np.uint64)
-    one = np.fromiter(map(_hashes.__getitem__, own), dtype=np.uint64, count=len(own))
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, own), dtype=np.uint64, count=len(own))
     n = min(n, len(one))
     count = len(one) - n + 1
     made = np.full(count, n, dtype=np.uint64)

@@ -32,6 +32,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,23 +82,10 @@ def grams(parts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     return code[keep[depth:]]
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 150_000:
-            self.clear()
-        self[word] = value = (xxhash.xxh3_64_intdigest(word) & (2**64 - 1)) - 2**63
-        return value
-
-
-_hashes = _Hashes()
-
-
 def word_codes(text: bytes | None) -> np.ndarray:
     """64-bit hashes of the words of a text and of its end."""
     own = [*(text or b"").translate(LOWER_BYTES).split(), _WORD_END]
-    return np.fromiter(map(_hashes.__getitem__, own), dtype=np.int64, count=len(own))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, own), dtype=np.uint64, count=len(own)).view(np.int64)
 
 
 def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -311,11 +299,15 @@ class Lookup:
 
     FREE = np.int64(-(2**63))  # no code; a word hashes to it with probability 2^-64
 
-    def __init__(self, codes: np.ndarray, values: np.ndarray):
-        self.size = max(16, len(codes) * 5 // 3)
-        self.codes, self.values = np.full(self.size, self.FREE), np.zeros(self.size, dtype=values.dtype)
+    def __init__(self, items: int, kind: type):
+        self.size = max(16, items * 5 // 3)
+        self.codes, self.values = np.full(self.size, self.FREE), np.zeros(self.size, dtype=kind)
+
+    def fill(self, codes: np.ndarray, values: np.ndarray) -> Lookup:
+        """Adds codes that the table doesn't hold yet."""
         for s in range(0, len(codes), BLOCK):
             self._insert(codes[s : s + BLOCK], values[s : s + BLOCK])
+        return self
 
     def _insert(self, codes: np.ndarray, values: np.ndarray) -> None:
         left, slot = np.arange(len(codes)), self._slot(np.ascontiguousarray(codes))
@@ -373,10 +365,14 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broad
     scale = math.log10(n_train + v_train + 1)
     if v_train + gram_values.count() <= broadcast_items:
         made = []
-        for values in (gram_values, word_values):
+        for values, kind in ((gram_values, np.float32), (word_values, np.float64)):
             found = values.select("code", "value").toArrow()
-            made.append(Lookup(found.column("code").to_numpy(), found.column("value").to_numpy()))
+            own = Lookup(found.num_rows, kind)
+            for batch in found.to_batches():
+                own.fill(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            made.append(own)
             del found
+            pa.default_memory_pool().release_unused()
         to = spark.sparkContext.broadcast(made)
         del made
         scored = _score_broadcast(texts, to, depth)
