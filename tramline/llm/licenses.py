@@ -16,7 +16,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm.common import Buffer, rows, table, words
+from tramline.llm.common import Buffer, arrow_schema, rows, table, words
 
 #: Fixed phrases and labels of the base.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -180,8 +180,6 @@ def scan(text: bytes | None) -> tuple[int, list[tuple[str, int]], list[str], flo
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row for each row of docs: what scan() finds in its text."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    from tramline.llm.common import arrow_schema
-
     out = pa.schema([arrow_schema(docs.select("doc_id")).field(0), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("n_places", pa.int64())])
 
     def run(batches):

@@ -15,10 +15,10 @@ from __future__ import annotations
 import heapq
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Buffer, partition_number, rows, spread_join, stored, text_key
+from tramline.llm.common import Buffer, partition_number, rows, spread_join, stored, table, text_key
 
 #: Partial partitions that are differenced at once, in a task or on the driver.
 CHUNK = 20_000
@@ -103,7 +103,6 @@ def shard(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> DataFrame:
     groups = keyed.groupBy("id").agg(F.sum("size").alias("bytes"))
     placed = spread_join(keyed, balance(groups, shards, chunk), "id", "inner").select("doc_id", "size", "text_crc32", "shard")
     fields = placed.schema["doc_id"].dataType.simpleString()
-    out = None
 
     def number(batches):
         part, seen = partition_number(), [0] * shards
@@ -122,9 +121,7 @@ def shard(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> DataFrame:
     return out.join(base, ["part", "shard"]).select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("place")).alias("slot"))
 
 
-def op8_sharding(spark, sf_dir: str) -> DataFrame:
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards under the law ``bytes``."""
-    from tramline.llm.common import table
-
     out = shard(table(spark, sf_dir, "documents"), 8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
