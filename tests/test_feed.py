@@ -314,3 +314,21 @@ def test_shapes_take_trip_names(spark):
     one, two = sinks.shapes_named_by_trip(shapes, trips)
     assert [tuple(r) for r in one.collect()] == [("a", 1)]
     assert {r["trip_id"]: r["shape_id"] for r in two.collect()} == {"a": "a", "b": "a", "c": None}
+
+
+def test_further_readers(spark, tmp_path):
+    (tmp_path / "osm.json").write_text(json.dumps({"elements": [{"type": "node", "id": 1, "lat": 22.3, "lon": 114.1, "tags": {"name": "A"}}, {"type": "relation", "id": 2}]}))
+    assert [(r["type"], r["id"], r["lat"]) for r in readers.overpass(spark, str(tmp_path / "osm.json")).orderBy("id").collect()] == [("node", 1, 22.3), ("relation", 2, None)]
+    (tmp_path / "points.tsv").write_text("a\tPOINT (114.1 22.3)\nb\tLINESTRING (1 2, 3 4)\n")
+    assert sorted((tuple(r) for r in readers.wkt_points(spark, str(tmp_path / "points.tsv")).collect()), key=repr) == [("a", 114.1, 22.3), ("b", None, None)]
+    names = {lang: spark.createDataFrame([("1", f"{lang}1", 22.2, 114.2)] + ([("2", "en2", 22.3, 114.2)] if lang == "en" else []), schemas.TRAM) for lang in ("en", "tc", "sc")}
+    assert sorted((r["stop_code"], r["name_en"], r["name_tc"], r["name_sc"]) for r in readers.tram_stops(names["en"], names["tc"], names["sc"]).collect()) == [("1", "en1", "tc1", "sc1"), ("2", "en2", None, None)]
+    for day, hour in ((0, 7), (6, 23)):
+        (tmp_path / "times" / str(day)).mkdir(parents=True)
+        (tmp_path / "times" / str(day) / f"{hour}.json").write_text(json.dumps({"a": {"b": 10 * hour}}))
+    assert sorted(tuple(r) for r in readers.hourly_edges(spark, str(tmp_path / "times")).collect()) == [(0, 7, "a", "b", 70.0), (6, 23, "a", "b", 230.0)]
+    places = spark.createDataFrame([("One", 1, 836694.05, 819069.80), ("One", 2, 0.0, 0.0)], "name string, rank int, east double, north double")
+    out = readers.geocoded(spark.createDataFrame([("One",), ("Two",)], "station string"), places, "station").orderBy("station").collect()
+    assert abs(out[0]["lat"] - 22.3106) < 0.001 and out[1]["lat"] is None
+    cells = html.table_cells(spark.createDataFrame([("p", "<table><tr><th>Line</th></tr><tr><td>Tuen Ma Line</td><td>2.7-3</td><td>3</td><td>4</td><td></td><td>5</td></tr></table>")], "page string, html string"), "page", "html")
+    assert [tuple(r) for r in readers.headways(cells, "page").collect()] == [("Tuen Ma Line", "2.7-3", "3", "4", None, "5")]
