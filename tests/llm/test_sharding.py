@@ -50,3 +50,27 @@ def test_balance(spark):
 
 def test_empty(no_docs):
     assert S.shard(no_docs, 8).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.0, 0.10, 0.33])
+def test_balance_of_many_chunks_beside_a_big_group(spark, share):
+    rng = random.Random(7)
+    sizes = [rng.randint(1, 4000) for _ in range(6000)]
+    if share:
+        sizes.append(int(sum(sizes) * share / (1 - share)))
+    groups = spark.createDataFrame([(bytearray(i.to_bytes(16, "big")), n) for i, n in enumerate(sizes)], "id binary, bytes bigint").repartition(7)
+    made = [0] * 8
+    out = S.balance(groups, 8, 200).collect()
+    assert sorted(int.from_bytes(r["id"], "big") for r in out) == list(range(len(sizes)))
+    for r in out:
+        made[r["shard"]] += sizes[int.from_bytes(r["id"], "big")]
+    made.sort()
+    if share > 1 / 8:
+        assert made.pop() == sizes[-1]  # the big group alone is more than a shard's part
+    assert made[-1] - made[0] <= 0.001 * sum(sizes)
+
+
+def test_room_levels_what_it_can():
+    assert S.room([0, 0, 0], 10) == [4, 3, 3]
+    assert S.room([9, 1, 3], 4) == [0, 3, 1]
+    assert S.room([5, 5], 0) == [0, 0]

@@ -3,9 +3,11 @@
 Rows with equal texts form a group that is never divided. Each group begins as
 a partial partition (its bytes, 0, ..., 0). Differencing takes the two partial
 partitions of largest spread, adds them in opposite order, and goes on until
-one is left. Chunks of groups are differenced in parallel; the chunks' results
-are partial partitions too and are differenced again, level by level, until few
-enough are left for the driver.
+one is left. Groups above a size bound, of which there are few, are differenced
+on the driver first. Chunks of the others are differenced in parallel, each
+around its share of what the big groups leave uneven, so that they fill up the
+other shards; each chunk leaves a few groups over, and these are differenced on
+the driver last, around what all chunks have placed.
 
 Null texts count as empty; equal rows share a group; an empty table gives no rows.
 """
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm.common import Buffer, partition_number, rows, spread_join, stored, table, text_key
 
-#: Partial partitions that are differenced at once, in a task or on the driver.
+#: Groups that are differenced at once in a task, and about as many on the driver.
 CHUNK = 20_000
 
 
@@ -51,49 +53,79 @@ def differencing(sums: list[list[int]]) -> tuple[list[list[int]], list[int]]:
     return goes[: len(sums)], nodes[-1]
 
 
-def _level(items: DataFrame, shards: int, chunk: int) -> DataFrame:
-    """One level: for each partial partition (id, sums), the chunk that took it in, where its subsets went, and the chunk's sums on one row of each chunk."""
-    out = pa.schema([("id", pa.binary()), ("chunk", pa.binary()), ("goes", pa.list_(pa.int32())), ("sums", pa.list_(pa.int64()))])
+def room(loads: list[int], rest: int) -> list[int]:
+    """How much of ``rest`` each shard takes so that all end as level as the loads allow; shards above that level take 0."""
+    order = sorted(range(len(loads)), key=loads.__getitem__)
+    most = 1
+    while most < len(order) and loads[order[most]] * most < rest + sum(loads[x] for x in order[:most]):
+        most += 1
+    total = rest + sum(loads[x] for x in order[:most])
+    out = [0] * len(loads)
+    for place, x in enumerate(order[:most]):
+        out[x] = total // most + (place < total % most) - loads[x]
+    return out
+
+
+def fill(own: list[int], sizes: list[int]) -> tuple[list[int], list[int]]:
+    """For each group the shard it goes to, and the bytes that go to each shard, about in proportion to ``own``."""
+    open_shards = [x for x, r in enumerate(own) if r > 0] or list(range(len(own)))
+    k, most, all_room, total = len(open_shards), max(own), sum(own) or 1, sum(sizes)
+    lacks = [(most - own[x]) * total // all_room for x in open_shards]
+    goes, _ = differencing([lacks] + [[n] + [0] * (k - 1) for n in sizes])
+    shard_of = {place: x for x, place in zip(open_shards, goes[0], strict=True)}
+    to = [shard_of[g[0]] for g in goes[1:]]
+    sums = [0] * len(own)
+    for x, n in zip(to, sizes, strict=True):
+        sums[x] += n
+    return to, sums
+
+
+def _level(groups: DataFrame, own: list[int], chunk: int, spare: float) -> DataFrame:
+    """(id, bytes, shard, sums): chunks of groups placed in proportion to ``own``, sums on one row of each chunk; the part ``spare`` of a chunk has no shard yet."""
+    out = pa.schema([("id", pa.binary()), ("bytes", pa.int64()), ("shard", pa.int32()), ("sums", pa.list_(pa.int64()))])
 
     def run(batches):
-        buffer, held, count, number = Buffer(out), [], 0, partition_number()
+        buffer, held = Buffer(out), []
 
         def flush():
-            name = f"{number}.{count}".encode()
-            goes, final = differencing([s for _, s in held])
-            for i, ((one, _), to) in enumerate(zip(held, goes, strict=True)):
-                buffer.add(one, name, to, final if i == 0 else None)
+            kept = max(1, int(len(held) * spare))
+            to, sums = fill(own, [n for _, n in held[kept:]])
+            for i, (one, n) in enumerate(held):
+                buffer.add(one, n, to[i - kept] if i >= kept else None, sums if i == 0 else None)
 
-        for one, sums in rows(batches, "id", "sums"):
-            held.append((one, sums))
+        for one, n in rows(batches, "id", "bytes"):
+            held.append((one, n))
             if len(held) >= chunk:
                 flush()
-                held, count = [], count + 1
+                held = []
                 yield buffer.take()
         if held:
             flush()
             yield buffer.take()
 
-    return stored(items.mapInArrow(run, "id binary, chunk binary, goes array<int>, sums array<bigint>"))
+    return stored(groups.select("id", "bytes").mapInArrow(run, "id binary, bytes bigint, shard int, sums array<bigint>"))
 
 
 def balance(groups: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame:
     """(id, shard) for groups (id binary, bytes long)."""
     spark = groups.sparkSession
-    zeros = F.array_repeat(F.lit(0).cast("long"), shards - 1)
-    level = _level(groups.select("id", F.concat(F.array("bytes"), zeros).alias("sums")), shards, chunk)
-    placed = level.select("id", "chunk", F.element_at("goes", 1).alias("subset"))
-    while True:
-        tops = level.where("sums IS NOT NULL").select(F.col("chunk").alias("id"), "sums")
-        if tops.count() <= chunk:
-            break
-        level = _level(tops.repartition(max(1, tops.count() // chunk)), shards, chunk)
-        up = level.select(F.col("id").alias("chunk"), F.col("chunk").alias("above"), "goes")
-        placed = placed.join(up, "chunk").select("id", F.col("above").alias("chunk"), F.element_at("goes", F.col("subset") + 1).alias("subset"))
-    last = [(bytes(r.id), list(r.sums)) for r in sorted(tops.collect(), key=lambda r: bytes(r.id))]
-    goes, _ = differencing([s for _, s in last])
-    final = spark.createDataFrame([(bytearray(one), to) for (one, _), to in zip(last, goes, strict=True)], "chunk binary, goes array<int>")
-    return placed.join(F.broadcast(final), "chunk").select("id", F.element_at("goes", F.col("subset") + 1).alias("shard"))
+    groups = stored(groups)
+    count, total = groups.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    # fewer than `chunk` groups are above the bound; few groups are all placed at once
+    big = F.lit(True) if count <= chunk else F.col("bytes") > total // chunk
+    first = sorted((bytes(r.id), r.bytes) for r in groups.where(big).collect())
+    goes, loads = differencing([[n] + [0] * (shards - 1) for _, n in first])
+    loads = loads or [0] * shards
+    made = [(bytearray(one), to[0]) for (one, _), to in zip(first, goes, strict=True)]
+    if count <= chunk:
+        return spark.createDataFrame(made, "id binary, shard int")
+    level = _level(groups.where(~big), room(loads, total - sum(loads)), chunk, chunk / count)
+    for r in level.where("sums IS NOT NULL").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
+        loads[r["pos"]] += r["n"]
+    spare = sorted((bytes(r.id), r.bytes) for r in level.where("shard IS NULL").select("id", "bytes").collect())
+    to, _ = fill(room(loads, total - sum(loads)), [n for _, n in spare])
+    made += [(bytearray(one), x) for (one, _), x in zip(spare, to, strict=True)]
+    return level.where("shard IS NOT NULL").select("id", "shard").unionByName(spark.createDataFrame(made, "id binary, shard int"))
 
 
 def shard(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> DataFrame:
