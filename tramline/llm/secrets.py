@@ -44,9 +44,18 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 20, 0, ("akia",)),
     Rule("hex", 1, r"[0-9a-f]+", 24),
 )
+#: What may stand between the lines of a key: blanks, escaped line ends, quotes, marks of quotation, comments and changes.
+_GAP = r"""(?:[\x20\t\r\n"'`,;>|#*+-]|\\[nrt])"""
+#: A private key from BEGIN over its body to END; where END is missing, to the end of its headers and base64 lines, of which the last may be short.
+_PEM = (
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*(?:-{1,4}[^-]+)*-{5,}END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    rf"|(?:{_GAP}*[A-Z][A-Za-z-]*:\x20[^\r\n\\]*)*(?:{_GAP}*[A-Za-z0-9+/]{{16,}}={{0,2}})?(?:{_GAP}+[A-Za-z0-9+/]{{16,}}={{0,2}})*"
+    rf"(?:{_GAP}+=?[A-Za-z0-9+/]+(?:={{1,2}}|\\[nr]|(?m:[\x20\t\r\"',]*$)))?)"
+)
 #: Kinds that the scan adds.
 MORE = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0, ("private key-----",)),
+    Rule("pem", 2, _PEM, 1, 0, ("private key",)),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 40, 0, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 15, 0, ("xox",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30, 0, ("eyj",)),
