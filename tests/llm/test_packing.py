@@ -28,6 +28,12 @@ def test_ids_are_the_librarys(library, rows):
         assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>", "  <|endoftext|>\n\n<|endoftext|><|endoftext|>é", "<|endoftext|", "<|ENDOFTEXT|>", "one " * 2000 + "<|endoftext|>two"])
+def test_added_tokens_are_the_librarys(text):
+    plain = Tokenizer.from_file(P.vocabulary())
+    assert np.frombuffer(P.encoder(P.vocabulary())(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json"])
 def test_other_files_go_to_the_library(name):
     assert P.Encoder(P.vocabulary(name)).ranked is None

@@ -46,15 +46,15 @@ class Encoder:
     Where the file is a byte-level BPE whose merges stand in the order of the
     ids they make, a rank-based encoder made from the file's own vocabulary
     gives the same ids several times faster; any other file, and any text that
-    it refuses, goes to the library itself.
+    it refuses or that holds one of the file's added tokens, goes to the
+    library itself.
     """
 
     def __init__(self, path: str):
-        self.path, self.library = path, None
+        self.path, self.library, self.added = path, None, ()
         self.ranked = self._ranked(path)
 
-    @staticmethod
-    def _ranked(path: str):
+    def _ranked(self, path: str):
         import json
 
         import tiktoken
@@ -62,6 +62,7 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
         model = made["model"]
+        self.added = tuple(t["content"] for t in made.get("added_tokens") or [])
         if model.get("type") != "BPE" or (made.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or made["pre_tokenizer"].get("add_prefix_space") or made.get("normalizer"):
             return None
         vocabulary = model["vocab"]
@@ -78,11 +79,10 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.library = Tokenizer.from_file(self.path)
-            self.library.encode_special_tokens = True
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if self.ranked is None:
+        if self.ranked is None or any(t in text for t in self.added):
             return self.slow(text)
         try:
             return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
