@@ -129,3 +129,9 @@ def test_long_texts_with_open_keys_take_little_time():
     for text in ("-----BEGIN PRIVATE KEY-----" + "a - b\n" * 300_000, "-----BEGIN PRIVATE KEY-----" * 20_000, "-----BEGIN PRIVATE KEY-----" + "+" * 500_000, "-----BEGIN PRIVATE KEY-----" + "\n" * 200_000 + "?"):
         assert S.find(text, [r for r in S.RULES if r.kind == "pem"])
     assert time.perf_counter() - start < 10
+
+
+def test_logins_of_any_length():
+    for user, word in (("oauth2", "x" * 200), ("u" * 300, "abc"), ("é" * 65, "~" * 129), ("me", "pw1")):
+        text = f"clone https://{user}:{word}@host/path now"
+        assert [(k, text[a:b]) for _, k, a, b in S.find(text, [r for r in S.RULES if r.kind == "login"])] == [("login", f"https://{user}:{word}@")]

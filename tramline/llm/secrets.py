@@ -59,7 +59,7 @@ MORE = (
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 40, 0, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 15, 0, ("xox",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30, 0, ("eyj",)),
-    Rule("login", 1, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]{1,64}:[^\x00-\x20:/@]{3,128}@", 10, 0, ("://",)),
+    Rule("login", 2, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]+:[^\x00-\x20:/@]{3,}@", 10, 0, ("://",)),
 )
 RULES = BASE + MORE
 
