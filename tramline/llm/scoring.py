@@ -12,15 +12,20 @@ with the weights 1/2 Pe / Pw from the root on; where a path is not in the tree,
 its last estimate takes the rest. The product over decisions gives the code
 length of each byte, and a text's score is minus their sum in decimal digits.
 
-Counts of (context, byte) come from the whole corpus through one aggregation.
-Trees are split by the three nearest bytes; from depth 3 on each part is worked
-on by itself, and only the few nodes of depth 2 go to the driver. Probabilities of
-all (context, byte) pairs, and counts of words, are looked up from a broadcast
-if their counted number is within BROADCAST_ITEMS; beyond it the distinct
-items of blocks of texts are joined with them.
+There is one path at every size, and no table of the corpus is broadcast. Texts
+are dealt in blocks of bounded size. A block hands on its distinct items
+((context, byte) pairs, and words) with their training counts, cut into parts by the two
+nearest bytes or by hash. The counts of a part are merged over all blocks, in
+two steps so that no task merges more than a bounded number of blocks; trees
+are worked out part by part, and only the nodes of depth 1, at most 256 x 255,
+go to the driver. Each block then gets back one number for each of its items,
+in the order in which it can list them itself, and scores its texts with them.
 
 Null texts count as empty: one end symbol. Null ids belong to training. Rows
-with equal ids or texts are scored one by one. An empty table gives no rows;
+with equal ids or texts (ties) are scored one by one and alike. A text of any
+length is scored whole: beyond SEGMENT bytes it is worked on in segments that
+carry their context along, and it lies in one block. Columns other than doc_id
+and text are not read, whatever their names. An empty table gives no rows;
 with no training rows every decision has probability 1/2 and every count is 0.
 """
 
@@ -39,15 +44,21 @@ from pyspark.sql import functions as F
 from tramline.llm.common import LOWER_BYTES, arrow_schema, batch_of, partition_number, rows, stored, table
 
 DEPTH = 5
-#: Bytes by which the trees are split into parts.
-SPLIT = 3
+#: Bytes by which parts are dealt, and those by which a part's trees are worked out in runs.
+NEAR, SPLIT = 2, 3
 END = b"\xff"
 #: Symbols, and bytes of one text, that are worked on at once.
 BLOCK, SEGMENT = 1 << 20, 1 << 19
-#: Symbols that a task counts together before it hands the counts on.
-TOGETHER = 4 << 20
-#: Items of 12 to 16 bytes that are broadcast at most.
-BROADCAST_ITEMS = 8_000_000
+#: Bytes of text of a block at least, unless its task has no more.
+BLOCK_BYTES = 32 << 20
+#: Bytes of text that are compressed together where blocks are stored.
+CHUNK_BYTES = 1 << 16
+#: Parts into which the items of a kind are dealt.
+PARTS = 1024
+#: Blocks whose items are merged in one task.
+TOGETHER = 512
+#: Distinct items that are held apart before they are merged.
+APART = 4 << 20
 GRAM, WORD = 0, 1
 _WORD_END = b"\n"  # stands for the end among words; no word holds it
 
@@ -88,55 +99,177 @@ def word_codes(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, own), dtype=np.uint64, count=len(own)).view(np.int64)
 
 
-def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not codes:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    found = np.sort(np.concatenate(codes))
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and how often each stands."""
+    found = np.sort(codes)
     starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, dtype=np.int64)
     return found[starts], np.diff(np.append(starts, len(found)))
 
 
-def count_items(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, code, n): training counts of grams and words; grams that only held-out rows have come with 0."""
-    out = pa.schema([("kind", pa.int32()), ("code", pa.int64()), ("n", pa.int64())])
+def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes of several lists and the sums of their counts."""
+    if len(held) == 1:
+        return held[0]
+    code = np.concatenate([np.zeros(0, dtype=np.int64), *(c for c, _ in held)])
+    n = np.concatenate([np.zeros(0, dtype=np.int64), *(x for _, x in held)])
+    if not len(code):
+        return code, n
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    return code[starts], np.add.reduceat(n, starts)
+
+
+class Items:
+    """The distinct items of the texts of a block and their training counts; those of held-out texts alone have 0."""
+
+    def __init__(self, depth: int):
+        self.depth, self.size, self.waiting = depth, 0, 0
+        self.texts: dict[bool, list[bytes]] = {False: [], True: []}
+        self.words: dict[bool, list[np.ndarray]] = {False: [], True: []}
+        self.found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {GRAM: [], WORD: []}
+
+    def add(self, held: bool, text: bytes | None) -> None:
+        self.words[held].append(word_codes(text))
+        for part in pieces(text, self.depth):
+            self.texts[held].append(part)
+            self.waiting += len(part)
+            self.size += len(part)
+            if self.waiting >= BLOCK:
+                self._turn()
+
+    def _turn(self) -> None:
+        for held in (False, True):
+            for kind, codes in ((GRAM, [grams(self.texts[held], self.depth)] if self.texts[held] else []), (WORD, self.words[held])):
+                if codes:
+                    code, n = _counted(np.concatenate(codes))
+                    self.found[kind].append((code, np.zeros_like(n) if held else n))
+            self.texts[held], self.words[held] = [], []
+        self.waiting = 0
+        for kind, own in self.found.items():
+            if len(own) > 1 and sum(len(c) for c, _ in own) > APART:
+                self.found[kind] = [merged(own)]
+
+    def by_part(self, parts: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each kind the codes by part and code, their counts, and the part of each."""
+        self._turn()
+        out = {}
+        for kind, own in self.found.items():
+            code, n = merged(own)
+            part = part_of(kind, code, parts, self.depth)
+            order = np.argsort(part, kind="stable")
+            out[kind] = (code[order], n[order], part[order])
+        return out
+
+
+def part_of(kind: int, codes: np.ndarray, parts: int, depth: int = DEPTH) -> np.ndarray:
+    """Grams that share their NEAR nearest bytes share a part."""
+    if kind == GRAM:
+        near = codes >> (8 * (depth + 1 - NEAR))
+        return (((near * 40503) & 0xFFFF) * parts) >> 16
+    return ((codes.view(np.uint64) >> np.uint64(40)).astype(np.int64) * parts) >> 24
+
+
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Numbers compressed, the first bytes of all together, then the second, and so on."""
+    import zstandard
+
+    width = numbers.dtype.itemsize
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, width).T.tobytes())
+
+
+def unsqueeze(data: bytes, kind: type) -> np.ndarray:
+    import zstandard
+
+    width = np.dtype(kind).itemsize
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def squeeze_codes(codes: np.ndarray) -> bytes:
+    """Sorted codes as differences."""
+    return squeeze(np.diff(codes, prepend=np.int64(0)))
+
+
+def unsqueeze_codes(data: bytes) -> np.ndarray:
+    return np.cumsum(unsqueeze(data, np.int64))
+
+
+_ITEM = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("codes", pa.binary()), ("n", pa.binary())])
+
+
+def blocks(texts: DataFrame, depth: int = DEPTH, parts: int = PARTS, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(kind, part, block, codes, n) and (block, ids, held, lengths, data) of texts (doc_id, held_out, text); data are texts, compressed."""
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    out = pa.schema([("tag", pa.string()), *_ITEM, ("ids", pa.list_(arrow_schema(texts.select("doc_id")).field(0).type)), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("data", pa.binary())])
 
     def run(batches):
-        known: dict[int, list[np.ndarray]] = {}
-        size = total = 0
-
-        def emit():
-            for kind, of in ((GRAM, 0), (GRAM, 1), (WORD, 2)):
-                codes, n = _counted(known.get(of, []))
-                if of == 1:
-                    n = np.zeros(len(codes), dtype=np.int64)
-                if len(codes):
-                    yield batch_of(out, [pa.array(np.full(len(codes), kind, dtype=np.int32)), pa.array(codes), pa.array(n)])
-            known.clear()
-
-        parts: dict[int, list[bytes]] = {0: [], 1: []}
-
-        def turn():
-            for of, own in parts.items():
-                if own:
-                    known.setdefault(of, []).append(grams(own, depth))
-                    own.clear()
-
-        for held, text in rows(batches, "held", "text"):
-            for part in pieces(text, depth):
-                parts[int(held)].append(part)
-                size += len(part)
-                if size >= BLOCK:
-                    turn()
-                    total, size = total + size, 0
-            if not held:
-                known.setdefault(2, []).append(word_codes(text))
-            if total >= TOGETHER:
-                yield from emit()
-                total = 0
-        turn()
-        yield from emit()
-
-    return docs.mapInArrow(run, "kind int, code bigint, n bigint").groupBy("kind", "code").agg(F.sum("n").alias("n"))
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=3)
+        block, items, chunk, size = partition_number() << 32, Items(depth), [], 0
+
+        def texts_row():
+            ids, held, own = zip(*chunk, strict=True)
+            row = ["t", None, None, block, None, None, list(ids), list(held), [len(t) for t in own], packer.compress(b"".join(own))]
+            return batch_of(out, [[x] for x in row])
+
+        def item_rows():
+            for kind, (code, n, part) in items.by_part(parts).items():
+                starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
+                ends = [*starts[1:], len(part)] if len(part) else []
+                found = [(kind, int(part[a]), block, squeeze_codes(code[a:b]), squeeze(n[a:b])) for a, b in zip(starts, ends, strict=True)]
+                if found:
+                    k = len(found)
+                    yield batch_of(out, [["i"] * k, *map(list, zip(*found, strict=True)), *(pa.nulls(k, f.type) for f in list(out)[6:])])
+
+        for doc_id, is_held, text in rows(batches, "doc_id", "held_out", "text"):
+            chunk.append((doc_id, is_held, text or b""))
+            size += len(text or b"") + 1
+            items.add(is_held, text)
+            if size >= CHUNK_BYTES:
+                yield texts_row()
+                chunk, size = [], 0
+            if items.size >= block_bytes:
+                if chunk:
+                    yield texts_row()
+                yield from item_rows()
+                block, items, chunk, size = block + 1, Items(depth), [], 0
+        if chunk:
+            yield texts_row()
+        yield from item_rows()
+
+    made = texts.mapInArrow(run, f"tag string, kind int, part int, block bigint, codes binary, n binary, ids array<{id_type}>, held array<boolean>, lengths array<bigint>, data binary")
+    made = stored(made, "tag")
+    return made.where("tag = 'i'").select("kind", "part", "block", "codes", "n"), made.where("tag = 't'").select("block", "ids", "held", "lengths", "data")
+
+
+def merge_parts(items: DataFrame, salts: int) -> DataFrame:
+    """(kind, part, codes, n): the training counts of the whole corpus, one row for each part."""
+
+    def step(of: DataFrame, *keys: str) -> DataFrame:
+        out = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("codes", pa.binary()), ("n", pa.binary())])
+
+        def run(batches):
+            for key, own in groupby(rows(batches, *keys, "codes", "n", step=16), key=lambda r: r[: len(keys)]):
+                held, size = [], 0
+                for *_, codes, n in own:
+                    held.append((unsqueeze_codes(codes), unsqueeze(n, np.int64)))
+                    size += len(held[-1][0])
+                    if size > APART:
+                        held = [merged(held)]
+                        size = len(held[0][0]) // 2
+                code, n = merged(held)
+                yield batch_of(out, [[key[0]], [key[1]], [squeeze_codes(code)], [squeeze(n)]])
+
+        return of.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "kind int, part int, codes binary, n binary")
+
+    some = step(items.select("kind", "part", salt_of(salts), "codes", "n"), "kind", "part", "salt")
+    return stored(step(some, "kind", "part"))
+
+
+def salt_of(salts: int) -> Column:
+    return F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt")
 
 
 # -- the trees ------------------------------------------------------------------------------------
@@ -226,76 +359,84 @@ def log2_probability(codes: np.ndarray, tree: list[Level], full: int) -> np.ndar
     return total
 
 
-def probabilities(grams_counted: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(code, value): log2 probability of every gram of the corpus."""
-    top = 8 * (depth + 1 - SPLIT)
-    parts = grams_counted.select(F.shiftright("code", top).alias("near"), "code", "n").repartition("near").sortWithinPartitions("near", "code")
-    parts = stored(parts)  # both passes see the same parts, and read them in parallel
-    parts = parts.repartition("near").sortWithinPartitions("near", "code")
-    node = pa.schema([("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("weighted", pa.float64())])
+def _above(low: list[Level]) -> tuple[np.ndarray, ...]:
+    """(key, zeros, ones, ln of the product of the children's Pw) of the nodes above some levels of one depth."""
+    key = np.concatenate([((x.key >> 16) << 8) | (x.key & 255) for x in low])
+    above, at = np.unique(key, return_inverse=True)
+    add = lambda field: np.bincount(at, weights=np.concatenate([getattr(x, field) for x in low]), minlength=len(above))
+    return above, add("zeros"), add("ones"), add("weighted")
 
-    def groups(batches):
-        """Whole parts, many small ones together; rows come sorted."""
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        size = 0
-        for batch in batches:
-            near, code, n = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("near", "code", "n"))
-            if not len(near):
-                continue
-            if size >= BLOCK // 4:
-                # the rows up to the first of another part belong to what is held
-                cut = int(np.searchsorted(near, held[-1][0][-1], side="right"))
-                if cut < len(near):
-                    held.append((near[:cut], code[:cut], n[:cut]))
-                    yield tuple(np.concatenate(x) for x in zip(*held, strict=True))[1:]
-                    held, size = [], 0
-                    near, code, n = near[cut:], code[cut:], n[cut:]
-            held.append((near, code, n))
-            size += len(near)
-        if held:
-            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))[1:]
+
+def runs_of(code: np.ndarray, depth: int) -> list[tuple[int, int]]:
+    """Rows of sorted codes in runs of about BLOCK / 4 that don't divide what shares its SPLIT nearest bytes."""
+    near, out, a = code >> (8 * (depth + 1 - SPLIT)), [], 0
+    while a < len(code):
+        b = min(a + BLOCK // 4, len(code))
+        b = int(np.searchsorted(near, near[b - 1], side="right"))
+        out.append((a, b))
+        a = b
+    return out
+
+
+def trained(code: np.ndarray, n: np.ndarray, depth: int) -> list[Level]:
+    """Levels from SPLIT on of the pairs that have a count."""
+    seen = n > 0
+    return levels(code[seen], n[seen].astype(np.float64), SPLIT, depth) if seen.any() else []
+
+
+def near_level(code: np.ndarray, n: np.ndarray, depth: int) -> tuple[Level | None, list[Level] | None]:
+    """The nodes of depth NEAR of a part and, if it is one run, the levels below them."""
+    low, own = [], None
+    runs = runs_of(code, depth)
+    for a, b in runs:
+        own = trained(code[a:b], n[a:b], depth)
+        if own:
+            low.append(own[0])
+    return (Level(*_above(low)) if low else None), (own if len(runs) == 1 else None)
+
+
+def gram_values(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(part, codes, data): log2 probabilities, as 32-bit floats, of the grams of each part of (part, codes, n)."""
+    node = pa.schema([("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("weighted", pa.float64())])
 
     def up(batches):
-        for code, n in groups(batches):
-            seen = n > 0
-            if seen.any():
-                low = levels(code[seen], n[seen].astype(np.float64), SPLIT, depth)[0]
-                yield pa.RecordBatch.from_arrays([pa.array(low.key), pa.array(low.zeros), pa.array(low.ones), pa.array(low.weighted)], schema=node)
-
-    # at most 65,536 x 255 nodes, of which a text corpus has a small part
-    above = F.expr("shiftleft(shiftright(key, 16), 8) | (key & 255)").alias("key")
-    low = parts.mapInArrow(up, "key bigint, zeros double, ones double, weighted double").groupBy(above).agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted"))).toArrow()
-    tree = _upper(*(low.column(c).to_numpy() for c in ("key", "zeros", "ones", "weighted")))
-    to = grams_counted.sparkSession.sparkContext.broadcast(tree)
-    value = pa.schema([("code", pa.int64()), ("value", pa.float32())])
+        for codes, n in rows(batches, "codes", "n", step=16):
+            level, _ = near_level(unsqueeze_codes(codes), unsqueeze(n, np.int64), depth)
+            if level is not None:
+                yield batch_of(node, [pa.array(x) for x in _above([level])])
+
+    each = counted.mapInArrow(up, "key bigint, zeros double, ones double, weighted double")
+    first = each.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted"))).toArrow()  # at most 256 x 255 nodes
+    to = counted.sparkSession.sparkContext.broadcast(_upper(*(first.column(c).to_numpy() for c in ("key", "zeros", "ones", "weighted"))))
+    value = pa.schema([("part", pa.int32()), ("codes", pa.binary()), ("data", pa.binary())])
 
     def down(batches):
-        for code, n in groups(batches):
-            seen = n > 0
-            tree = to.value + (levels(code[seen], n[seen].astype(np.float64), SPLIT, depth) if seen.any() else [])
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(log2_probability(code, tree, depth).astype(np.float32))], schema=value)
+        for part, codes, n in rows(batches, "part", "codes", "n", step=16):
+            code, count = unsqueeze_codes(codes), unsqueeze(n, np.int64)
+            level, below = near_level(code, count, depth)
+            found = []
+            for a, b in runs_of(code, depth):
+                low = trained(code[a:b], count[a:b], depth) if below is None else below
+                found.append(log2_probability(code[a:b], to.value + ([level] if level else []) + (low if level else []), depth))
+            yield batch_of(value, [[part], [codes], [squeeze(np.concatenate(found).astype(np.float32))]])
 
-    return stored(parts.mapInArrow(down, "code bigint, value float"))
+    return counted.mapInArrow(down, "part int, codes binary, data binary")
 
 
 def _upper(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> list[Level]:
-    """Depths 0 to SPLIT - 1 from the sums of the children at depth SPLIT."""
+    """Depths 0 to NEAR - 1 from the sums at depth NEAR - 1."""
     order = np.argsort(key, kind="stable")
     out = [Level(key[order], zeros[order], ones[order], below[order])]
-    while len(out) < SPLIT:
-        last = out[0]
-        parent = ((last.key >> 16) << 8) | (last.key & 255)
-        above, at = np.unique(parent, return_inverse=True)
-        add = lambda x: np.bincount(at, weights=x, minlength=len(above))  # noqa: B023, E731
-        out.insert(0, Level(above, add(last.zeros), add(last.ones), last.gathered(above)))
+    while len(out) < NEAR:
+        out.insert(0, Level(*_above(out[:1])))
     return out
 
 
-# -- looking up -----------------------------------------------------------------------------------
+# -- scores ---------------------------------------------------------------------------------------
 
 
 class Lookup:
-    """An open-addressing table, three fifths full, from 64-bit codes to floats; it is made on the driver and broadcast as it is."""
+    """An open-addressing table, three fifths full, from the 64-bit codes of a block to floats."""
 
     FREE = np.int64(-(2**63))  # no code; a word hashes to it with probability 2^-64
 
@@ -351,159 +492,121 @@ class Lookup:
         return out, found
 
 
-def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
-    spark = docs.sparkSession
-    held = held_out() if held is None else held
-    counted = stored(count_items(docs.select(held.alias("held"), "text"), depth))
-    totals = counted.where(f"kind = {WORD}").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n_train, v_train = int(totals["n"] or 0), int(totals["v"])
-    gram_values = probabilities(counted.where(f"kind = {GRAM}").select("code", "n"), depth)
-    word_values = counted.where(f"kind = {WORD}").select("code", F.log10(F.col("n") + 1.0).alias("value"))
-    texts = docs.select("doc_id", held.alias("held_out"), "text")
-    log2 = math.log10(2)
-    scale = math.log10(n_train + v_train + 1)
-    if v_train + gram_values.count() <= broadcast_items:
-        made = []
-        for values, kind in ((gram_values, np.float32), (word_values, np.float64)):
-            found = values.select("code", "value").toArrow()
-            own = Lookup(found.num_rows, kind)
-            for batch in found.to_batches():
-                own.fill(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            made.append(own)
-            del found
-            pa.default_memory_pool().release_unused()
-        to = spark.sparkContext.broadcast(made)
-        del made
-        scored = _score_broadcast(texts, to, depth)
-    else:
-        scored = _score_joined(texts, gram_values, word_values, depth)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), (F.col("words") - F.col("n_tokens") * scale).alias("base_score"), (F.col("bits") * log2).alias("score"))
-
-
-def _score_broadcast(texts: DataFrame, to, depth: int) -> DataFrame:
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-    out = pa.schema([arrow_schema(texts.select("doc_id")).field(0), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("words", pa.float64()), ("bits", pa.float64())])
+def answers(items: DataFrame, values: DataFrame, salts: int) -> DataFrame:
+    """(block, kind, part, data): the values (kind, part, codes, data) of each block's items, in the order of its codes."""
+    known = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("tag", F.lit(0))
+    asked = items.select("kind", "part", "block", "codes", salt_of(salts), F.lit(1).alias("tag"))
+    keys = ["kind", "part", "salt"]
+    lines = known.unionByName(asked, allowMissingColumns=True).repartition(*keys).sortWithinPartitions(*keys, "tag")
+    out = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("data", pa.binary())])
 
     def run(batches):
-        gram_values, word_values = to.value
+        code = value = np.zeros(0)
+        for kind, part, tag, block, codes, data in rows(batches, "kind", "part", "tag", "block", "codes", "data", step=64):
+            if tag == 0:
+                code, value = unsqueeze_codes(codes), unsqueeze(data, np.float32 if kind == GRAM else np.int64)
+            else:
+                yield batch_of(out, [[block], [kind], [part], [squeeze(value[np.searchsorted(code, unsqueeze_codes(codes))])]])
+
+    return lines.mapInArrow(run, "block bigint, kind int, part int, data binary")
 
-        def flush(held, parts, owners):
-            value, _ = gram_values(grams(parts, depth))
-            lengths = np.array([len(p) - depth for p in parts])
-            sums = np.add.reduceat(value.astype(np.float64), np.cumsum(lengths) - lengths)
-            return np.bincount(owners, weights=sums, minlength=len(held))
 
-        held, parts, owners, size = [], [], [], 0
+def score_blocks(texts: DataFrame, answered: DataFrame, depth: int, parts: int) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, words, bits): each block's answers stand before its texts, which are scored with them."""
+    id_type = texts.schema["ids"].dataType.elementType.simpleString()
+    lines = answered.withColumn("tag", F.lit(0)).unionByName(texts.withColumn("tag", F.lit(1)), allowMissingColumns=True)
+    lines = lines.repartition("block").sortWithinPartitions("block", "tag", "kind", "part")
+    out = pa.schema([pa.field("doc_id", arrow_schema(texts.select("ids")).field(0).type.value_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("words", pa.float64()), ("bits", pa.float64())])
+
+    def run(batches):
+        import zstandard
+
+        unpacker = zstandard.ZstdDecompressor()
+        for _, lines in groupby(rows(batches, "block", "tag", "kind", "data", "ids", "held", "lengths", step=16), key=itemgetter(0)):
+            data: dict[int, list[np.ndarray]] = {GRAM: [np.zeros(0, dtype=np.float32)], WORD: [np.zeros(0, dtype=np.int64)]}
+            chunks = []
+            for _, tag, kind, own, ids, held, lengths in lines:
+                if tag == 0:
+                    data[kind].append(unsqueeze(own, np.float32 if kind == GRAM else np.int64))
+                else:
+                    chunks.append((own, ids, held, lengths))
+
+            def texts():
+                for own, ids, held, lengths in chunks:  # noqa: B023
+                    whole, at = unpacker.decompress(own), 0
+                    for doc_id, is_held, length in zip(ids, held, lengths, strict=True):
+                        yield doc_id, is_held, whole[at : at + length]
+                        at += length
+
+            items = Items(depth)
+            for _, _, text in texts():
+                items.add(False, text)
+            found = items.by_part(parts)
+            del items
+            lookups = {}
+            for kind, type_ in ((GRAM, np.float32), (WORD, np.float64)):
+                value = np.concatenate(data.pop(kind))
+                code = found.pop(kind)[0]
+                if len(code) != len(value):
+                    raise ValueError("a block's answers don't belong to its texts")
+                lookups[kind] = Lookup(len(code), type_).fill(code, value if kind == GRAM else np.log10(value + 1.0))
+            yield from scored(texts(), lookups[GRAM], lookups[WORD])
+
+    def scored(texts, gram_value, word_value):
+        held, parts_, owners, size = [], [], [], 0
 
         def finish():
-            bits = flush(held, parts, owners)
-            columns = list(map(list, zip(*held, strict=True)))
-            return batch_of(out, [*columns, bits.tolist()])
+            value, _ = gram_value(grams(parts_, depth))
+            lengths = np.array([len(p) - depth for p in parts_])
+            sums = np.add.reduceat(value.astype(np.float64), np.cumsum(lengths) - lengths)
+            bits = np.bincount(owners, weights=sums, minlength=len(held))
+            return batch_of(out, [*map(list, zip(*held, strict=True)), bits.tolist()])
 
-        for doc_id, is_held, text in rows(batches, "doc_id", "held_out", "text"):
+        for doc_id, is_held, text in texts:
             codes = word_codes(text)
-            value, found = word_values(codes)
-            row = (doc_id, is_held, len(codes), int(found.sum()), float(value.sum()))
+            value, _ = word_value(codes)
+            row = (doc_id, is_held, len(codes), int((value > 0).sum()), float(value.sum()))
             own = list(pieces(text, depth))
             if len(own) > 1:  # a long text by itself, piece by piece
                 if held:
                     yield finish()
-                    held, parts, owners, size = [], [], [], 0
-                bits = sum(float(gram_values(grams([p], depth))[0].astype(np.float64).sum()) for p in own)
+                    held, parts_, owners, size = [], [], [], 0
+                bits = sum(float(gram_value(grams([p], depth))[0].astype(np.float64).sum()) for p in own)
                 yield batch_of(out, [[c] for c in (*row, bits)])
                 continue
             owners.append(len(held))
             held.append(row)
-            parts += own
+            parts_ += own
             size += len(own[0])
             if size >= BLOCK:
                 yield finish()
-                held, parts, owners, size = [], [], [], 0
+                held, parts_, owners, size = [], [], [], 0
         if held:
             yield finish()
 
-    return texts.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, words double, bits double")
-
-
-class Sorted:
-    """Lookup in sorted arrays, for the items of one block."""
-
-    def __init__(self, codes: list[np.ndarray], values: list[np.ndarray]):
-        code = np.concatenate([np.zeros(0, dtype=np.int64), *codes])
-        self.codes, first = np.unique(code, return_index=True)
-        self.values = np.concatenate([np.zeros(0), *values])[first]
-
-    def __call__(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.codes):
-            return np.zeros(len(codes)), np.zeros(len(codes), dtype=bool)
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        found = self.codes[at] == codes
-        return np.where(found, self.values[at], 0.0), found
-
-
-def _score_joined(texts: DataFrame, gram_values: DataFrame, word_values: DataFrame, depth: int) -> DataFrame:
-    """The same without a broadcast: the distinct items of each block of texts are joined with their values, and each
-    block's values stand before its texts where it is scored. Blocks are of bounded size, so no key is hot."""
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-    id_field = arrow_schema(texts.select("doc_id")).field(0)
-    blocked = pa.schema([("block", pa.int64()), id_field, ("held_out", pa.bool_()), ("text", pa.binary())])
-
-    def number(batches):
-        block, size = partition_number() << 32, 0
-        for batch in batches:
-            held: list[list] = [[], [], [], []]
-            for doc_id, is_held, text in rows([batch], "doc_id", "held_out", "text"):
-                for column, value in zip(held, (block, doc_id, is_held, text), strict=True):
-                    column.append(value)
-                size += len(text or b"") + 1
-                if size >= TOGETHER:
-                    block, size = block + 1, 0
-            yield batch_of(blocked, held)
-
-    blocks = stored(texts.mapInArrow(number, f"block bigint, doc_id {id_type}, held_out boolean, text binary"))
-    items = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("code", pa.int64())])
-
-    def wanted(batches):
-        for block, own in groupby(rows(batches, "block", "text"), key=itemgetter(0)):
-            parts, codes = [], []
-            for _, text in own:
-                parts += pieces(text, depth)
-                codes.append(word_codes(text))
-            for kind, found in ((GRAM, [grams(parts, depth)]), (WORD, codes)):
-                code, _ = _counted(found)
-                yield batch_of(items, [pa.array(np.full(len(code), block)), pa.array(np.full(len(code), kind, dtype=np.int32)), pa.array(code)])
-
-    values = gram_values.select(F.lit(GRAM).alias("kind"), "code", F.col("value").cast("double").alias("value")).unionByName(word_values.select(F.lit(WORD).alias("kind"), "code", "value"))
-    known = blocks.mapInArrow(wanted, "block bigint, kind int, code bigint").join(values, ["kind", "code"]).select("block", F.lit(0).alias("tag"), "kind", "code", "value")
-    lines = known.unionByName(blocks.withColumn("tag", F.lit(1)), allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "tag")
-    out = pa.schema([id_field, ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("words", pa.float64()), ("bits", pa.float64())])
+    return lines.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, words double, bits double")
 
-    def run(batches):
-        now, held, tables = None, {}, None
-        for batch in batches:
-            block, tag = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("block", "tag"))
-            cuts = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (tag[1:] != tag[:-1])])) if len(block) else []
-            for a, b in zip(cuts, [*cuts[1:], len(block)], strict=True):
-                part = batch.slice(a, b - a)
-                if block[a] != now:
-                    now, held, tables = block[a], {GRAM: ([], []), WORD: ([], [])}, None
-                if tag[a] == 0:
-                    kind, code, value = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("kind", "code", "value"))
-                    for k, (codes, found) in held.items():
-                        codes.append(code[kind == k])
-                        found.append(value[kind == k])
-                    continue
-                if tables is None:
-                    tables = {k: Sorted(*x) for k, x in held.items()}
-                scored = []
-                for doc_id, is_held, text in rows([part], "doc_id", "held_out", "text"):
-                    value, found = tables[WORD](word_codes(text))
-                    bits = sum(float(tables[GRAM](grams([p], depth))[0].sum()) for p in pieces(text, depth))
-                    scored.append((doc_id, is_held, len(value), int(found.sum()), float(value.sum()), bits))
-                yield batch_of(out, list(map(list, zip(*scored, strict=True))))
 
-    return lines.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, words double, bits double")
+def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, parts: int = PARTS, block_bytes: int = BLOCK_BYTES, together: int = TOGETHER) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
+    held = held_out() if held is None else held
+    items, texts = blocks(docs.select("doc_id", held.alias("held_out"), "text"), depth, parts, block_bytes)
+    salts = max(1, math.ceil(items.select("block").distinct().count() / together))
+    counted = merge_parts(items, salts)
+
+    def totals(batches):
+        for (n,) in rows(batches, "n", step=16):
+            own = unsqueeze(n, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([int(own.sum())]), pa.array([int((own > 0).sum())])], names=["n", "v"])
+
+    words = counted.where(f"kind = {WORD}")
+    sums = words.mapInArrow(totals, "n bigint, v bigint").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    n_train, v_train = int(sums["n"] or 0), int(sums["v"] or 0)
+    values = gram_values(counted.where(f"kind = {GRAM}"), depth).select(F.lit(GRAM).alias("kind"), "part", "codes", "data")
+    values = stored(values.unionByName(words.select("kind", "part", "codes", F.col("n").alias("data"))))
+    scored = score_blocks(texts, answers(items, values, salts), depth, parts)
+    scale = math.log10(n_train + v_train + 1)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), (F.col("words") - F.col("n_tokens") * scale).alias("base_score"), (F.col("bits") * math.log10(2)).alias("score"))
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
