@@ -51,9 +51,9 @@ def test_query_columns(spark, rows):
 def test_ledger_scans_only_what_it_lacks(spark, docs, no_docs, rows, tmp_path):
     ledger = f"file://{tmp_path}/ledger"
     texts = {t or "" for _, t in rows}
-    first = S.update_ledger(docs, ledger, S.BASE)
-    assert first.select("blob").distinct().count() == len(texts)
+    first = S.update_ledger(docs.repartition(16), ledger, S.BASE)
     n = first.count()
+    assert first.select("blob").distinct().count() == n == len(texts)  # one row for each blob, over all tasks
     assert S.update_ledger(docs, ledger, S.BASE).count() == n
     more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(9000, "password = hunter22")], "doc_id bigint, text string"))
     assert S.update_ledger(more, ledger, S.BASE).count() == n + 1
@@ -135,3 +135,25 @@ def test_logins_of_any_length():
     for user, word in (("oauth2", "x" * 200), ("u" * 300, "abc"), ("é" * 65, "~" * 129), ("me", "pw1")):
         text = f"clone https://{user}:{word}@host/path now"
         assert [(k, text[a:b]) for _, k, a, b in S.find(text, [r for r in S.RULES if r.kind == "login"])] == [("login", f"https://{user}:{word}@")]
+
+
+def test_hot_blobs_are_scanned_once(spark, tmp_path, monkeypatch):
+    """Copies over many partitions, with the lists of blobs broadcast and, as beyond the bound, joined."""
+    rows = [(i, "password = hunter22" if i % 3 else f"text {i % 90}") for i in range(600)] + [(i, None) for i in range(600, 700)] + [(None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(16)
+    texts = {t or "" for _, t in rows}
+    for bound in (S.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(S, "BROADCAST_BYTES", bound)
+        ledger = f"file://{tmp_path}/ledger{bound}"
+        assert S.update_ledger(docs, ledger, S.BASE).count() == len(texts)
+        more = docs.unionByName(spark.createDataFrame([(i, f"new {i % 5}") for i in range(1000, 1020)], "doc_id bigint, text string")).repartition(16)
+        assert S.update_ledger(more, ledger, S.BASE).count() == len(texts) + 5
+        twice = S.update_ledger(more, ledger, S.RULES)
+        assert twice.count() == 2 * (len(texts) + 5)
+        pairs = twice.select("blob", S.F.explode("rules").alias("rule"))
+        assert pairs.count() == pairs.distinct().count() == (len(texts) + 5) * len(S.RULES)
+
+
+def test_second_scan_equals_sql(spark, duck, data):
+    cursor = duck.execute(S.SECOND_SCAN_SQL)
+    same_rows(S.secrets_second_scan(spark, data), cursor.fetchall(), [d[0] for d in cursor.description])

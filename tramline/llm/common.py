@@ -38,8 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tramline-checkpoints"
+    """A new folder below ``spark.checkpoint.dir``; a local one only where that is unset and the master is local, as in tests."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = "/tmp/tramline-checkpoints"
     return f"{top.rstrip('/')}/tramline-{uuid.uuid4().hex}"
 
 

@@ -15,10 +15,12 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_lm_score": scoring.op9_lm_score,
     "op10_licenses": licenses.op10_licenses,
+    "secrets_second_scan": secrets.secrets_second_scan,
 }
 
 SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
     "op7_secrets": secrets.ORACLE_SQL,
+    "secrets_second_scan": secrets.SECOND_SCAN_SQL,
 }

@@ -7,8 +7,17 @@ the ledger lacks, appends its findings, and joins all findings back to every
 path that holds the blob: a second scan of the same versions reads no text of a
 blob twice, and a new rule version scans old blobs with that rule alone.
 
-Null texts count as empty. Equal texts share a blob. Spans are in code points,
-end exclusive. An empty table gives no rows and an empty ledger.
+What is new is found among digests alone; then only the texts that are needed
+are fetched. A blob that stands on one path is scanned where it lies; of one
+that stands on several, one copy is brought to the scan. So a pair of blob and rule
+version is scanned and stored once, whatever the partitioning.
+
+Null texts count as empty. Equal texts share a blob; rows with equal ids are
+looked up one by one. Spans are in code points, end exclusive; of spans with one
+start, the kinds stand in the order of the rules. Texts of any length are
+scanned whole. Columns besides doc_id and text are not read by a scan, and
+``redact`` hands them on as they are; its own names begin with ``_tl_``. An
+empty table gives no rows and an empty ledger.
 """
 
 from __future__ import annotations
@@ -22,7 +31,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Buffer, rows, shared_dir, small, spread_join, stored, table
+from tramline.llm.common import BROADCAST_BYTES, Buffer, rows, shared_dir, spread_join, stored, table
 
 
 class Rule(NamedTuple):
@@ -101,29 +110,47 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
         raise
 
 
-def update_ledger(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scans the pairs of blob and rule version that the ledger lacks, appends them, returns the ledger."""
-    spark = docs.sparkSession
+def joined(left: DataFrame, right: DataFrame, how: str, row_bytes: int, key: str = "blob") -> DataFrame:
+    """left join right on the blob, of which right has one row: broadcast if that is small, else with hot blobs dealt out."""
+    rows_right = right.count()
+    if rows_right * row_bytes <= BROADCAST_BYTES:
+        return left.join(F.broadcast(right), key, how)
+    return spread_join(left, right, key, how)
+
+
+def unscanned(docs: DataFrame, digests: DataFrame, before: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, text, missing): one row for each blob that lacks some of the rules."""
     names = F.array(*(F.lit(r.name) for r in rules))
     blobs = docs.select(blob_of().alias("blob"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    before = read_ledger(spark, ledger)
-    if before is None:
-        blobs = blobs.withColumn("missing", names)
-    else:
-        seen = before.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-        blobs = blobs.join(small(seen, 400), "blob", "left").withColumn("missing", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))))
-        blobs = blobs.where(F.size("missing") > 0).select("blob", "text", "missing")
+    each = digests.groupBy("blob").agg(F.count("*").alias("n"))
+    if before is None:  # all are new: only what stands on several paths has to meet
+        several = stored(each.where("n > 1").select("blob"))
+        alone = joined(blobs, several, "left_anti", 100)
+        copies = joined(blobs, several, "inner", 100)
+        return alone.unionByName(copies.dropDuplicates(["blob"])).withColumn("missing", names)
+    seen = before.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+    todo = each.join(seen, "blob", "left").withColumn("missing", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))))
+    todo = stored(todo.where(F.size("missing") > 0).select("blob", "n", "missing"))
+    fetched = joined(blobs, todo, "inner", 400)
+    columns = ["blob", "text", "missing"]
+    return fetched.where("n = 1").select(*columns).unionByName(fetched.where("n > 1").select(*columns).dropDuplicates(["blob"]))
+
+
+def update_ledger(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, digests: DataFrame | None = None) -> DataFrame:
+    """Scans the pairs of blob and rule version that the ledger lacks, appends them, returns the ledger.
+
+    ``digests`` are the blobs of docs, one row for each of its rows, where they are known.
+    """
+    spark = docs.sparkSession
+    digests = stored(docs.select(blob_of().alias("blob"))) if digests is None else digests
+    blobs = unscanned(docs, digests.select("blob"), read_ledger(spark, ledger), rules)
     by_name = {r.name: r for r in rules}
     out = pa.schema([("blob", pa.string()), ("rules", pa.list_(pa.string())), ("findings", pa.list_(pa.struct([("rule", pa.string()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))])
 
     def scan(batches):
         compiled = {r.name: _compiled(r) for r in rules}
-        done: set[bytes] = set()  # a task scans a blob once, however many paths hold it
         buffer = Buffer(out)
         for blob, text, missing in rows(batches, "blob", "text", "missing"):
-            if blob in done:
-                continue
-            done.add(blob)
             found = find(text.decode(), [by_name[n] for n in missing], compiled)
             buffer.add(blob.decode(), missing, [{"rule": r, "kind": k, "start": s, "end": e} for r, k, s, e in found])
             if buffer.full:
@@ -146,9 +173,10 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def scan_paths(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, blob, spans) for every row of docs; spans is empty where nothing is found."""
     spark = docs.sparkSession
-    found = findings(update_ledger(docs, ledger or f"{shared_dir(spark)}/ledger", rules), rules)
+    paths = stored(docs.select("doc_id", blob_of().alias("blob")))
+    found = findings(update_ledger(docs, ledger or f"{shared_dir(spark)}/ledger", rules, paths), rules)
     none = F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")
-    return spread_join(stored(docs.select("doc_id", blob_of().alias("blob"))), found, "blob").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
+    return spread_join(paths, found, "blob").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
@@ -171,10 +199,9 @@ def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] =
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    joined = docs.withColumn("_tl_blob", blob_of()).join(small(found, 600), "_tl_blob", "left")
-    clean = joined.where("_tl_spans IS NULL").select(*docs.columns)
-    dirty = joined.where("_tl_spans IS NOT NULL").withColumn("text", cut("text", "_tl_spans"))
-    return clean.unionByName(dirty.select(*docs.columns))
+    known = joined(docs.withColumn("_tl_blob", blob_of()), stored(found), "left", 600, "_tl_blob")
+    dirty = F.when(F.col("_tl_spans").isNotNull(), F.col("text"))  # no other text goes to Python
+    return known.withColumn("text", F.coalesce(cut(dirty, "_tl_spans"), "text")).select(*docs.columns)
 
 
 def digest(kinds: list[str] | None = None) -> Column:
@@ -190,6 +217,28 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(digest([r.kind for r in BASE]), 256).alias("base_sha256"), digest().alias("spans"))
 
 
+def secrets_second_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scans with one ledger, the second of documents of which some have changed: for each, its paths, blobs and pairs of blob and rule scanned."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    ledger, before, out = f"{shared_dir(spark)}/ledger", 0, []
+    for scan, own in ((1, docs), (2, docs.withColumn("text", F.when(F.col("lang") == "en", F.concat("text", F.lit(" token = second-scan"))).otherwise(F.col("text"))))):
+        paths = stored(own.select("doc_id", blob_of().alias("blob")))
+        pairs = update_ledger(own, ledger, RULES, paths).agg(F.sum(F.size("rules")).alias("n")).first()["n"] or 0
+        counts = paths.agg(F.count("*").alias("n_paths"), F.countDistinct("blob").alias("n_blobs"))
+        out.append(counts.select(F.lit(scan).cast("bigint").alias("scan"), "n_paths", "n_blobs", F.lit(pairs - before).cast("bigint").alias("n_scanned")))
+        before = pairs
+    return out[0].unionByName(out[1])
+
+
+SECOND_SCAN_SQL = f"""
+WITH d AS (
+  SELECT 1 AS scan, coalesce(text, '') AS t FROM documents UNION ALL
+  SELECT 2, coalesce(CASE WHEN lang = 'en' THEN text || ' token = second-scan' ELSE text END, '') FROM documents),
+f AS (SELECT t, min(scan) AS scan FROM d GROUP BY t)
+SELECT CAST(scan AS BIGINT) AS scan, count(*) AS n_paths, count(DISTINCT t) AS n_blobs, (SELECT count(*) FROM f WHERE f.scan = d.scan) * {len(RULES)} AS n_scanned FROM d GROUP BY scan
+"""
+
+
 def _kind_sql(place: int, rule: Rule) -> str:
     """Matches of one rule in SQL: a match starts where the pieces and matches before it end."""
     pattern = _compiled(rule).pattern.replace("'", "''")
