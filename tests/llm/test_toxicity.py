@@ -77,3 +77,48 @@ def test_awkward_rows(spark, docs, no_docs):
         assert out.columns == [*docs.columns, "_tl_score"]
         assert out.count() == docs.count() and out.where("_tl_score IS NULL OR _tl_score < 0 OR _tl_score > 1").count() == 0
     assert T.score_toxicity(no_docs, no_docs, none).count() == 0
+
+
+def plain_score(text, lexicon, fit):
+    """Probability and toxic passages of a text, from segments by their definition."""
+    import math
+
+    own = T.words(text.encode() if text else None)
+    score = lambda w: lexicon.words.get(w) or (lexicon.prefixes.get(w.decode()[: T.PREFIX].encode()) if len(w.decode()) > T.PREFIX else None) or lexicon.rest
+    found = brute([score(w) for w in own])
+    if not found:
+        return fit.none, []
+    each = [lexicon.decay * s - math.log(fit.k * len(own)) for _, _, s in found]
+    best = max(each)
+    t = best + sum(max(0.0, x) for x in each) - max(0.0, best)
+    least = -math.log(-math.log1p(-T.SIGNIFICANT))
+    return 1 / (1 + math.exp(-(fit.intercept + fit.slope * t))), [(a, b) for (a, b, _), x in zip(found, each, strict=True) if x >= least]
+
+
+def test_scores_and_passages_equal_a_plain_version(spark):
+    rows = corpus(260)
+    rows += [(900, None, 0), (901, "", 0), (902, "vile vile scummy", 1), (903, "vile", 0), (903, "vile scummy nasty " * 4 + "w1 " * 40 + "nasty " * 14, 1)]
+    docs = spark.createDataFrame([(*r[:2], "x") for r in rows], "doc_id bigint, text string, score string")
+    labels = spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id bigint, quality int, toxic int")
+    training = T.training_rows(docs, labels)
+    lexicon = T.fit_lexicon(training)
+    fit = T.calibrate(training, lexicon)
+    out = T.score_toxicity(docs, docs, labels, segment_column="found").collect()
+    assert len(out) == len(rows) and any(r["found"] for r in out)
+    for r in out:
+        score, passages = plain_score(r["text"], lexicon, fit)
+        assert abs(r["_tl_score"] - score) < 1e-9 and [(s["first"], s["last"]) for s in r["found"]] == passages
+
+
+def test_query(spark, data):
+    out = T.op4_toxicity(spark, data)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted", "passages"]
+    found = out.join(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text"), "doc_id").collect()
+    for r in found:
+        for span in filter(None, r["passages"].split(",")):
+            first, last = map(int, span.split(":"))
+            assert 0 <= first <= last < len(T.words(r["text"].encode()))
+
+
+def test_beginnings_are_characters():
+    assert [T.beginning(w.encode()) for w in ("abcd", "abcde", "ééé", "éééé", "ééééé")] == [None, b"abcd", None, None, "éééé".encode()]

@@ -1,12 +1,16 @@
 """Toxic passages as maximum-scoring segments (operator 4).
 
-Each word, and each beginning of four bytes of a longer word, gets its log-odds
-between toxic and clean training texts under an informative Dirichlet prior in
-proportion to its overall frequency. Those whose z-score stays significant
-after a Bonferroni correction over all of them are counted again, now once for
-each pair of neighbouring words, so that copies of one text say a thing once;
-those that are still significant make the lexicon, and every other word gets
-the small negative score that its share in toxic and clean text implies. A linear scan finds all maximal segments of a text. Their scores are
+Each word, and each beginning of PREFIX characters of a longer word, gets its
+log-odds between toxic and clean training texts under an informative Dirichlet
+prior in proportion to its overall frequency. Those whose z-score stays
+significant after a Bonferroni correction over all of them are counted again,
+now once for each pair of neighbouring words, so that copies of one text say a
+thing once; those that are still significant make the lexicon. A word that
+training never showed, an inflected form say, has the score of its beginning if
+that is in the lexicon; every other word gets the small negative score that its
+share in toxic and clean text implies. The lexicon is a table of the model and
+as such bounded: at most LEXICON words and beginnings, the most significant
+ones. A linear scan finds all maximal segments of a text. Their scores are
 calibrated by extreme-value theory: lambda is the root of the clean words'
 moment equation, K the maximum-likelihood estimate from the clean training
 texts (those without a segment are censored), and a text of n words has the statistic
@@ -14,13 +18,19 @@ texts (those without a segment are censored), and a text of n words has the stat
     T = lambda S1 - ln(K n) + sum over further segments of max(0, lambda Si - ln(K n)).
 
 A logistic curve fitted on a histogram of T over the training rows makes it a
-probability; texts without a segment get the share of toxic ones among such.
+probability; texts without a segment get the share of toxic ones among such. A
+segment is a toxic passage if a clean text as long as its own would hold one
+that scores as high with a chance of at most SIGNIFICANT.
 
 Labels are learned only from rows that are not held out; score inputs are words
 alone. Null and empty texts have no segment. Rows with equal texts get equal
-scores. Without toxic training rows the lexicon is empty and every score is the
-(smoothed) share of toxic rows. Labels that repeat for an id count as toxic if
-one says so; null labels are no labels.
+scores; of words that tie for a place in the lexicon the least enters. Without
+toxic training rows the lexicon is empty and every score is the (smoothed) share
+of toxic rows, one quarter if there are no training rows at all. Labels that
+repeat for an id count as toxic if one says so; null labels are no labels. Texts
+of any length are read whole. Other columns are handed on; those that the
+operator adds are named by its caller or begin with ``_tl_``. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -44,7 +54,12 @@ PRIOR, SCORE_PRIOR = 0.2, 0.01
 LEAST_SCORE = 1.0
 #: Chance that any word of none at all enters the lexicon.
 ALPHA = 0.01
+#: Characters of a word's beginning.
 PREFIX = 4
+#: Words and beginnings of the lexicon at most, a bound of the model's size.
+LEXICON = 200_000
+#: Chance at which a clean text holds a segment as high as a toxic passage.
+SIGNIFICANT = 0.01
 
 
 class Lexicon(NamedTuple):
@@ -54,6 +69,16 @@ class Lexicon(NamedTuple):
     decay: float  # lambda
 
 
+def beginning(word: bytes) -> bytes | None:
+    """The first PREFIX characters of a longer word."""
+    if len(word) <= PREFIX:
+        return None
+    if word.isascii():
+        return word[:PREFIX]
+    text = word.decode()
+    return text[:PREFIX].encode() if len(text) > PREFIX else None
+
+
 class Calibration(NamedTuple):
     k: float
     none: float  # probability without a segment
@@ -91,7 +116,7 @@ def counts(training: DataFrame) -> DataFrame:
             to = seen[toxic]
             to[b""] += len(own)
             to.update([b"w" + w for w in own])
-            to.update([b"p" + w[:PREFIX] for w in own if len(w) > PREFIX])
+            to.update([b"p" + p for w in own if (p := beginning(w))])
             if len(seen[0]) + len(seen[1]) > 400_000:
                 yield from flush()
         yield from flush()
@@ -117,7 +142,7 @@ def contexts(training: DataFrame, wanted: frozenset[bytes]) -> DataFrame:
         for text, toxic in rows(batches, "text", "toxic"):
             own = words(text)
             for i, w in enumerate(own):
-                for feature in (b"w" + w, b"p" + w[:PREFIX]) if len(w) > PREFIX else (b"w" + w,):
+                for feature in (b"w" + w, b"p" + (beginning(w) or b"")):
                     if feature in to.value:
                         near = (own[i - 1] if i else b"") + b" " + (own[i + 1] if i + 1 < len(own) else b"")
                         seen.add((feature, toxic, xxhash.xxh3_64_intdigest(near) >> 1))
@@ -145,7 +170,7 @@ def _scored(counted: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
 
 
 def fit_lexicon(training: DataFrame) -> Lexicon:
-    """Significant features only reach the driver."""
+    """Significant features only reach the driver, LEXICON at most."""
     every = stored(counts(training))
     total = every.where("feature = X''").first()
     n_toxic, n_clean = (total["toxic"], total["clean"]) if total else (0, 0)
@@ -153,10 +178,10 @@ def fit_lexicon(training: DataFrame) -> Lexicon:
         return Lexicon({}, {}, -1e-3, 1.0)
     least = _normal_quantile(ALPHA / max(1, every.count()))
     strong = lambda counted: _scored(counted, n_toxic, n_clean).where((F.col("z") >= least) & (F.col("score") >= LEAST_SCORE))
-    wanted = frozenset(bytes(r["feature"]) for r in strong(every.where("feature <> X'' AND toxic > 0")).select("feature").collect())
-    kept = strong(contexts(training, wanted)).collect() if wanted else []
-    by_word = {bytes(r["feature"])[1:]: r for r in kept if bytes(r["feature"])[:1] == b"w"}
-    by_prefix = {bytes(r["feature"])[1:]: r for r in kept if bytes(r["feature"])[:1] == b"p"}
+    most = strong(every.where("feature <> X'' AND toxic > 0")).orderBy(F.desc("z"), "feature").limit(LEXICON)
+    wanted = frozenset(bytes(r["feature"]) for r in most.select("feature").collect())
+    kept = {bytes(r["feature"]): r for r in strong(contexts(training, wanted)).collect()} if wanted else {}
+    by_word, by_prefix = ({f[1:]: r for f, r in kept.items() if f[:1] == kind} for kind in (b"w", b"p"))
     clean = sum(r["in_clean"] for r in by_word.values())
     toxic = sum(r["in_toxic"] for r in by_word.values())
     rest = min(-1e-3, math.log(max(1e-9, 1 - min(toxic, 0.9)) / max(1e-9, 1 - clean)))
@@ -211,11 +236,16 @@ def maximal_segments(hits: list[tuple[int, float]], rest: float) -> list[tuple[i
     return [(a, b, after - before) for a, b, before, after in held]
 
 
+def word_score(word: bytes, lexicon: Lexicon) -> float | None:
+    """The score of a word of the lexicon, or of its beginning."""
+    own = lexicon.words.get(word)
+    return own if own is not None or not lexicon.prefixes else lexicon.prefixes.get(beginning(word))
+
+
 def segments(text: bytes | None, lexicon: Lexicon) -> tuple[int, list[tuple[int, int, float]]]:
     """Words of a text and its maximal segments."""
     own = words(text)
-    whole, begins = lexicon.words, lexicon.prefixes
-    hits = [(i, s) for i, w in enumerate(own) if (s := whole.get(w) or begins.get(w[:PREFIX])) and (len(w) > PREFIX or w in whole)]
+    hits = [(i, s) for i, w in enumerate(own) if (s := word_score(w, lexicon))]
     return len(own), maximal_segments(hits, lexicon.rest)
 
 
@@ -278,17 +308,29 @@ def probability(found: Column, lexicon: Lexicon, fit: Calibration) -> Column:
     return F.when(F.size(found["score"]) == 0, F.lit(fit.none)).otherwise(curve)
 
 
-def score_toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, folds: int = 5, column: str = "_tl_score") -> DataFrame:
-    """docs with a probability of being toxic; the model is learned from ``labelled`` and ``labels``."""
+def passages(found: Column, lexicon: Lexicon, fit: Calibration, chance: float = SIGNIFICANT) -> Column:
+    """The segments (first and last word, score) that a clean text of that length holds with at most this chance."""
+    least = -math.log(-math.log1p(-chance))  # the number of such segments is about Poisson with mean exp(-t)
+    floor = F.log(F.lit(fit.k) * found["n"])
+    return F.filter(F.arrays_zip(found["first"], found["last"], found["score"]), lambda s: s["score"] * lexicon.decay - floor >= least)
+
+
+def score_toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, folds: int = 5, column: str = "_tl_score", segment_column: str | None = None) -> DataFrame:
+    """docs with a probability of being toxic, and with their toxic passages if a column is named for them; the model is learned from ``labelled`` and ``labels``."""
     training = training_rows(labelled, labels, folds)
     lexicon = fit_lexicon(training)
     fit = calibrate(training, lexicon)
     found = with_segments(docs, lexicon)
-    return found.withColumn(column, probability(F.col("_tl_found"), lexicon, fit)).drop("_tl_found")
+    made = {column: probability(F.col("_tl_found"), lexicon, fit)}
+    if segment_column:
+        made[segment_column] = passages(F.col("_tl_found"), lexicon, fit)
+    return found.withColumns(made).drop("_tl_found")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every whole document."""
+    """Toxicity of every whole document, and its toxic passages as first:last words, comma-joined."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
-    out = score_toxicity(docs, docs, labels)
-    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("_tl_score").alias("score"), (F.col("_tl_score") >= 0.5).cast("int").alias("predicted"))
+    out = score_toxicity(docs, docs, labels, segment_column="_tl_passages")
+    spans = F.concat_ws(",", F.transform("_tl_passages", lambda s: F.concat_ws(":", s["first"].cast("string"), s["last"].cast("string"))))
+    score = F.col("_tl_score")
+    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), spans.alias("passages"))
