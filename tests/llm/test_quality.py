@@ -24,7 +24,7 @@ def counts(text):
 
 
 def test_counts(spark, docs, rows):
-    extra = [(900, "a b c d e f g h " * 5), (901, "x\n\nx\n \ny\nx"), (902, "### $$$ | <a>\t\x0b\x0c\r\n!!"), (903, " \x0b"), (904, "  nbsp is a character")]
+    extra = [(900, "a b c d e f g h " * 5), (901, "x\n\nx\n \ny\nx"), (902, "### $$$ | <a>\t\x0b\x0c\r\n!!"), (903, " \x0b"), (904, "  nbsp is a character"), (905, "f\nf\n\x0c\n\x0c\n f \n\x0b\x0c\x0b")]
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id bigint, text string"))
     out = Q.count_features(df).collect()
     mine = sorted(((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in out), key=repr)
@@ -59,3 +59,15 @@ def test_empty_and_unlabelled(spark, docs, no_docs):
     assert Q.judge(no_docs, none).count() == 0
     out = Q.judge(docs, none)
     assert out.count() == docs.count() and out.where("kept = base_failed").count() == 0
+
+
+def test_a_trial_is_a_distinct_text(spark):
+    """Copies don't make a stratum testable, and every language has its own bound."""
+    rows = [(i, f"text {i} " + "word other more and so on it goes from here to the end of a line that is long enough " * 1, f"l{i % 20}", 1) for i in range(20 * 50)]
+    rows += [(5000 + i, "the same good text over and over again with words that pass the base of twenty words in a row so it counts", "copied", 1) for i in range(900)]
+    rows += [(9000, "a poor copy", "copied", 0)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3], 0) for r in rows], "doc_id bigint, quality int, toxic int")
+    tried = Q.trials(Q.count_features(docs).join(labels, "doc_id").drop("toxic"))
+    assert tried.where("stratum = 'copied'").count() == 1 and tried.count() == 1001
+    assert Q.testable(tried) == 0 and Q.testable(tried, risk=0.9) == 20 + (math.log(1 - 0.9 / 5) <= math.log(0.05 / 5 / 21))

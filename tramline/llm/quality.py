@@ -9,28 +9,37 @@ stops at the first that can't be refuted. So within a rule no correction is
 needed for the number of cutoffs; across rules and strata the level is divided
 by their number (Bonferroni), and each rule may reject RISK / rules of the good
 rows of a stratum. With confidence 1 - LEVEL no stratum loses more than RISK of
-its good texts. Of the cutoffs that passed, the one that tells good from poor
-rows best is used; a rule without any is off in that stratum.
-
-Null and empty texts have no words and fail the base. Null or rare languages
-share the stratum ``other``. Repeated rows count one by one; labels that repeat
-for an id count as good only if all say so. Without labels only the base
-decides. An empty table gives no rows.
+those of its good texts that pass the base. Of the cutoffs that passed, the one
+that tells good from poor rows best is used; a rule without any is off in that
+stratum.
+
+A trial is a distinct text of a stratum: copies of one text are one trial, good
+only if all of them are. The guarantee is for texts drawn independently as the
+labelled ones were; near copies, which no digest tells, count as trials of their
+own. Every language is a stratum, however many there are; the level is divided
+by the number of those with enough good texts to refute any cutoff, and the
+others, where no test can succeed, have no rules.
+
+Null and empty texts have no words and fail the base. A null language is the
+language ''. Every row is judged, repeated rows alike; of cutoffs that tie the
+loosest is used. Labels that repeat for an id count as good only if all say so.
+Without labels only the base decides. Texts of any length are counted whole. Of
+the columns only doc_id, text and lang are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import small, stored, table
+from tramline.llm.common import small, stored, table, text_key
 
 #: Share of a stratum's good rows that all rules together may reject.
 RISK = 0.05
 #: Chance that this fails in any stratum.
 LEVEL = 0.05
-#: Strata besides ``other``: the languages with the most good labelled rows.
-STRATA = 15
 #: Cutoffs in thousandths, loosest first.
 CUTOFFS = (1000, 900, 800, 700, 600, 500, 400, 350, 300, 250, 200, 160, 130, 100, 80, 60, 50, 40, 30, 20, 15, 10, 5)
 #: Features: a count, and the count that it is taken in thousandths of.
@@ -45,7 +54,7 @@ RULES = {
 DEAR = 20
 
 _WORDS = r"array_remove(split(coalesce(text, ''), '[ \\t-\\r]+'), '')"
-_LINES = r"filter(split(coalesce(text, ''), '\n'), x -> btrim(x, ' \t\u000b\f\r') <> '')"
+_LINES = r"filter(split(coalesce(text, ''), '\n'), x -> btrim(x, ' \t\u000b\u000c\r') <> '')"
 #: Words in windows of eight whose hash stands twice; the fast way out is a text without such.
 _REPEATS = """
   case when size(w) < 9 then 0L else
@@ -63,14 +72,15 @@ _REPEATS = """
 
 
 def count_features(docs: DataFrame) -> DataFrame:
-    """doc_id, lang (null without such a column) and the counts of every text."""
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    """doc_id, stratum (the language, '' without such a column), the text's digest and the counts of every text."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select("doc_id", lang.alias("lang"), text.alias("text"), F.expr(_WORDS).alias("w"), F.expr(_LINES).alias("l"))
+    split = docs.select("doc_id", lang.alias("stratum"), text.alias("text"), F.expr(_WORDS).alias("w"), F.expr(_LINES).alias("l"))
     less = lambda pattern: (F.length("text") - F.length(F.regexp_replace("text", pattern, ""))).cast("long")
     return split.select(
         "doc_id",
-        "lang",
+        "stratum",
+        text_key().alias("digest"),
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         less(r"[#*$%&|<>]").alias("n_symbols"),
@@ -89,22 +99,29 @@ def _feature(rule: str) -> Column:
 
 def binomial_tail(n: Column, k: Column, p: float) -> Column:
     """P(X <= k) for X binomial(n, p), by summing its terms in logarithms."""
-    import math
-
     odds = math.log(p / (1 - p))
     start = F.struct((n * math.log(1 - p)).alias("t"), F.exp(n * math.log(1 - p)).alias("s"))
     step = lambda a, j: F.struct((a["t"] + F.log((n - j + 1) / j) + odds).alias("t"), (a["s"] + F.exp(a["t"] + F.log((n - j + 1) / j) + odds)).alias("s"))
     return F.aggregate(F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>")), start, step, lambda a: a["s"])
 
 
-def strata_of(labelled: DataFrame, most: int = STRATA) -> DataFrame:
-    """The languages that are strata of their own: at most ``most`` rows."""
-    good = labelled.where("quality = 1 AND lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n"))
-    return good.orderBy(F.desc("n"), "lang").limit(most).select("lang", F.col("lang").alias("stratum"))
+def trials(labelled: DataFrame) -> DataFrame:
+    """One row for each distinct text of a stratum that passes the base; good if all its rows are."""
+    counts = [c for c in labelled.columns if c not in ("doc_id", "stratum", "digest", "quality")]
+    each = labelled.where("NOT base_failed").groupBy("stratum", "digest")
+    return each.agg(F.min("quality").alias("quality"), *(F.first(c).alias(c) for c in counts))
+
+
+def testable(tried: DataFrame, risk: float = RISK, level: float = LEVEL) -> int:
+    """How many strata have so many good trials that a cutoff which rejects none of them is refuted."""
+    good = tried.where("quality = 1").groupBy("stratum").agg(F.count("*").alias("n"))  # one row for each language
+    ranked = good.withColumn("i", F.row_number().over(Window.orderBy(F.desc("n"), "stratum")))
+    refuted = F.col("n") * math.log(1 - risk / len(RULES)) <= F.log(F.lit(level / len(RULES)) / F.col("i"))
+    return ranked.where(refuted).count()
 
 
 def choose_cutoffs(labelled: DataFrame, n_strata: int, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """(stratum, rule, cutoff) from rows with stratum, quality (1 good, 0 poor) and the counts; base failures don't count."""
+    """(stratum, rule, cutoff) from trials with stratum, quality (1 good, 0 poor) and the counts; base failures don't count."""
     share = risk / len(RULES)
     loosest = F.array(*(F.lit(c) for c in CUTOFFS))
     features = F.array(*(F.struct(F.lit(r).alias("rule"), _feature(r).alias("value")) for r in RULES))
@@ -129,16 +146,14 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     """doc_id, the counts, base_failed and kept for every row of docs."""
     counted = stored(count_features(docs))
     quality = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("quality"))
-    labelled = counted.join(small(quality, 32), "doc_id")
-    strata = stored(strata_of(labelled))
-    n_strata = strata.count() + 1
-    in_stratum = lambda rows: rows.join(F.broadcast(strata), "lang", "left").withColumn("stratum", F.coalesce("stratum", F.lit("other")))
-    cutoffs = choose_cutoffs(in_stratum(labelled), n_strata, risk, level).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
-    ruled = in_stratum(counted).join(F.broadcast(cutoffs), "stratum", "left")
+    tried = stored(trials(counted.join(small(quality, 32), "doc_id")))
+    cutoffs = choose_cutoffs(tried, max(1, testable(tried, risk, level)), risk, level)
+    cutoffs = stored(cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")))
+    ruled = counted.join(small(cutoffs, 400), "stratum", "left")
     rejected = F.lit(False)
     for rule in RULES:
         rejected = rejected | F.coalesce(_feature(rule) > F.col("cutoffs")[rule], F.lit(False))
-    return ruled.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("lang", "stratum", "cutoffs")
+    return ruled.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("stratum", "digest", "cutoffs")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,12 +164,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SQL_RULES = ", ".join(f"('{rule}', (1000 * {part}) // greatest({whole}, 1))" for rule, (part, whole) in RULES.items())
 ORACLE_SQL = rf"""
-WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents),
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
 s AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
 win AS (SELECT r, i, list_aggregate(w[i:i + 7], 'string_agg', ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM s WHERE len(w) >= 8)),
 rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM win JOIN (SELECT r, g FROM win GROUP BY r, g HAVING count(*) > 1) USING (r, g)) GROUP BY r),
 c AS (
-  SELECT r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  SELECT r, doc_id, stratum, text, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
     CAST(len(l) AS BIGINT) AS n_lines, CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS n_shouts,
@@ -162,9 +177,11 @@ c AS (
   FROM s LEFT JOIN rep USING (r)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
 q AS (SELECT doc_id, CAST(min(quality) > 0 AS INT) AS quality FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
-lab AS (SELECT * FROM f JOIN q USING (doc_id)),
-strata AS (SELECT lang FROM lab WHERE quality = 1 AND lang IS NOT NULL GROUP BY lang ORDER BY count(*) DESC, lang LIMIT {STRATA}),
-v AS (SELECT f.r, CASE WHEN lang IN (FROM strata) THEN lang ELSE 'other' END AS stratum, base_failed, u.rule, u.value FROM f, LATERAL (SELECT * FROM (VALUES {_SQL_RULES}) AS x(rule, value)) AS u),
+lab AS (SELECT min(r) AS r, stratum, min(quality) AS quality FROM f JOIN q USING (doc_id) WHERE NOT base_failed GROUP BY stratum, text),
+strata AS (
+  SELECT greatest(1, count(*)) AS m FROM (SELECT count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, stratum) AS i FROM lab WHERE quality = 1 GROUP BY stratum)
+  WHERE n * ln(1 - {RISK / len(RULES)!r}) <= ln({LEVEL / len(RULES)!r} / i)),
+v AS (SELECT f.r, stratum, base_failed, u.rule, u.value FROM f, LATERAL (SELECT * FROM (VALUES {_SQL_RULES}) AS x(rule, value)) AS u),
 cut(place, cutoff) AS (VALUES {", ".join(f"({i}, {c})" for i, c in enumerate(CUTOFFS))}),
 g AS (
   SELECT stratum, rule, place, cutoff, sum(quality) AS n_good, sum(1 - quality) AS n_poor,
@@ -175,7 +192,7 @@ tails AS (
     (SELECT sum(exp(lgamma(n_good + 1) - lgamma(j + 1) - lgamma(n_good - j + 1) + j * ln({RISK / len(RULES)!r}) + (n_good - j) * ln(1 - {RISK / len(RULES)!r}))) FROM (SELECT unnest(range(0, CAST(k_good AS BIGINT) + 1)) AS j))
     ELSE 1 END AS tail FROM g),
 ok AS (
-  SELECT * FROM (SELECT *, max(CAST(tail > {LEVEL!r} / ((1 + (SELECT count(*) FROM strata)) * {len(RULES)}) AS INT)) OVER (PARTITION BY stratum, rule ORDER BY place) AS failed FROM tails)
+  SELECT * FROM (SELECT *, max(CAST(tail > {LEVEL!r} / ((SELECT m FROM strata) * {len(RULES)}) AS INT)) OVER (PARTITION BY stratum, rule ORDER BY place) AS failed FROM tails)
   WHERE failed = 0 AND k_poor > 0
   QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY round(k_poor / greatest(n_poor, 1) - {DEAR} * k_good / greatest(n_good, 1), 9) DESC, place) = 1),
 rej AS (SELECT r, bool_or(coalesce(value > cutoff, false)) AS rejected FROM v LEFT JOIN (SELECT stratum, rule, cutoff FROM ok) USING (stratum, rule) GROUP BY r)
