@@ -58,6 +58,36 @@ def test_proximity(spark):
     assert out == {1: (0, 1), 2: (1, 1), 3: (0, 0)}
 
 
+def near_scan(text, items, n, slop):
+    own, found = words(text), set()
+    at = {}
+    for i, w in enumerate(own):
+        at.setdefault(w, set()).add(i)
+    for item, body in items:
+        theirs = words(body)
+        if not theirs or item is None:
+            continue
+        k = min(n, len(theirs))
+        for s in range(len(theirs) - k + 1):
+            window = theirs[s : s + k]
+            if all(w in at for w in window) and any(all(any(p + j + d in at[w] for d in range(-slop, slop + 1)) for j, w in enumerate(window)) for p in range(-slop, len(own) + slop)):
+                found.add(item)
+    return found
+
+
+@pytest.mark.parametrize(("block", "slop"), [(1 << 19, 2), (40, 1), (40, 7), (300, 0)])
+def test_proximity_equals_a_scan(spark, block, slop):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 30))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    items = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 9)))) for i in range(40)]
+    out = D.decontaminate(docs, spark.createDataFrame(items, "item_id bigint, text string"), n=6, slop=slop, block_words=block).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert set(r["near_items"]) == near_scan(texts[r["id"]], items, 6, slop)
+        assert set(map(str, r["items"])) == set(scan(texts[r["id"]], items, 6)[2])
+
+
 def test_empty_tables(spark, docs, no_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert D.decontaminate(no_docs, none).count() == 0

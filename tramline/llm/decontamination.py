@@ -6,13 +6,18 @@ term's list grows beyond a block and a hot term makes no hot task. The test
 items are searched in batches of bounded size. For a batch, a semi-join takes
 from the stored index only the postings of its terms; each block is then
 searched on its own: for every window of item words the lists are shifted by
-the term's offset in the window and intersected from the rarest term on, within
-a slop for proximity matches and then without for exact phrases.
+the term's offset in the window and intersected from the rarest term on: without
+slop for exact phrases, and within a slop for proximity matches, which are the
+places from which every word of the window stands at its offset give or take
+the slop.
 
 Null and empty texts have no words; a document's row is kept all the same.
 Items without words, or without an id, are not searched. Rows with equal ids
-are searched row by row, and an item id counts once. Empty tables: no
-documents give no rows, no items give documents without hits.
+or texts (ties) are searched row by row, and an item id counts once. A text of
+any length is indexed whole, in a block of its own if it is long; items of any
+length are searched whole, in parts. Of the columns only the id and text of
+either table are read. Empty tables: no documents give no rows, no items give
+documents without hits.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ from tramline.llm.common import arrow_schema, partition_number, rows, stored, ta
 
 #: Words of a block at least, unless its task has no more; a single longer document is a block.
 BLOCK_WORDS = 1 << 19
-#: Unused positions between two documents: more than any slop, so no match spans two.
+#: Unused positions between two documents: more than twice any slop, so no match spans two.
 GAP = 16
 #: Words of test items that are searched, and broadcast, at once.
 BATCH_WORDS = 1 << 18
@@ -125,8 +130,8 @@ def windows_of(batch: list[tuple[object, list[bytes]]], n: int) -> dict[tuple[by
 def search_block(lists: dict[bytes, np.ndarray], windows: dict[tuple[bytes, ...], list], slop: int) -> Iterator[tuple[tuple[bytes, ...], np.ndarray, np.ndarray]]:
     """(window, starts of exact phrases, starts of proximity matches) for the windows that a block holds.
 
-    A proximity match is a start at which every word of the window stands at
-    its offset give or take ``slop`` and the rarest word exactly at it.
+    A proximity match is a start from which every word of the window stands at
+    its offset give or take ``slop``.
     """
 
     def meet(starts, order, tolerance):
@@ -148,9 +153,14 @@ def search_block(lists: dict[bytes, np.ndarray], windows: dict[tuple[bytes, ...]
             order.append((offset, own))
         else:
             order.sort(key=lambda x: len(x[1]))
-            near = meet(order[0][1] - order[0][0], order[1:], slop)
+            # a start is within the slop of the rarest word, so other words are within twice the slop of where that word puts them
+            anchors = meet(order[0][1] - order[0][0], order[1:], 2 * slop)
+            if not len(anchors):
+                continue
+            starts = meet(anchors, order[1:], 0) if slop else anchors
+            near = meet(np.unique(anchors[:, None] + np.arange(-slop, slop + 1, dtype=anchors.dtype)), order[1:], slop) if slop else anchors
             if len(near):
-                yield window, meet(near, order[1:], 0) if slop else near, near
+                yield window, starts, near
 
 
 def search(postings: DataFrame, directory: DataFrame, batch: list[tuple[object, list[bytes]]], n: int, slop: int, item_type: str) -> DataFrame:
@@ -174,8 +184,8 @@ def search(postings: DataFrame, directory: DataFrame, batch: list[tuple[object,
             close: dict[int, set] = {}
             for window, starts, near in search_block(found, windows.value, slop):
                 items = windows.value[window]
-                for places, to in ((starts, exact), (near, close)):
-                    for doc in np.unique(np.searchsorted(bases, np.maximum(places, 0), side="right") - 1).tolist():
+                for places, to in ((starts, exact), (near + slop, close)):  # a near start may lie before its document, its first word doesn't
+                    for doc in np.unique(np.searchsorted(bases, places, side="right") - 1).tolist():
                         to.setdefault(doc, set()).update(items)
                 if len(starts):
                     hits.append((starts, len(window)))
@@ -230,8 +240,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     starts and ends are spans of words that lie in an exact occurrence of a
     window; items hold such a window; near_items also count proximity matches.
     """
-    if not 0 <= slop < GAP:
-        raise ValueError(f"slop is 0 to {GAP - 1}")
+    if not 0 <= 2 * slop < GAP:
+        raise ValueError(f"slop is 0 to {(GAP - 1) // 2}")
     item_type = items.schema["item_id"].dataType.simpleString()
     postings, directory = build_index(docs, id_column, block_words)
     parts = [stored(search(postings, directory, batch, n, slop, item_type)) for batch in item_batches(items, n, batch_words)]
@@ -253,11 +263,15 @@ def contaminated_keys(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents against all benchmark items."""
+    """All documents against all benchmark items: exact phrases, and items that come near within a slop of two words."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = F.aggregate(F.zip_with("starts", "ends", lambda s, e: e - s), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    names = F.concat_ws(",", F.array_sort(F.transform("items", lambda x: x.cast("string"))))
-    return found.select(F.col("id").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+    names = lambda c: F.sha2(F.concat_ws(",", F.array_sort(F.transform(c, lambda x: x.cast("string")))), 256)
+    size = lambda c: F.size(c).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", hit.alias("n_hit"), size("items").alias("n_items"), names("items").alias("items_sha256"),
+        (hit > 0).alias("contaminated"), size("near_items").alias("n_near_items"), names("near_items").alias("near_items_sha256"),
+    )
 
 
 ORACLE_SQL = r"""
@@ -274,8 +288,20 @@ dw AS (
   FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
 m AS (SELECT r, i, k, item_id FROM dw JOIN bw USING (k, s)),
 h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM m)) GROUP BY r),
-t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY r)
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY r),
+win AS (SELECT row_number() OVER () AS x, k, s FROM (SELECT DISTINCT k, s FROM bw)),
+ww AS (SELECT x, k, j - 1 AS j, l[j] AS word FROM (SELECT x, k, l, unnest(range(1, k + 1)) AS j FROM (SELECT x, k, string_split(s, ' ') AS l FROM win))),
+tok AS (SELECT r, i - 1 AS pos, w[i] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d) WHERE word IN (SELECT word FROM ww)),
+wf AS (SELECT x, k, j, word, f FROM ww JOIN (SELECT word, count(*) AS f FROM tok GROUP BY word) USING (word)),
+anchor AS (SELECT x, k, j, word FROM wf QUALIFY count(*) OVER (PARTITION BY x) = k AND row_number() OVER (PARTITION BY x ORDER BY f, j) = 1),
+ca AS (SELECT DISTINCT r, x, k, pos - j + dd AS p FROM anchor JOIN tok USING (word), (SELECT unnest(range(-2, 3)) AS dd)),
+near AS (
+  SELECT r, x FROM (SELECT r, x, k, p, j FROM ca JOIN ww USING (x, k), (SELECT unnest(range(-2, 3)) AS dd)
+    WHERE (r, word, p + j + dd) IN (SELECT (r, word, pos) FROM tok)) GROUP BY r, x, k, p HAVING count(DISTINCT j) = k),
+nt AS (
+  SELECT r, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near_ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM near JOIN win USING (x) JOIN bw USING (k, s)) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near_items, sha256(coalesce(near_ids, '')) AS near_items_sha256
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r) LEFT JOIN nt USING (r)
 """
