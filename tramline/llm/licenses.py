@@ -1,12 +1,17 @@
 """Licence scans (operator 10).
 
 An Aho-Corasick automaton runs once over the words of a text and finds notice
-phrases and the words of identifier tags. Where a tag stands, the expression
-behind it is read by a shunting-yard parser and evaluated: ``or`` is the choice
-of the freer side, ``and`` binds both sides, ``with`` adds an exception to the
-licence before it.
-
-Null and empty texts have no words and no labels. Equal rows get equal results.
+phrases and the words of identifier tags. Where a tag stands, the longest
+well-formed expression behind it is read by a shunting-yard parser and
+evaluated: ``or``, or a slash, is the choice of the freer side, ``and`` binds
+both sides, ``with`` adds an exception to the licence before it. What follows on
+the line, prose say, is not part of the expression. Whole identifiers are looked
+up; one that is not known has the label ``other``.
+
+Null and empty texts have no words and no labels. Equal rows, and rows with
+equal ids, get results one by one and alike; of two sides that bind alike (a
+tie) the left one is chosen. Texts of any length are scanned whole. Only the
+columns doc_id and text are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,75 +47,96 @@ NOTICES = {
 #: The words of the tag that an expression follows.
 TAG = "spdx license identifier"
 TAG_LINE = re.compile(r"spdx-license-identifier:[ \t]*([^\n\r]*)", re.I | re.A)
-TOKEN = re.compile(r"\(|\)|[A-Za-z0-9.+:-]+")
+TOKEN = re.compile(r"[ \t]*(\(|\)|/|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
-#: Beginnings of licence identifiers in lower case, the more special first: label, and how much a licence binds its user from 0 to 1.
-FAMILIES = (
-    ("apache-", "apache", 0.2),
-    ("mit", "mit", 0.1),
-    ("bsd-", "bsd", 0.1),
-    ("isc", "isc", 0.1),
-    ("cc0", "cc0", 0.0),
-    ("unlicense", "public-domain", 0.0),
-    ("cc-by-nc", "cc-by-nc", 0.7),
-    ("cc-by-sa", "cc-by-sa", 0.6),
-    ("cc-by", "cc-by", 0.3),
-    ("agpl-", "agpl", 0.9),
-    ("lgpl-", "lgpl", 0.6),
-    ("gpl-", "gpl", 0.8),
-    ("mpl-", "mpl", 0.5),
-    ("epl-", "epl", 0.5),
+#: Whole licence identifiers in lower case: pattern, label, and how much a licence binds its user from 0 to 1.
+FAMILIES = tuple(
+    (re.compile(pattern), label, binds)
+    for pattern, label, binds in (
+        (r"apache-\d(\.\d)*", "apache", 0.2),
+        (r"mit(-0|-cmu|-advertising|-feh|-enna|-modern-variant|-open-group|nfa)?", "mit", 0.1),
+        (r"(0bsd|bsd-[0-9]-clause(-[a-z-]+)?)", "bsd", 0.1),
+        (r"isc", "isc", 0.1),
+        (r"cc0(-\d(\.\d)*)?", "cc0", 0.0),
+        (r"unlicense", "public-domain", 0.0),
+        (r"cc-by-nc(-sa|-nd)?(-\d(\.\d)*)?", "cc-by-nc", 0.7),
+        (r"cc-by-sa(-\d(\.\d)*)?", "cc-by-sa", 0.6),
+        (r"cc-by(-nd)?(-\d(\.\d)*)?", "cc-by", 0.3),
+        (r"agpl-\d(\.\d)*(-only|-or-later|\+)?", "agpl", 0.9),
+        (r"lgpl-\d(\.\d)*(-only|-or-later|\+)?", "lgpl", 0.6),
+        (r"gpl-\d(\.\d)*(-only|-or-later|\+)?", "gpl", 0.8),
+        (r"mpl-\d(\.\d)*(-no-copyleft-exception)?", "mpl", 0.5),
+        (r"epl-\d(\.\d)*", "epl", 0.5),
+    )
 )
 #: Weight of one kind of evidence in the score.
 WEIGHTS = {"tag": 0.9, "notice": 0.7, "base": 0.5}
 
 
+def identifier_like(token: str) -> bool:
+    """Known identifiers, and words with a digit, a hyphen or capitals alone, as identifiers have; not the words of prose."""
+    return known(token) is not None or "-" in token or any("0" <= c <= "9" for c in token) or token.isupper()
+
+
+def longest(expression: str) -> list[str]:
+    """The tokens of the longest well-formed expression with which a line begins, in lower case; a slash is an ``or``."""
+    tokens: list[str] = []
+    at, depth, operand, whole = 0, 0, True, 0
+    while (found := TOKEN.match(expression, at)) is not None:
+        token = found[1].rstrip(".:")
+        if token == "(" and operand and tokens[-1:] != ["with"]:  # an exception is one identifier
+            depth += 1
+        elif token == ")" and not operand and depth:
+            depth -= 1
+        elif (token == "/" or token.lower() in PRECEDENCE) and not operand:
+            operand = True
+        elif operand and token not in ("(", ")", "/") and token.lower() not in PRECEDENCE and identifier_like(token):
+            operand = False
+        else:
+            break
+        tokens.append("or" if token == "/" else token.lower())
+        if not operand and not depth:
+            whole = len(tokens)
+        if token != found[1]:  # the sentence ends
+            break
+        at = found.end()
+    return tokens[:whole]
+
+
 def to_postfix(expression: str) -> list[str] | None:
-    """Shunting-yard: operators are and/or/with in either case; None if the expression is malformed."""
+    """Shunting-yard over the longest well-formed expression; operators are and/or/with in either case; None if there is none."""
     out: list[str] = []
     stack: list[str] = []
-    operand = True
-    tokens = TOKEN.findall(expression)
-    for token in tokens:
-        low = token.lower()
+    for token in longest(expression):
         if token == "(":
-            if not operand:
-                return None
             stack.append(token)
         elif token == ")":
-            if operand:
-                return None
-            while stack and stack[-1] != "(":
+            while stack[-1] != "(":
                 out.append(stack.pop())
-            if not stack:
-                return None
             stack.pop()
-        elif low in PRECEDENCE:
-            if operand:
-                return None
-            while stack and stack[-1] != "(" and PRECEDENCE[stack[-1]] >= PRECEDENCE[low]:
+        elif token in PRECEDENCE:
+            while stack and stack[-1] != "(" and PRECEDENCE[stack[-1]] >= PRECEDENCE[token]:
                 out.append(stack.pop())
-            stack.append(low)
-            operand = True
+            stack.append(token)
         else:
-            if not operand:
-                return None
-            out.append(low)
-            operand = False
-    if operand or "(" in stack:
-        return None
-    return out + stack[::-1]
+            out.append(token)
+    return out + stack[::-1] or None
+
+
+def known(identifier: str) -> tuple[str, float] | None:
+    for pattern, label, binds in FAMILIES:
+        if pattern.fullmatch(identifier.lower()):
+            return label, binds
+    return None
 
 
 def family(identifier: str) -> tuple[frozenset[str], float]:
-    for start, label, binds in FAMILIES:
-        if identifier.startswith(start):
-            return frozenset([label]), binds
-    return frozenset(["other"]), 0.5
+    label, binds = known(identifier) or ("other", 0.5)
+    return frozenset([label]), binds
 
 
 def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
-    """Labels that hold under the expression and how much they bind; None if it is malformed."""
+    """Labels that hold under the expression and how much they bind; None if the line begins with none."""
     postfix = to_postfix(expression)
     if postfix is None:
         return None
@@ -168,8 +194,7 @@ def scan(text: bytes | None) -> tuple[int, list[tuple[str, int]], list[str], flo
             kinds.setdefault(BASE[phrase], "base")
     if any(phrase == TAG for phrase, _ in starts):
         for found in TAG_LINE.finditer(text.decode()):
-            expression = re.sub(r"[\s*/#>;-]+$", "", found[1])
-            if (value := evaluate(expression)) is not None:
+            if (value := evaluate(found[1])) is not None:
                 kinds.update(dict.fromkeys(value[0], "tag"))
     rest = 1.0
     for kind in kinds.values():
