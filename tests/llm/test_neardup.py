@@ -23,7 +23,7 @@ def sets(text):
 
 def expected(rows):
     """(links between different texts, class ids) by comparing all pairs of texts."""
-    texts = sorted({t for _, t in rows if sets(t)})
+    texts = sorted({t for _, t in rows if t})  # those without words have no shingles, and equal ones are one class
     own = {t: sets(t) for t in texts}
     links, root = {t: 0 for t in texts}, {t: t for t in texts}
 
@@ -35,7 +35,7 @@ def expected(rows):
     for i, a in enumerate(texts):
         for b in texts[i + 1 :]:
             both = len(own[a] & own[b])
-            if both >= 0.8 * (len(own[a]) + len(own[b]) - both):
+            if own[a] and own[b] and both >= 0.8 * (len(own[a]) + len(own[b]) - both):
                 links[a] += 1
                 links[b] += 1
                 root[top(a)] = top(b)
@@ -71,11 +71,46 @@ def test_keep_one(spark, docs, rows):
     kept = N.keep_one(docs)
     assert kept.columns == docs.columns
     out = [(r["doc_id"], r["text"]) for r in kept.collect()]
-    wordless = [r for r in rows if not sets(r[1])]
-    assert sorted((r for r in out if not sets(r[1])), key=repr) == sorted(wordless, key=repr)
+    assert sorted((r for r in out if not r[1]), key=repr) == sorted((r for r in rows if not r[1]), key=repr)
     found = N.near_duplicates(docs).collect()
     groups = {bytes(r["root"]) for r in found if r["root"] is not None}
-    assert len([r for r in out if sets(r[1])]) == len(groups)
+    assert len([r for r in out if r[1]]) == len(groups)
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "decimal(20,0)", "timestamp"])
+def test_ids_of_any_type(spark, kind):
+    texts = ["one two three four five six seven"] * 3 + ["*** --- ***"] * 4 + ["+ +", "a b c d e f g h i", None, None, "", ""]
+    docs = spark.createDataFrame([(1000 + i, t, "x") for i, t in enumerate(texts)], "n int, text string, id string")
+    one = "timestamp_seconds(n)" if kind == "timestamp" else "concat('doc-', n)" if kind in ("string", "binary") else "n"
+    docs = docs.selectExpr(f"CAST({one} AS {kind}) AS doc_id", "text", "id")
+    assert docs.schema["doc_id"].dataType.simpleString() == kind
+    out = N.near_duplicates(docs)
+    assert out.schema["class_id"].dataType == docs.schema["doc_id"].dataType
+    assert out.select("class_id").distinct().count() == 1 + 1 + 2 + 4
+    kept = N.keep_one(docs)
+    assert kept.schema == docs.schema and sorted((r["text"] or "-" for r in kept.collect())) == sorted(["-"] * 4 + [texts[0], "*** --- ***", "+ +", "a b c d e f g h i"])
+
+
+def test_links_equal_an_exact_join(spark):
+    """All pairs of a whole table that reach the threshold, found through an inverted index of shingles: none is lost."""
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {t: N.shingles(t.encode()).tolist() for t in {r["text"] for r in docs.collect()} if t and sets(t)}
+    index, shared = {}, Counter()
+    for i, own in enumerate(texts.values()):
+        for s in own:
+            for j in index.setdefault(s, []):
+                shared[j, i] += 1
+            index[s].append(i)
+    sizes = [len(own) for own in texts.values()]
+    exact = Counter()
+    for (i, j), both in shared.items():
+        if both >= 0.8 * (sizes[i] + sizes[j] - both):
+            exact.update((i, j))
+    number = {t: i for i, t in enumerate(texts)}
+    found = {number[r["text"]]: r["n_links"] for r in N.near_duplicates(docs).drop("key").join(docs, docs["doc_id"] == N.F.col("id")).collect() if r["text"] in number}
+    assert sum(exact.values()) > 0 and found == {i: exact[i] for i in range(len(texts))}
 
 
 def test_verify_both_ways():

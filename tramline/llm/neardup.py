@@ -13,9 +13,13 @@ Tiles hand on only a count of links for each class and a forest that spans
 them, so pairs are never written out; the forest's components are the groups.
 
 With bands of four, a pair of similarity 0.8 fails to meet with probability
-(1 - 0.8^4)^32 < 1e-7. Texts of one to four words are one shingle; texts
-without words, and null, link to nothing and are groups of their own rows.
-Equal rows are linked. An empty table gives no rows.
+(1 - 0.8^4)^32 < 1e-7. Texts of one to four words are one shingle. Equal texts
+are one class, those without a word too; null and empty texts link to nothing
+and are groups of their own rows. Ids are of any type that has an order; rows
+with equal ids, or none, are rows like others. Of equal texts the least id
+stands for the class (a tie: any row of that id). Texts of any length are
+compared whole. Of the columns only the id and text are read; ``keep_one`` hands
+on the others, its own names begin with ``_tl_``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Buffer, rows, small, spread_join, stored, table, text_key, words
+from tramline.llm.common import Buffer, arrow_schema, rows, small, spread_join, stored, table, text_key, words
 
 N_WORDS = 5
 THRESHOLD = 0.8
@@ -98,21 +102,23 @@ def least_matches(threshold: float, tolerance: float, values: int, step: int) ->
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(rows: id, key) and (classes: key, id, signature): a class is a text, its id the least of its rows'."""
-    source = docs.select(F.col(id_column).cast("long").alias("id"), text_key().alias("key"), "text")
-    out = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("signature", pa.binary())])
+    """(rows: id, key) and (classes: key, id, signature): a class is a text, its id the least of its rows'; without words it has no signature."""
+    source = docs.select(F.col(id_column).alias("id"), text_key().alias("key"), "text")
+    id_type = source.schema["id"].dataType.simpleString()
+    out = pa.schema([arrow_schema(source).field(0), ("key", pa.binary()), ("signature", pa.binary()), ("empty", pa.bool_())])
 
     def run(batches):
         buffer = Buffer(out)
         for one, key, text in rows(batches, "id", "key", "text"):
             own = shingles(text)
-            buffer.add(one, key, signature(own) if len(own) else None)
+            buffer.add(one, key, signature(own) if len(own) else None, not text)
             if buffer.full:
                 yield buffer.take()
         yield buffer.take()
 
-    every = stored(source.mapInArrow(run, "id bigint, key binary, signature binary"))
-    return every.select("id", "key", F.col("signature").isNotNull().alias("has_words")), every.where("signature IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.min("signature").alias("signature"))
+    every = stored(source.mapInArrow(run, f"id {id_type}, key binary, signature binary, empty boolean"))
+    of = every.where("NOT empty").groupBy("key").agg(F.min("id").alias("id"), F.min("signature").alias("signature"))
+    return every.select("id", "key"), of
 
 
 def tiles(of: DataFrame, values: int = VALUES, band: int = BAND, tile: int = TILE) -> DataFrame:
@@ -297,11 +303,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", threshold: float
     copy_id is the least id of the rows with an equal text, class_id the least
     of all rows that links connect with it, n_links the number of different
     texts that are linked with the row's text. root stands for the class; it is
-    null for rows without words, whose ids are their own.
+    null for rows of null or empty text, whose ids are their own.
     """
     every, of = classes(docs, id_column)
     of = stored(of)
-    n_links, edges = links(docs, of, threshold, tile)
+    n_links, edges = links(docs, of.where("signature IS NOT NULL"), threshold, tile)
     member = components(edges).select(F.col("node").alias("key"), "root")
     rooted = of.select("key", F.col("id").alias("copy_id")).join(member, "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = stored(rooted)
@@ -312,7 +318,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", threshold: float
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with one row left of each class: one of its least id. Rows without words all stay."""
+    """docs with one row left of each class: one of its least id. Rows of null or empty text all stay."""
     found = near_duplicates(docs, threshold=threshold).where("root IS NOT NULL")
     each = stored(found.groupBy("root", "id", "key").agg(F.count("*").alias("n")))
     best = each.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "key")).alias("best"), F.count("*").alias("kinds"))
@@ -323,7 +329,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def without(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         right = small(right.select("_tl_id", "_tl_key").distinct(), 80)
-        same = (text_key(left["text"]) == right["_tl_key"]) & left["doc_id"].cast("long").eqNullSafe(right["_tl_id"])
+        same = (text_key(left["text"]) == right["_tl_key"]) & left["doc_id"].eqNullSafe(right["_tl_id"])
         return left.join(right, same, how)
 
     kept = without(docs, marked.where("NOT chosen"), "left_anti")
