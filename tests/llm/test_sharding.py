@@ -38,6 +38,60 @@ def test_shards(spark, docs, rows, chunk):
     for r in out:
         where.setdefault((r["size"], r["text_crc32"]), set()).add(r["shard"])
     assert all(len(x) == 1 for x in where.values())
+    loads = [sum(r["size"] for r in out if r["shard"] == s) for s in range(4)]
+    groups = {}
+    for _, t in rows:
+        groups[t or ""] = groups.get(t or "", 0) + len((t or "").encode()) + 1
+    loads.sort()
+    assert loads[2:] == sorted(groups.values())[-2:]  # the two longest texts each fill more than a shard's part
+    assert loads[1] - loads[0] <= 0.05 * sum(loads)
+
+
+def sequential(sizes, shards):
+    """Plain differencing of sorted lists, without a heap or marks: the loads of the shards up to a constant."""
+    lists = [[n] + [0] * (shards - 1) for n in sizes]
+    while len(lists) > 1:
+        lists.sort(key=lambda x: max(x) - min(x))
+        a, b = lists.pop(), lists.pop()
+        lists.append([x + y for x, y in zip(sorted(a), sorted(b, reverse=True), strict=True)])
+    return sorted(lists[0])
+
+
+def spread_of_the_best(sizes, shards):
+    """The least spread of any partition, by trying all."""
+    from itertools import product
+
+    best = None
+    for to in product(range(shards), repeat=len(sizes)):
+        made = [0] * shards
+        for x, n in zip(to, sizes, strict=True):
+            made[x] += n
+        best = max(made) - min(made) if best is None else min(best, max(made) - min(made))
+    return best
+
+
+@pytest.mark.parametrize("shards", [2, 3, 8])
+def test_differencing_equals_a_plain_version(shards):
+    rng = random.Random(shards)
+    for _ in range(20):
+        sizes = rng.sample(range(1, 10**6), rng.randint(1, 60))
+        _, final = S.differencing([[n] + [0] * (shards - 1) for n in sizes])
+        plain = sequential(sizes, shards)
+        assert sum(final) == sum(plain) and abs((max(final) - min(final)) - (plain[-1] - plain[0])) <= 0.02 * max(sizes)
+    for _ in range(10):
+        sizes = [rng.randint(1, 50) for _ in range(7)]
+        _, final = S.differencing([[n, 0] for n in sizes])
+        assert max(final) - min(final) <= spread_of_the_best(sizes, 2) + max(sizes) / 2
+
+
+def test_two_runs_agree(spark):
+    rng = random.Random(8)
+    groups = [(bytearray(rng.randbytes(16)), rng.choice([5, 5, 9])) for _ in range(3000)]
+    runs = []
+    for own in (groups, groups[::-1]):
+        df = spark.createDataFrame(own, "id binary, bytes bigint").repartition(4, "id")
+        runs.append({bytes(r["id"]): r["shard"] for r in S.balance(df, 8, 100).collect()})
+    assert runs[0] == runs[1]
 
 
 def test_balance(spark):

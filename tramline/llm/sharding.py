@@ -9,7 +9,11 @@ around its share of what the big groups leave uneven, so that they fill up the
 other shards; each chunk leaves a few groups over, and these are differenced on
 the driver last, around what all chunks have placed.
 
-Null texts count as empty; equal rows share a group; an empty table gives no rows.
+Null texts count as empty. Equal texts share a group, rows with equal ids are
+placed one by one. Groups enter in the order of their text's digest, which
+breaks ties between equal sizes; within a shard the slots are in no set order.
+A text of any length counts with all its bytes. Of the columns only doc_id and
+text are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -109,7 +113,7 @@ def _level(groups: DataFrame, own: list[int], chunk: int, spare: float) -> DataF
 def balance(groups: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame:
     """(id, shard) for groups (id binary, bytes long)."""
     spark = groups.sparkSession
-    groups = stored(groups)
+    groups = stored(groups.sortWithinPartitions("id"))
     count, total = groups.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     # fewer than `chunk` groups are above the bound; few groups are all placed at once
     big = F.lit(True) if count <= chunk else F.col("bytes") > total // chunk
