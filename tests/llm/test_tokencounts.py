@@ -28,6 +28,23 @@ def test_counts(spark, docs, rows, monkeypatch, kept):
         assert tokens == sum(plain(model, w) for w in own)
 
 
+def test_counts_on_the_vocabulary(spark, docs, rows):
+    """The query's own model on whole texts, against a plain dynamic program over every pre-token."""
+    model, known = T.model(T.vocabulary()), {}
+
+    def plainly(word):
+        best = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            own = [(best[s][0] + score, best[s][1] - 1) for s in range(max(0, end - model.longest), end) if (score := model.score.get(word[s:end])) is not None]
+            best.append(max(own))
+        return -best[-1][1]
+
+    texts = dict(rows)
+    for r in T.count_tokens(docs.where("doc_id IS NOT NULL AND doc_id <> 3"), T.vocabulary()).collect():
+        own = T.PRETOKEN.findall((texts[r["doc_id"]] or "").encode())
+        assert r["n_tokens"] == sum(known.setdefault(w, None) or known.update({w: plainly(w)}) or known[w] for w in own)
+
+
 def test_query(spark, docs, no_docs, rows):
     out = T.count_tokens(docs, T.vocabulary()).collect()
     assert len(out) == len(rows) and all((r["n_tokens"] > 0) == (r["n_bytes"] > 0) for r in out)

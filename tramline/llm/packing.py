@@ -14,7 +14,10 @@ still fits.
 Pieces are numbered within their length in parallel; the plan says for each
 range of numbers which sequences and offsets it fills, so nothing is collected
 but the histogram. Null texts count as empty and become their end token alone.
-Equal rows are packed one by one. An empty table gives no rows.
+Equal rows, and rows with equal ids, are packed one by one; which of the pieces
+of one length (a tie) goes into which sequence is not set. Texts of any length
+are encoded whole and cut. Of the columns only doc_id and text are read. An
+empty table gives no rows.
 """
 
 from __future__ import annotations

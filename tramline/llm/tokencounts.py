@@ -12,8 +12,10 @@ byte is a piece, so every text has a segmentation. Of equal scores the one with
 fewer tokens counts.
 
 Pre-tokens are runs of non-space bytes with the one space before them, and runs
-of further white space. Null and empty texts have none. Repeated rows are
-counted one by one. An empty table gives no rows.
+of further white space. Null and empty texts have none. Repeated rows, and rows
+with equal ids, are counted one by one and alike. Texts of any length are counted
+whole; a pre-token may be as long as its text. Of the columns only doc_id and
+text are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
