@@ -78,6 +78,14 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     return dealt.join(copied, [key, "_tl_salt"], how).drop("_tl_salt")
 
 
+def join_labels(docs: DataFrame, labels: DataFrame, row_bytes: int) -> DataFrame:
+    """docs join labels, one row for each id, on doc_id; ids of different types are equal if they read alike."""
+    if docs.schema["doc_id"].dataType != labels.schema["doc_id"].dataType:
+        labels = labels.withColumn("_tl_label", F.col("doc_id").cast("string")).drop("doc_id")
+        return docs.join(small(labels, row_bytes), docs["doc_id"].cast("string") == F.col("_tl_label")).drop("_tl_label")
+    return docs.join(small(labels, row_bytes), "doc_id")
+
+
 def text_key(text: str | Column = "text") -> Column:
     """16 bytes that stand for a text; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")))

@@ -34,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import small, stored, table, text_key
+from tramline.llm.common import join_labels, small, stored, table, text_key
 
 #: Share of a stratum's good rows that all rules together may reject.
 RISK = 0.05
@@ -146,7 +146,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     """doc_id, the counts, base_failed and kept for every row of docs."""
     counted = stored(count_features(docs))
     quality = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("quality"))
-    tried = stored(trials(counted.join(small(quality, 32), "doc_id")))
+    tried = stored(trials(join_labels(counted, quality, 32)))
     cutoffs = choose_cutoffs(tried, max(1, testable(tried, risk, level)), risk, level)
     cutoffs = stored(cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")))
     ruled = counted.join(small(cutoffs, 400), "stratum", "left")

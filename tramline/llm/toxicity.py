@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import batch_of, rows, small, stored, table, words
+from tramline.llm.common import batch_of, join_labels, rows, stored, table, words
 
 #: Weight of the Dirichlet prior, as a share of the training words: in tests of significance, and in scores.
 PRIOR, SCORE_PRIOR = 0.2, 0.01
@@ -93,7 +93,7 @@ def held_out(folds: int = 5) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """(text, toxic) of the labelled rows that are not held out."""
     own = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).where(~held_out(folds))
-    return docs.select("doc_id", "text").join(small(own, 32), "doc_id").select("text", "toxic")
+    return join_labels(docs.select("doc_id", "text"), own, 32).select("text", "toxic")
 
 
 def counts(training: DataFrame) -> DataFrame:
