@@ -21,17 +21,18 @@ def network(spark):
         df([("1", b, "1", str(k + 1), f"S{i}") for b, order in (("O", (0, 1, 2, 3)), ("I", (3, 2, 1, 0))) for k, i in enumerate(order)] + [("9", "O", "1", "1", "S0"), ("9", "O", "1", "x", "S1"), ("9", "O", "1", "2", "S1")], schemas.KMB["route_stops"]),
     )
     ctb = silver.citybus(
-        df([("A1", "Centre", "中", "", "Peak (Circular)", "山", ""), ("B2", "Here", "此", "", "There", "彼", "")], schemas.CTB["routes"]),
+        df([("A1", "Centre", "中", "", "Peak (Circular)", "山", ""), ("B2", "Here", "此", "", "There", "彼", ""), ("C3", "Loop", "環", "", "Turn", "轉", "")], schemas.CTB["routes"]),
         df([(f"C{i}", f"Place {i}", f"地{i}", str(22.2 + i * 0.01), "114.1") for i in range(4)], schemas.CTB["stops"]),
-        df([("A1", "outbound", ["C0", "C1", "C2"]), ("A1", "inbound", ["C2", "C3", "C0"]), ("B2", "outbound", ["C0", "C3"]), ("B2", "inbound", ["C3", "C0"])], schemas.CTB["sequences"]),
+        df([("A1", "outbound", ["C0", "C1", "C2"]), ("A1", "inbound", ["C2", "C3", "C0"]), ("B2", "outbound", ["C0", "C3"]), ("B2", "inbound", ["C3", "C0"]), ("C3", "outbound", ["C0", "C1", "C2"]), ("C3", "inbound", ["C2", "C1", "C3", "C0"])], schemas.CTB["sequences"]),
     )
     gov = feed.Gov(
-        df([("10", "KMB", "1", "CHUK YUEN - STAR FERRY", 3), ("11", "KMB", "1", "CHUK YUEN - STAR FERRY EXPRESS", 3), ("20", "CTB", "B2", "HERE - THERE", 3), ("30", "FERRY", "F", "PIER - ISLE", 4)], schemas.GOV["routes"]),
-        df([("10", "287", "10-1-287-0600"), ("10", "287", "10-1-287-0630"), ("10", "287", "10-2-287-0700"), ("11", "287", "11-1-287-0600"), ("20", "63", "20-1-63-0800"), *[("30", "5", f"30-1-5-{h:02d}{m:02d}") for h in (7, 8) for m in (0, 20, 40)]], schemas.GOV["trips"]),
+        df([("10", "KMB", "1", "CHUK YUEN - STAR FERRY", 3), ("11", "KMB", "1", "CHUK YUEN - STAR FERRY EXPRESS", 3), ("20", "CTB", "B2", "HERE - THERE", 3), ("21", "CTB", "C3", "LOOP - TURN", 3), ("30", "FERRY", "F", "PIER - ISLE", 4)], schemas.GOV["routes"]),
+        df([("10", "287", "10-1-287-0600"), ("10", "287", "10-1-287-0630"), ("10", "287", "10-2-287-0700"), ("11", "287", "11-1-287-0600"), ("20", "63", "20-1-63-0800"), ("20", "63", "20-2-63-0900"), ("21", "63", "21-1-63-0900"), *[("30", "5", f"30-1-5-{h:02d}{m:02d}") for h in (7, 8) for m in (0, 20, 40)]], schemas.GOV["trips"]),
         df(
             [(f"10-1-287-{c}", f"{h}:{i:02d}:00", f"{h}:{i:02d}:00", f"g{i}", i + 1) for c, h in (("0600", "06"), ("0630", "06")) for i in range(4)]
             + [("10-2-287-0700", f"07:{i:02d}:00", f"07:{i:02d}:00", f"g{3 - i}", i + 1) for i in range(4)]
             + [("11-1-287-0600", "06:00:00", "06:00:00", "g0", 1)]
+            + [("21-1-63-0900", f"09:0{i}:00", f"09:0{i}:00", "h0", i + 1) for i in range(5)]
             + [("20-1-63-0800", f"08:{i:02d}:00", f"08:{i:02d}:00", f"h{i}", i + 1) for i in range(2)]
             + [(f"30-1-5-{h:02d}{m:02d}", f"{h:02d}:{m + 15 * k}:00", f"{h:02d}:{m + 15 * k}:00", f"f{k}", k + 1) for h in (7, 8) for m in (0, 20, 40) for k in (0, 1)],
             schemas.GOV["stop_times"],
@@ -61,7 +62,7 @@ def built(spark, network):
 def test_matching(network):
     parts, gov = network
     out = {(r["agency"], r["route_key"], r["gov_route_id"], r["gov_bound"]) for r in feed.match(feed.together(parts), gov).collect()}
-    assert out == {("KMB", "1-O-1", "10", "O"), ("KMB", "1-I-1", "10", "I"), ("CTB", "B2-O", "20", "O"), ("CTB", "B2-I", "20", "O")}
+    assert out == {("KMB", "1-O-1", "10", "O"), ("KMB", "1-I-1", "10", "I"), ("CTB", "B2-O", "20", "O"), ("CTB", "B2-I", "20", "O"), ("CTB", "C3-O", "21", "O"), ("CTB", "C3-I", "21", "O")}
 
 
 def test_placeholders_never_run(built):
@@ -83,6 +84,15 @@ def test_circular_route(built):
     assert [r["stop_id"] for r in rows] == ["CTB-C0", "CTB-C1", "CTB-C2", "CTB-C3", "CTB-C0"]
 
 
+def test_route_that_the_government_knows_one_way_is_spliced(built):
+    """Its name doesn't say that it is circular."""
+    trips = [r["trip_id"] for r in built["trips"].where("route_id = 'CTB-C3'").collect()]
+    assert trips == ["CTB-C3-O-1-63"]
+    rows = built["stop_times"].where("trip_id = 'CTB-C3-O-1-63'").orderBy("stop_sequence").collect()
+    assert [(r["stop_id"], r["stop_sequence"]) for r in rows] == [("CTB-C0", 1), ("CTB-C1", 2), ("CTB-C2", 3), ("CTB-C3", 4), ("CTB-C0", 5)]
+    assert built["trips"].where("route_id = 'CTB-B2'").count() == 2
+
+
 def test_frequencies(built):
     out = [(r["trip_id"], r["start_time"], r["end_time"], r["headway_secs"]) for r in built["frequencies"].orderBy("trip_id", "start_time").collect()]
     assert ("KMB-1-O-1-287", "06:00:00", "06:30:00", 900) in out
@@ -130,6 +140,42 @@ def test_write_and_package(spark, built, tmp_path):
     assert len(lines) == 1 + built["stops"].count()
 
 
+def test_quoted_cells_survive(spark, tmp_path):
+    """Doubled quotes, separators, line breaks, blanks and entities, through the reader, the writer and the package."""
+    import csv
+    import io
+
+    names = ['The "Peak" Road', "a, b", "two\nlines", '"', " blank ", "Caf&eacute; &#233; &lt;x&gt; &amp;amp;", "back\\slash", "", "\n\n"]
+    text = io.StringIO(newline="")
+    writer = csv.writer(text, lineterminator="\n")
+    writer.writerows([["stop_id", "stop_name", "stop_lat", "stop_lon"], *([f"s{i}", n, 22.5, 114.5] for i, n in enumerate(names))])
+    (tmp_path / "stops.txt").write_text("\ufeff" + text.getvalue(), encoding="utf-8")
+    df = readers.gov_feed(spark, str(tmp_path), "stops")["stops"]
+    expected = ['The "Peak" Road', "a, b", "two\nlines", '"', " blank ", "Café é <x> &amp;", "back\\slash", None, "\n\n"]
+    assert [r["stop_name"] for r in df.orderBy("stop_id").collect()] == expected
+    sinks.write_table(df.repartition(3), str(tmp_path / "feed"), "stops")
+    sinks.write_table(df.where("false"), str(tmp_path / "feed"), "agency")
+    with zipfile.ZipFile(sinks.package(spark, str(tmp_path / "feed"), ["stops", "agency"], str(tmp_path / "feed.zip"))) as z:
+        rows = list(csv.DictReader(io.StringIO(z.read("stops.txt").decode(), newline="")))
+        assert z.read("agency.txt").decode() == "agency_id,agency_name,agency_url,agency_timezone,agency_lang\n"
+    assert [(r["stop_id"], r["stop_name"], r["stop_lat"]) for r in rows] == [(f"s{i}", n or "", "22.5") for i, n in enumerate(expected)]
+
+
+def test_lines_by_their_names(spark):
+    names = ["South Island Line", "Island Line", "ISL", "Tung Chung", "Airport Express", "SIL", "none"]
+    out = spark.createDataFrame([(n,) for n in names], "n string").select("n", feed.line_of(F.col("n")).alias("line")).collect()
+    assert {r["n"]: r["line"] for r in out} == {"South Island Line": "SIL", "Island Line": "ISL", "ISL": "ISL", "Tung Chung": "TCL", "Airport Express": "AEL", "SIL": "SIL", "none": None}
+
+
+def test_schemas_and_json(spark, tmp_path):
+    """A schema and a schedule as documents."""
+    df = spark.createDataFrame([("1", 2)], "a string, b int")
+    sinks.write_json(sinks.schema_json(df), str(tmp_path / "schema.json"))
+    assert [f["name"] for f in json.loads((tmp_path / "schema.json").read_text())["fields"]] == ["a", "b"]
+    sinks.write_json({"610": [{"stop": "兆康", "first": "05:30"}]}, str(tmp_path / "times.json"))
+    assert json.loads((tmp_path / "times.json").read_text(encoding="utf-8")) == {"610": [{"stop": "兆康", "first": "05:30"}]}
+
+
 def test_ferries(network):
     out = feed.ferries(network[1])
     assert [tuple(r) for r in out.frequencies.collect()] == [("FERRY-30-1-5", "07:00:00", "08:40:00", 1200)]
@@ -305,7 +351,7 @@ def test_audits_and_small_steps(spark, network):
     register = df([(7, "CTB", "B2", 1), (9, "CTB", "B2", 0), (8, "KMB", "B2", 0), (3, "CTB", "Z", 2)], "ROUTE_ID int, COMPANY_CODE string, ROUTE_NAMEC string, SPECIAL_TYPE int")
     assert [tuple(r) for r in feed.match_by_register(df([("B2",), ("B2",)], "route string"), register).collect()] == [("B2", 9)]
     report = {r["agency"]: (r["routes"], r["matched"]) for r in feed.match_report(feed.together(network[0]), feed.match(feed.together(network[0]), network[1])).collect()}
-    assert report == {"KMB": (3, 2), "CTB": (3, 2)}
+    assert report == {"KMB": (3, 2), "CTB": (5, 4)}
 
 
 def test_shapes_take_trip_names(spark):

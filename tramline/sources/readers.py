@@ -12,6 +12,10 @@ from tramline.plans.alerts import EVENT, valid
 from tramline.sources import schemas
 
 
+#: Tables of a schedule feed that hold keys, numbers and times alone, so that no cell has a line break.
+NO_TEXT = ("trips", "stop_times", "frequencies", "calendar", "calendar_dates", "fare_attributes", "fare_rules")
+
+
 def json_data(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of the ``data`` array of a JSON document."""
     return spark.read.schema(f"data array<struct<{_fields(schema)}>>").option("multiLine", True).json(path).select(F.inline("data"))
@@ -28,15 +32,20 @@ def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    """A CSV file by its declared columns; a byte-order mark and HTML entities are taken out of texts."""
-    df = spark.read.schema(schema).option("header", header).option("enforceSchema", True).option("mode", "PERMISSIVE").csv(path)
+def csv(spark: SparkSession, path: str, schema: str, header: bool = True, multi_line: bool = True) -> DataFrame:
+    """A CSV file by its declared columns; a byte-order mark and HTML entities are taken out of texts.
+
+    Quoted cells may hold separators, doubled quotes and line breaks. A file whose cells hold none of the
+    last can be read in splits with ``multi_line`` off.
+    """
+    reader = spark.read.schema(schema).option("header", header).option("enforceSchema", True).option("mode", "PERMISSIVE")
+    df = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path)
     return df.select(*(X.unescape(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f"`{f.name}`") for f in df.schema))
 
 
 def gov_feed(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
     """Tables of a schedule feed, by file name."""
-    return {n: csv(spark, f"{folder}/{n}.txt", schemas.GOV[n]) for n in names or schemas.GOV}
+    return {n: csv(spark, f"{folder}/{n}.txt", schemas.GOV[n], multi_line=n not in NO_TEXT) for n in names or schemas.GOV}
 
 
 def region_codes(spark: SparkSession, path: str) -> DataFrame:

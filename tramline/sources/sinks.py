@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +22,13 @@ def feed_table(df: DataFrame, name: str) -> DataFrame:
     return df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in schemas.FEED[name]))
 
 
+#: Cells as RFC 4180 has them: quotes are doubled, blanks are kept.
+CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_table(df: DataFrame, folder: str, name: str) -> None:
     """A feed table as CSV with a header, ordered by its key."""
-    feed_table(df, name).orderBy(*schemas.KEYS[name]).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(f"{folder}/{name}")
+    feed_table(df, name).orderBy(*schemas.KEYS[name]).write.mode("overwrite").options(**CSV).csv(f"{folder}/{name}")
 
 
 def write_feed(tables: dict[str, DataFrame], folder: str) -> None:
@@ -35,19 +37,18 @@ def write_feed(tables: dict[str, DataFrame], folder: str) -> None:
 
 
 def package(spark: SparkSession, folder: str, names: list[str], target: str) -> str:
-    """One zip of text tables, on the driver, streamed line by line; the header is the first line of each."""
+    """One zip of text tables: the sorted part files of each, one after another and a file at a time, below one header."""
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
         for name in names:
-            df = spark.read.option("header", True).schema(", ".join(f"{c} string" for c in schemas.FEED[name])).csv(f"{folder}/{name}").orderBy(*schemas.KEYS[name])
-            with tempfile.NamedTemporaryFile("w", newline="", suffix=".txt", delete=False, encoding="utf-8") as file:
-                import csv
-
-                writer = csv.writer(file, lineterminator="\n")
-                writer.writerow(df.columns)
-                for row in df.toLocalIterator():
-                    writer.writerow(["" if v is None else v for v in row])
-            out.write(file.name, f"{name}.txt" if name not in ("fare_stages", "special_fare_rules") else f"{name}.csv")
-            os.unlink(file.name)
+            header = ",".join(schemas.FEED[name]).encode() + b"\n"
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv").load(f"{folder}/{name}")
+            paths = sorted(r["path"] for r in files.select("path").collect())  # one for each task that wrote
+            entry = f"{name}.txt" if name not in ("fare_stages", "special_fare_rules") else f"{name}.csv"
+            with out.open(entry, "w", force_zip64=True) as file:
+                file.write(header)
+                for path in paths:
+                    content = bytes(files.where(F.col("path") == path).select("content").first()["content"])
+                    file.write(content.removeprefix(header))
     return target
 
 
