@@ -280,6 +280,12 @@ def test_stream_of_alerts(spark, tmp_path):
     (folder / "b.json").write_text(json.dumps({"id": "2", "type": "detour", "header": {"en": "two"}, "description": {}}) + "\n")
     alerts_stream.run(spark, str(folder), str(tmp_path / "state"), lambda df: seen.append({r["id"]: r["header_text"][0]["text"] for r in df.collect()}), str(tmp_path / "check")).awaitTermination(120)
     assert seen == [{"1": "one"}, {"1": "one", "2": "two"}]
+    for text in ("three", "four"):
+        (folder / f"{text}.json").write_text(json.dumps({"id": "1", "type": "detour", "header": {"en": text}, "description": {}}) + "\n")
+        alerts_stream.run(spark, str(folder), str(tmp_path / "state"), lambda df: seen.append({r["id"]: r["header_text"][0]["text"] for r in df.collect()}), str(tmp_path / "check")).awaitTermination(120)
+    assert seen[2:] == [{"1": "three", "2": "two"}, {"1": "four", "2": "two"}]
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["batch=2", "batch=3"]  # older snapshots go
+    assert spark.read.parquet(str(tmp_path / "state" / "batch=3")).count() == 2
 
 
 def test_html_tables(spark):

@@ -15,11 +15,15 @@ def test_query_equals_sql(spark, duck, data, name):
     same_rows(catalog.QUERIES[name](spark, data), cursor.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - {"greedy_cluster", "edge_time_fallback", "nearest_within_radius"}))
+#: Queries that add the one row of a median to every row.
+ONE_ROW = {"edge_time_fallback", "rail_stop_times"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - {"greedy_cluster"}))  # whose rule depends on order, so that it runs in Python
 def test_plan_has_no_product(spark, data, name):
     plan = catalog.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan or name in ONE_ROW
     assert "Python" not in plan and "Pandas" not in plan
 
 

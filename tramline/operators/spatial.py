@@ -46,7 +46,11 @@ def near_pairs(points: DataFrame, name: str, point: str, x: str, y: str, radius:
 
 def greedy_clusters(points: DataFrame, name: str, point: str, order: str, lat: str, lon: str, radius: float = 5.0, digits: int = 7) -> DataFrame:
     """(point, leader): equal rounded places share their first point; within a name, in order, each free point leads
-    and takes later free ones within ``radius`` metres of itself. The rule depends on order, so a name is one group."""
+    and takes later free ones within ``radius`` metres of itself.
+
+    The rule depends on order. A name is first cut where its places lie too far apart in latitude, and each piece where
+    they do in longitude; no point leads across a cut, so each piece is a group of its own.
+    """
     rounded = points.withColumns({"_lat": F.round(lat, digits), "_lon": F.round(lon, digits)})
     place = Window.partitionBy("_lat", "_lon").orderBy(order)
     placed = rounded.withColumns({"_head": F.first(point).over(place), "_head_name": F.first(name).over(place), "_place": F.row_number().over(place)})
@@ -66,7 +70,13 @@ def greedy_clusters(points: DataFrame, name: str, point: str, order: str, lat: s
                             leader[j] = ids[i]
         return pd.DataFrame({"_head": ids, "leader": leader})
 
-    heads = placed.where("_place = 1").where(F.col(name).isNotNull()).groupBy(name).applyInPandas(lead, f"_head {point_type}, leader {point_type}")
+    heads = placed.where("_place = 1").where(F.col(name).isNotNull())
+    keys = [name]
+    for axis, most, piece in (("_lat", radius / 100_000, "_north"), ("_lon", radius / 10_000, "_east")):
+        w = Window.partitionBy(*keys).orderBy(axis)
+        heads = heads.withColumn("_cut", F.coalesce(F.col(axis) - F.lag(axis).over(w) > most, F.lit(False)).cast("int")).withColumn(piece, F.sum("_cut").over(w))
+        keys.append(piece)
+    heads = heads.groupBy(*keys).applyInPandas(lead, f"_head {point_type}, leader {point_type}")
     return placed.join(heads, "_head", "left").select(point, F.coalesce("leader", "_head").alias("leader"))
 
 

@@ -1,11 +1,11 @@
-"""The registry of queries on the reference tables and of the SQL that each must equal."""
+"""The registry of queries and of the SQL that each must equal."""
 
 from __future__ import annotations
 
-from tramline.plans import q_fares, q_joins, q_scalars, q_schedule, q_sets
+from tramline.plans import q_fares, q_feed, q_joins, q_rail, q_scalars, q_schedule, q_sets
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (q_schedule, q_joins, q_fares, q_sets, q_scalars):
+for _module in (q_schedule, q_joins, q_fares, q_sets, q_scalars, q_feed, q_rail):
     QUERIES.update(_module.REGISTRY.queries)
     SQL.update(_module.REGISTRY.sql)

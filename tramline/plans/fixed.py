@@ -16,6 +16,8 @@ AGENCIES = [
     ("PT", "Peak Tram", "https://thepeak.com.hk"),
     ("TRAM", "Tramways", "https://www.hktramways.com"),
 ]
+#: The region's box: south, west, north, east.
+BOX = (22.15, 113.83, 22.56, 114.42)
 TIMEZONE, LANGUAGE = "Asia/Hong_Kong", "en"
 #: Route colours by agency; text is white.
 COLORS = {"KMB": "EE171F", "CTB": "0053B9", "NLB": "8AB666", "MTRB": "AE2A42", "GMB": "34C759", "MTRR": "003DA5", "LR": "FF8800", "FERRY": "0099CC"}

@@ -44,9 +44,9 @@ def special_fare_ranges(read):
 
 @query(f"""
 WITH {STOPS}, j AS (SELECT o_orderkey AS journey, o_orderkey % 100 AS trip_id, o_custkey % 7 + 1 AS board, o_custkey % 7 + 1 + o_orderkey % 5 AS alight FROM orders),
-st AS (SELECT l_suppkey AS trip_id, l_linenumber AS seq, min(l_quantity) AS price FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY ALL),
-ag AS (SELECT p_partkey % 7 + 1 AS board, p_size % 12 AS alight, min(p_retailprice) AS price FROM part WHERE p_size % 6 = 0 GROUP BY ALL),
-tr AS (SELECT s_suppkey AS trip_id, s_suppkey % 4 + 1 AS lo, s_suppkey % 4 + 3 AS hi, s_acctbal AS price FROM supplier WHERE s_suppkey % 3 = 0),
+st AS (SELECT l_suppkey AS trip_id, l_linenumber AS seq, min(l_quantity) AS price FROM lineitem WHERE l_quantity < 20 GROUP BY ALL),
+ag AS (SELECT p_partkey % 7 + 1 AS board, p_size % 12 AS alight, min(p_retailprice) AS price FROM part WHERE p_size < 30 GROUP BY ALL),
+tr AS (SELECT s_suppkey AS trip_id, s_suppkey % 4 + 1 AS lo, s_suppkey % 4 + 3 AS hi, s_acctbal AS price FROM supplier WHERE s_acctbal > 4000),
 x AS (SELECT j.*, ag.price AS a, tr.price AS t, (SELECT arg_max(st.price, st.seq) FROM st WHERE st.trip_id = j.trip_id AND st.seq <= j.board) AS s
   FROM j LEFT JOIN ag USING (board, alight) LEFT JOIN tr ON tr.trip_id = j.trip_id AND j.board >= lo AND j.alight <= hi)
 SELECT journey, coalesce(a, t, s) AS price, CASE WHEN a IS NOT NULL THEN 'agency' WHEN t IS NOT NULL THEN 'trip' WHEN s IS NOT NULL THEN 'stage' END AS rule FROM x""")
@@ -54,9 +54,9 @@ def priority_rule(read):
     """Fare of a journey: an agency's exact pair, else a trip's range, else the last stage at or before boarding."""
     journeys = read("orders").select(F.col("o_orderkey").alias("journey"), (F.col("o_orderkey") % 100).alias("trip_id"), (F.col("o_custkey") % 7 + 1).alias("board_seq"), (F.col("o_custkey") % 7 + 1 + F.col("o_orderkey") % 5).alias("alight_seq"))
     journeys = journeys.withColumns({"board_stop": F.col("board_seq"), "alight_stop": F.col("alight_seq")})
-    stages = read("lineitem").where("l_partkey % 3 = 0").groupBy(F.col("l_suppkey").alias("trip_id"), F.col("l_linenumber").alias("seq")).agg(F.min("l_quantity").alias("price"))
-    agency = read("part").where("p_size % 6 = 0").groupBy((F.col("p_partkey") % 7 + 1).alias("board_stop"), (F.col("p_size") % 12).alias("alight_stop")).agg(F.min("p_retailprice").alias("price"))
-    trip = read("supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("trip_id"), (F.col("s_suppkey") % 4 + 1).alias("from_seq"), (F.col("s_suppkey") % 4 + 3).alias("to_seq"), F.col("s_acctbal").alias("price"))
+    stages = read("lineitem").where("l_quantity < 20").groupBy(F.col("l_suppkey").alias("trip_id"), F.col("l_linenumber").alias("seq")).agg(F.min("l_quantity").alias("price"))
+    agency = read("part").where("p_size < 30").groupBy((F.col("p_partkey") % 7 + 1).alias("board_stop"), (F.col("p_size") % 12).alias("alight_stop")).agg(F.min("p_retailprice").alias("price"))
+    trip = read("supplier").where("s_acctbal > 4000").select(F.col("s_suppkey").alias("trip_id"), (F.col("s_suppkey") % 4 + 1).alias("from_seq"), (F.col("s_suppkey") % 4 + 3).alias("to_seq"), F.col("s_acctbal").alias("price"))
     return R.resolve(journeys, "journey", stages, trip, agency).select("journey", "price", "rule")
 
 
@@ -64,10 +64,10 @@ def priority_rule(read):
 WITH s AS (SELECT DISTINCT c_custkey % 97 AS code, c_custkey // 97 AS station FROM customer WHERE c_custkey < 97 * 3),
 f AS (SELECT o_custkey % 291 // 97 * 97 + o_custkey % 97 AS src, o_orderkey % 291 AS dst, min(o_totalprice) AS fare FROM orders GROUP BY ALL)
 SELECT 'RAIL-' || src || '-' || dst AS special_fare_id, 'RAIL-' || src AS onboarding_stop_id, 'RAIL-' || dst AS offboarding_stop_id, fare AS price
-FROM f WHERE src <> dst AND src IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) AND dst IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)""")
+FROM f WHERE src <> dst AND src IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000) AND dst IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000)""")
 def agency_fare_rules(read):
     """Point-to-point fares between known stations; fares to the same station are left out."""
     src = F.floor(F.col("o_custkey") % 291 / 97) * 97 + F.col("o_custkey") % 97
     fares = read("orders").groupBy(src.cast("bigint").alias("from_id"), (F.col("o_orderkey") % 291).alias("to_id")).agg(F.min("o_totalprice").alias("fare"))
-    stations = read("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("station_id"), F.concat(F.lit("RAIL-"), F.col("c_custkey").cast("string")).alias("stop_id"))
+    stations = read("customer").where("c_acctbal > 2000").select(F.col("c_custkey").alias("station_id"), F.concat(F.lit("RAIL-"), F.col("c_custkey").cast("string")).alias("stop_id"))
     return R.agency_rules(fares, stations, "RAIL").select("special_fare_id", "onboarding_stop_id", "offboarding_stop_id", "price")

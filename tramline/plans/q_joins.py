@@ -9,6 +9,7 @@ from tramline.functions import text as X
 from tramline.functions.geo import haversine_m
 from tramline.operators import selection as S
 from tramline.operators import spatial as P
+from tramline.plans import feed, fixed
 from tramline.plans.registry import STOPS, Registry, haversine_sql, stops
 
 REGISTRY = Registry()
@@ -92,12 +93,12 @@ def paired_direction_match(read):
 
 
 @query("""
-WITH a AS (SELECT s_suppkey AS k, s_nationkey AS v, 'a' AS origin FROM supplier), b AS (SELECT c_custkey AS k, c_nationkey AS v, 'b' AS origin FROM customer WHERE c_custkey % 3 = 0)
+WITH a AS (SELECT s_suppkey AS k, s_nationkey AS v, 'a' AS origin FROM supplier), b AS (SELECT c_custkey AS k, c_nationkey AS v, 'b' AS origin FROM customer WHERE c_acctbal < 3000)
 SELECT k, v, origin FROM a WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT k, v, origin FROM b""")
 def override_matches(read):
     """One publisher's matches in place of another's for shared routes."""
     base = read("supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("v"), F.lit("a").alias("origin"))
-    other = read("customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("v"), F.lit("b").alias("origin"))
+    other = read("customer").where("c_acctbal < 3000").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("v"), F.lit("b").alias("origin"))
     return S.override(base, other, "k")
 
 
@@ -136,28 +137,30 @@ def asof_stage_fare(read):
 
 
 @query(f"""
-WITH {STOPS}, p AS (SELECT s_nationkey AS n, s_suppkey % 4 AS d, min(s_suppkey) AS platform FROM supplier GROUP BY ALL), q AS (SELECT s_nationkey AS n, min(s_suppkey) AS platform FROM supplier WHERE s_suppkey % 2 = 0 GROUP BY ALL),
+WITH {STOPS}, p AS (SELECT s_nationkey AS n, s_suppkey % 4 AS d, min(s_suppkey) AS platform FROM supplier GROUP BY ALL), q AS (SELECT s_nationkey AS n, min(s_suppkey) AS platform FROM supplier WHERE s_acctbal > 3000 GROUP BY ALL),
 s AS (SELECT l_orderkey, l_linenumber, l_partkey % 25 AS n, l_linenumber % 4 AS d FROM stops)
 SELECT l_orderkey, l_linenumber, coalesce(p.platform, q.platform) AS platform FROM s LEFT JOIN p USING (n, d) LEFT JOIN q USING (n) WHERE coalesce(p.platform, q.platform) IS NOT NULL""")
 def platform_resolution(read):
     """A platform of the station's line and direction, else any of the station; stops without one are dropped."""
     sup = read("supplier")
     exact = sup.groupBy(F.col("s_nationkey").alias("n"), (F.col("s_suppkey") % 4).alias("d")).agg(F.min("s_suppkey").alias("platform"))
-    some = sup.where("s_suppkey % 2 = 0").groupBy(F.col("s_nationkey").alias("n")).agg(F.min("s_suppkey").alias("platform"))
+    some = sup.where("s_acctbal > 3000").groupBy(F.col("s_nationkey").alias("n")).agg(F.min("s_suppkey").alias("platform"))
     own = stops(read).select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 25).alias("n"), (F.col("l_linenumber") % 4).alias("d"))
     return S.first_of(own, (exact, ["n", "d"], "platform"), (some, ["n"], "platform"), into="platform").where("platform IS NOT NULL").select("l_orderkey", "l_linenumber", "platform")
 
 
-@query("""
-WITH k AS (SELECT DISTINCT lower(p_name) AS name FROM part), b(ord, abbr, base) AS (VALUES (1, 'RG', 'ring'), (2, 'WG', 'widget'), (3, 'BT', 'bolt'), (4, 'SM', 'small'), (5, 'RD', 'red'))
-SELECT name, abbr FROM (SELECT name, abbr, row_number() OVER (PARTITION BY name ORDER BY ord) AS r FROM k JOIN b ON contains(name, base) OR contains(name, lower(abbr))) WHERE r = 1""")
+_LINES = ", ".join(f"({i}, '{code}', '{base}')" for i, (code, base) in enumerate(fixed.LINES))
+
+
+@query(f"""
+WITH ln(i, code, base) AS (VALUES {_LINES})
+SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN base || ' Line' WHEN 1 THEN upper(base) || ' LINE (Main)' WHEN 2 THEN code ELSE 'the ' || base END AS name, code AS line FROM part JOIN ln ON i = p_partkey % 10""")
 def containment_match(read):
-    """Names to a short list of lines by containment; the first of the list wins."""
-    lines = [("RG", "ring"), ("WG", "widget"), ("BT", "bolt"), ("SM", "small"), ("RD", "red")]
-    first = F.lit(None).cast("string")
-    for abbr, base in reversed(lines):
-        first = F.when(F.col("name").contains(base) | F.col("name").contains(abbr.lower()), abbr).otherwise(first)
-    return read("part").select(F.lower("p_name").alias("name")).distinct().withColumn("abbr", first).where("abbr IS NOT NULL")
+    """Published names of lines to their codes, by the longest name that they hold, else by a code."""
+    code, base = (F.element_at(F.array(*(F.lit(x[k]) for x in fixed.LINES)), (F.col("p_partkey") % 10 + 1).cast("int")) for k in (0, 1))
+    k = F.col("p_size") % 4
+    name = F.when(k == 0, F.concat(base, F.lit(" Line"))).when(k == 1, F.concat(F.upper(base), F.lit(" LINE (Main)"))).when(k == 2, code).otherwise(F.concat(F.lit("the "), base))
+    return read("part").select("p_partkey", name.alias("name")).withColumn("line", feed.line_of(F.col("name")))
 
 
 @query("""
@@ -169,7 +172,18 @@ def grid_near_pairs(read):
     return P.near_pairs(own, "name", "id", "x", "y", 4.0)
 
 
-@query(None)
+_APART = haversine_sql("22.3 + x % 7 * 0.00002", "114.1 + x % 5 * 0.00002", "22.3 + h.id % 7 * 0.00002", "114.1 + h.id % 5 * 0.00002")
+
+
+@query(f"""
+WITH RECURSIVE h AS (
+  SELECT c_custkey % 35 AS place, min(c_custkey) AS id, min(c_custkey) // 20 AS name, row_number() OVER (PARTITION BY min(c_custkey) // 20 ORDER BY min(c_custkey)) AS rn FROM customer GROUP BY c_custkey % 35),
+r AS (
+  SELECT DISTINCT name, CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS led, CAST(NULL AS BIGINT) AS id, CAST(NULL AS BIGINT) AS leader FROM h
+  UNION ALL
+  SELECT h.name, h.rn, CASE WHEN near IS NULL THEN list_append(led, h.id) ELSE led END, h.id, coalesce(near, h.id)
+  FROM r JOIN h ON h.name = r.name AND h.rn = r.rn + 1, LATERAL (SELECT list_filter(led, lambda x: {_APART} <= 5)[1] AS near) n)
+SELECT c_custkey, leader FROM customer JOIN h ON place = c_custkey % 35 JOIN r ON r.id = h.id""")
 def greedy_cluster(read):
     """Points of a name within five metres of a leader, in order."""
     own = read("customer").select("c_custkey", F.floor(F.col("c_custkey") / 20).cast("string").alias("name"), (22.3 + F.col("c_custkey") % 7 * 0.00002).cast("double").alias("lat"), (114.1 + F.col("c_custkey") % 5 * 0.00002).cast("double").alias("lon"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tramline.functions import geo
 from tramline.functions import svc_time as T
 from tramline.functions import text as X
-from tramline.plans import alerts
-from tramline.plans.registry import Registry
+from tramline.operators import spatial
+from tramline.plans import alerts, fixed
+from tramline.plans.fixed import CN_SEPARATORS
+from tramline.plans.registry import Registry, haversine_sql
 from tramline.sources import html
 
 REGISTRY = Registry()
@@ -120,3 +123,64 @@ def clock_parse(read):
     e = F.col("event_id")
     text = F.when(e % 5 == 0, "25:10:00").when(e % 5 == 1, "7:05:09").when(e % 5 == 2, "12:00").when(e % 5 == 3, "x:1:2").otherwise(F.format_string("%d:%02d:%02d", e % 30, e % 60, e % 59))
     return read("events").select("event_id", T.to_seconds(text).alias("seconds"))
+
+
+#: A word for each row: directions, numbers, and names in several spellings.
+_WORDS = ["outbound", " I ", "2", "loop", "1.00", "x9", "VIA PEAK", "Peak (VIA)", "Peak Circular", "循環線", "None", " nan ", "GMB-HKI-5", "KMB-1-O", "plain", "甲至乙", "A-B", "Exits A1, B2 and C"]
+
+
+@query(f"""
+WITH w AS (SELECT o_orderkey, ({_WORDS!r})[CAST(o_orderkey % {len(_WORDS)} AS INT) + 1] AS w FROM orders),
+x AS (SELECT *, lower(trim(w)) AS l, regexp_matches(w, '(?i)circular') OR regexp_matches(w, '循環|环线|循环') AS c FROM w)
+SELECT o_orderkey, CASE WHEN l IN ('outbound', 'o', '1') THEN 'O' WHEN l IN ('inbound', 'i', '2') THEN 'I' ELSE upper(trim(w)) END AS letter, TRY_CAST(trunc(TRY_CAST(w AS DOUBLE)) AS BIGINT) AS number,
+  regexp_matches(regexp_replace(upper(w), '\\([^)]*\\)', ' ', 'g'), 'VIA|OMIT|SPECIAL|EXPRESS|SERVICE|CORRECTIONAL') AS variant, c AS circular,
+  CASE WHEN c AND NOT contains(lower(w), 'circular') THEN w || ' (Circular)' ELSE w END AS headsign, CASE WHEN l IN ('nan', 'none') THEN '' ELSE w END AS cleaned,
+  CASE WHEN w = 'GMB-HKI-5' THEN 'HKI-5' WHEN contains(w, '-') THEN split_part(w, '-', 2) ELSE w END AS short_name, array_to_string(regexp_extract_all(w, '[A-Z][0-9]*'), ',') AS codes,
+  CASE WHEN contains(w, '至') THEN '甲' WHEN contains(w, '-') THEN split_part(w, '-', 1) ELSE trim(w) END AS origin,
+  'R_' || CASE WHEN w IN ('1', 'O') THEN 'O' WHEN w IN ('2', 'I') THEN 'I' ELSE 'O' END AS route_key, CASE WHEN w = 'outbound' THEN 'inbound' ELSE w END AS swapped FROM x""")
+def name_rules(read):
+    """Rules for directions, numbers and names, on words in several spellings."""
+    w = F.element_at(F.array(*map(F.lit, _WORDS)), (F.col("o_orderkey") % len(_WORDS) + 1).cast("int"))
+    own = read("orders").select("o_orderkey", w.alias("w"))
+    c = F.col("w")
+    return own.select(
+        "o_orderkey", X.direction_letter(c).alias("letter"), X.sequence_number(c).alias("number"), X.is_variant_name(c).alias("variant"), X.is_circular(c).alias("circular"), X.with_circular(c, X.is_circular(c)).alias("headsign"),
+        X.without_none(c).alias("cleaned"), X.route_short_name(c).alias("short_name"), F.array_join(X.exit_codes(c), ",").alias("codes"), X.split_first(c, CN_SEPARATORS)["origin"].alias("origin"),
+        X.route_key(F.lit("R"), c).alias("route_key"), X.swap_bound(c).alias("swapped"),
+    )
+
+
+_KM = haversine_sql("a", "b", "c", "d").replace("6371000", "6371")
+
+
+@query(f"""
+WITH p AS (SELECT c_custkey, 22 + c_custkey % 64 / 64 AS a, 113.5 + c_custkey % 32 / 32 AS b, CASE WHEN c_custkey % 9 > 0 THEN 22 + c_custkey % 61 / 64 END AS c, 113.5 + c_custkey % 29 / 32 AS d FROM customer)
+SELECT c_custkey, round({_KM}, 6) AS km, round(sqrt(pow(a - c, 2) + pow(b - d, 2)), 9) AS degrees, round({_KM} * 216, 4) AS seconds, coalesce({_KM}, 'infinity'::DOUBLE) > 20 AS far,
+  a BETWEEN 22.15 AND 22.56 AND b BETWEEN 113.83 AND 114.42 AS inside FROM p""")
+def distance_rules(read):
+    """Kilometres, degrees, seconds over a distance, and whether a point is in a box."""
+    own = read("customer").selectExpr("c_custkey", "22 + c_custkey % 64 / 64D AS a", "113.5D + c_custkey % 32 / 32D AS b", "CASE WHEN c_custkey % 9 > 0 THEN 22 + c_custkey % 61 / 64D END AS c", "113.5D + c_custkey % 29 / 32D AS d")
+    a, b, c, d = (F.col(x) for x in "abcd")
+    km = geo.haversine_km(a, b, c, d)
+    return own.select("c_custkey", F.round(km, 6).alias("km"), F.round(geo.planar(a, b, c, d), 9).alias("degrees"), F.round(T.seconds_over(km), 4).alias("seconds"), (geo.far_if_unknown(km) > 20).alias("far"), geo.within_box(a, b, *fixed.BOX).alias("inside"))
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, o_orderkey % 1440 AS a, CASE WHEN o_orderkey % 7 > 0 THEN o_custkey * 13 % 1440 END AS b, 1 + o_orderkey % 30 AS n FROM orders),
+x AS (SELECT *, CASE WHEN b < a THEN (b - a) * 60 + 86400 ELSE (b - a) * 60 END AS gap FROM t)
+SELECT o_orderkey, gap, CASE WHEN n > 1 AND gap / (n - 1) > 0 AND gap / (n - 1) < 900 THEN gap / (n - 1) ELSE 180 END AS average FROM x""")
+def clock_rules(read):
+    """Seconds between clock times, over midnight too, and what they make for each stop."""
+    clock = lambda m: f"format_string('%02d:%02d', ({m}) div 60, ({m}) % 60)"
+    own = read("orders").selectExpr("o_orderkey", f"{clock('o_orderkey % 1440')} AS a", f"CASE WHEN o_orderkey % 7 > 0 THEN {clock('o_custkey * 13 % 1440')} END AS b", "1 + o_orderkey % 30 AS n")
+    return own.select("o_orderkey", T.clock_difference(F.col("a"), F.col("b")).alias("gap"), T.per_stop_seconds(F.col("a"), F.col("b"), F.col("n")).alias("average"))
+
+
+@query("""
+WITH t AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN [[1, 2], [3]] WHEN 1 THEN [[c_custkey], [], [4, 5]] ELSE [] END AS parts FROM customer)
+SELECT c_custkey, array_to_string(flatten(parts), '-') AS points FROM t""")
+def flat_lines(read):
+    """All points of the parts of lines, one after another."""
+    parts = "CASE c_custkey % 3 WHEN 0 THEN array(array(1L, 2L), array(3L)) WHEN 1 THEN array(array(c_custkey), array(), array(4L, 5L)) ELSE array() END AS coordinates"
+    own = read("customer").selectExpr("c_custkey", parts)
+    return own.select("c_custkey", F.array_join(F.transform(spatial.lines(own), lambda x: x.cast("string")), "-").alias("points"))

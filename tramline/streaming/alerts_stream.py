@@ -1,9 +1,10 @@
-"""Alerts kept up to date from a folder of events: each batch rebuilds the whole feed from the latest version of each event."""
+"""Alerts kept up to date from a folder of events: each batch keeps the latest version of each event."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,15 +23,28 @@ def latest(events: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, folder: str, state: str, publish: Callable[[DataFrame], None], checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Appends each batch to ``state`` and gives the alerts of the latest events to ``publish``.
+    """Keeps the last version of each event below ``state`` and gives the alerts that follow to ``publish``.
 
-    A batch that is run again after a failure replaces its own files.
+    A batch reads the snapshot of the batch before it and writes its own, so what is kept and read grows with the
+    events that exist, not with all their versions. A batch that is run again after a failure does the same again.
     """
+    schema = f"{EVENT}, _seen timestamp"
+
+    def snapshot(number: int) -> DataFrame | None:
+        try:
+            return spark.read.schema(schema).parquet(f"{state}/batch={number}")
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error):
+                return None
+            raise
 
     def batch(events: DataFrame, number: int) -> None:
-        valid(events).withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{state}/batch={number}")
-        schema = f"{EVENT}, _seen timestamp, _batch bigint"
-        publish(entities(latest(spark.read.schema(schema).parquet(state))))
+        before = snapshot(number - 1)
+        new = valid(events)
+        latest(new if before is None else before.unionByName(new)).write.mode("overwrite").parquet(f"{state}/batch={number}")
+        publish(entities(snapshot(number)))
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/batch={number - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     writer = event_stream(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()
