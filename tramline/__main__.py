@@ -1,5 +1,6 @@
-"""Command line: ``feed`` builds the schedule feed of a folder of landed sources, ``alerts`` the alerts feed of a folder of events.
+"""Command line: ``fetch`` lands the publishers' data in a folder, ``feed`` builds the schedule feed of a folder of landed sources, ``alerts`` the alerts feed of a folder of events.
 
+    python -m tramline fetch RAW [--hourly]
     python -m tramline feed RAW OUT [--zip FILE]
     python -m tramline alerts EVENTS FILE
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tramline.operators import calendars
 from tramline.operators.selection import union_all
 from tramline.plans import alerts, feed, fixed, silver
-from tramline.sources import readers, schemas, sinks
+from tramline.sources import endpoints, readers, schemas, sinks
 
 
 def present(read) -> DataFrame | None:
@@ -114,6 +115,9 @@ def build_feed(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tramline", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     kinds = parser.add_subparsers(dest="kind", required=True)
+    zero = kinds.add_parser("fetch")
+    zero.add_argument("raw")
+    zero.add_argument("--hourly", action="store_true")
     one = kinds.add_parser("feed")
     one.add_argument("raw")
     one.add_argument("out")
@@ -122,6 +126,9 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     two.add_argument("events")
     two.add_argument("file")
     asked = parser.parse_args(arguments)
+    if asked.kind == "fetch":
+        endpoints.fetch_all(asked.raw, hourly=asked.hourly)
+        return
     spark = spark or SparkSession.builder.appName("tramline").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if asked.kind == "feed":
         tables = build_feed(spark, asked.raw)

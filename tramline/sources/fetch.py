@@ -13,12 +13,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_json(url: str, timeout: float = 30, tries: int = 35, waits: Callable[[int], float] = lambda n: 240 if n % 5 == 0 else 30, opener: Callable = urllib.request.urlopen, sleep: Callable[[float], None] = time.sleep):
-    """JSON of a URL; None if it is not there (404). Other failures are tried again after a wait, then raised."""
+def _waits(n: int) -> float:
+    return 240 if n % 5 == 0 else 30
+
+
+def get_bytes(url: str, data: bytes | None = None, timeout: float = 30, tries: int = 35, waits: Callable[[int], float] = _waits, opener: Callable = urllib.request.urlopen, sleep: Callable[[float], None] = time.sleep, parse: Callable = bytes):
+    """What a URL answers, to a POST if there are data; None if it is not there (404). Other failures, and answers that
+    can't be parsed, are tried again after a wait, then raised."""
+    asked = url if data is None else urllib.request.Request(url, data=data)
     for n in range(1, tries + 1):
         try:
-            with opener(url, timeout=timeout) as reply:
-                return json.loads(reply.read().decode("utf-8-sig"))
+            with opener(asked, timeout=timeout) as reply:
+                return parse(reply.read())
         except urllib.error.HTTPError as error:
             if error.code == 404:
                 return None
@@ -30,6 +36,11 @@ def get_json(url: str, timeout: float = 30, tries: int = 35, waits: Callable[[in
     raise last
 
 
+def get_json(url: str, data: bytes | None = None, **options):
+    """JSON that a URL answers; as get_bytes."""
+    return get_bytes(url, data, parse=lambda body: json.loads(body.decode("utf-8-sig")), **options)
+
+
 def fan_out(items: Iterable, fetch: Callable, threads: int = 20) -> list:
     """fetch(item) for all items on some threads, results in the items' order, None left out."""
     with ThreadPoolExecutor(threads) as pool:
