@@ -48,7 +48,7 @@ def test_stages(spark, data):
 def toxic(text, lexicon, fit):
     """A plain score: segments by their definition, on words of the lexicon and the gaps between them."""
     own = T.words(text.encode() if text else None)
-    hits = [(i, s) for i, w in enumerate(own) if (s := T.word_score(w, lexicon))]
+    hits = [(i, s) for i, w in enumerate(own) if (s := lexicon.words.get(w) or lexicon.prefixes.get(T.beginning(w)))]
     scores = [x for k, (i, s) in enumerate(hits) for x in ((lexicon.rest * (i - hits[k - 1][0] - 1),) if k else ()) + (s,)]
     found = brute(scores)
     if not found:

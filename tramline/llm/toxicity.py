@@ -116,7 +116,7 @@ def counts(training: DataFrame) -> DataFrame:
             to = seen[toxic]
             to[b""] += len(own)
             to.update([b"w" + w for w in own])
-            to.update([b"p" + p for w in own if (p := beginning(w))])
+            to.update([b"p" + p for w in own if len(w) > PREFIX and (p := w[:PREFIX] if w.isascii() else beginning(w))])
             if len(seen[0]) + len(seen[1]) > 400_000:
                 yield from flush()
         yield from flush()
@@ -236,16 +236,11 @@ def maximal_segments(hits: list[tuple[int, float]], rest: float) -> list[tuple[i
     return [(a, b, after - before) for a, b, before, after in held]
 
 
-def word_score(word: bytes, lexicon: Lexicon) -> float | None:
-    """The score of a word of the lexicon, or of its beginning."""
-    own = lexicon.words.get(word)
-    return own if own is not None or not lexicon.prefixes else lexicon.prefixes.get(beginning(word))
-
-
 def segments(text: bytes | None, lexicon: Lexicon) -> tuple[int, list[tuple[int, int, float]]]:
     """Words of a text and its maximal segments."""
     own = words(text)
-    hits = [(i, s) for i, w in enumerate(own) if (s := word_score(w, lexicon))]
+    known, begins = lexicon.words.get, lexicon.prefixes.get
+    hits = [(i, s) for i, w in enumerate(own) if (s := known(w) or (begins(w[:PREFIX] if w.isascii() else beginning(w)) if len(w) > PREFIX else None))]
     return len(own), maximal_segments(hits, lexicon.rest)
 
 
