@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,16 @@ from pyspark.sql import functions as F
 from tramline.sources import schemas
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which all executors share; a temporary one only on a local master."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = tempfile.gettempdir()
+    return f"{top.rstrip('/')}/tramline-{uuid.uuid4().hex}"
+
+
 def silver(df: DataFrame, path: str) -> DataFrame:
     """Replaces a table and reads it back."""
     df.write.mode("overwrite").parquet(path)
