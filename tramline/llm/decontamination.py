@@ -258,7 +258,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
 
 def contaminated_keys(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Keys of the texts that hold an item's window."""
-    found = decontaminate(docs.select(text_key().alias("key"), "text"), items, "key")
+    found = decontaminate(docs.select(text_key().alias("key"), "text"), items, "key", slop=0)  # exact phrases alone decide
     return found.where(F.size("starts") > 0).select(F.col("id").alias("key")).distinct()
 
 
