@@ -3,9 +3,10 @@
 The index is cut by document: a block holds the postings of some whole
 documents, one row for each term of the block with all its positions, so no
 term's list grows beyond a block and a hot term makes no hot task. The test
-items are searched in batches of bounded size. For a batch, a semi-join takes
-from the stored index only the postings of its terms; each block is then
-searched on its own: for every window of item words the lists are shifted by
+items are laid in batches of bounded size, and all are searched in one pass: a
+join takes from the stored index the postings of their terms, each for the
+batches that hold it; a task then has one batch and some blocks, and searches
+each block on its own: for every window of item words the lists are shifted by
 the term's offset in the window and intersected from the rarest term on: without
 slop for exact phrases, and within a slop for proximity matches, which are the
 places from which every word of the window stands at its offset give or take
@@ -27,21 +28,22 @@ from itertools import groupby
 from operator import itemgetter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from tramline.llm.common import arrow_schema, partition_number, rows, stored, table, text_key, words
+from tramline.llm.common import arrow_schema, batch_of, partition_number, rows, small, stored, table, text_key, words
 
 #: Words of a block at least, unless its task has no more; a single longer document is a block.
 BLOCK_WORDS = 1 << 19
 #: Unused positions between two documents: more than twice any slop, so no match spans two.
 GAP = 16
-#: Words of test items that are searched, and broadcast, at once.
+#: Words of test items that a task searches at once.
 BATCH_WORDS = 1 << 18
+#: Blocks that a task searches for one batch.
+TOGETHER = 16
 
 
 def build_index(docs: DataFrame, id_column: str = "doc_id", block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -99,21 +101,31 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", block_words: int = B
     return index.where("kind = 'p'").select("block", "term", "positions"), index.where("kind = 'd'").select("block", "base", "id", "n_words")
 
 
-def item_batches(items: DataFrame, n: int, most: int) -> Iterator[list[tuple[object, list[bytes]]]]:
-    """Items as (id, words) in batches of at most ``most`` words; long items come in parts that share n - 1 words."""
-    batch, held = [], 0
-    for item in items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator(prefetchPartitions=False):
-        own = words(item["text"].encode())
-        step = max(1, most - n + 1)
-        for s in range(0, max(1, len(own) - n + 1) if own else 0, step):
-            part = own[s : s + step + n - 1]
-            if held and held + len(part) > most:
-                yield batch
-                batch, held = [], 0
-            batch.append((item["item_id"], part))
-            held += len(part)
-    if batch:
-        yield batch
+def item_batches(items: DataFrame, n: int, most: int) -> DataFrame:
+    """(batch, ids, texts): items in batches of at most ``most`` words; long items come in parts that share n - 1 words."""
+    items = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    id_field = arrow_schema(items.select("item_id")).field(0)
+    out = pa.schema([("batch", pa.int64()), ("ids", pa.list_(id_field.type)), ("texts", pa.list_(pa.binary()))])
+    step = max(1, most - n + 1)
+
+    def run(batches):
+        batch, ids, texts, held = partition_number() << 32, [], [], 0
+        for item, text in rows(batches, "item_id", "text", step=16):
+            own = words(text)
+            for s in range(0, max(1, len(own) - n + 1) if own else 0, step):
+                part = own[s : s + step + n - 1]
+                if held and held + len(part) > most:
+                    yield batch_of(out, [[batch], [ids], [texts]])
+                    batch, ids, texts, held = batch + 1, [], [], 0
+                ids.append(item)
+                texts.append(b" ".join(part))
+                held += len(part)
+        if ids:
+            yield batch_of(out, [[batch], [ids], [texts]])
+
+    dealt = items.repartition(int(total // (8 * most)) + 1)  # tasks with a few full batches each
+    return stored(dealt.mapInArrow(run, f"batch bigint, ids array<{items.schema['item_id'].dataType.simpleString()}>, texts array<binary>"))
 
 
 def windows_of(batch: list[tuple[object, list[bytes]]], n: int) -> dict[tuple[bytes, ...], list]:
@@ -163,44 +175,71 @@ def search_block(lists: dict[bytes, np.ndarray], windows: dict[tuple[bytes, ...]
                 yield window, starts, near
 
 
-def search(postings: DataFrame, directory: DataFrame, batch: list[tuple[object, list[bytes]]], n: int, slop: int, item_type: str) -> DataFrame:
-    """(block, base, spans, items, near_items) for each document with a match; spans of words don't overlap."""
-    spark = postings.sparkSession
-    windows = spark.sparkContext.broadcast(windows_of(batch, n))
-    terms = spark.createDataFrame([(bytearray(t),) for t in {t for _, own in batch for t in own}], "term binary")  # at most the words of a batch
-    wanted = postings.join(F.broadcast(terms), "term", "left_semi").select("block", "term", "positions", F.lit(None).cast("array<bigint>").alias("bases"))
-    where = directory.groupBy("block").agg(F.sort_array(F.collect_list("base")).alias("bases")).select("block", F.lit(None).cast("binary").alias("term"), F.lit(None).cast("binary").alias("positions"), "bases")
-    # a block's rows follow one another, the places of its documents first
-    lists = where.unionByName(wanted).repartition("block").sortWithinPartitions("block", "term")
+def search(postings: DataFrame, batches: DataFrame, blocks: int, n: int, slop: int) -> DataFrame:
+    """(block, length, items, starts, near) for each window that a block holds; starts and near are 32-bit positions."""
+    salts = max(1, -(-blocks // TOGETHER))
+    term = pa.schema([("term", pa.binary()), ("batch", pa.int64())])
+
+    def terms(own):
+        for batch, texts in rows(own, "batch", "texts", step=1):
+            found = sorted({w for text in texts for w in text.split()})
+            yield batch_of(term, [found, [batch] * len(found)])
+
+    every = stored(batches.mapInArrow(terms, "term binary, batch bigint"))
+    salt = F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt")
+    wanted = postings.join(small(every, 64), "term").select("batch", salt, "block", "term", "positions")
+    asked = batches.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # a batch stands before its blocks, and a block's rows follow one another
+    lines = asked.unionByName(wanted, allowMissingColumns=True).repartition("batch", "salt").sortWithinPartitions("batch", "salt", "block", "term")
+    schema = f"block bigint, length int, items {batches.schema['ids'].dataType.simpleString()}, starts binary, near binary"
+    made = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(lines):
+        now, windows = None, {}
+        for (batch, block), own in groupby(rows(lines, "batch", "block", "term", "positions", "ids", "texts"), key=itemgetter(0, 1)):
+            if block is None:
+                if batch != now:
+                    _, _, _, _, ids, texts = next(own)
+                    now, windows = batch, windows_of([(i, t.split()) for i, t in zip(ids, texts, strict=True)], n)
+                continue
+            found = {term: np.cumsum(np.frombuffer(positions, dtype="<i4"), dtype=np.int32) for _, _, term, positions, _, _ in own}
+            out = [(block, len(window), windows[window], starts.astype("<i4").tobytes(), near.astype("<i4").tobytes()) for window, starts, near in search_block(found, windows, slop)]
+            if out:
+                yield batch_of(made, list(map(list, zip(*out, strict=True))))
+
+    return lines.mapInArrow(run, schema)
+
+
+def placed(found: DataFrame, directory: DataFrame, slop: int) -> DataFrame:
+    """(block, base, starts, ends, items, near_items) for each document with a match; spans of words don't overlap."""
+    item_type = found.schema["items"].dataType.elementType.simpleString()
     schema = f"block bigint, base bigint, starts array<bigint>, ends array<bigint>, items array<{item_type}>, near_items array<{item_type}>"
+    made = to_arrow_schema(_parse_datatype_string(schema))
+    where = directory.groupBy("block").agg(F.sort_array(F.collect_list("base")).alias("bases")).join(found.select("block").distinct(), "block", "left_semi")
+    lines = where.withColumn("tag", F.lit(0)).unionByName(found.withColumn("tag", F.lit(1)), allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "tag")
 
     def run(batches):
-        for block, own in groupby(rows(batches, "block", "term", "positions", "bases"), key=itemgetter(0)):
-            _, _, _, bases = next(own)
-            bases = np.asarray(bases, dtype=np.int64)
-            found = {term: np.cumsum(np.frombuffer(positions, dtype="<i4"), dtype=np.int32) for _, term, positions, _ in own}
+        for block, own in groupby(rows(batches, "block", "bases", "length", "items", "starts", "near"), key=itemgetter(0)):
+            bases = np.asarray(next(own)[1], dtype=np.int64)
             hits: list[tuple[np.ndarray, int]] = []
             exact: dict[int, set] = {}
             close: dict[int, set] = {}
-            for window, starts, near in search_block(found, windows.value, slop):
-                items = windows.value[window]
+            for _, _, length, items, starts, near in own:
+                starts, near = (np.frombuffer(x, dtype="<i4").astype(np.int64) for x in (starts, near))
                 for places, to in ((starts, exact), (near + slop, close)):  # a near start may lie before its document, its first word doesn't
                     for doc in np.unique(np.searchsorted(bases, places, side="right") - 1).tolist():
                         to.setdefault(doc, set()).update(items)
                 if len(starts):
-                    hits.append((starts, len(window)))
-            if not close:
-                continue
+                    hits.append((starts, length))
             first, last = _merged(hits)
             doc = np.searchsorted(bases, first, side="right") - 1
             out = []
             for d in sorted(close):
                 spans = doc == d
                 out.append((block, int(bases[d]), (first[spans] - bases[d]).tolist(), (last[spans] - bases[d]).tolist(), list(exact.get(d, ())), list(close[d])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out, strict=True), made.types, strict=True)], schema=made)
+            yield batch_of(made, list(map(list, zip(*out, strict=True))))
 
-    made = to_arrow_schema(_parse_datatype_string(schema))
-    return lists.mapInArrow(run, schema)
+    return lines.mapInArrow(run, schema)
 
 
 def _merged(hits: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -215,25 +254,6 @@ def _merged(hits: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]
     return first[new], last[np.append(new[1:], len(last)) - 1]
 
 
-def merge_spans(found: DataFrame, item_type: str) -> DataFrame:
-    """Results of several batches, one row for each document."""
-    schema = f"block bigint, base bigint, starts array<bigint>, ends array<bigint>, items array<{item_type}>, near_items array<{item_type}>"
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        spans = sorted((s, e) for ss, es in zip(frame["starts"], frame["ends"], strict=True) for s, e in zip(ss, es, strict=True))
-        starts, ends = [], []
-        for s, e in spans:
-            if ends and s <= ends[-1]:
-                ends[-1] = max(ends[-1], e)
-            else:
-                starts.append(s)
-                ends.append(e)
-        union = lambda c: sorted({x for own in frame[c] for x in own}, key=str)
-        return pd.DataFrame([(frame["block"].iloc[0], frame["base"].iloc[0], starts, ends, union("items"), union("near_items"))], columns=["block", "base", "starts", "ends", "items", "near_items"])
-
-    return found.groupBy("block", "base").applyInPandas(run, schema)
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", n: int = 10, slop: int = 2, block_words: int = BLOCK_WORDS, batch_words: int = BATCH_WORDS) -> DataFrame:
     """(id, n_words, starts, ends, items, near_items) for every row of docs.
 
@@ -244,15 +264,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
         raise ValueError(f"slop is 0 to {(GAP - 1) // 2}")
     item_type = items.schema["item_id"].dataType.simpleString()
     postings, directory = build_index(docs, id_column, block_words)
-    parts = [stored(search(postings, directory, batch, n, slop, item_type)) for batch in item_batches(items, n, batch_words)]
+    blocks = directory.select("block").distinct().count()
+    found = stored(search(postings, item_batches(items, n, batch_words), blocks, n, slop))
+    found = stored(placed(found, directory, slop))
     none = {c: F.array().cast(f"array<{t}>") for c, t in (("starts", "bigint"), ("ends", "bigint"), ("items", item_type), ("near_items", item_type))}
-    if not parts:
-        return directory.select("id", "n_words", *(v.alias(k) for k, v in none.items()))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    if len(parts) > 1:
-        found = merge_spans(found, item_type)
     return directory.join(found, ["block", "base"], "left").select("id", "n_words", *(F.coalesce(k, v).alias(k) for k, v in none.items()))
 
 
