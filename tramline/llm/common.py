@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tasks(spark: SparkSession, least: int) -> int:
+    """Partitions of a shuffle: as many as the session has, and ``least`` at least, so that their size doesn't grow with the data."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), least)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; a local one only where that is unset and the master is local, as in tests."""
     top = spark.conf.get("spark.checkpoint.dir", None)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import LOWER_BYTES, arrow_schema, batch_of, partition_number, rows, stored, table
+from tramline.llm.common import LOWER_BYTES, arrow_schema, batch_of, partition_number, rows, stored, table, tasks
 
 DEPTH = 5
 #: Bytes by which parts are dealt, and those by which a part's trees are worked out in runs.
@@ -244,10 +244,10 @@ def blocks(texts: DataFrame, depth: int = DEPTH, parts: int = PARTS, block_bytes
     return made.where("tag = 'i'").select("kind", "part", "block", "codes", "n"), made.where("tag = 't'").select("block", "ids", "held", "lengths", "data")
 
 
-def merge_parts(items: DataFrame, salts: int) -> DataFrame:
-    """(kind, part, codes, n): the training counts of the whole corpus, one row for each part."""
+def merge_parts(items: DataFrame, salts: int, most: int) -> DataFrame:
+    """(kind, part, codes, n): the training counts of the whole corpus, one row for each part; ``most`` tasks do the first step."""
 
-    def step(of: DataFrame, *keys: str) -> DataFrame:
+    def step(of: DataFrame, number: int, *keys: str) -> DataFrame:
         out = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("codes", pa.binary()), ("n", pa.binary())])
 
         def run(batches):
@@ -262,10 +262,10 @@ def merge_parts(items: DataFrame, salts: int) -> DataFrame:
                 code, n = merged(held)
                 yield batch_of(out, [[key[0]], [key[1]], [squeeze_codes(code)], [squeeze(n)]])
 
-        return of.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "kind int, part int, codes binary, n binary")
+        return of.repartition(number, *keys).sortWithinPartitions(*keys).mapInArrow(run, "kind int, part int, codes binary, n binary")
 
-    some = step(items.select("kind", "part", salt_of(salts), "codes", "n"), "kind", "part", "salt")
-    return stored(step(some, "kind", "part"))
+    some = step(items.select("kind", "part", salt_of(salts), "codes", "n"), most, "kind", "part", "salt")
+    return stored(step(some, tasks(items.sparkSession, 1), "kind", "part"))
 
 
 def salt_of(salts: int) -> Column:
@@ -492,12 +492,12 @@ class Lookup:
         return out, found
 
 
-def answers(items: DataFrame, values: DataFrame, salts: int) -> DataFrame:
-    """(block, kind, part, data): the values (kind, part, codes, data) of each block's items, in the order of its codes."""
+def answers(items: DataFrame, values: DataFrame, salts: int, most: int) -> DataFrame:
+    """(block, kind, part, data): the values (kind, part, codes, data) of each block's items, in the order of its codes; by ``most`` tasks."""
     known = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("tag", F.lit(0))
     asked = items.select("kind", "part", "block", "codes", salt_of(salts), F.lit(1).alias("tag"))
     keys = ["kind", "part", "salt"]
-    lines = known.unionByName(asked, allowMissingColumns=True).repartition(*keys).sortWithinPartitions(*keys, "tag")
+    lines = known.unionByName(asked, allowMissingColumns=True).repartition(most, *keys).sortWithinPartitions(*keys, "tag")
     out = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("data", pa.binary())])
 
     def run(batches):
@@ -511,11 +511,11 @@ def answers(items: DataFrame, values: DataFrame, salts: int) -> DataFrame:
     return lines.mapInArrow(run, "block bigint, kind int, part int, data binary")
 
 
-def score_blocks(texts: DataFrame, answered: DataFrame, depth: int, parts: int) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, words, bits): each block's answers stand before its texts, which are scored with them."""
+def score_blocks(texts: DataFrame, answered: DataFrame, depth: int, parts: int, most: int) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, words, bits): each block's answers stand before its texts, which are scored with them; by ``most`` tasks."""
     id_type = texts.schema["ids"].dataType.elementType.simpleString()
     lines = answered.withColumn("tag", F.lit(0)).unionByName(texts.withColumn("tag", F.lit(1)), allowMissingColumns=True)
-    lines = lines.repartition("block").sortWithinPartitions("block", "tag", "kind", "part")
+    lines = lines.repartition(most, "block").sortWithinPartitions("block", "tag", "kind", "part")
     out = pa.schema([pa.field("doc_id", arrow_schema(texts.select("ids")).field(0).type.value_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("words", pa.float64()), ("bits", pa.float64())])
 
     def run(batches):
@@ -591,8 +591,10 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, parts
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs."""
     held = held_out() if held is None else held
     items, texts = blocks(docs.select("doc_id", held.alias("held_out"), "text"), depth, parts, block_bytes)
-    salts = max(1, math.ceil(items.select("block").distinct().count() / together))
-    counted = merge_parts(items, salts)
+    n_blocks = items.select("block").distinct().count()
+    salts = max(1, math.ceil(n_blocks / together))
+    exchange, scoring = tasks(docs.sparkSession, n_blocks // 8), tasks(docs.sparkSession, n_blocks)
+    counted = merge_parts(items, salts, exchange)
 
     def totals(batches):
         for (n,) in rows(batches, "n", step=16):
@@ -604,7 +606,7 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, parts
     n_train, v_train = int(sums["n"] or 0), int(sums["v"] or 0)
     values = gram_values(counted.where(f"kind = {GRAM}"), depth).select(F.lit(GRAM).alias("kind"), "part", "codes", "data")
     values = stored(values.unionByName(words.select("kind", "part", "codes", F.col("n").alias("data"))))
-    scored = score_blocks(texts, answers(items, values, salts), depth, parts)
+    scored = score_blocks(texts, answers(items, values, salts, exchange), depth, parts, scoring)
     scale = math.log10(n_train + v_train + 1)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), (F.col("words") - F.col("n_tokens") * scale).alias("base_score"), (F.col("bits") * math.log10(2)).alias("score"))
 
