@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from tramline.llm.common import arrow_schema, batch_of, partition_number, rows, small, stored, table, text_key, words
+from tramline.llm.common import arrow_schema, batch_of, partition_number, rows, small, stored, table, tasks, text_key, words
 
 #: Words of a block at least, unless its task has no more; a single longer document is a block.
 BLOCK_WORDS = 1 << 19
@@ -190,7 +190,7 @@ def search(postings: DataFrame, batches: DataFrame, blocks: int, n: int, slop: i
     wanted = postings.join(small(every, 64), "term").select("batch", salt, "block", "term", "positions")
     asked = batches.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # a batch stands before its blocks, and a block's rows follow one another
-    lines = asked.unionByName(wanted, allowMissingColumns=True).repartition("batch", "salt").sortWithinPartitions("batch", "salt", "block", "term")
+    lines = asked.unionByName(wanted, allowMissingColumns=True).repartition(tasks(postings.sparkSession, salts), "batch", "salt").sortWithinPartitions("batch", "salt", "block", "term")
     schema = f"block bigint, length int, items {batches.schema['ids'].dataType.simpleString()}, starts binary, near binary"
     made = to_arrow_schema(_parse_datatype_string(schema))
 
