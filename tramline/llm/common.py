@@ -53,11 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, *partition_by: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written once and read again: its rows, and row numbers in them, no longer change."""
+    """``df`` written once and read again: its rows, and row numbers in them, no longer change.
+
+    A task writes the few values of ``partition_by`` side by side, so it has no rows to sort by them.
+    """
     spark = df.sparkSession
     path = shared_dir(spark)
     writer = df.write.option("compression", compression)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        side_by_side = "spark.sql.maxConcurrentOutputFileWriters"
+        before = spark.conf.get(side_by_side, "0")
+        spark.conf.set(side_by_side, "8")
+        try:
+            writer.partitionBy(*partition_by).parquet(path)
+        finally:
+            spark.conf.set(side_by_side, before)
+    else:
+        writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     return out.select(*df.columns)
 
