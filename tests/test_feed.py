@@ -56,7 +56,10 @@ def built(spark, network):
     points = [[114.17, 22.30 + i * 0.01] for i in range(4)]
     waypoints = df([("10", "O", "10-O.json", points), ("10", "I", "10-I.json", points[::-1])], "route_id string, bound string, file string, points array<array<double>>")
     tables = feed.build(parts, gov, edges, calendar, dates, rules, attributes, waypoints)
-    return {k: v.cache() for k, v in tables.items()}
+    kept = {k: v.cache() for k, v in tables.items()}
+    yield kept
+    for df in kept.values():  # the planner compares every later plan with what is cached
+        df.unpersist()
 
 
 def test_matching(network):
