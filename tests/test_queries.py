@@ -8,8 +8,8 @@ from compare import same_rows
 from tramline.plans import catalog
 
 
-#: A rule that depends on order, HTML, and HTML's entities in CSV.
-IN_PYTHON = {"greedy_cluster", "timetable_pages", "headway_pages", "csv_source", "feed_text", "gov_table"}
+#: A rule that depends on order, HTML, HTML's entities in CSV, and map projections by numpy.
+IN_PYTHON = {"geocoded_stations", "geocoded_exits", "greedy_cluster", "timetable_pages", "headway_pages", "csv_source", "feed_text", "gov_table"}
 #: Queries that add the one row of a median to every row.
 ONE_ROW = {"edge_time_fallback", "rail_stop_times"}
 

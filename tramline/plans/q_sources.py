@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,3 +143,81 @@ def shapes_by_trip(read):
     trips = read("orders").selectExpr("CASE WHEN o_orderkey < 1000000 THEN o_orderkey + 1000000 ELSE o_orderkey END AS k", "o_custkey").selectExpr("string(k) AS trip_id", "CASE WHEN k % 3 > 0 THEN concat('shape ', o_custkey) END AS shape_id")
     shapes = trips.where("shape_id IS NOT NULL").select("shape_id").distinct()
     return sinks.shapes_named_by_trip(shapes, trips)[1].select("trip_id", "shape_id")
+
+
+def _grid_sql(source: str) -> str:
+    """CTEs that give ``placed``: ``source`` (with metres e and n of the Hong Kong 1980 Grid) and its lat and lon, a step of each iteration a CTE."""
+    num = lambda x: f"{x!r}::DOUBLE"
+    a, e2 = 6378388.0, 1 / 297.0 * (2 - 1 / 297.0)
+    lat0, lon0 = math.radians(22 + 18 / 60 + 43.68 / 3600), math.radians(114 + 10 / 60 + 42.80 / 3600)
+    c0, c2, c4 = 1 - e2 / 4 - 3 * e2**2 / 64, 3 / 8 * (e2 + e2**2 / 4), 15 / 256 * e2**2
+    arc = lambda x: f"{num(a)} * ({num(c0)} * {x} - {num(c2)} * sin(2 * {x}) + {num(c4)} * sin(4 * {x}))"
+    bent = f"(1 - {num(e2)} * pow(sin(b), 2))"
+    steps = [f"b0 AS (SELECT *, e - {num(836694.05)} AS dx, n - {num(819069.80)} AS dy, {num(lat0)} + (n - {num(819069.80)}) / {num(a * c0)} AS b FROM {source})"]
+    steps += [f"b{i + 1} AS (SELECT * REPLACE (b - ({arc('b')} - {arc(num(lat0))} - dy) / ({num(a * (1 - e2))} / pow({bent}, 1.5)) AS b) FROM b{i})" for i in range(8)]
+    steps.append(f"k AS (SELECT *, tan(b) AS t, {num(a)} / sqrt({bent}) AS nu, {num(a * (1 - e2))} / pow({bent}, 1.5) AS rho FROM b8)")
+    steps.append(
+        f"h AS (SELECT *, b - t / rho * pow(dx, 2) / (2 * nu) * (1 - pow(dx, 2) / (12 * pow(nu, 2)) * (9 * nu / rho * (1 - pow(t, 2)) + 12 * pow(t, 2) - 4 * pow(nu / rho, 2))) AS la, "
+        f"{num(lon0)} + dx / (nu * cos(b)) * (1 - pow(dx, 2) / (6 * pow(nu, 2)) * (nu / rho + 2 * pow(t, 2))) AS lo FROM k)"
+    )
+    steps.append(f"v AS (SELECT *, {num(a)} / sqrt(1 - {num(e2)} * pow(sin(la), 2)) AS w FROM h)")
+    steps.append(f"u AS (SELECT *, w * cos(la) * cos(lo) AS x, w * cos(la) * sin(lo) AS y, w * {num(1 - e2)} * sin(la) AS z FROM v)")
+    rx, ry, rz = (num(math.radians(s / 3600)) for s in (0.067753, -2.243649, -1.158827))
+    scale, f2 = num(1 - 1.094246e-6), 1 / 298.257223563 * (2 - 1 / 298.257223563)
+    steps.append(f"m AS (SELECT * REPLACE (-162.619 + {scale} * (x - {rz} * y + {ry} * z) AS x, -276.959 + {scale} * ({rz} * x + y - {rx} * z) AS y, -161.764 + {scale} * (- {ry} * x + {rx} * y + z) AS z) FROM u)")
+    steps.append(f"g0 AS (SELECT *, atan2(z, sqrt(x * x + y * y) * {num(1 - f2)}) AS g FROM m)")
+    steps += [f"g{i + 1} AS (SELECT * REPLACE (atan2(z + {num(f2)} * 6378137.0 / sqrt(1 - {num(f2)} * pow(sin(g), 2)) * sin(g), sqrt(x * x + y * y)) AS g) FROM g{i})" for i in range(6)]
+    return ", ".join([*steps, "placed AS (SELECT *, degrees(g) AS lat, degrees(atan2(y, x)) AS lon FROM g6)"])
+
+
+@query(f"""
+WITH c AS (SELECT c_custkey AS id, c_name AS station, 830694.0 + c_custkey % 977 * 13 AS e, 815069.0 + c_custkey % 743 * 11 AS n FROM customer WHERE c_custkey % 5 > 0), {_grid_sql("c")}
+SELECT c_custkey, c_name AS station, round(lat, 6) AS lat, round(lon, 6) AS lon FROM customer LEFT JOIN placed ON id = c_custkey""")
+def geocoded_stations(read):
+    """Stations at the first geocode of their names, from grid metres to degrees; null where the geocoder knows none."""
+    east, north = "830694D + c_custkey % 977 * 13", "815069D + c_custkey % 743 * 11"
+    codes = read("customer").where("c_custkey % 5 > 0").selectExpr("c_name AS name", "explode(array(0, 1)) AS rank", f"{east} AS e", f"{north} AS n").selectExpr("name", "rank", "e + rank * 100 AS east", "n + rank * 100 AS north")
+    found = readers.geocoded(read("customer").selectExpr("c_custkey", "c_name AS station"), codes, "station")
+    return found.select("c_custkey", "station", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
+@query(f"""
+WITH c AS (SELECT n_nationkey, n_regionkey, exit, 833000.0 + n_nationkey * 211 + length(exit) AS e, 817000.0 + n_nationkey * 97 AS n FROM nation, (VALUES ('A'), ('B1'), ('Z9')) v(exit)), {_grid_sql("c")}
+SELECT 'N' || n_nationkey AS station_code, exit, n_regionkey % 2 = 0 AND exit <> 'Z9' AS barrier_free, round(lat, 6) AS lat, round(lon, 6) AS lon FROM placed""")
+def geocoded_exits(read):
+    """Exits that the geocoder knows by a built name, and whether a lift serves them; codes that no exit can have are not asked for."""
+    stations = read("nation").selectExpr("concat('N', n_nationkey) AS station_code", "n_name AS station_name_en", "n_name AS station_name_zh")
+    own = read("nation").selectExpr("*", "explode(array('A', 'B1', 'Z9', 'AA')) AS exit")
+    found = own.selectExpr("concat(upper(n_name), ' STATION EXIT ', exit) AS name", "833000D + n_nationkey * 211 + length(exit) AS east", "817000D + n_nationkey * 97 AS north", "CASE WHEN n_regionkey % 2 = 0 THEN 'Lift at A, B1' END AS facility")
+    return readers.station_exits(stations, found).select("station_code", "exit", "barrier_free", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS route_id, CASE WHEN n_regionkey % 2 = 0 THEN 2 ELSE 3 END AS n_points, n_nationkey / 8 AS first_lon, n_regionkey / 4 AS last_lat FROM nation WHERE n_regionkey < 4")
+def waypoint_files(read):
+    """Points of files with a line, or a line of several parts; other shapes have none."""
+    point = lambda i: f"array(n_nationkey / 8D + {i}, n_regionkey / 4D)"
+    line, parts = f"to_json(array({point(0)}, {point(1)}))", f"to_json(array(array({point(0)}, {point(1)}), array({point(2)})))"
+    kind = "CASE WHEN n_regionkey = 4 THEN 'Point' WHEN n_regionkey % 2 = 0 THEN 'LineString' ELSE 'MultiLineString' END"
+    shape = f"CASE WHEN n_regionkey = 4 THEN '[1, 2]' WHEN n_regionkey % 2 = 0 THEN {line} ELSE {parts} END"
+    head = "'{\"type\": \"FeatureCollection\", \"features\": [{\"type\": \"Feature\", \"properties\": {\"ROUTE_ID\": \"', n_nationkey, '\"}, \"geometry\": {\"type\": \"'"
+    df = read("nation").selectExpr("n_nationkey", f"concat({head}, {kind}, '\", \"coordinates\": ', {shape}, '}}}}]}}') AS value")
+    folder = sinks.work_folder(df.sparkSession)
+    df.write.partitionBy("n_nationkey").option("compression", "none").format("text").save(folder)
+    files = readers.waypoints(df.sparkSession, folder, "*.txt")
+    return files.select("route_id", F.size("points").alias("n_points"), F.element_at("points", 1)[0].alias("first_lon"), F.element_at("points", -1)[1].alias("last_lat"))
+
+
+@query("SELECT c_nationkey, count(*) AS n, round(avg(c_acctbal), 4) AS mean FROM customer GROUP BY c_nationkey")
+def audit_text(read):
+    """A diagnostic table as it is written."""
+    df = read("customer").groupBy("c_nationkey").agg(F.count("*").alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean"))
+    folder = sinks.work_folder(df.sparkSession)
+    sinks.audit(df, folder)
+    return df.sparkSession.read.option("header", True).schema("c_nationkey int, n bigint, mean double").csv(folder)
+
+
+@query("SELECT cid + 1 AS place, name, CASE type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS type FROM pragma_table_info('customer')")
+def table_schema(read):
+    """The columns of a table as its schema document lists them."""
+    df = read("customer")
+    return df.sparkSession.createDataFrame([(i, f["name"], f["type"]) for i, f in enumerate(sinks.schema_json(df)["fields"], 1)], "place int, name string, type string")

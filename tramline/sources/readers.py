@@ -76,9 +76,9 @@ def hourly_edges(spark: SparkSession, folder: str) -> DataFrame:
     return outer.select("weekday", "hour", "from_id", F.explode(F.from_json("inner", "map<string,string>")).alias("to_id", "seconds")).withColumn("seconds", F.col("seconds").try_cast("double"))
 
 
-def waypoints(spark: SparkSession, folder: str) -> DataFrame:
+def waypoints(spark: SparkSession, folder: str, files: str = "*.json") -> DataFrame:
     """(route_id, bound, file, points) of GeoJSON files ROUTE-BOUND.json: all parts' points of the first feature, as [lon, lat]."""
-    raw = spark.read.schema(schemas.GEOJSON).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder).withColumn("file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    raw = spark.read.schema(schemas.GEOJSON).option("multiLine", True).option("pathGlobFilter", files).json(folder).withColumn("file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
     one = raw.withColumn("f", F.get("features", F.lit(0))).where("f IS NOT NULL")
     line, parts = (F.from_json("f.geometry.coordinates", kind) for kind in ("array<array<double>>", "array<array<array<double>>>"))
     points = F.when(F.col("f.geometry.type") == "MultiLineString", F.flatten(parts)).when(F.col("f.geometry.type") == "LineString", line)
