@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tramline.llm import decontamination, licenses, neardup, packing, quality, scoring, secrets, sharding, tokencounts, toxicity
+from tramline.llm import decontamination, infill, licenses, neardup, packing, quality, scoring, secrets, sharding, tokencounts, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_lm_score": scoring.op9_lm_score,
     "op10_licenses": licenses.op10_licenses,
+    "op11_fill_in_middle": infill.op11_fill_in_middle,
     "secrets_second_scan": secrets.secrets_second_scan,
 }
 
@@ -22,5 +23,6 @@ SQL = {
     "op1_decontamination": decontamination.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
     "op7_secrets": secrets.ORACLE_SQL,
+    "op11_fill_in_middle": infill.ORACLE_SQL,
     "secrets_second_scan": secrets.SECOND_SCAN_SQL,
 }
