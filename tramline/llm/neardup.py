@@ -50,9 +50,8 @@ TILE = 256
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def shingles(text: bytes | None, n: int = N_WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
-    own = words(text)
+def shingle_hashes(own: list[bytes], n: int = N_WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the runs of n words; fewer words are one run."""
     if not own:
         return np.zeros(0, dtype=np.uint64)
     one = np.fromiter(map(xxhash.xxh3_64_intdigest, own), dtype=np.uint64, count=len(own))
@@ -67,6 +66,11 @@ def shingles(text: bytes | None, n: int = N_WORDS) -> np.ndarray:
     return np.unique(made)
 
 
+def shingles(text: bytes | None, n: int = N_WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text."""
+    return shingle_hashes(words(text), n)
+
+
 @lru_cache
 def _factors(values: int) -> np.ndarray:
     return np.random.default_rng(7).integers(1, 2**63, values, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

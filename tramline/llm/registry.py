@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tramline.llm import decontamination, infill, licenses, neardup, packing, prefixtrie, quality, scoring, secrets, sharding, tokencounts, toxicity
+from tramline.llm import decontamination, infill, licenses, neardup, packing, prefixtrie, quality, scoring, secrets, sharding, superminhash, tokencounts, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_lm_score": scoring.op9_lm_score,
     "op10_licenses": licenses.op10_licenses,
     "op11_fill_in_middle": infill.op11_fill_in_middle,
+    "op12_minhash_dedup": superminhash.op12_minhash_dedup,
     "op13_prefix_trie": prefixtrie.op13_prefix_trie,
     "secrets_second_scan": secrets.secrets_second_scan,
 }
@@ -25,6 +26,7 @@ SQL = {
     "op3_quality": quality.ORACLE_SQL,
     "op7_secrets": secrets.ORACLE_SQL,
     "op11_fill_in_middle": infill.ORACLE_SQL,
+    "op12_minhash_dedup": superminhash.ORACLE_SQL,
     "op13_prefix_trie": prefixtrie.ORACLE_SQL,
     "secrets_second_scan": secrets.SECOND_SCAN_SQL,
 }
