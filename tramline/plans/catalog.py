@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tramline.plans import q_fares, q_feed, q_joins, q_rail, q_scalars, q_schedule, q_sets, q_sources
+from tramline.plans import q_build, q_fares, q_feed, q_joins, q_rail, q_scalars, q_schedule, q_sets, q_sources
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (q_schedule, q_joins, q_fares, q_sets, q_scalars, q_feed, q_rail, q_sources):
+for _module in (q_schedule, q_joins, q_fares, q_sets, q_scalars, q_feed, q_build, q_rail, q_sources):
     QUERIES.update(_module.REGISTRY.queries)
     SQL.update(_module.REGISTRY.sql)

@@ -1,7 +1,7 @@
 """The schedule feed: silver tables and the government feed to the tables that are written.
 
-Each step is one lazy plan from DataFrames to a DataFrame. What differs between
-agencies is data: AGENCIES.
+Each step is one lazy plan from DataFrames to a DataFrame; ``build`` puts them
+together in stages. What differs between agencies is data: AGENCIES.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from tramline.functions.geo import haversine_m, planar
 from tramline.operators import calendars, fares, schedule, selection, spatial
 from tramline.plans import fixed
 from tramline.plans.silver import Silver
+from tramline.plans.stages import Stages
 
 #: Fixed rules by agency: government agencies that may match, tolerance of stop counts, whether directions must agree.
 AGENCIES = [("KMB", ["KMB", "LWB", "KMB+CTB", "KWB"], 20, True), ("CTB", ["CTB"], 12, False), ("GMB", ["GMB"], 15, False), ("MTRB", ["LRTFeeder"], 12, False), ("NLB", ["NLB"], 15, False)]
@@ -141,7 +142,7 @@ def match_report(silver: Silver, matches: DataFrame) -> DataFrame:
 
 
 def trips(silver: Silver, matches: DataFrame) -> DataFrame:
-    """One trip for each route and matched service; a placeholder of service NEVER for each route without one."""
+    """One trip for each route and matched service, in the government's same direction where there is a choice; a placeholder of service NEVER for each route without one."""
     own = silver.routes.join(matches, ["agency", "route_key"], "left").withColumn("is_dummy", F.col("service_id").isNull())
     service = F.coalesce("service_id", F.lit("NEVER"))
     line = F.concat_ws("-", "agency", "route")
@@ -149,7 +150,7 @@ def trips(silver: Silver, matches: DataFrame) -> DataFrame:
         "agency", line.alias("route_id"), F.concat_ws("-", line, "bound", service).alias("service_id"), F.concat_ws("-", F.col("agency"), F.col("route"), F.col("bound"), F.col("service_type"), F.when(F.col("agency") == "NLB", F.col("route_key")), service).alias("trip_id"),
         F.when(F.col("bound") == "I", 1).otherwise(0).alias("direction_id"), "bound", "route", "route_key", "service_type", service.alias("original_service_id"), "gov_route_id", "gov_bound", "orig_en", "orig_tc", "dest_en", "dest_tc", "is_dummy",
     )
-    return selection.keep_first(out, "trip_id", [F.col("gov_route_id"), F.col("route_key")])
+    return selection.keep_first(out, "trip_id", [F.col("gov_route_id"), F.col("route_key"), F.desc(F.col("gov_bound") == F.col("bound")), F.col("gov_bound")])
 
 
 def routes(silver: Silver, colors: dict[str, str] = fixed.COLORS) -> DataFrame:
@@ -533,20 +534,31 @@ def translate(silver: Silver, own_routes: DataFrame, own_trips: DataFrame) -> Da
     return selection.keep_first(selection.union_all(*parts), ["table_name", "field_name", "language", "record_id"], [F.col("translation")])
 
 
-def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFrame, gov_calendar_dates: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame, waypoints: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of a bus feed, each a lazy plan."""
-    silver = splice_one_way(together(parts), gov)
-    own_trips = trips(silver, match(silver, gov))
-    own_stops = stops(silver)
-    times = finalise_stop_times(stop_times(own_trips, silver.patterns, edges), own_stops)
+def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFrame, gov_calendar_dates: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame, waypoints: DataFrame | None = None, stages: Stages | None = None) -> dict[str, DataFrame]:
+    """All tables of a bus feed.
+
+    What several tables need is a stage: written once and read again, so no plan repeats the steps before it, and a
+    job that is started again on the folder of its stages skips those that are whole.
+    """
+    spark = edges.sparkSession
+    stage = stages or Stages(spark)
+    gov = Gov(*(stage(f"gov_{name}", lambda df=df: df) for name, df in zip(Gov._fields, gov, strict=True)))
+    read = Silver(*(stage(f"read_{name}", lambda i=i: together(parts)[i]) for i, name in enumerate(Silver._fields)))
+    spliced = splice_one_way(read, gov)
+    silver = read._replace(routes=stage("network_routes", lambda: spliced.routes), patterns=stage("network_patterns", lambda: spliced.patterns))
+    matches = stage("matches", lambda: match(silver, gov))
+    own_trips = stage("own_trips", lambda: trips(silver, matches))
+    own_stops = stage("own_stops", lambda: stops(silver))
+    times = stage("times", lambda: finalise_stop_times(stop_times(own_trips, silver.patterns, edges), own_stops))
+    priced = stage("trip_fares", lambda: trip_fares(own_trips, fare_rules, fare_attributes))
     if waypoints is None:
         shaped = own_trips.withColumn("shape_id", F.lit(None).cast("string"))
     else:
-        shaped = match_shapes(own_trips, waypoints, gov.routes, ends=trip_ends(times, own_stops))
-    priced = trip_fares(own_trips, fare_rules, fare_attributes)
-    own_routes = routes(silver)
+        ways = stage("waypoints", lambda: waypoints)
+        shaped = stage("shaped_trips", lambda: match_shapes(own_trips, ways, gov.routes, ends=trip_ends(times, own_stops)))
+    own_routes = stage("own_routes", lambda: routes(silver))
     out = {
-        "agency": agencies(silver.routes.sparkSession),
+        "agency": agencies(spark),
         "stops": own_stops,
         "routes": own_routes,
         "trips": headsigns(shaped),
@@ -559,7 +571,7 @@ def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFra
         "special_fare_rules": special_fares(priced, times),
     }
     if waypoints is not None:
-        out["shapes"] = selection.referential(shapes(waypoints), shaped.where("shape_id IS NOT NULL"), "shape_id")
+        out["shapes"] = selection.referential(shapes(ways), shaped.where("shape_id IS NOT NULL"), "shape_id")
     return out
 
 

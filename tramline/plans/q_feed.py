@@ -200,7 +200,8 @@ def feed_gov_trips(read):
     return feed.gov_patterns(own_trips(read), gov(read))
 
 
-@query(f"""WITH {NETWORK}, {GOV}, {TRIPS}, {_PAIRS},
+#: Government frequencies, else headways between first departures, joined where they meet and cut where the next begins.
+FREQUENCIES = """
 given AS (SELECT pairs.trip_id, s, e, h FROM pairs JOIN gf ON gf.trip_id = gov_trip_id),
 dep AS (SELECT DISTINCT pairs.trip_id, sec FROM pairs JOIN (SELECT trip_id AS gov_trip_id, arg_min(sec, stop_sequence) AS sec FROM gs GROUP BY trip_id) USING (gov_trip_id) WHERE pairs.trip_id NOT IN (SELECT trip_id FROM given)),
 made AS (SELECT trip_id, sec AS s, coalesce(lead(sec) OVER w - sec, sec - lag(sec) OVER w, 86400) AS h FROM dep WINDOW w AS (PARTITION BY trip_id ORDER BY sec)),
@@ -210,7 +211,10 @@ b AS (SELECT *, sum(turn) OVER (PARTITION BY trip_id ORDER BY s) AS run FROM a),
 c AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY trip_id, run ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS brk FROM b),
 d AS (SELECT *, sum(brk) OVER (PARTITION BY trip_id ORDER BY s) AS island FROM c),
 f AS (SELECT trip_id, min(s) AS s, max(e) AS e, min(h) AS h FROM d GROUP BY trip_id, island),
-g AS (SELECT trip_id, s, least(e, coalesce(lead(s) OVER (PARTITION BY trip_id ORDER BY s), e)) AS e, h FROM f)
+g AS (SELECT trip_id, s, least(e, coalesce(lead(s) OVER (PARTITION BY trip_id ORDER BY s), e)) AS e, h FROM f)"""
+
+
+@query(f"""WITH {NETWORK}, {GOV}, {TRIPS}, {_PAIRS}, {FREQUENCIES}
 SELECT trip_id, {clock_sql("s")} AS start_time, {clock_sql("e")} AS end_time, h AS headway_secs FROM g""")
 def feed_frequencies(read):
     """Government frequencies of matched trips, else headways between first departures; none overlap."""
@@ -360,7 +364,7 @@ def feed_match_by_place(read):
     return feed.match_by_place(Silver(as_gmb(own.routes), own.stops, as_gmb(own.patterns)), renamed, 20_000.0)
 
 
-def _distances(a: str, b: str, c: str, d: str) -> str:
+def distances_sql(a: str, b: str, c: str, d: str) -> str:
     return f"{haversine_sql(f'{a}_lat', f'{a}_lon', f'{b}_lat', f'{b}_lon')} + {haversine_sql(f'{c}_lat', f'{c}_lon', f'{d}_lat', f'{d}_lon')}"
 
 
@@ -370,7 +374,7 @@ own AS (
   SELECT trip_id, arg_min(lat, sequence) AS f_lat, arg_min(lon, sequence) AS f_lon, arg_max(lat, sequence) AS l_lat, arg_max(lon, sequence) AS l_lon FROM ot JOIN patterns USING (agency, route_key) JOIN places USING (stop_id) GROUP BY trip_id),
 his AS (
   SELECT trip_id AS gov_trip_id, arg_min(stop_lat, stop_sequence) AS gf_lat, arg_min(stop_lon, stop_sequence) AS gf_lon, arg_max(stop_lat, stop_sequence) AS gl_lat, arg_max(stop_lon, stop_sequence) AS gl_lon FROM gs JOIN gp USING (stop_id) GROUP BY trip_id),
-x AS (SELECT trip_id, {_distances("f", "gf", "l", "gl")} AS al, {_distances("f", "gl", "l", "gf")} AS inv FROM sample JOIN own USING (trip_id) JOIN his USING (gov_trip_id))
+x AS (SELECT trip_id, {distances_sql("f", "gf", "l", "gl")} AS al, {distances_sql("f", "gl", "l", "gf")} AS inv FROM sample JOIN own USING (trip_id) JOIN his USING (gov_trip_id))
 SELECT trip_id, round(al, 2) AS aligned, round(inv, 2) AS inverted, inv + 200 < al AS warning, inv + 200 < al AND inv < 500 AS flip FROM x""")
 def feed_inversions(read):
     """Distances of our ends from the government's, as they are and turned."""
