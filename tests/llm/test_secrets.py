@@ -7,6 +7,8 @@ import random
 import re
 import time
 
+import pytest
+
 from compare import same_rows
 
 from tramline.llm import secrets as S
@@ -157,3 +159,22 @@ def test_hot_blobs_are_scanned_once(spark, tmp_path, monkeypatch):
 def test_second_scan_equals_sql(spark, duck, data):
     cursor = duck.execute(S.SECOND_SCAN_SQL)
     same_rows(S.secrets_second_scan(spark, data), cursor.fetchall(), [d[0] for d in cursor.description])
+
+
+def test_one_pass_rules_equal_their_patterns():
+    rng = random.Random(6)
+    rules = [r for r in S.RULES if r.name in S._PASSES]
+    assert {r.kind for r in rules} == {"jwt", "login"}
+    pieces = ["eyJ", "eyJabcdefgh", ".", ".eyJ", "eyJ01234567.eyJ01234567.01234567", "-", "_", "x" * 12, " ", "://", "http", "9+a", "u:pw", ":pwd@", "@", "/", "é", "Z", "http://u:password@", "\n"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 14)))
+        for rule in rules:
+            want = [(m.start(), m.end()) for m in re.finditer(rule.pattern, text) if m.end() - m.start() >= rule.least]
+            assert [(a, b) for _, _, a, b in S.find(text, [rule])] == want, text
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " http://x", "eyJ" * 333_333, "a://" * 250_000, "eyJ01234567." * 83_333, "://" + "u" * 500_000 + ":" + "p" * 500_000, "http://u:" * 110_000, "a.b-" * 250_000 + "://u:pass@h"])
+def test_a_megabyte_takes_less_than_a_second(text):
+    began = time.perf_counter()
+    S.find(text, [r for r in S.RULES if r.kind in ("jwt", "login")])
+    assert time.perf_counter() - began < 1

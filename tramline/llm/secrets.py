@@ -23,6 +23,7 @@ empty table gives no rows and an empty ledger.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
@@ -67,8 +68,8 @@ MORE = (
     Rule("pem", 2, _PEM, 1, 0, ("private key",)),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 40, 0, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 15, 0, ("xox",)),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30, 0, ("eyj",)),
-    Rule("login", 2, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]+:[^\x00-\x20:/@]{3,}@", 10, 0, ("://",)),
+    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30, 0, ("eyj",)),
+    Rule("login", 3, r"[a-z][a-z0-9+.-]*://[^\x00-\x20:/@]+:[^\x00-\x20:/@]{3,}@", 10, 0, ("://",)),
 )
 RULES = BASE + MORE
 
@@ -82,6 +83,38 @@ def _compiled(rule: Rule) -> re.Pattern:
     return re.compile(rule.pattern)
 
 
+_RUN = re.compile(r"[A-Za-z0-9_-]+")
+_LOGIN_TAIL = re.compile(r"://[^\x00-\x20:/@]++:[^\x00-\x20:/@]{3,}+@")
+
+
+def _jwt_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the rule jwt: a run of its characters can begin one at its first ``eyJ`` or nowhere, so each run is looked at a few times at most."""
+    run = _RUN.search(text)
+    while run:
+        start = text.find("eyJ", run.start(), run.end())
+        following = run.end() - start >= 11 and start >= 0 and text.startswith(".eyJ", run.end()) and _RUN.match(text, run.end() + 1)
+        last = following and following.end() - following.start() >= 11 and text.startswith(".", following.end()) and _RUN.match(text, following.end() + 1)
+        if last and last.end() - last.start() >= 8:
+            yield start, last.end()
+            run = last
+        run = _RUN.search(text, run.end())
+
+
+def _login_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the rule login: found by what follows the scheme, which is then read backwards; no character belongs to two schemes."""
+    low = 0
+    for tail in _LOGIN_TAIL.finditer(text):
+        head = text[low : tail.start()]
+        scheme = head[len(head.rstrip("abcdefghijklmnopqrstuvwxyz0123456789+.-")) :].lstrip("0123456789+.-")
+        if scheme:
+            yield tail.start() - len(scheme), tail.end()
+        low = tail.end()
+
+
+#: Rules whose matches are found in one pass, where the pattern alone would begin anew at every character of a long run.
+_PASSES = {"jwt@2": _jwt_spans, "login@3": _login_spans}
+
+
 def find(text: str, rules: tuple[Rule, ...] | list[Rule] = RULES, compiled: dict[str, re.Pattern] | None = None) -> list[tuple[str, str, int, int]]:
     """(rule, kind, start, end) of each match, leftmost and without overlap in a kind; those too short are dropped."""
     found, low = [], None
@@ -90,6 +123,9 @@ def find(text: str, rules: tuple[Rule, ...] | list[Rule] = RULES, compiled: dict
             low = text.lower() if low is None else low
             if not any(a in low for a in rule.anchors):
                 continue
+        if rule.name in _PASSES:
+            found += [(rule.name, rule.kind, a, b) for a, b in _PASSES[rule.name](text) if b - a >= rule.least]
+            continue
         for m in ((compiled or {}).get(rule.name) or _compiled(rule)).finditer(text):
             if m.end(rule.group) - m.start(rule.group) >= rule.least:
                 found.append((rule.name, rule.kind, m.start(), m.end()))
