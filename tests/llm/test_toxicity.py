@@ -84,7 +84,7 @@ def plain_score(text, lexicon, fit):
     import math
 
     own = T.words(text.encode() if text else None)
-    score = lambda w: lexicon.words.get(w) or (lexicon.prefixes.get(w.decode()[: T.PREFIX].encode()) if len(w.decode()) > T.PREFIX else None) or lexicon.rest
+    score = lambda w: lexicon.words.get(w) or (lexicon.prefixes.get(w.decode()[: lexicon.length].encode()) if len(w.decode()) > lexicon.length else None) or lexicon.rest
     found = brute([score(w) for w in own])
     if not found:
         return fit.none, []
@@ -101,7 +101,7 @@ def test_scores_and_passages_equal_a_plain_version(spark):
     docs = spark.createDataFrame([(*r[:2], "x") for r in rows], "doc_id bigint, text string, score string")
     labels = spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id bigint, quality int, toxic int")
     training = T.training_rows(docs, labels)
-    lexicon = T.fit_lexicon(training)
+    lexicon = T.fit_lexicon(training, T.choose_length(training))
     fit = T.calibrate(training, lexicon)
     out = T.score_toxicity(docs, docs, labels, segment_column="found").collect()
     assert len(out) == len(rows) and any(r["found"] for r in out)
@@ -122,3 +122,39 @@ def test_query(spark, data):
 
 def test_beginnings_are_characters():
     assert [T.beginning(w.encode()) for w in ("abcd", "abcde", "ééé", "éééé", "ééééé")] == [None, b"abcd", None, None, "éééé".encode()]
+    assert [T.beginning(w.encode(), n) for w, n in (("abcdefg", 6), ("abcdef", 6), ("abcdef", 0))] == [b"abcdef", None, None]
+
+
+def test_beginnings_are_chosen_by_the_other_half(spark):
+    """Words that are new in each text but begin alike need beginnings; where all words are known, none are taken."""
+    rng, rows = random.Random(2), corpus()
+    new = [(i, t.replace("vile", f"vile{rng.randrange(10**6)}").replace("nasty", f"nast{rng.randrange(10**6)}").replace("scummy", f"scum{rng.randrange(10**6)}"), y) for i, t, y in rows]
+    for given, want in ((rows, 0), (new, 4)):
+        docs = spark.createDataFrame([r[:2] for r in given], "doc_id bigint, text string")
+        labels = spark.createDataFrame([(r[0], r[2]) for r in given], "doc_id bigint, toxic int")
+        assert T.choose_length(T.training_rows(docs, labels)) == want
+
+
+def test_no_word_is_dropped(spark):
+    import pytest
+
+    rows = corpus()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    with pytest.raises(ValueError, match="more than 2 words"):
+        T.fit_lexicon(T.training_rows(docs, labels), most=2)
+
+
+def test_the_scan_is_linear():
+    """Sparse hits, dense hits, falling and rising sums: ten times the hits take about ten times as long."""
+    import time
+
+    rng = random.Random(1)
+    for gap, rest, score in ((100, -0.05, lambda i: 1.0), (1, -0.05, lambda i: 1.0), (3, -0.5, lambda i: rng.random() * 2), (2, -1.0, lambda i: 1.5 - i * 1e-6), (2, -1.0, lambda i: 0.5 + i * 1e-6)):
+        took = []
+        for n in (100_000, 1_000_000):
+            hits = [(i * gap, score(i)) for i in range(n)]
+            began = time.perf_counter()
+            T.maximal_segments(hits, rest)
+            took.append(time.perf_counter() - began)
+        assert took[1] < 40 * took[0] + 0.5 and took[1] < 20, took

@@ -1,6 +1,6 @@
 """Toxic passages as maximum-scoring segments (operator 4).
 
-Each word, and each beginning of PREFIX characters of a longer word, gets its
+Each word, and each beginning of so many characters of a longer word, gets its
 log-odds between toxic and clean training texts under an informative Dirichlet
 prior in proportion to its overall frequency. Those whose z-score stays
 significant after a Bonferroni correction over all of them are counted again,
@@ -8,9 +8,11 @@ now once for each pair of neighbouring words, so that copies of one text say a
 thing once; those that are still significant make the lexicon. A word that
 training never showed, an inflected form say, has the score of its beginning if
 that is in the lexicon; every other word gets the small negative score that its
-share in toxic and clean text implies. The lexicon is a table of the model and
-as such bounded: at most LEXICON words and beginnings, the most significant
-ones. A linear scan finds all maximal segments of a text. Their scores are
+share in toxic and clean text implies. Whether beginnings help, and of how many
+characters, is chosen among LENGTHS by the loss on one half of the training rows
+of a model learned from the other. The lexicon is a table of the model and holds
+all significant words; if there are more than a stated number, LEXICON, that is
+an error and no word is dropped. A linear scan finds all maximal segments of a text. Their scores are
 calibrated by extreme-value theory: lambda is the root of the clean words'
 moment equation, K the maximum-likelihood estimate from the clean training
 texts (those without a segment are censored), and a text of n words has the statistic
@@ -24,7 +26,7 @@ that scores as high with a chance of at most SIGNIFICANT.
 
 Labels are learned only from rows that are not held out; score inputs are words
 alone. Null and empty texts have no segment. Rows with equal texts get equal
-scores; of words that tie for a place in the lexicon the least enters. Without
+scores; of lengths that tie the least is chosen. Without
 toxic training rows the lexicon is empty and every score is the (smoothed) share
 of toxic rows, one quarter if there are no training rows at all. Labels that
 repeat for an id count as toxic if one says so; null labels are no labels. Texts
@@ -54,10 +56,10 @@ PRIOR, SCORE_PRIOR = 0.2, 0.01
 LEAST_SCORE = 1.0
 #: Chance that any word of none at all enters the lexicon.
 ALPHA = 0.01
-#: Characters of a word's beginning.
-PREFIX = 4
-#: Words and beginnings of the lexicon at most, a bound of the model's size.
-LEXICON = 200_000
+#: Characters of a word's beginning among which training chooses (0: no beginnings), and where nothing is chosen.
+LENGTHS, PREFIX = (0, 4, 6), 4
+#: Words and beginnings that a lexicon may have; more are an error.
+LEXICON = 1_000_000
 #: Chance at which a clean text holds a segment as high as a toxic passage.
 SIGNIFICANT = 0.01
 
@@ -67,16 +69,17 @@ class Lexicon(NamedTuple):
     prefixes: dict[bytes, float]
     rest: float  # score of every other word, negative
     decay: float  # lambda
+    length: int = PREFIX  # characters of a beginning
 
 
-def beginning(word: bytes) -> bytes | None:
-    """The first PREFIX characters of a longer word."""
-    if len(word) <= PREFIX:
+def beginning(word: bytes, length: int = PREFIX) -> bytes | None:
+    """The first so many characters of a longer word; none of no characters."""
+    if len(word) <= length or not length:
         return None
     if word.isascii():
-        return word[:PREFIX]
+        return word[:length]
     text = word.decode()
-    return text[:PREFIX].encode() if len(text) > PREFIX else None
+    return text[:length].encode() if len(text) > length else None
 
 
 class Calibration(NamedTuple):
@@ -91,12 +94,12 @@ def held_out(folds: int = 5) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
-    """(text, toxic) of the labelled rows that are not held out."""
+    """(text, toxic, half) of the labelled rows that are not held out; equal texts are in one half."""
     own = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).where(~held_out(folds))
-    return join_labels(docs.select("doc_id", "text"), own, 32).select("text", "toxic")
+    return join_labels(docs.select("doc_id", "text"), own, 32).select("text", "toxic", (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) % 2).cast("int").alias("half"))
 
 
-def counts(training: DataFrame) -> DataFrame:
+def counts(training: DataFrame, length: int = PREFIX) -> DataFrame:
     """(feature, toxic, clean): how often each word ('w') and beginning ('p') stands in either class; feature '' counts words."""
     out = pa.schema([("feature", pa.binary()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
@@ -116,7 +119,8 @@ def counts(training: DataFrame) -> DataFrame:
             to = seen[toxic]
             to[b""] += len(own)
             to.update([b"w" + w for w in own])
-            to.update([b"p" + p for w in own if len(w) > PREFIX and (p := w[:PREFIX] if w.isascii() else beginning(w))])
+            if length:
+                to.update([b"p" + p for w in own if len(w) > length and (p := w[:length] if w.isascii() else beginning(w, length))])
             if len(seen[0]) + len(seen[1]) > 400_000:
                 yield from flush()
         yield from flush()
@@ -124,7 +128,7 @@ def counts(training: DataFrame) -> DataFrame:
     return training.mapInArrow(run, "feature binary, toxic bigint, clean bigint").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def contexts(training: DataFrame, wanted: frozenset[bytes]) -> DataFrame:
+def contexts(training: DataFrame, wanted: frozenset[bytes], length: int = PREFIX) -> DataFrame:
     """(feature, toxic, clean): in how many different pairs of neighbours a wanted feature stands in either class."""
     out = pa.schema([("feature", pa.binary()), ("kind", pa.int32()), ("context", pa.int64())])
     to = training.sparkSession.sparkContext.broadcast(wanted)
@@ -142,7 +146,7 @@ def contexts(training: DataFrame, wanted: frozenset[bytes]) -> DataFrame:
         for text, toxic in rows(batches, "text", "toxic"):
             own = words(text)
             for i, w in enumerate(own):
-                for feature in (b"w" + w, b"p" + (beginning(w) or b"")):
+                for feature in (b"w" + w, b"p" + (beginning(w, length) or b"")):
                     if feature in to.value:
                         near = (own[i - 1] if i else b"") + b" " + (own[i + 1] if i + 1 < len(own) else b"")
                         seen.add((feature, toxic, xxhash.xxh3_64_intdigest(near) >> 1))
@@ -169,24 +173,26 @@ def _scored(counted: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     return counted.select("feature", odds(SCORE_PRIOR).alias("score"), z.alias("z"), share("clean", n_clean).alias("in_clean"), share("toxic", n_toxic).alias("in_toxic"))
 
 
-def fit_lexicon(training: DataFrame) -> Lexicon:
-    """Significant features only reach the driver, LEXICON at most."""
-    every = stored(counts(training))
+def fit_lexicon(training: DataFrame, length: int = PREFIX, most: int = LEXICON) -> Lexicon:
+    """Significant features only reach the driver; more than ``most`` of them are an error."""
+    every = stored(counts(training, length))
     total = every.where("feature = X''").first()
     n_toxic, n_clean = (total["toxic"], total["clean"]) if total else (0, 0)
     if not n_toxic or not n_clean:
-        return Lexicon({}, {}, -1e-3, 1.0)
+        return Lexicon({}, {}, -1e-3, 1.0, length)
     least = _normal_quantile(ALPHA / max(1, every.count()))
     strong = lambda counted: _scored(counted, n_toxic, n_clean).where((F.col("z") >= least) & (F.col("score") >= LEAST_SCORE))
-    most = strong(every.where("feature <> X'' AND toxic > 0")).orderBy(F.desc("z"), "feature").limit(LEXICON)
-    wanted = frozenset(bytes(r["feature"]) for r in most.select("feature").collect())
-    kept = {bytes(r["feature"]): r for r in strong(contexts(training, wanted)).collect()} if wanted else {}
+    found = strong(every.where("feature <> X'' AND toxic > 0")).select("feature").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} words are significant; a lexicon of more has to be asked for")
+    wanted = frozenset(bytes(r["feature"]) for r in found)
+    kept = {bytes(r["feature"]): r for r in strong(contexts(training, wanted, length)).collect()} if wanted else {}
     by_word, by_prefix = ({f[1:]: r for f, r in kept.items() if f[:1] == kind} for kind in (b"w", b"p"))
     clean = sum(r["in_clean"] for r in by_word.values())
     toxic = sum(r["in_toxic"] for r in by_word.values())
     rest = min(-1e-3, math.log(max(1e-9, 1 - min(toxic, 0.9)) / max(1e-9, 1 - clean)))
     pairs = [(r["in_clean"], r["score"]) for r in by_word.values()]
-    return Lexicon({w: r["score"] for w, r in by_word.items()}, {p: r["score"] for p, r in by_prefix.items()}, rest, _decay(pairs, rest))
+    return Lexicon({w: r["score"] for w, r in by_word.items()}, {p: r["score"] for p, r in by_prefix.items()}, rest, _decay(pairs, rest), length)
 
 
 def _normal_quantile(tail: float) -> float:
@@ -215,32 +221,42 @@ def _decay(pairs: list[tuple[float, float]], rest: float) -> float:
 def maximal_segments(hits: list[tuple[int, float]], rest: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, last word, score) in time linear in the hits.
 
-    hits are the positions and positive scores; each word between them scores ``rest``.
+    hits are the positions and positive scores; each word between them scores ``rest``. A held segment knows the last
+    one before it with a lower sum on its left, so a search steps over those that can't be joined; and when no held
+    segment has a lower sum than the new one, all of them are maximal and none is looked at again.
     """
-    held: list[list] = []  # [first, last, sum before, sum after]
+    done: list[list] = []
+    held: list[list] = []  # [first, last, sum before, sum after, place of the last one with a lower sum before]
     total, at = 0.0, -1
     for place, score in hits:
         total += rest * (place - at - 1)
         at = place
-        new = [place, place, total, total + score]
+        new = [place, place, total, total + score, -1]
         total += score
+        j = len(held) - 1
         while True:
-            j = len(held) - 1
             while j >= 0 and held[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or held[j][3] >= new[3]:
+                j = held[j][4]
+            if j < 0:
+                done += held
+                held = [new]
+                break
+            if held[j][3] >= new[3]:
+                new[4] = j
                 held.append(new)
                 break
-            new = [held[j][0], new[1], held[j][2], new[3]]
+            new = [held[j][0], new[1], held[j][2], new[3], -1]
+            before = held[j][4]
             del held[j:]
-    return [(a, b, after - before) for a, b, before, after in held]
+            j = before
+    return [(a, b, after - before) for a, b, before, after, _ in done + held]
 
 
 def segments(text: bytes | None, lexicon: Lexicon) -> tuple[int, list[tuple[int, int, float]]]:
     """Words of a text and its maximal segments."""
     own = words(text)
-    known, begins = lexicon.words.get, lexicon.prefixes.get
-    hits = [(i, s) for i, w in enumerate(own) if (s := known(w) or (begins(w[:PREFIX] if w.isascii() else beginning(w)) if len(w) > PREFIX else None))]
+    known, begins, length = lexicon.words.get, lexicon.prefixes.get, lexicon.length or len(text or b"")
+    hits = [(i, s) for i, w in enumerate(own) if (s := known(w) or (begins(w[:length] if w.isascii() else beginning(w, length)) if len(w) > length else None))]
     return len(own), maximal_segments(hits, lexicon.rest)
 
 
@@ -310,10 +326,22 @@ def passages(found: Column, lexicon: Lexicon, fit: Calibration, chance: float =
     return F.filter(F.arrays_zip(found["first"], found["last"], found["score"]), lambda s: s["score"] * lexicon.decay - floor >= least)
 
 
+def choose_length(training: DataFrame, lengths: tuple[int, ...] = LENGTHS) -> int:
+    """The length of beginnings with which a model of one half of the training rows has the least loss on the other; on a tie the least."""
+    half, other = training.where("half = 0"), training.where("half = 1")
+    losses = []
+    for length in lengths:
+        lexicon = fit_lexicon(half, length)
+        p = probability(F.col("_tl_found"), lexicon, calibrate(half, lexicon))
+        loss = -F.log(F.greatest(F.when(F.col("toxic") == 1, p).otherwise(1 - p), F.lit(1e-6)))
+        losses.append((round(with_segments(other, lexicon).agg(F.avg(loss)).first()[0] or 0.0, 9), length))
+    return min(losses)[1]
+
+
 def score_toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, folds: int = 5, column: str = "_tl_score", segment_column: str | None = None) -> DataFrame:
     """docs with a probability of being toxic, and with their toxic passages if a column is named for them; the model is learned from ``labelled`` and ``labels``."""
-    training = training_rows(labelled, labels, folds)
-    lexicon = fit_lexicon(training)
+    training = stored(training_rows(labelled, labels, folds))
+    lexicon = fit_lexicon(training, choose_length(training))
     fit = calibrate(training, lexicon)
     found = with_segments(docs, lexicon)
     made = {column: probability(F.col("_tl_found"), lexicon, fit)}
