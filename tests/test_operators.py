@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tramline.operators import fares, schedule, selection, spatial
@@ -103,3 +104,78 @@ def test_missing_pairs(spark):
     nodes = spark.createDataFrame([("s", "p1"), ("s", "p2"), ("s", "p3"), ("u", "p4")], "station string, p string")
     edges = spark.createDataFrame([("p2", "p1")], "a string, b string")
     assert sorted((r["low"], r["high"]) for r in selection.missing_pairs(nodes, "station", "p", edges, "a", "b").collect()) == [("p1", "p3"), ("p2", "p3")]
+
+
+def led_by(rows, radius=5.0):
+    """The rule as it is said: in order, each free point takes the later free ones within the radius."""
+    import numpy as np
+
+    from tramline.functions.geo import geodesic
+
+    first, out = {}, {}
+    for p, n, o, lat, lon in sorted(rows, key=lambda r: (r[2], r[0])):
+        first.setdefault((lat, lon), (p, n))
+    for name in {n for _, n in first.values() if n is not None}:
+        own = [(p, lat, lon) for (lat, lon), (p, n) in first.items() if n == name and lat is not None]
+        ids, lats, lons = [r[0] for r in own], np.array([r[1] for r in own]), np.array([r[2] for r in own])
+        leader = [None] * len(own)
+        for i in range(len(own)):
+            if leader[i] is None:
+                near = [j for j in np.flatnonzero((abs(lats - lats[i]) < 1e-4) & (abs(lons - lons[i]) < 1e-4)) if j >= i and leader[j] is None]
+                for j, d in zip(near, geodesic([lats[i]] * len(near), [lons[i]] * len(near), lats[near], lons[near]), strict=True):
+                    if d <= radius:
+                        leader[j] = ids[i]
+        out |= dict(zip(ids, leader, strict=True))
+    return {p: out.get(first[lat, lon][0], first[lat, lon][0]) for p, _, _, lat, lon in rows}
+
+
+@pytest.mark.parametrize("n, span, step", [(300, 300, 1), (20_000, 3000, 1), (60, 60, 300)])
+def test_greedy_clusters_equal_the_rule(spark, n, span, step):
+    """Scattered points, one name with a crowd of them, and a chain in which each point is near the one before."""
+    rng = random.Random(n)
+    place = (lambda i: (round(22.3 + rng.randrange(span) * 1e-6, 7), round(114.1 + rng.randrange(span) * 1e-6, 7))) if step == 1 else (lambda i: (round(22.3 + i * 4e-5, 7), 114.1))
+    rows = [(i, "N" if n > 1000 or rng.random() < 0.7 else "M", i if step > 1 else rng.randrange(n), *place(i)) for i in range(n)]
+    rows += [(n + 1, None, 5, 22.3, 114.1), (n + 2, "N", -1, None, 114.1), (n + 3, "N", 3, None, 114.1), (n + 4, "N", 3, *rows[0][3:])]
+    df = spark.createDataFrame(rows, "id int, name string, o int, lat double, lon double")
+    out = spatial.greedy_clusters(df, "name", "id", "o", "lat", "lon")
+    assert {r["id"]: r["leader"] for r in out.collect()} == led_by(rows)
+
+
+def test_greedy_clusters_of_nothing(spark):
+    assert spatial.greedy_clusters(spark.createDataFrame([], "id int, name string, o int, lat double, lon double"), "name", "id", "o", "lat", "lon").count() == 0
+
+
+def test_near_places_are_measured_as_on_the_ellipsoid(spark):
+    from tramline.functions.geo import geodesic, near_m
+
+    rng = random.Random(1)
+    rows = [(lat := rng.uniform(-80, 80), lon := rng.uniform(-180, 179), lat + rng.uniform(-1e-4, 1e-4), lon + rng.uniform(-1e-4, 1e-4)) for _ in range(200)]
+    got = [r[0] for r in spark.createDataFrame(rows, "a double, b double, c double, d double").select(near_m(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()]
+    want = geodesic(*zip(*rows, strict=True))
+    assert all(abs(x - y) < 1e-5 for x, y in zip(got, want, strict=True))
+
+
+def test_best_names_equal_those_of_all_pairs(spark):
+    """Words with few and with many edits, short and empty names, and how many pairs are compared for them."""
+    from tramline.functions.text import similarity
+    from tramline.operators import fuzzy
+
+    rng = random.Random(9)
+    words = ["STAR FERRY", "CHUK YUEN ESTATE", "CENTRAL PIER", "TSIM SHA TSUI EAST", "YAU TONG", "LAM TIN STATION", "KWUN TONG PROMENADE", "WONG TAI SIN TEMPLE", "SHATIN MARKET", "TAI PO CENTRE"]
+
+    def changed(word, edits):
+        letters = list(word)
+        for _ in range(edits):
+            at = rng.randrange(len(letters) + 1)
+            letters[at : at + rng.randrange(2)] = rng.choice(["", "X", "ST"])
+        return "".join(letters)
+
+    asked = {(k, g, changed(rng.choice(words), rng.choice([0, 0, 1, 2, 9]))) for k in range(40) for g in range(4) for _ in range(6)} | {(0, 0, ""), (0, 1, "A"), (0, 1, "ZZZZ"), (0, 9, "STAR"), (0, 0, None)}
+    offered = {(g, changed(w, e)) for g in range(4) for w in words for e in (0, 1, 3)} | {(g, changed("".join(rng.choice("ABCDEFGHIJKLMNOPRSTUVW") for _ in range(rng.randint(6, 18))), 0)) for g in range(4) for _ in range(60)} | {(1, ""), (1, "B"), (2, None)}
+    a, o = spark.createDataFrame(sorted(asked, key=repr), "k int, g int, name string"), spark.createDataFrame(sorted(offered, key=repr), "g int, other string")
+    every = a.where("name IS NOT NULL").join(o.where("other IS NOT NULL"), "g")
+    want = {tuple(r) for r in every.groupBy("k", "g", "name").agg(F.max(similarity(F.col("name"), F.col("other")))).collect()}
+    assert {(r.k, r.g, r.name, r.best) for r in fuzzy.best_scores(a, o, ["g"], ["k"], "name", "other").select("k", "g", F.col("name").alias("name"), "best").collect()} == want
+    equal, compared = fuzzy.compared_pairs(a, o, ["g"], ["k"], "name", "other")
+    assert equal.count() > 100
+    assert compared.count() < every.count() / 3, (compared.count(), every.count())

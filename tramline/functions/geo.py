@@ -68,6 +68,16 @@ def geodesic(lat1, lon1, lat2, lon2):
     return b * big * (sigma - change)
 
 
+def near_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Metres on the WGS 84 ellipsoid between places that are near each other: by the radii of curvature between them."""
+    a, e2 = 6378137.0, 1 / 298.257223563 * (2 - 1 / 298.257223563)
+    middle = F.radians((lat1 + lat2) / 2)
+    w = 1 - e2 * F.pow(F.sin(middle), 2)
+    north = F.lit(a * (1 - e2)) / F.pow(w, 1.5) * F.radians(lat2 - lat1)
+    east = F.lit(a) / F.sqrt(w) * F.cos(middle) * F.radians(lon2 - lon1)
+    return F.sqrt(F.pow(north, 2) + F.pow(east, 2))
+
+
 def grid_to_wgs84(east, north) -> tuple[np.ndarray, np.ndarray]:
     """(lat, lon) of metres in the Hong Kong 1980 Grid (EPSG:2326), by the registry's projection and datum parameters."""
     a, f = 6378388.0, 1 / 297.0

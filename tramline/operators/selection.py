@@ -6,11 +6,12 @@ don't depend on how rows are spread out.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tramline.operators.fuzzy import best_scores
+
 
 def _cols(names: str | list[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -69,16 +70,16 @@ def paired_directions(df: DataFrame, keys: str | list[str], group: str, out_diff
     return keep_first(df.withColumn("total_diff", F.abs(out_diff) + F.abs(in_diff)), keys, [F.col("total_diff"), F.col(group)])
 
 
-def fuzzy_sequences(pairs: DataFrame, mine: DataFrame, theirs: DataFrame, key: str, group: str, way: str, name: str, similarity: Callable[[Column, Column], Column]) -> DataFrame:
+def fuzzy_sequences(pairs: DataFrame, mine: DataFrame, theirs: DataFrame, key: str, group: str, way: str, name: str) -> DataFrame:
     """(key, group, total): of the candidate groups of each key, the one whose names are nearest in both ways.
 
     A way's distance is 100 less the mean, over the key's names, of the best similarity to a name of the group,
     and how many names more or fewer the group has; pairs (key, group, penalty) add their penalty. Names are
-    unique in a way. Only the names of candidate pairs are compared.
+    unique in a way. A name is compared with few of a candidate group (``fuzzy``).
     """
-    near = pairs.select(key, group).join(mine.select(key, way, name), key).join(theirs.select(group, way, F.col(name).alias("_other")), [group, way])
-    best = near.groupBy(key, group, way, name).agg(F.max(similarity(F.col(name), F.col("_other"))).alias("_best"))
-    per = best.groupBy(key, group, way).agg((100 - F.avg("_best")).alias("_off"), F.count("*").alias("_n"))
+    asked = pairs.select(key, group).distinct().join(mine.select(key, way, name), key)
+    best = best_scores(asked, theirs.select(group, way, F.col(name).alias("_other")), [group, way], [key], name, "_other")
+    per = best.groupBy(key, group, way).agg((100 - F.avg("best")).alias("_off"), F.count("*").alias("_n"))
     sizes = theirs.groupBy(group, way).agg(F.count("*").alias("_m"))
     total = per.join(sizes, [group, way]).groupBy(key, group).agg(F.sum(F.col("_off") + F.abs(F.col("_n") - F.col("_m"))).alias("_sum"), F.count("*").alias("_ways"))
     scored = total.where("_ways = 2").join(pairs, [key, group]).withColumn("total", F.round(F.col("_sum") + F.col("penalty"), 6))

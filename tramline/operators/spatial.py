@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.functions.geo import geodesic, haversine_m
-from tramline.operators.selection import keep_first
+from tramline.functions.geo import haversine_m, near_m
+from tramline.operators.selection import keep_first, union_all
+from tramline.sources.sinks import kept
 
 
 def along(points: DataFrame, line: str, order: str, lat: str, lon: str, into: str = "distance") -> DataFrame:
@@ -44,40 +46,45 @@ def near_pairs(points: DataFrame, name: str, point: str, x: str, y: str, radius:
     return near.where((F.col("low") < F.col("high")) & (F.pow(F.col(x) - F.col("_x"), 2) + F.pow(F.col(y) - F.col("_y"), 2) <= radius * radius)).select(name, "low", "high")
 
 
+_AROUND = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+
+
+def _neighbourhood(df: DataFrame) -> DataFrame:
+    """Each row of a cell once for each of the nine cells around it."""
+    return df.withColumn("_n", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in _AROUND)))).withColumns({"_cx": F.col("_cx") + F.col("_n.i"), "_cy": F.col("_cy") + F.col("_n.j")}).drop("_n")
+
+
 def greedy_clusters(points: DataFrame, name: str, point: str, order: str, lat: str, lon: str, radius: float = 5.0, digits: int = 7) -> DataFrame:
     """(point, leader): equal rounded places share their first point; within a name, in order, each free point leads
     and takes later free ones within ``radius`` metres of itself.
 
-    The rule depends on order. A name is first cut where its places lie too far apart in latitude, and each piece where
-    they do in longitude; no point leads across a cut, so each piece is a group of its own.
+    The rule depends on order, yet needs no walk: a point leads if no earlier one within the radius does, and is led by
+    the earliest leader within it. So in each round the first free point of each cell of a grid leads if no earlier free
+    one is near, and what is near a leader is free no longer; the rounds end when no point is free. A point meets the few
+    first points of the cells around it only, so a crowded cell makes no pairs, and a name of any size is spread over its
+    cells. A round is written down, as the next begins from it.
     """
     rounded = points.withColumns({"_lat": F.round(lat, digits), "_lon": F.round(lon, digits)})
-    place = Window.partitionBy("_lat", "_lon").orderBy(order)
-    placed = rounded.withColumns({"_head": F.first(point).over(place), "_head_name": F.first(name).over(place), "_place": F.row_number().over(place)})
-    point_type = points.schema[point].dataType.simpleString()
-
-    def lead(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order)
-        ids, lats, lons = frame[point].tolist(), frame["_lat"].to_numpy(), frame["_lon"].to_numpy()
-        leader: list = [None] * len(ids)
-        for i in range(len(ids)):
-            if leader[i] is None:
-                leader[i] = ids[i]
-                free = [j for j in range(i + 1, len(ids)) if leader[j] is None and abs(lats[j] - lats[i]) < radius / 100_000 and abs(lons[j] - lons[i]) < radius / 10_000]
-                if free:
-                    for j, d in zip(free, geodesic([lats[i]] * len(free), [lons[i]] * len(free), lats[free], lons[free]), strict=True):
-                        if d <= radius:
-                            leader[j] = ids[i]
-        return pd.DataFrame({"_head": ids, "leader": leader})
-
-    heads = placed.where("_place = 1").where(F.col(name).isNotNull())
-    keys = [name]
-    for axis, most, piece in (("_lat", radius / 100_000, "_north"), ("_lon", radius / 10_000, "_east")):
-        w = Window.partitionBy(*keys).orderBy(axis)
-        heads = heads.withColumn("_cut", F.coalesce(F.col(axis) - F.lag(axis).over(w) > most, F.lit(False)).cast("int")).withColumn(piece, F.sum("_cut").over(w))
-        keys.append(piece)
-    heads = heads.groupBy(*keys).applyInPandas(lead, f"_head {point_type}, leader {point_type}")
-    return placed.join(heads, "_head", "left").select(point, F.coalesce("leader", "_head").alias("leader"))
+    head = rounded.groupBy("_lat", "_lon").agg(F.min(F.struct(F.col(order).alias("o"), F.col(point).alias("p"), F.col(name).alias("n"))).alias("_first"))
+    heads = head.select(F.col("_first.n").alias("_name"), F.col("_first.p").alias("_head"), F.col("_first.o").alias("_order"), "_lat", "_lon").where("_name IS NOT NULL AND _lat IS NOT NULL AND _lon IS NOT NULL")
+    farthest = heads.agg(F.max(F.abs("_lat"))).first()[0] or 0.0
+    cell = {"_cy": radius / 110_000, "_cx": radius / (110_000 * math.cos(math.radians(min(float(farthest), 89.0))))}  # degrees; a degree of latitude has more metres
+    own = kept(heads.withColumns({"_cx": F.floor(F.col("_lon") / cell["_cx"]), "_cy": F.floor(F.col("_lat") / cell["_cy"])}))
+    where = ["_name", "_cx", "_cy"]
+    near = near_m(F.col("_lat"), F.col("_lon"), F.col("c._lat"), F.col("c._lon")) <= radius
+    free, leaders = own, []
+    while free.limit(1).count():
+        first = free.groupBy(*where).agg(F.min(F.struct("_order", "_head", "_lat", "_lon")).alias("c"))
+        blocked = _neighbourhood(first).join(free, where).where((F.struct("_order", "_head") < F.struct("c._order", "c._head")) & near).select("c._head").distinct()
+        led = kept(first.join(blocked, F.col("c._head") == blocked["_head"], "left_anti"))
+        leaders.append(led)
+        taken = _neighbourhood(led).join(free, where).where(near).select("_head").distinct()
+        free = kept(free.join(taken, "_head", "left_anti"))
+    found = own.select("_head", F.col("_head").alias("leader")).limit(0)
+    if leaders:
+        found = _neighbourhood(union_all(*leaders)).join(own, where).where(near).groupBy("_head").agg(F.min(F.struct("c._order", "c._head")).alias("l")).select("_head", F.col("l._head").alias("leader"))
+    placed = rounded.select(point, "_lat", "_lon").join(head.select(F.col("_lat").alias("_a"), F.col("_lon").alias("_b"), F.col("_first.p").alias("_head")), F.col("_lat").eqNullSafe(F.col("_a")) & F.col("_lon").eqNullSafe(F.col("_b")))
+    return placed.join(found, "_head", "left").select(point, F.coalesce("leader", "_head").alias("leader"))
 
 
 def lines(features: DataFrame, coordinates: str = "coordinates") -> Column:

@@ -280,4 +280,4 @@ def fuzzy_sequence_match(read):
     mine = p.select(F.col("p_brand").alias("brand"), F.expr("CASE WHEN p_size < 26 THEN 'O' ELSE 'I' END").alias("bound"), F.col("p_name").alias("name")).distinct()
     theirs = p.select(F.col("p_type").alias("type"), F.expr("CASE WHEN p_size % 3 = 0 THEN 'O' ELSE 'I' END").alias("bound"), F.col("p_name").alias("name")).distinct()
     pairs = p.groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("type")).agg(F.when(F.min("p_size") < 3, 100.0).otherwise(0.0).alias("penalty"))
-    return selection.fuzzy_sequences(pairs, mine, theirs, "brand", "type", "bound", "name", X.similarity)
+    return selection.fuzzy_sequences(pairs, mine, theirs, "brand", "type", "bound", "name")

@@ -23,6 +23,11 @@ def work_folder(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/tramline-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to a new folder that all executors share and read again, so that a loop's plan doesn't grow."""
+    return silver(df, work_folder(df.sparkSession))
+
+
 def silver(df: DataFrame, path: str) -> DataFrame:
     """Replaces a table and reads it back."""
     df.write.mode("overwrite").parquet(path)
