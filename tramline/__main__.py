@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tramline.operators import calendars
 from tramline.operators.selection import union_all
 from tramline.plans import alerts, feed, fixed, silver
-from tramline.sources import endpoints, readers, schemas, sinks
+from tramline.sources import readers, schemas, sinks, web
 
 
 def present(read) -> DataFrame | None:
@@ -45,10 +45,10 @@ def operators(spark: SparkSession, raw: str) -> list[silver.Silver]:
             out.append(make(*parts))
 
     data = lambda folder, name, schema: lambda: readers.json_data(spark, f"{raw}/{folder}/{name}.json", schema)
-    rows = lambda folder, name, schema: lambda: readers.json_rows(spark, f"{raw}/{folder}/{name}.json", schema)
+    rows = lambda folder, name, schema: lambda: readers.rows_below(spark, f"{raw}/{folder}/{name}", schema)
     csv = lambda folder, name, schema: lambda: readers.csv(spark, f"{raw}/{folder}/{name}.csv", schema)
     add(silver.kmb, *(data("kmb", n, schemas.KMB[n]) for n in ("routes", "stops", "route_stops")))
-    add(silver.citybus, data("ctb", "routes", schemas.CTB["routes"]), rows("ctb", "stops", schemas.CTB["stops"]), rows("ctb", "sequences", schemas.CTB["sequences"]))
+    add(silver.citybus, rows("ctb", "routes", schemas.CTB["routes"]), rows("ctb", "stops", schemas.CTB["stops"]), rows("ctb", "sequences", schemas.CTB["sequences"]))
     add(silver.nlb, *(rows("nlb", n, schemas.NLB[n]) for n in ("routes", "stops")), rows("nlb", "sequences", "routeId string, routeNo string, stopId string, sequence int"))
     add(lambda d, s, r: (lambda own, stops: silver.green_minibus(own, s, stops))(*readers.green_minibus(d, r)), *(rows("gmb", n, schemas.GMB[n]) for n in ("directions", "stops", "route_stops")))
     add(silver.mtr_bus, *(csv("mtr_bus", n, schemas.MTR_BUS[n]) for n in ("routes", "route_stops")))
@@ -126,10 +126,10 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     two.add_argument("events")
     two.add_argument("file")
     asked = parser.parse_args(arguments)
+    spark = spark or SparkSession.builder.appName("tramline").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if asked.kind == "fetch":
-        endpoints.fetch_all(asked.raw, hourly=asked.hourly)
+        web.fetch_all(spark, asked.raw, hourly=asked.hourly)
         return
-    spark = spark or SparkSession.builder.appName("tramline").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if asked.kind == "feed":
         tables = build_feed(spark, asked.raw)
         sinks.write_feed(tables, asked.out)

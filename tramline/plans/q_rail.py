@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tramline.functions import text as X
 from tramline.operators import selection
 from tramline.plans import feed, fixed, silver
 from tramline.plans.registry import STOPS, Registry, clock_sql, stops

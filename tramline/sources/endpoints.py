@@ -1,7 +1,8 @@
-"""The publishers' endpoints: what each answers, brought into the layout of files that the feed command reads.
+"""The publishers' endpoints, and those that answer with whole files, brought into the layout that the feed command reads.
 
 Every function takes ``get``, which gives the JSON of a URL (``fetch.get_json``) or its bytes, and returns what
-is to be written; nothing here runs on Spark. Answers that are not there are left out.
+is to be written; a few files, so nothing here runs on Spark. Answers that are not there are left out. Publishers that
+answer page by page are a Spark source (``web``).
 """
 
 from __future__ import annotations
@@ -48,70 +49,6 @@ def kmb(get: Get) -> Files:
     return {f"kmb/{name}.json": {"data": _data(get(f"{KMB}/{path}"))} for name, path in (("routes", "route"), ("stops", "stop"), ("route_stops", "route-stop"))}
 
 
-def citybus(get: Get, threads: int = THREADS) -> Files:
-    """Routes, an array of stops for each route and direction, and each stop's details."""
-    routes = _data(get(f"{CITYBUS}/route/CTB"))
-
-    def sequence(asked):
-        route, way = asked
-        ids = [s["stop"] for s in _data(get(f"{CITYBUS}/route-stop/CTB/{route}/{way}")) if s and s.get("stop")]
-        return {"route_id": route, "direction": way, "stop_ids": ids} if ids else None
-
-    sequences = fetch.fan_out([(r["route"], way) for r in routes for way in ("outbound", "inbound")], sequence, threads)
-    wanted = sorted({s for one in sequences for s in one["stop_ids"]})
-    stops = fetch.fan_out(wanted, lambda s: _data(get(f"{CITYBUS}/stop/{s}")) or None, threads)
-    return {"ctb/routes.json": {"data": routes}, "ctb/sequences.json": sequences, "ctb/stops.json": stops}
-
-
-def lantao(get: Get, threads: int = THREADS) -> Files:
-    """Routes, their stops in order, and each stop once."""
-    routes = (get(f"{LANTAO}/route.php?action=list") or {}).get("routes") or []
-
-    def calls(route):
-        return route, (get(f"{LANTAO}/stop.php?action=list&routeId={route['routeId']}") or {}).get("stops") or []
-
-    sequences, stops = [], {}
-    for route, own in fetch.fan_out([r for r in routes if r.get("routeId")], calls, threads):
-        for k, stop in enumerate(own):
-            if stop.get("stopId"):
-                stops.setdefault(stop["stopId"], stop)
-                sequences.append({"routeId": route["routeId"], "routeNo": route["routeNo"], "stopId": stop["stopId"], "sequence": k + 1})
-    return {"nlb/routes.json": routes, "nlb/stops.json": list(stops.values()), "nlb/sequences.json": sequences}
-
-
-def minibus(get: Get, threads: int = 10) -> Files:
-    """All variants of all routes of every region with their directions, the stops of each, and each stop's place.
-
-    Which variants count is decided where they are read, not here.
-    """
-    regions = (_data(get(f"{MINIBUS}/route")) or {}).get("routes") or {}
-    asked = [(region, code) for region, codes in regions.items() for code in codes]
-    variants = fetch.fan_out(asked, lambda a: (a, _data(get(f"{MINIBUS}/route/{a[0]}/{a[1]}"))), threads)
-    directions = []
-    for (region, code), own in variants:
-        for one in own:
-            for way in one.get("directions") or []:
-                if one.get("route_id") and way.get("route_seq"):
-                    names = {f"{end}_{lang}": (way.get(f"{end}_{lang}") or "").strip() for end in ("orig", "dest") for lang in ("en", "tc", "sc")}
-                    described = (one.get("description_en") or "").strip()
-                    if "normal" not in described.lower() and any("正常" in (one.get(f"description_{lang}") or "") for lang in ("tc", "sc")):
-                        described = f"Normal {described}".strip()  # said in Chinese alone
-                    directions.append({"route_id": one["route_id"], "route_seq": way["route_seq"], "region": region, "route_code": code, **names, "variant_description_en": described})
-
-    def calls(way):
-        own = (_data(get(f"{MINIBUS}/route-stop/{way['route_id']}/{way['route_seq']}")) or {}).get("route_stops") or []
-        keys = ("route_id", "route_seq", "region", "route_code", "variant_description_en")
-        return [{**{k: way[k] for k in keys}, "stop_id": str(s["stop_id"]), "sequence": s["stop_seq"], "stop_name_en": s.get("name_en"), "stop_name_tc": s.get("name_tc"), "stop_name_sc": s.get("name_sc")} for s in own if s.get("stop_id") and s.get("stop_seq") is not None]
-
-    route_stops = [s for own in fetch.fan_out(directions, calls, threads) for s in own]
-
-    def place(stop):
-        found = _data(get(f"{MINIBUS}/stop/{stop}"))
-        return {**found, "stop_id": stop} if found else None
-
-    return {"gmb/directions.json": directions, "gmb/route_stops.json": route_stops, "gmb/stops.json": fetch.fan_out(sorted({s["stop_id"] for s in route_stops}), place, threads)}
-
-
 def journey_times(get: Get) -> Files:
     return {"journey_times.json": get(f"{JOURNEYS}/times/all.json") or {}}
 
@@ -123,20 +60,13 @@ def hourly_journey_times(get: Get, threads: int = THREADS) -> Files:
     return {f"times_hourly/{day}/{hour:02d}.json": made for (day, hour), made in found if made}
 
 
-def geocodes(get: Get, names: list[str], threads: int = THREADS) -> list[dict]:
-    """(name, rank, east, north) of the places that the geocoder gives for each name, the first being the best."""
-
-    def ask(name):
-        found = get(f"{GEOCODE}?{urllib.parse.urlencode({'q': name})}") or []
-        return [{"name": name, "rank": k, "east": float(p["x"]), "north": float(p["y"])} for k, p in enumerate(found, 1) if p.get("x") is not None and p.get("y") is not None]
-
-    return [row for own in fetch.fan_out(names, ask, threads) for row in own]
+#: Filters of the map's relations by what is asked for.
+OVERPASS_FILTERS = {"routes": 'relation["type"="route"]["route"~"^(bus|trolleybus|minibus|train|tram|subway|ferry)$"]', "stations": "relation[name]"}
 
 
 def overpass_query(what: str, box: tuple[float, float, float, float] = fixed.BOX) -> str:
     """A query for relations of a kind in a box, with the members that they name."""
-    kinds = {"routes": 'relation["type"="route"]["route"~"^(bus|trolleybus|minibus|train|tram|subway|ferry)$"]', "stations": "relation[name]"}
-    return f"[out:json][timeout:300];({kinds[what]}({','.join(map(str, box))}););out body;>;out skel qt;"
+    return f"[out:json][timeout:300];({OVERPASS_FILTERS[what]}({','.join(map(str, box))}););out body;>;out skel qt;"
 
 
 def overpass(post: Callable[[str, bytes], object], what: str) -> Files:
@@ -173,13 +103,3 @@ def land(raw: str, files: Files) -> None:
         with open(f"{path}.part", "wb") as file:
             file.write(body)
         os.replace(f"{path}.part", path)
-
-
-def fetch_all(raw: str, get: Get = fetch.get_json, get_bytes: Callable = fetch.get_bytes, post: Callable = fetch.get_json, hourly: bool = False) -> None:
-    """Lands all sources that the feed is made of."""
-    for source in (kmb, citybus, lantao, minibus, journey_times, *([hourly_journey_times] if hourly else [])):
-        land(raw, source(get))
-    land(raw, texts(get_bytes))
-    land(raw, dict(waypoints(get_bytes)))
-    for what in ("routes", "stations"):
-        land(raw, overpass(post, what))

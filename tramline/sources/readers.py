@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +19,7 @@ NO_TEXT = ("trips", "stop_times", "frequencies", "calendar", "calendar_dates", "
 
 def json_data(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of the ``data`` array of a JSON document."""
-    return spark.read.schema(f"data array<struct<{_fields(schema)}>>").option("multiLine", True).json(path).select(F.inline("data"))
-
-
-def _fields(schema: str) -> str:
-    from pyspark.sql.types import _parse_datatype_string
-
-    return _parse_datatype_string(schema).simpleString()[len("struct<") : -1]
+    return spark.read.schema(f"data array<struct<{schemas.fields(schema)}>>").option("multiLine", True).json(path).select(F.inline("data"))
 
 
 def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -32,6 +27,16 @@ def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def rows_below(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table by its path without ending: JSON lines (``.jsonl``) if they are there, else a document (``.json``)."""
+    try:
+        return spark.read.schema(schema).json(f"{path}.jsonl")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    return json_rows(spark, f"{path}.json", schema)
+
+
 def csv(spark: SparkSession, path: str, schema: str, header: bool = True, multi_line: bool = True) -> DataFrame:
     """A CSV file by its declared columns; a byte-order mark and HTML entities are taken out of texts.
 
@@ -98,7 +103,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(folder)
     text = text.where(~F.col("_metadata.file_path").endswith("schema.json") & ~F.coalesce(F.get_json_object("value", "$['$schema']").isNotNull(), F.lit(False)))
     many = F.when(F.trim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-    kind = f"array<struct<{_fields(EVENT)}>>"
+    kind = f"array<struct<{schemas.fields(EVENT)}>>"
     return valid(text.select(F.inline(F.from_json(many, kind))))
 
 

@@ -72,3 +72,10 @@ FEED = {
     "special_fare_rules": ["special_fare_id", "rule_type", "trip_id", "onboarding_stop_id", "offboarding_stop_id", "price", "currency"],
 }
 KEYS = {"agency": ["agency_id"], "stops": ["stop_id"], "routes": ["route_id"], "trips": ["trip_id"], "stop_times": ["trip_id", "stop_sequence"], "frequencies": ["trip_id", "start_time"], "shapes": ["shape_id", "shape_pt_sequence"], "pathways": ["pathway_id"], "calendar": ["service_id"], "calendar_dates": ["service_id", "date"], "translations": ["table_name", "field_name", "language", "record_id"], "fare_stages": ["trip_id", "from_stop_id"], "special_fare_rules": ["special_fare_id"]}
+
+
+def fields(schema: str) -> str:
+    """The columns of a schema as the fields of a struct."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    return _parse_datatype_string(schema).simpleString()[len("struct<") : -1]
