@@ -143,7 +143,8 @@ def meetings(of: DataFrame, values: int = VALUES, band: int = BAND) -> DataFrame
     entry = of.select("key", F.posexplode(pieces).alias("band", "piece"))
     entry = entry.select("key", "band", F.concat(F.unhex(F.lpad(F.hex("band"), 2, "0")), "piece").alias("bucket"))
     buckets = stored(entry.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).where("n > 1"))
-    return stored(spread_join(entry, buckets, "bucket", "inner", sizes=buckets.select("bucket", "n"), total=bands * of.count()).select("bucket", "key", "band", "n", "pivot"))
+    # a row of a bucket streams past one row of the right side; Spark splits the partition of a hot bucket
+    return stored(entry.join(buckets, "bucket").select("bucket", "key", "band", "n", "pivot"))
 
 
 def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
