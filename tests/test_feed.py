@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import zipfile
 
 import pytest
@@ -273,22 +274,120 @@ def test_alerts_from_files(spark, tmp_path):
     assert raw.startswith(b"\x0a\x0d\x0a\x032.0\x10\x00\x18") and raw.index(b"Closed") < raw.index(b"Detour") < raw.index(b"Note")
 
 
+def decoded(message):
+    """(number, value) of the fields of a message."""
+    at, out = 0, []
+
+    def number():
+        nonlocal at
+        n = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            n |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return n
+
+    while at < len(message):
+        tag = number()
+        if tag & 7:
+            n = number()
+            out.append((tag >> 3, bytes(message[at : at + n])))
+            at += n
+        else:
+            out.append((tag >> 3, number()))
+    return out
+
+
+def test_feed_in_parts_equals_its_entities(spark, tmp_path):
+    """Alerts over many tasks and parts: every entity once, in the feed's order."""
+    events = [(f"e{i}", "detour", {"en": f"text {i}"}, f"2024-01-{1 + i * 7 % 28:02d}T00:00:00" if i % 3 else None) for i in range(400)]
+    df = spark.createDataFrame(events, "id string, type string, header map<string,string>, start string").repartition(7)
+    made = {"description": "map<string,string>", "url": "map<string,string>", "route_ids": "array<string>", "stop_ids": "array<string>", "trip_ids": "array<string>", "end": "string", "cause": "string", "effect": "string", "replacement_stop_id": "string"}
+    found = alerts.entities(df.withColumns({c: F.lit(None).cast(kind) for c, kind in made.items()}))
+    chunks = list(alerts.feed_chunks(found, 1_700_000_000, most=500))
+    assert len(chunks) > 20 and max(map(len, chunks)) < 1000
+    fields = decoded(b"".join(chunks))
+    assert [n for n, _ in fields] == [1] + [2] * 400
+    rows = alerts.in_feed_order(found).collect()
+    assert [v for n, v in fields[1:]] == [alerts.alert_bytes(r) for r in rows]
+    assert [dict(decoded(v))[1].decode() for _, v in fields[1:]] == [r["id"] for r in rows]
+    alerts.write_feed(found, 1_700_000_000, str(tmp_path / "a.pb"))
+    assert (tmp_path / "a.pb").read_bytes() == b"".join(chunks)
+
+
+def test_archive_of_pieces(spark, tmp_path):
+    """Members deflated in many pieces by tasks are those of the files, and checksums join."""
+    import random
+    import zlib
+
+    from tramline.sources import archive
+
+    rng = random.Random(1)
+    for _ in range(50):
+        a, b = rng.randbytes(rng.randint(0, 300)), rng.randbytes(rng.randint(0, 70_000))
+        assert archive.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+    stops = spark.range(5000).select(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("stop_id"), F.concat(F.lit('say "é\n'), F.col("id").cast("string")).alias("stop_name"))
+    sinks.write_feed({"stops": stops, "agency": feed.agencies(spark), "routes": spark.createDataFrame([], "route_id string")}, str(tmp_path / "feed"))
+    target = sinks.package(spark, str(tmp_path / "feed"), ["stops", "agency", "routes"], str(tmp_path / "feed.zip"), most=3000)
+    with zipfile.ZipFile(target) as z:
+        assert z.testzip() is None and z.namelist() == ["stops.txt", "agency.txt", "routes.txt"]
+        for name in ("stops", "agency", "routes"):
+            files = sorted((tmp_path / "feed" / name).glob("part-*.csv"))
+            head = ",".join(schemas.FEED[name]).encode() + b"\n"
+            assert z.read(f"{name}.txt") == head + b"".join(f.read_bytes().removeprefix(head) for f in files)
+        assert z.getinfo("stops.txt").compress_size < z.getinfo("stops.txt").file_size / 3
+    pieces = archive.deflated(spark.read.option("lineSep", "\n").text(str(tmp_path / "feed" / "stops")).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")), 3000)
+    assert pieces.count() > 20
+
+
 def test_stream_of_alerts(spark, tmp_path):
+    """Versions, an older one that comes late, ends; every batch writes its changes alone."""
     from tramline.streaming import alerts_stream
 
     folder, seen = tmp_path / "in", []
     folder.mkdir()
-    (folder / "a.json").write_text(json.dumps({"id": "1", "type": "detour", "header": {"en": "one"}, "description": {}}) + "\n")
-    alerts_stream.run(spark, str(folder), str(tmp_path / "state"), lambda df: seen.append({r["id"]: r["header_text"][0]["text"] for r in df.collect()}), str(tmp_path / "check")).awaitTermination(120)
-    (folder / "b.json").write_text(json.dumps({"id": "2", "type": "detour", "header": {"en": "two"}, "description": {}}) + "\n")
-    alerts_stream.run(spark, str(folder), str(tmp_path / "state"), lambda df: seen.append({r["id"]: r["header_text"][0]["text"] for r in df.collect()}), str(tmp_path / "check")).awaitTermination(120)
-    assert seen == [{"1": "one"}, {"1": "one", "2": "two"}]
-    for text in ("three", "four"):
-        (folder / f"{text}.json").write_text(json.dumps({"id": "1", "type": "detour", "header": {"en": text}, "description": {}}) + "\n")
-        alerts_stream.run(spark, str(folder), str(tmp_path / "state"), lambda df: seen.append({r["id"]: r["header_text"][0]["text"] for r in df.collect()}), str(tmp_path / "check")).awaitTermination(120)
-    assert seen[2:] == [{"1": "three", "2": "two"}, {"1": "four", "2": "two"}]
-    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["batch=2", "batch=3"]  # older snapshots go
-    assert spark.read.parquet(str(tmp_path / "state" / "batch=3")).count() == 2
+    state = str(tmp_path / "state")
+
+    def step(name, at, *events):
+        text = "".join(json.dumps({"type": "detour", "description": {}, **e}) + "\n" for e in events)
+        (tmp_path / name).write_text(text)
+        os.utime(tmp_path / name, (at, at))
+        (tmp_path / name).rename(folder / name)
+        del seen[:]
+        alerts_stream.run(spark, str(folder), state, lambda df: seen.extend((r["id"], r["gone"]) for r in df.collect()), str(tmp_path / "check")).awaitTermination(120)
+        return sorted(seen), {r["id"]: r["header"]["en"] for r in alerts_stream.current(spark, state).collect()}
+
+    hour = 1_700_000_000
+    ends = "2023-11-15T00:00:00Z"  # some two hours later
+    assert step("a.json", hour, {"id": "1", "header": {"en": "one"}}, {"id": "2", "header": {"en": "two"}, "end": ends}) == ([("1", False), ("2", False)], {"1": "one", "2": "two"})
+    assert step("b.json", hour + 60, {"id": "3", "header": {"en": "three"}}) == ([("3", False)], {"1": "one", "2": "two", "3": "three"})
+    assert step("c.json", hour + 120, {"id": "1", "header": {"en": "four"}}) == ([("1", False)], {"1": "four", "2": "two", "3": "three"})
+    assert step("d.json", hour + 30, {"id": "1", "header": {"en": "older"}}, {"id": "4", "type": "unknown", "header": {"en": "no"}}) == ([], {"1": "four", "2": "two", "3": "three"})
+    # what is seen after the end of 2 ends it, in this run or the next
+    changed, now = step("e.json", hour + 90_000, {"id": "5", "header": {"en": "five"}})
+    more, now = step("f.json", hour + 90_060, {"id": "6", "header": {"en": "over"}, "end": ends}, {"id": "3", "header": {"en": "over"}, "end": ends})
+    assert sorted(changed + more) == [("2", True), ("3", True), ("5", False)]
+    assert now == {"1": "four", "5": "five"}
+    assert {r["id"] for r in alerts.entities(alerts_stream.current(spark, state)).collect()} == {"1", "5"}
+    written = sum(spark.read.parquet(str(p)).count() for p in (tmp_path / "state").iterdir())
+    assert written == 7
+
+
+def test_many_batches_write_as_much_as_changes(spark, tmp_path):
+    from tramline.streaming import alerts_stream
+
+    folder, wrote = tmp_path / "in", []
+    folder.mkdir()
+    for k in range(4):
+        text = "".join(json.dumps({"id": f"{i}", "type": "detour", "header": {"en": f"{k}"}, "description": {}}) + "\n" for i in (range(500) if not k else range(3 * k)))
+        (tmp_path / f"{k}.json").write_text(text)
+        os.utime(tmp_path / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+        (tmp_path / f"{k}.json").rename(folder / f"{k}.json")
+        alerts_stream.run(spark, str(folder), str(tmp_path / "state"), lambda df: wrote.append(df.count()), str(tmp_path / "check")).awaitTermination(120)
+    assert [n for n in wrote if n] == [500, 3, 6, 9]
+    assert alerts_stream.current(spark, str(tmp_path / "state")).count() == 500
 
 
 def test_html_tables(spark):

@@ -136,8 +136,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         if asked.zip:
             sinks.package(spark, asked.out, sorted(tables), asked.zip)
     else:
-        with open(asked.file, "wb") as file:
-            file.write(alerts.feed_bytes(alerts.entities(readers.events(spark, asked.events)), int(time.time())))
+        alerts.write_feed(alerts.entities(readers.events(spark, asked.events)), int(time.time()), asked.file)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,7 +118,41 @@ def alert_bytes(row) -> bytes:
     return _field(1, row["id"]) + _field(5, alert)
 
 
+#: Bytes of a part of the feed, about.
+PART = 1 << 20
+
+
+def feed_parts(alerts: DataFrame, most: int = PART) -> DataFrame:
+    """(part): the alerts' messages in feed order, several in a row. A message of repeated fields is the bytes of its parts, one after another."""
+
+    def encode(batches):
+        made, long = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                made.append(_field(2, alert_bytes(row)))
+                long += len(made[-1])
+                if long >= most:
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([b"".join(made)], pa.binary())})
+                    made, long = [], 0
+        if made:
+            yield pa.RecordBatch.from_pydict({"part": pa.array([b"".join(made)], pa.binary())})
+
+    return in_feed_order(alerts).mapInArrow(encode, "part binary")
+
+
+def feed_chunks(alerts: DataFrame, timestamp: int, most: int = PART) -> Iterator[bytes]:
+    """The whole feed, a full data set, a piece at a time: tasks encode the alerts, and the driver holds the parts of one task."""
+    yield _field(1, _field(1, "2.0") + _field(2, 0) + _field(3, timestamp))
+    for row in feed_parts(alerts, most).toLocalIterator():
+        yield bytes(row["part"])
+
+
 def feed_bytes(alerts: DataFrame, timestamp: int) -> bytes:
-    """The whole feed, a full data set; alerts in force are few, and come to the driver one partition at a time."""
-    header = _field(1, "2.0") + _field(2, 0) + _field(3, timestamp)
-    return _field(1, header) + b"".join(_field(2, alert_bytes(row)) for row in in_feed_order(alerts).toLocalIterator())
+    return b"".join(feed_chunks(alerts, timestamp))
+
+
+def write_feed(alerts: DataFrame, timestamp: int, path: str) -> None:
+    """The feed as a file, which is put in its place when it is whole."""
+    with open(f"{path}.part", "wb") as file:
+        file.writelines(feed_chunks(alerts, timestamp))
+    os.replace(f"{path}.part", path)

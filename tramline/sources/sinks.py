@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
+import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.sources import schemas
+from tramline.sources import archive, schemas
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -53,19 +53,19 @@ def write_feed(tables: dict[str, DataFrame], folder: str) -> None:
         write_table(df, folder, name)
 
 
-def package(spark: SparkSession, folder: str, names: list[str], target: str) -> str:
-    """One zip of text tables: the sorted part files of each, one after another and a file at a time, below one header."""
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+def package(spark: SparkSession, folder: str, names: list[str], target: str, most: int = archive.CHUNK) -> str:
+    """One zip of text tables: the sorted part files of each, one after another, below one header.
+
+    Tasks deflate the files' lines; the driver puts the pieces in order, a few at a time, and adds the directory.
+    """
+    with archive.Archive(f"{target}.part") as out:
         for name in names:
-            header = ",".join(schemas.FEED[name]).encode() + b"\n"
-            files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv").load(f"{folder}/{name}")
-            paths = sorted(r["path"] for r in files.select("path").collect())  # one for each task that wrote
             entry = f"{name}.txt" if name not in ("fare_stages", "special_fare_rules") else f"{name}.csv"
-            with out.open(entry, "w", force_zip64=True) as file:
-                file.write(header)
-                for path in paths:
-                    content = bytes(files.where(F.col("path") == path).select("content").first()["content"])
-                    file.write(content.removeprefix(header))
+            files = spark.read.option("lineSep", "\n").option("pathGlobFilter", "part-*.csv").text(f"{folder}/{name}")
+            pieces = kept(archive.deflated(files.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")), most))
+            ordered = pieces.repartitionByRange(max(1, pieces.count()), "file", "start", "place").sortWithinPartitions("file", "start", "place")
+            out.add(entry, [archive.deflate(",".join(schemas.FEED[name]).encode() + b"\n")], ((r["n"], r["crc"], bytes(r["bytes"])) for r in ordered.toLocalIterator()))
+    os.replace(f"{target}.part", target)
     return target
 
 
