@@ -87,20 +87,24 @@ def gov_counts(gov: Gov) -> DataFrame:
     return counted.join(gov.routes.select("route_id", "agency_id", "route_short_name", "route_long_name"), "route_id").select(F.col("route_id").alias("gov_route_id"), "agency_id", F.col("route_short_name").alias("route"), F.col("route_long_name").alias("long_name"), "service_id", "gov_bound", "gov_stops")
 
 
-def match(silver: Silver, gov: Gov) -> DataFrame:
+def match(silver: Silver, gov: Gov, register: DataFrame | None = None) -> DataFrame:
     """Services of government routes for each operator route: equal names, allowed agencies, stop counts nearest within
     the tolerance with all ties; variants by name are left out. Green minibuses are matched by place instead.
-    New Lantao routes keep the government route with most services."""
+    New Lantao routes keep the government route with most services. With a register, Citybus routes are those that it names."""
     spark = silver.routes.sparkSession
     public = gov_counts(gov).where(~X.is_variant_name(F.coalesce("long_name", F.lit("")))).join(F.broadcast(rules(spark)), "agency_id")
     public = public.withColumnRenamed("agency", "_for")
-    mine = operator_counts(silver).where("agency <> 'GMB'").withColumn("match_key", F.concat_ws("|", "agency", "route_key"))
+    elsewhere = ["GMB"] if register is None else ["GMB", "CTB"]
+    mine = operator_counts(silver).where(~F.col("agency").isin(elsewhere)).withColumn("match_key", F.concat_ws("|", "agency", "route_key"))
     fits = (F.col("agency") == F.col("_for")) & (~F.col("same_direction") | (F.col("bound") == F.col("gov_bound")))
     best = selection.best_matches(mine, public, "route", "stop_count", "gov_stops", F.col("tolerance"), "match_key", fits)
     top = selection.rank_groups(best.where("agency = 'NLB'"), "match_key", "gov_route_id", "count_diff").select("match_key", F.col("gov_route_id").alias("_top"))
     best = best.join(top, "match_key", "left").where("_top IS NULL OR _top = gov_route_id")
     found = best.select("agency", "route_key", "gov_route_id", "service_id", "gov_bound", "count_diff")
-    return found.unionByName(match_by_place(silver, gov).withColumn("count_diff", F.lit(None).cast("bigint")))
+    others = match_by_place(silver, gov)
+    if register is not None:
+        others = others.unionByName(registered(silver, gov, register))
+    return found.unionByName(others.withColumn("count_diff", F.lit(None).cast("bigint")))
 
 
 def first_stops(patterns: DataFrame, stops: DataFrame, key: str) -> DataFrame:
@@ -128,6 +132,14 @@ def match_by_register(routes: DataFrame, register: DataFrame) -> DataFrame:
     return routes.select("route").distinct().join(chosen.select("route", "ROUTE_ID"), "route")
 
 
+def registered(silver: Silver, gov: Gov, register: DataFrame) -> DataFrame:
+    """Citybus: all services of the government route that the register gives for a name."""
+    own = silver.routes.where("agency = 'CTB'")
+    named = match_by_register(own, register).select("route", F.col("ROUTE_ID").cast("string").alias("gov_route_id"))
+    services = gov.trips.select(F.col("route_id").alias("gov_route_id"), "service_id", X.trip_direction(F.col("trip_id")).alias("gov_bound")).distinct()
+    return own.select("agency", "route_key", "route").join(named, "route").join(services, "gov_route_id").select("agency", "route_key", "gov_route_id", "service_id", "gov_bound")
+
+
 def unmatched(silver: Silver, matches: DataFrame) -> DataFrame:
     return silver.routes.join(matches.select("agency", "route_key").distinct(), ["agency", "route_key"], "left_anti")
 
@@ -534,11 +546,12 @@ def translate(silver: Silver, own_routes: DataFrame, own_trips: DataFrame) -> Da
     return selection.keep_first(selection.union_all(*parts), ["table_name", "field_name", "language", "record_id"], [F.col("translation")])
 
 
-def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFrame, gov_calendar_dates: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame, waypoints: DataFrame | None = None, stages: Stages | None = None) -> dict[str, DataFrame]:
+def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFrame, gov_calendar_dates: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame, waypoints: DataFrame | None = None, stages: Stages | None = None, register: DataFrame | None = None, invert: bool = False) -> dict[str, DataFrame]:
     """All tables of a bus feed.
 
     What several tables need is a stage: written once and read again, so no plan repeats the steps before it, and a
-    job that is started again on the folder of its stages skips those that are whole.
+    job that is started again on the folder of its stages skips those that are whole. With ``invert``, trips whose ends
+    lie at the government's other ends take its other direction.
     """
     spark = edges.sparkSession
     stage = stages or Stages(spark)
@@ -546,10 +559,14 @@ def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFra
     read = Silver(*(stage(f"read_{name}", lambda i=i: together(parts)[i]) for i, name in enumerate(Silver._fields)))
     spliced = splice_one_way(read, gov)
     silver = read._replace(routes=stage("network_routes", lambda: spliced.routes), patterns=stage("network_patterns", lambda: spliced.patterns))
-    matches = stage("matches", lambda: match(silver, gov))
+    matches = stage("matches", lambda: match(silver, gov, register))
     own_trips = stage("own_trips", lambda: trips(silver, matches))
     own_stops = stage("own_stops", lambda: stops(silver))
     times = stage("times", lambda: finalise_stop_times(stop_times(own_trips, silver.patterns, edges), own_stops))
+    if invert:
+        unturned = own_trips
+        turned = stage("inversions", lambda: inversions(unturned, times, own_stops, gov))
+        own_trips = stage("turned_trips", lambda: auto_invert(unturned, turned))
     priced = stage("trip_fares", lambda: trip_fares(own_trips, fare_rules, fare_attributes))
     if waypoints is None:
         shaped = own_trips.withColumn("shape_id", F.lit(None).cast("string"))

@@ -30,6 +30,7 @@ OVERPASS = "https://overpass-api.de/api/interpreter"
 JOURNEYS = "https://raw.githubusercontent.com/HK-Bus-ETA/hk-bus-time-between-stops/pages"
 WAYPOINTS = "https://codeload.github.com/hkbus/route-waypoints/zip/refs/heads/gh-pages"
 HEADWAYS = "https://www.mtr.com.hk/en/customer/services/train_service_index.html"
+PLATFORMS = "https://raw.githubusercontent.com/wheelstransit/mtr-platform-exits-crawler/refs/heads/main/data/output"
 #: Files by the name under which they are landed.
 MTR_FILES = {"mtr_bus/routes": "mtr_bus_routes", "mtr_bus/route_stops": "mtr_bus_stops", "mtr_bus/fares": "mtr_bus_fares", "rail/lines_and_stations": "mtr_lines_and_stations", "rail/fares": "mtr_lines_fares", "rail/light_rail_stops": "light_rail_routes_and_stops", "rail/light_rail_fares": "light_rail_fares", "rail/barrier_free": "barrier_free_facilities"}
 GOV_FILES = ("routes", "trips", "stop_times", "stops", "frequencies", "calendar", "calendar_dates", "fare_attributes", "fare_rules")
@@ -53,6 +54,14 @@ def journey_times(get: Get) -> Files:
     return {"journey_times.json": get(f"{JOURNEYS}/times/all.json") or {}}
 
 
+def platforms(get: Get) -> Files:
+    """Platforms, stations and exits by key, and the walks between platforms and exits and between platforms."""
+    whole = get(f"{PLATFORMS}/mtr_data_complete.json") or {}
+    walks = {name: get(f"{PLATFORMS}/{file}.json") for name, file in (("exit_walks", "journeys"), ("platform_walks", "platform_journeys"))}
+    made = {name: whole.get(name) for name in ("platforms", "stations", "exits")} | walks
+    return {f"rail/{name}.json": answer for name, answer in made.items() if answer}
+
+
 def hourly_journey_times(get: Get, threads: int = THREADS) -> Files:
     """One document for each weekday and hour."""
     asked = [(day, hour) for day in range(7) for hour in range(24)]

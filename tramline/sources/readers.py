@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions import text as X
@@ -125,15 +125,30 @@ def green_minibus(directions: DataFrame, route_stops: DataFrame) -> tuple[DataFr
     return own, keep_first(kept(route_stops), ["route_id", "route_seq", "sequence"], [F.col("stop_id")])
 
 
-def station_exits(stations: DataFrame, found: DataFrame) -> DataFrame:
+def exits_name(station: Column) -> Column:
+    """What the geocoder is asked for a station's exits."""
+    return F.concat(F.lit("港鐵"), station, F.lit("站進出口"))
+
+
+def exit_name(station: Column, exit_: Column) -> Column:
+    """What the geocoder calls an exit."""
+    return F.concat(F.lit("港鐵"), station, F.lit("站-"), exit_, F.lit("進出口"))
+
+
+def light_rail_name(stop: Column) -> Column:
+    return F.concat(stop, F.lit("輕鐵站"))
+
+
+def station_exits(stations: DataFrame, found: DataFrame, built: Column | None = None) -> DataFrame:
     """Exits A to Z and A1 to Z9 of stations whose built name the geocoder knows; lift access; the last of equal ones.
 
-    found has name, east, north and facility (a list of exits with a lift).
+    found has name, east, north and facility (a list of exits with a lift). The name is built of the station's columns
+    and ``exit``; from the English name if nothing is said.
     """
     letters = [chr(65 + i) for i in range(26)]
     codes = F.array(*(F.lit(x) for x in letters + [f"{a}{n}" for a in letters for n in range(1, 10)]))
     wanted = stations.select("station_code", "station_name_en", "station_name_zh", F.explode(codes).alias("exit"))
-    wanted = wanted.withColumn("name", F.concat(F.upper("station_name_en"), F.lit(" STATION EXIT "), F.col("exit")))
+    wanted = wanted.withColumn("name", F.concat(F.upper("station_name_en"), F.lit(" STATION EXIT "), F.col("exit")) if built is None else built)
     own = wanted.join(found.withColumn("_order", F.monotonically_increasing_id()), "name")
     own = own.withColumn("_place", wgs84("east", "north")).withColumn("barrier_free", F.array_contains(X.exit_codes(F.coalesce("facility", F.lit(""))), F.col("exit")))
     return keep_last(own, ["station_code", "exit"], ["_order"]).select("station_code", "station_name_en", "station_name_zh", "exit", F.col("_place.lat").alias("lat"), F.col("_place.lon").alias("lon"), "barrier_free")

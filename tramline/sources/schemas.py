@@ -47,6 +47,9 @@ RAIL = {
     "light_rail_fares": "from_station_id string, to_station_id string, fare_octo_adult string",
 }
 PLATFORMS = "map<string,struct<amenity_id:string,ref:string,name_en:string,name_zh:string,coordinates:struct<lat:double,lon:double>,lines_and_directions:array<struct<line_code:string,direction:string,destination_station_code:string>>>>"
+EXITS = "map<string,struct<amenity_id:string,ref:string,name_en:string,name_zh:string>>"
+BARRIER_FREE = "station_id string, item string, has string, place string"
+REGISTER = "ROUTE_ID string, COMPANY_CODE string, ROUTE_NAMEC string, SPECIAL_TYPE int"
 STATIONS = "map<string,struct<platforms:array<string>>>"
 JOURNEYS = {
     "exits": "platform_amenity_id string, exit_amenity_id string, station_code string, walk_distance_metres double, walk_time_minutes double",

@@ -12,11 +12,12 @@ import urllib.parse
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tramline.sources import endpoints, fetch, schemas
+from tramline.sources import endpoints, fetch, readers, schemas
 
 #: Pages that a task asks for, one after another.
 PER_TASK = 8
@@ -158,19 +159,33 @@ def minibus(spark: SparkSession, raw: str, manners: Manners = Manners()) -> None
 
 
 def places(spark: SparkSession, raw: str, name: str, asked: list[str], manners: Manners = Manners()) -> None:
-    """(name, rank, east, north) of what the geocoder gives for each name, the first being the best."""
+    """(name, rank, east, north, name_zh) of what the geocoder gives for each name, the first being the best."""
     found = pages(spark, [(n, f"{endpoints.GEOCODE}?{urllib.parse.urlencode({'q': n})}") for n in asked], manners)
-    rows = found.select(F.col("key").alias("name"), F.posexplode(F.from_json("body", "array<struct<x:double,y:double>>")).alias("place", "p"))
-    _landed(rows.where("p.x IS NOT NULL AND p.y IS NOT NULL").select("name", (F.col("place") + 1).alias("rank"), F.col("p.x").alias("east"), F.col("p.y").alias("north")), raw, name)
+    rows = found.select(F.col("key").alias("name"), F.posexplode(F.from_json("body", "array<struct<x:double,y:double,nameZH:string>>")).alias("place", "p"))
+    _landed(rows.where("p.x IS NOT NULL AND p.y IS NOT NULL").select("name", (F.col("place") + 1).alias("rank"), F.col("p.x").alias("east"), F.col("p.y").alias("north"), F.col("p.nameZH").alias("name_zh")), raw, name)
+
+
+def rail_places(spark: SparkSession, raw: str, manners: Manners = Manners()) -> None:
+    """The places of the exits of all landed stations, and of all landed light-rail stops."""
+    for file, schema, column, build, name in (("lines_and_stations", "lines_and_stations", "Chinese Name", readers.exits_name, "exit_places"), ("light_rail_stops", "light_rail_stops", "name_tc", readers.light_rail_name, "light_rail_places")):
+        try:
+            rows = readers.csv(spark, f"{raw}/rail/{file}.csv", schemas.RAIL[schema])
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error):
+                continue
+            raise
+        asked = rows.where(F.col(f"`{column}`").isNotNull()).select(build(F.col(f"`{column}`")).alias("name"))
+        places(spark, raw, f"rail/{name}", _keys(asked, "name"), manners)
 
 
 def fetch_all(spark: SparkSession, raw: str, get: Callable = fetch.get_json, get_bytes: Callable = fetch.get_bytes, post: Callable = fetch.get_json, hourly: bool = False, manners: Manners = Manners()) -> None:
     """Lands all sources that the feed is made of: whole files as they are, pages through Spark."""
-    for source in (endpoints.kmb, endpoints.journey_times, *([endpoints.hourly_journey_times] if hourly else [])):
+    for source in (endpoints.kmb, endpoints.journey_times, endpoints.platforms, *([endpoints.hourly_journey_times] if hourly else [])):
         endpoints.land(raw, source(get))
     for publisher in (citybus, lantao, minibus):
         publisher(spark, raw, manners)
     endpoints.land(raw, endpoints.texts(get_bytes))
+    rail_places(spark, raw, manners)
     endpoints.land(raw, dict(endpoints.waypoints(get_bytes)))
     for what in ("routes", "stations"):
         endpoints.land(raw, endpoints.overpass(post, what))
