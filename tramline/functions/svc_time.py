@@ -9,10 +9,13 @@ DAY = 86_400
 
 
 def to_seconds(clock: Column) -> Column:
-    """Seconds of an H:MM:SS text; null unless it has exactly three whole numbers."""
-    parts = F.split(F.trim(clock), ":")
-    number = lambda i: F.get(parts, F.lit(i)).try_cast("int")
-    return F.when(F.size(parts) == 3, number(0) * 3600 + number(1) * 60 + number(2))
+    """Seconds of an H:MM:SS text; null unless it has exactly three whole numbers.
+
+    The text is looked at once, so an expression that makes it is not evaluated again for each number.
+    """
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"))
+    step = lambda a, part: F.struct((a["n"] + 1).alias("n"), F.when(a["n"] < 3, a["s"] * 60 + part.try_cast("int")).otherwise(a["s"]).alias("s"))
+    return F.aggregate(F.split(F.trim(clock), ":"), start, step, lambda a: F.when(a["n"] == 3, a["s"]))
 
 
 def to_clock(seconds: Column) -> Column:
