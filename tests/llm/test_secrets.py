@@ -178,3 +178,11 @@ def test_a_megabyte_takes_less_than_a_second(text):
     began = time.perf_counter()
     S.find(text, [r for r in S.RULES if r.kind in ("jwt", "login")])
     assert time.perf_counter() - began < 1
+
+
+def test_planted_secrets_equal_sql(spark, data, duck):
+    found = duck.execute(S.PLANTED_SQL)
+    made = S.secrets_planted(spark, data)
+    same_rows(made, found.fetchall(), [d[0] for d in found.description])
+    counts = {r[0]: r[1] for r in made.join(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang"), "doc_id").groupBy("lang").agg({"n_planted": "min"}).collect()}
+    assert counts["en"] >= 1 and counts["de"] >= 1 and counts["fr"] >= 2

@@ -18,6 +18,7 @@ QUERIES = {
     "op11_fill_in_middle": infill.op11_fill_in_middle,
     "op12_minhash_dedup": superminhash.op12_minhash_dedup,
     "op13_prefix_trie": prefixtrie.op13_prefix_trie,
+    "secrets_planted": secrets.secrets_planted,
     "secrets_second_scan": secrets.secrets_second_scan,
 }
 
@@ -28,5 +29,6 @@ SQL = {
     "op11_fill_in_middle": infill.ORACLE_SQL,
     "op12_minhash_dedup": superminhash.ORACLE_SQL,
     "op13_prefix_trie": prefixtrie.ORACLE_SQL,
+    "secrets_planted": secrets.PLANTED_SQL,
     "secrets_second_scan": secrets.SECOND_SCAN_SQL,
 }
