@@ -179,3 +179,13 @@ def test_best_names_equal_those_of_all_pairs(spark):
     equal, compared = fuzzy.compared_pairs(a, o, ["g"], ["k"], "name", "other")
     assert equal.count() > 100
     assert compared.count() < every.count() / 3, (compared.count(), every.count())
+
+
+def test_near_pairs_of_a_crowded_cell(spark):
+    """Equal to all pairs, with cells of many points and parts of few."""
+    rng = random.Random(4)
+    rows = [(i, "N" if i % 3 else "M", rng.random() * (4 if i % 2 else 60), rng.random() * (4 if i % 2 else 60)) for i in range(500)]
+    want = {(a[1], a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and (a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2 <= 25}
+    df = spark.createDataFrame(rows, "id int, name string, x double, y double")
+    got = [tuple(r) for r in spatial.near_pairs(df, "name", "id", "x", "y", 5.0, crowd=20).collect()]
+    assert len(got) == len(set(got)) and set(got) == want

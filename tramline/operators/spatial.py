@@ -36,14 +36,25 @@ def inversion(pairs: DataFrame, mine: tuple[str, ...], theirs: tuple[str, ...],
     return out.withColumn("warning", warn).withColumn("flip", warn & (c("inverted") < flip_below))
 
 
-def near_pairs(points: DataFrame, name: str, point: str, x: str, y: str, radius: float) -> DataFrame:
-    """(name, low, high) of points of a name within a radius on a plane: equi-join on grid cells of that size."""
+#: Points of a cell of near_pairs that one task compares with.
+CROWD = 4096
+
+
+def near_pairs(points: DataFrame, name: str, point: str, x: str, y: str, radius: float, crowd: int = CROWD) -> DataFrame:
+    """(name, low, high) of points of a name within a radius on a plane: equi-join on grid cells of that size.
+
+    The points that are compared with a cell of more than ``crowd`` are dealt over parts, each of which gets the cell's
+    points, so a crowded cell is the work of several tasks.
+    """
     cell = lambda c: F.floor(F.col(c) / radius).cast("long")
-    own = points.select(name, point, x, y, cell(x).alias("cx"), cell(y).alias("cy"))
-    around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-    spread = own.withColumn("_n", around).select(F.col(name), F.col(point).alias("low"), F.col(x).alias("_x"), F.col(y).alias("_y"), (F.col("cx") + F.col("_n.i")).alias("cx"), (F.col("cy") + F.col("_n.j")).alias("cy"))
-    near = spread.join(own.withColumnRenamed(point, "high"), [name, "cx", "cy"])
-    return near.where((F.col("low") < F.col("high")) & (F.pow(F.col(x) - F.col("_x"), 2) + F.pow(F.col(y) - F.col("_y"), 2) <= radius * radius)).select(name, "low", "high")
+    keys = [name, "_cx", "_cy"]
+    own = points.select(name, point, x, y, cell(x).alias("_cx"), cell(y).alias("_cy"))
+    parts = own.groupBy(*keys).agg(F.ceil(F.count("*") / crowd).cast("int").alias("_parts")).where("_parts > 1")
+    number = F.coalesce("_parts", F.lit(1))
+    near = _neighbourhood(own.select(name, F.col(point).alias("low"), F.col(x).alias("_x"), F.col(y).alias("_y"), "_cx", "_cy")).join(parts, keys, "left").withColumn("_part", F.pmod(F.xxhash64("low"), number).cast("int")).drop("_parts")
+    dealt = own.withColumnRenamed(point, "high").join(parts, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), number - 1))).drop("_parts")
+    pairs = near.join(dealt, [*keys, "_part"])
+    return pairs.where((F.col("low") < F.col("high")) & (F.pow(F.col(x) - F.col("_x"), 2) + F.pow(F.col(y) - F.col("_y"), 2) <= radius * radius)).select(name, "low", "high")
 
 
 _AROUND = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
