@@ -280,3 +280,31 @@ def fuzzy_sequence_match(read):
     theirs = p.select(F.col("p_type").alias("type"), F.expr("CASE WHEN p_size % 3 = 0 THEN 'O' ELSE 'I' END").alias("bound"), F.col("p_name").alias("name")).distinct()
     pairs = p.groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("type")).agg(F.when(F.min("p_size") < 3, 100.0).otherwise(0.0).alias("penalty"))
     return selection.fuzzy_sequences(pairs, mine, theirs, "brand", "type", "bound", "name")
+
+
+_BUS = """
+r AS (SELECT 'R' || c_custkey AS route, 'O' || c_custkey AS orig, CASE WHEN c_mktsegment = 'BUILDING' THEN 'D' || c_custkey || ' (Circular)' ELSE 'D' || c_custkey END AS dest, c_mktsegment = 'BUILDING' AS circular FROM customer),
+s AS (SELECT DISTINCT 'R' || o_custkey AS route, CASE WHEN o_orderpriority < '3' THEN 'O' ELSE 'I' END AS bound FROM orders)"""
+
+
+@query(f"""WITH {_BUS},
+e AS (SELECT DISTINCT route, CASE WHEN circular THEN 'O' ELSE bound END AS bound, circular, orig, dest FROM r JOIN s USING (route))
+SELECT route || '-' || bound AS route_key, bound, CASE WHEN bound = 'I' THEN dest ELSE orig END AS orig_en, CASE WHEN bound = 'I' THEN orig ELSE dest END AS dest_en FROM e""")
+def citybus_routes(read):
+    """Routes with a sequence in a direction: inbound ones swap their ends, circular ones have one direction."""
+    dest = "CASE WHEN c_mktsegment = 'BUILDING' THEN concat('D', c_custkey, ' (Circular)') ELSE concat('D', c_custkey) END"
+    routes = read("customer").selectExpr("concat('R', c_custkey) AS route", "concat('O', c_custkey) AS orig_en", "concat('O', c_custkey) AS orig_tc", f"{dest} AS dest_en", f"{dest} AS dest_tc", "'' AS dest_sc")
+    way = "CASE WHEN o_orderpriority < '3' THEN 'outbound' ELSE 'inbound' END"
+    sequences = read("orders").groupBy(F.expr("concat('R', o_custkey)").alias("route_id"), F.expr(way).alias("direction")).agg(F.sort_array(F.collect_set(F.expr("concat('C', o_orderkey)"))).alias("stop_ids"))
+    stops = read("orders").selectExpr("concat('C', o_orderkey) AS stop", "'' AS name_en", "'' AS name_tc", "'22' AS lat", "'114' AS long")
+    return silver.citybus(routes, stops, sequences).routes.select("route_key", "bound", "orig_en", "dest_en")
+
+
+@query("""
+WITH r AS (SELECT DISTINCT 'K' || p_size AS route, CASE WHEN p_partkey % 2 = 0 THEN 'O' ELSE 'I' END AS bound FROM part)
+SELECT route || '-' || bound AS route_key, bound, CASE WHEN bound = 'O' THEN 'From ' || route ELSE 'Dest ' || route END AS orig_en, CASE WHEN bound = 'O' THEN 'Dest ' || route ELSE 'From ' || route END AS dest_en FROM r""")
+def mtr_bus_routes(read):
+    """Routes whose two names stand in one text, in each direction in which they call."""
+    calls = read("part").selectExpr("concat('K', p_size) AS route_id", "CASE WHEN p_partkey % 2 = 0 THEN 'O' ELSE 'I' END AS direction", "'1' AS station_seqno", "string(p_partkey % 97) AS station_id", "'22.3' AS station_latitude", "'114.1' AS station_longitude", "'' AS station_name_chi", "'X' AS station_name_eng")
+    routes = read("part").selectExpr("concat('K', p_size) AS route_id").distinct().selectExpr("route_id", "concat('起', route_id, '至', '終', route_id) AS route_name_chi", "concat('From ', route_id, ' to Dest ', route_id) AS route_name_eng", "'' AS is_circular")
+    return silver.mtr_bus(routes, calls).routes.select("route_key", "bound", "orig_en", "dest_en")
