@@ -92,7 +92,8 @@ def _level(groups: DataFrame, own: list[int], chunk: int, spare: float) -> DataF
         buffer, held = Buffer(out), []
 
         def flush():
-            kept = max(1, int(len(held) * spare))
+            exact = len(held) * spare  # a part of a group is a chance of one, drawn by an id, so that all chunks keep the share and no more
+            kept = int(exact) + (int.from_bytes(held[0][0][-4:], "big") < exact % 1 * 2**32)
             to, sums = fill(own, [n for _, n in held[kept:]])
             for i, (one, n) in enumerate(held):
                 buffer.add(one, n, to[i - kept] if i >= kept else None, sums if i == 0 else None)
