@@ -48,7 +48,7 @@ def test_stages(spark, data):
 def toxic(text, lexicon, fit):
     """A plain score: segments by their definition, on words of the lexicon and the gaps between them."""
     own = T.words(text.encode() if text else None)
-    hits = [(i, s) for i, w in enumerate(own) if (s := lexicon.words.get(w) or lexicon.prefixes.get(T.beginning(w)))]
+    hits = [(i, s) for i, w in enumerate(own) if (s := lexicon.words.get(w) or lexicon.prefixes.get(T.beginning(w, lexicon.length)))]
     scores = [x for k, (i, s) in enumerate(hits) for x in ((lexicon.rest * (i - hits[k - 1][0] - 1),) if k else ()) + (s,)]
     found = brute(scores)
     if not found:
@@ -74,7 +74,7 @@ def test_stages_equal_plain_versions(spark, data):
     stages = dict(corpus_pipeline.STAGES)
     rows = lambda df: sorted((r["doc_id"], r["text"]) for r in df.collect())
     training = T.training_rows(docs, labels)
-    lexicon = T.fit_lexicon(training)
+    lexicon = T.fit_lexicon(training, T.choose_length(training))
     fit = T.calibrate(training, lexicon)
     now = stored(stages["toxicity"](spark, docs, data))
     expected = [r for r in rows(docs) if toxic(r[1], lexicon, fit) < 0.5]
