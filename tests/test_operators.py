@@ -89,8 +89,35 @@ def test_fare_resolution(spark):
     stages = spark.createDataFrame([("A", 1, 8.0), ("A", 4, 5.0), ("A", 6, 4.0), ("A", 7, 3.0), ("B", 1, 9.0), ("C", 1, 7.0)], "trip_id string, seq int, price double")
     trip_rules = spark.createDataFrame([("B", 1, 2, 6.5), ("C", 1, 5, 2.0)], "trip_id string, from_seq int, to_seq int, price double")
     agency = spark.createDataFrame([("tuen_mun", "tin_shui_wai", 15.0)], "board_stop string, alight_stop string, price double")
-    out = {r["journey"]: (r["price"], r["rule"]) for r in fares.resolve(journeys, "journey", stages, trip_rules, agency).collect()}
+    out = {r["journey"]: (r["price"], r["rule"]) for r in fares.resolve(journeys, stages, trip_rules, agency).collect()}
     assert out == {"one": (8.0, "stage"), "two": (6.5, "trip"), "three": (15.0, "agency")}
+    awkward = [("a", None, 3, 8, "tuen_mun", "tin_shui_wai"), ("b", "A", None, 8, "c", "h"), ("c", "A", 3, None, "c", None), ("d", "A", 3, 8, "c", "h"), ("e", "A", 3, 8, "c", "h")]
+    out = {r["journey"]: (r["price"], r["rule"]) for r in fares.resolve(spark.createDataFrame(awkward, journeys.schema), stages, trip_rules, agency).collect()}
+    assert out == {"a": (15.0, "agency"), "b": (None, None), "c": (8.0, "stage"), "d": (8.0, "stage"), "e": (8.0, "stage")}
+    assert fares.resolve(journeys.where("false"), stages, trip_rules.where("false"), agency).count() == 0
+
+
+def test_least_holding_equals_all_pairs(spark):
+    """A hot key, nulls, ends below zero, empty and reversed ranges, repeated rows, ties."""
+    rng = random.Random(12)
+    some = lambda lo, hi: None if rng.random() < 0.05 else rng.randint(lo, hi)
+    key = lambda: rng.choice(["hot"] * 6 + ["a", "b", None])
+    rules = [(key(), some(-5, 90), some(-9, 99), some(1, 400)) for _ in range(900)] + [("far", 3, 10**9, 7), ("far", 2, 5, 1)]
+    asked = [(i, key(), some(-9, 99), some(-9, 120)) for i in range(900)] + [(900, "far", 4, 10**9), (901, "far", 4, 5), (902, "none", 1, 2), (903, "far", 4, 10**9 + 1)]
+    out = fares.least_holding(spark.createDataFrame(asked, "id int, k string, low int, high int"), spark.createDataFrame(rules, "k string, s int, e int, price int"), ["k"], "low", "high", "s", "e", "price")
+    holds = lambda r, k, low, high: None not in (k, low, high, r[1], r[2], r[3]) and r[0] == k and r[1] <= low and r[2] >= high
+    expected = {i: min((r[3] for r in rules if holds(r, k, low, high)), default=None) for i, k, low, high in asked}
+    assert sum(v is not None for v in expected.values()) > 100
+    found = out.collect()
+    assert {r["id"]: r["price"] for r in found} == expected and len(found) == len(asked)
+
+
+def test_least_holding_makes_no_pairs(spark):
+    """A key with 20,000 rules and as many questions that nearly all of them hold."""
+    rules = spark.range(20_000).select(F.lit("k").alias("k"), (F.col("id") % 150).alias("s"), (F.col("id") + 200).alias("e"), F.col("id").alias("price"))
+    asked = spark.range(20_000).select("id", F.lit("k").alias("k"), F.lit(150).alias("low"), (F.col("id") + 200).alias("high"))
+    out = fares.least_holding(asked, rules, ["k"], "low", "high", "s", "e", "price")
+    assert out.where("price = id").count() == 20_000
 
 
 def test_special_ranges(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.operators.selection import as_of
@@ -18,16 +18,49 @@ def special_ranges(fares: DataFrame, last: DataFrame) -> DataFrame:
     return each.join(several, ["trip_id", "start_seq"], "left_semi").join(last, "trip_id").where("max_end < last_seq").drop("last_seq")
 
 
-def resolve(journeys: DataFrame, journey: str, stages: DataFrame, trip_rules: DataFrame, agency_rules: DataFrame) -> DataFrame:
+def least_holding(asked: DataFrame, rules: DataFrame, keys: list[str], low: str, high: str, start: str, end: str, value: str) -> DataFrame:
+    """asked with ``value``: the least of the rules with the same keys whose start..end holds low..high; null without one.
+
+    No pair of a question and a rule is made. The ends that reach ``high`` fall into cells of the powers of two, at most
+    one of each size, and a rule stands in one cell of each size or none, so that a question and a rule that reaches it
+    meet in exactly one. Inside a cell the rules that start in time are those before the question, and the answer is a
+    running least. Questions and rules that are equal are one, so a key has no more of them than it has pairs of whole
+    numbers. Nulls hold nothing and are held by nothing; equal rules and ties give their one value.
+    """
+    c = F.col
+    span = c("_most") - c("_least") + 1
+    sizes = F.sequence(F.lit(0), F.length(F.bin(span)) - 1)
+    ends = rules.where(c(start).isNotNull() & c(value).isNotNull()).groupBy(*keys, c(start).cast("bigint").alias("_at"), c(end).cast("bigint").alias("_end")).agg(F.min(value).alias("_value")).where("_end IS NOT NULL")
+    bounds = ends.groupBy(*keys).agg(F.min("_end").alias("_least"), F.max("_end").alias("_most"))
+    mine = ends.join(bounds, keys).withColumn("_to", c("_end") - c("_least") + 1)
+    mine = mine.withColumn("_size", F.explode(F.filter(sizes, lambda n: F.getbit(c("_to"), n) == 1)))
+    mine = mine.select(*keys, "_at", "_size", F.expr("shiftright(_to, _size)").alias("_cell"), F.lit(0).alias("_side"), "_value")
+    questions = asked.select(*keys, low, high).distinct()
+    theirs = questions.join(bounds, keys).where(c(high) <= c("_most")).withColumn("_to", F.greatest(c(high).cast("bigint"), c("_least")) - c("_least"))
+    theirs = theirs.withColumn("_size", F.explode(F.filter(sizes, lambda n: F.getbit(c("_to"), n) == 0)))
+    theirs = theirs.select(*keys, low, high, c(low).cast("bigint").alias("_at"), "_size", F.expr("shiftright(_to, _size) + 1").alias("_cell"), F.lit(1).alias("_side")).where("_at IS NOT NULL")
+    window = Window.partitionBy(*keys, "_size", "_cell").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    met = theirs.unionByName(mine, allowMissingColumns=True).withColumn("_so_far", F.min("_value").over(window)).where("_side = 1")
+    found = met.groupBy(*keys, low, high).agg(F.min("_so_far").alias(value))
+    return asked.join(found, [*keys, low, high], "left")
+
+
+def resolve(journeys: DataFrame, stages: DataFrame, trip_rules: DataFrame, agency_rules: DataFrame) -> DataFrame:
     """journeys with price and rule: an agency rule for the exact pair of stops, else a trip rule whose range holds the
     journey, else the last stage at or before boarding.
 
     journeys has trip_id, board_seq, alight_seq, board_stop, alight_stop. Of several trip rules the cheapest counts.
+    Each question (trip, boarding, alighting) is answered once, however many journeys ask it, so a trip that most
+    journeys use is as much work as any. A journey without a trip or a boarding has an agency's price or none.
     """
-    staged = as_of(journeys, stages.select("trip_id", F.col("seq").alias("_seq"), F.col("price").alias("_stage")), ["trip_id"], "board_seq", "_seq", "_stage")
-    ranged = journeys.select(journey, "trip_id", "board_seq", "alight_seq").join(trip_rules.select("trip_id", "from_seq", "to_seq", F.col("price").alias("_trip")), "trip_id").where("board_seq >= from_seq AND alight_seq <= to_seq").groupBy(journey).agg(F.min("_trip").alias("_trip"))
+    asked = journeys.select("trip_id", "board_seq", "alight_seq").where("trip_id IS NOT NULL AND board_seq IS NOT NULL").distinct()
+    staged = as_of(asked, stages.select("trip_id", F.col("seq").alias("_seq"), F.col("price").alias("_stage")), ["trip_id"], "board_seq", "_seq", "_stage")
+    ranged = least_holding(staged, trip_rules.withColumnRenamed("price", "_trip"), ["trip_id"], "board_seq", "alight_seq", "from_seq", "to_seq", "_trip")
     paired = agency_rules.groupBy("board_stop", "alight_stop").agg(F.min("price").alias("_agency"))
-    out = staged.join(ranged, journey, "left").join(paired, ["board_stop", "alight_stop"], "left")
+    asks = ("trip_id", "board_seq", "alight_seq")
+    answers = ranged.select(*(F.col(n).alias(f"_{n}") for n in asks), "_stage", "_trip")
+    same = [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in asks]
+    out = journeys.join(answers, same, "left").drop(*(f"_{n}" for n in asks)).join(paired, ["board_stop", "alight_stop"], "left")
     rule = F.when(F.col("_agency").isNotNull(), "agency").when(F.col("_trip").isNotNull(), "trip").when(F.col("_stage").isNotNull(), "stage")
     return out.withColumn("price", F.coalesce("_agency", "_trip", "_stage")).withColumn("rule", rule).drop("_agency", "_trip", "_stage")
 

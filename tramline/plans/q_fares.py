@@ -57,7 +57,21 @@ def priority_rule(read):
     stages = read("lineitem").where("l_quantity < 20").groupBy(F.col("l_suppkey").alias("trip_id"), F.col("l_linenumber").alias("seq")).agg(F.min("l_quantity").alias("price"))
     agency = read("part").where("p_size < 30").groupBy((F.col("p_partkey") % 7 + 1).alias("board_stop"), (F.col("p_size") % 12).alias("alight_stop")).agg(F.min("p_retailprice").alias("price"))
     trip = read("supplier").where("s_acctbal > 4000").select(F.col("s_suppkey").alias("trip_id"), (F.col("s_suppkey") % 4 + 1).alias("from_seq"), (F.col("s_suppkey") % 4 + 3).alias("to_seq"), F.col("s_acctbal").alias("price"))
-    return R.resolve(journeys, "journey", stages, trip, agency).select("journey", "price", "rule")
+    return R.resolve(journeys, stages, trip, agency).select("journey", "price", "rule")
+
+
+@query("""
+WITH r AS (SELECT l_partkey AS trip_id, l_orderkey % 60 AS lo, l_orderkey % 60 + l_suppkey % 40 AS hi, l_extendedprice AS price FROM lineitem),
+j AS (SELECT DISTINCT o_custkey AS trip_id, o_orderkey % 64 AS board, o_orderkey % 64 + o_custkey % 12 + 1 AS alight FROM orders),
+p AS (SELECT j.trip_id, board, alight, min(price) AS price FROM j JOIN r ON r.trip_id = j.trip_id AND lo <= board AND hi >= alight GROUP BY ALL)
+SELECT o_orderkey AS journey, price FROM orders LEFT JOIN p ON p.trip_id = o_custkey AND board = o_orderkey % 64 AND alight = o_orderkey % 64 + o_custkey % 12 + 1""")
+def least_range_fares(read):
+    """The cheapest of a trip's ranges that hold a journey, for every journey."""
+    board = F.col("o_orderkey") % 64
+    journeys = read("orders").select(F.col("o_orderkey").alias("journey"), F.col("o_custkey").alias("trip_id"), board.alias("board"), (board + F.col("o_custkey") % 12 + 1).alias("alight"))
+    start = F.col("l_orderkey") % 60
+    rules = read("lineitem").select(F.col("l_partkey").alias("trip_id"), start.alias("lo"), (start + F.col("l_suppkey") % 40).alias("hi"), F.col("l_extendedprice").alias("price"))
+    return R.least_holding(journeys, rules, ["trip_id"], "board", "alight", "lo", "hi", "price").select("journey", "price")
 
 
 @query("""
