@@ -8,8 +8,8 @@ from compare import same_rows
 from tramline.plans import catalog
 
 
-#: HTML, HTML's entities in CSV, and map projections by numpy.
-IN_PYTHON = {"geocoded_stations", "geocoded_exits", "timetable_pages", "headway_pages", "csv_source", "feed_text", "gov_table"}
+#: HTML, HTML's entities in CSV, map projections by numpy, and Viterbi's pass over one track.
+IN_PYTHON = {"matched_tracks", "geocoded_stations", "geocoded_exits", "timetable_pages", "headway_pages", "csv_source", "feed_text", "gov_table"}
 #: Queries that add the one row of a median to every row.
 ONE_ROW = {"edge_time_fallback", "rail_stop_times"}
 

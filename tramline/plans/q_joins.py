@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions import text as X
 from tramline.functions.geo import haversine_m
+from tramline.operators import matching as M
 from tramline.operators import selection as S
 from tramline.operators import spatial as P
 from tramline.plans import feed, fixed
@@ -200,3 +201,56 @@ def shape_match(read):
     shapes = read("part").select((F.col("p_partkey") % 50).alias("route"), F.when(F.col("p_size") % 2 == 0, "O").otherwise("I").alias("bound"), F.col("p_partkey").alias("shape_id"), F.col("p_brand").alias("agency"))
     found = P.best_shape(trips, shapes, ["route", "bound"], [F.col("shape_id")])
     return found.select("trip", F.when(~F.col("agency").isin("Brand#1", "Brand#2", "Brand#3"), F.col("shape_id")).alias("shape_id"))
+
+
+_STREETS = """
+k AS (SELECT c_custkey AS k FROM customer),
+roads AS (SELECT k.k * 2 AS road, k.k AS a, k.k + 1 AS b, k.k % 12 * 100.0 AS ax, k.k // 12 * 100.0 AS ay, k.k % 12 * 100.0 + 100 AS bx, k.k // 12 * 100.0 AS b_y FROM k JOIN k AS o ON o.k = k.k + 1 WHERE k.k % 12 < 11
+  UNION ALL SELECT k.k * 2 + 1, k.k, k.k + 12, k.k % 12 * 100.0, k.k // 12 * 100.0, k.k % 12 * 100.0, k.k // 12 * 100.0 + 100 FROM k JOIN k AS o ON o.k = k.k + 12),
+pts AS (SELECT l_orderkey AS track, l_linenumber AS step, o_custkey % 12 * 100.0 + 50 + (l_linenumber - 1 - (l_linenumber - 1) * (o_orderkey % 3) // 2) * 100 + l_partkey % 31 - 15 AS x,
+  o_custkey // 12 * 100.0 + (l_linenumber - 1) * (o_orderkey % 3) // 2 * 100 + l_suppkey % 29 - 14 AS y FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"""
+
+
+def _streets(read):
+    """A grid of streets with a crossing for each customer, twelve crossings wide, and orders that walk along it."""
+    key = read("customer").select(F.col("c_custkey").alias("a"))
+    x, y = (F.col("a") % 12 * 100).cast("double"), (F.floor(F.col("a") / 12) * 100).cast("double")
+    ways = [key.where(where).select((F.col("a") * 2 + i).alias("road"), "a", (F.col("a") + step).alias("b"), x.alias("ax"), y.alias("ay"), (x + dx).alias("bx"), (y + dy).alias("by")) for i, step, dx, dy, where in ((0, 1, 100, 0, "a % 12 < 11"), (1, 12, 0, 100, "true"))]
+    roads = S.referential(S.union_all(*ways), key, "b", "a").select("road", "a", "b", "ax", "ay", "bx", "by")
+    at = F.col("l_linenumber") - 1
+    up = F.floor(at * (F.col("o_orderkey") % 3) / 2)
+    start = F.col("o_custkey")
+    walked = read("lineitem").join(read("orders").select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    points = walked.select(F.col("l_orderkey").alias("track"), F.col("l_linenumber").alias("step"), (start % 12 * 100.0 + 50 + (at - up) * 100 + F.col("l_partkey") % 31 - 15).alias("x"), (F.floor(start / 12) * 100.0 + up * 100 + F.col("l_suppkey") % 29 - 14).alias("y"))
+    return points, roads
+
+
+_LINE = "sqrt(pow(q.x - p.x, 2) + pow(q.y - p.y, 2))"
+
+
+@query(f"""
+WITH RECURSIVE {_STREETS},
+d AS (SELECT DISTINCT track, step, x, y FROM pts),
+s AS (SELECT d.*, r.*, least(greatest(((x - ax) * (bx - ax) + (y - ay) * (b_y - ay)) / 10000, 0), 1) AS share FROM d JOIN roads AS r ON x BETWEEN ax - 50 AND bx + 50 AND y BETWEEN ay - 50 AND b_y + 50),
+w AS (SELECT *, share * 100 AS along, sqrt(pow(x - (ax + (bx - ax) * share), 2) + pow(y - (ay + (b_y - ay) * share), 2)) AS away FROM s),
+c AS (SELECT *, dense_rank() OVER (PARTITION BY track ORDER BY step, x, y) AS n, CAST(round(pow(away / 10, 2) / 2 * 1000000) AS BIGINT) AS own FROM w WHERE away <= 50),
+one AS (SELECT a, b, 100 AS way FROM roads UNION ALL SELECT b, a, 100 FROM roads),
+h0 AS (SELECT DISTINCT a, a AS b, 0 AS way FROM one),
+h1 AS (SELECT a, b, min(way) AS way FROM (SELECT * FROM h0 UNION ALL SELECT h.a, o.b, h.way + o.way FROM h0 AS h JOIN one AS o ON o.a = h.b) GROUP BY ALL),
+h2 AS (SELECT a, b, min(way) AS way FROM (SELECT * FROM h1 UNION ALL SELECT h.a, o.b, h.way + o.way FROM h1 AS h JOIN one AS o ON o.a = h.b) GROUP BY ALL),
+h3 AS (SELECT a, b, min(way) AS way FROM (SELECT * FROM h2 UNION ALL SELECT h.a, o.b, h.way + o.way FROM h2 AS h JOIN one AS o ON o.a = h.b) GROUP BY ALL),
+e AS (SELECT track, n, road, x, y, a AS u, along AS off FROM c UNION ALL SELECT track, n, road, x, y, b, 100 - along FROM c),
+m AS (SELECT q.track, q.n, q.road, p.road AS before, p.off + way + q.off AS way, {_LINE} AS line FROM e AS p JOIN h3 ON h3.a = p.u JOIN e AS q ON q.track = p.track AND q.n = p.n + 1 AND q.u = h3.b
+  UNION ALL SELECT q.track, q.n, q.road, p.road, abs(q.along - p.along), {_LINE} FROM c AS p JOIN c AS q ON q.track = p.track AND q.n = p.n + 1 AND q.road = p.road),
+t AS (SELECT track, n, road, before, CAST(round(abs(min(way) - min(line)) / 20 * 1000000) AS BIGINT) AS cost FROM m GROUP BY ALL),
+pair AS (SELECT q.track, q.n, q.road, p.road AS before, least(coalesce(t.cost, 30000000), 30000000) + q.own AS cost FROM c AS p JOIN c AS q ON q.track = p.track AND q.n = p.n + 1
+  LEFT JOIN t ON t.track = q.track AND t.n = q.n AND t.road = q.road AND t.before = p.road),
+v AS (SELECT track, n, road, own AS cost, CAST(NULL AS BIGINT) AS before FROM c WHERE n = 1
+  UNION ALL SELECT track, n, road, k // 10000000, k % 10000000 FROM (SELECT pair.track, pair.n, pair.road, min((v.cost + pair.cost) * 10000000 + pair.before) AS k FROM v JOIN pair ON pair.track = v.track AND pair.n = v.n + 1 AND pair.before = v.road GROUP BY ALL)),
+b AS (SELECT track, n, road, before FROM (SELECT *, row_number() OVER (PARTITION BY track ORDER BY n DESC, cost, road) AS rn FROM v) WHERE rn = 1
+  UNION ALL SELECT v.track, v.n, v.road, v.before FROM b JOIN v ON v.track = b.track AND v.n = b.n - 1 AND v.road = b.before)
+SELECT pts.track, pts.step, pts.x, pts.y, f.road, round(f.along, 3) AS along FROM pts LEFT JOIN (SELECT c.track, c.step, c.x, c.y, c.road, c.along FROM c JOIN b USING (track, n, road)) AS f USING (track, step, x, y)""")
+def matched_tracks(read):
+    """The road that each point of a walk was on, by the likeliest way through a network of streets."""
+    points, roads = _streets(read)
+    return M.match_tracks(points, roads, "track", "step").select("track", "step", "x", "y", "road", F.round("along", 3).alias("along"))
