@@ -5,7 +5,6 @@ from __future__ import annotations
 import itertools
 import random
 
-import pandas as pd
 import pytest
 
 from tramline.operators import matching as M
@@ -61,11 +60,10 @@ def test_the_pass_finds_the_least_of_all_ways(seed):
     cost = {(n, road, before): rng.randint(0, 9) for n in range(1, len(steps)) for road, _ in steps[n] for before, _ in steps[n - 1] if rng.random() < 0.6}
     jump = 7
     price = lambda way: sum(steps[n][road][1] for n, road in enumerate(way)) + sum(min(cost.get((n, way[n], way[n - 1]), jump), jump) for n in range(1, len(way)))
-    rows = [("t", n, road, own, [{"before": b, "cost": c} for (m, r, b), c in cost.items() if (m, r) == (n, road)]) for n, here in enumerate(steps) for road, own in here]
-    rng.shuffle(rows)
-    out = M.likeliest(pd.DataFrame(rows, columns=["_track", "n", "road", "own", "sources"]), jump).sort_values("n")
+    sources = lambda n, road: [{"before": b, "cost": c} for (m, r, b), c in cost.items() if (m, r) == (n, road)]
+    out = [*M.likeliest([(n, [(road, own, sources(n, road)) for road, own in here]) for n, here in enumerate(steps)], jump)][::-1]
     every = itertools.product(*([road for road, _ in here] for here in steps))
-    assert price(list(out["road"])) == min(map(price, every)) and list(out["n"]) == list(range(len(steps)))
+    assert price([road for _, road in out]) == min(map(price, every)) and [n for n, _ in out] == list(range(len(steps)))
 
 
 def test_a_long_road_is_found_from_all_along_it(spark):

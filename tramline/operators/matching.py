@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,44 +61,73 @@ def transitions(near: DataFrame, ways: DataFrame, slack: float) -> DataFrame:
     """(_track, n, road, before, cost): from a road of step n-1 to one of step n, dearer the more the way between them
     differs from the straight line; roads that no known way connects have no row.
 
-    near has (_track, n, x, y, road, a, b, length, along). The join goes from the ends of the earlier road over known
-    ways to the ends of the later one, so roads that don't connect never meet.
+    near has (_track, n, x, y, road, a, b, length, along). Only roads near two successive points of one track are paired, at each of
+    their two ends, and looked up in the known ways.
     """
     c = F.col
-    both = lambda df, other: df.withColumn("_end", F.explode(F.array(F.struct(c("a").alias(other), c("along").alias("_off")), F.struct(c("b").alias(other), (c("length") - c("along")).alias("_off")))))
-    earlier = both(near, "_u").select("_track", (c("n") + 1).alias("n"), c("road").alias("before"), c("x").alias("_x"), c("y").alias("_y"), c("_end._u").alias("_u"), c("_end._off").alias("_from"))
-    later = both(near, "_v").select("_track", "n", "road", "x", "y", c("_end._v").alias("_v"), c("_end._off").alias("_to"))
-    over = earlier.join(ways.select(c("a").alias("_u"), c("b").alias("_v"), "way"), "_u")
-    met = over.join(later, ["_track", "n", "_v"]).select("_track", "n", "road", "before", (c("_from") + c("way") + c("_to")).alias("_way"), F.hypot(c("x") - c("_x"), c("y") - c("_y")).alias("_line"))
+    earlier = near.select("_track", (c("n") + 1).alias("n"), c("road").alias("before"), c("x").alias("_x"), c("y").alias("_y"), c("a").alias("_a"), c("b").alias("_b"), c("along").alias("_along"), (c("length") - c("along")).alias("_left"))
+    pairs = near.where("n > 1").join(earlier, ["_track", "n"]).where("road <> before")
+    crossings = [F.struct(u.alias("u"), v.alias("v"), (before + after).alias("off")) for u, before in ((c("_a"), c("_along")), (c("_b"), c("_left"))) for v, after in ((c("a"), c("along")), (c("b"), c("length") - c("along")))]
+    line = F.hypot(c("x") - c("_x"), c("y") - c("_y"))
+    asked = pairs.select("_track", "n", "road", "before", line.alias("_line"), F.explode(F.array(*crossings)).alias("_end"))
+    met = asked.join(ways.select(c("a").alias("_u"), c("b").alias("_v"), "way"), (c("_end.u") == c("_u")) & (c("_end.v") == c("_v"))).select("_track", "n", "road", "before", (c("_end.off") + c("way")).alias("_way"), "_line")
     stayed = near.select("_track", "n", "road", "x", "y", "along").join(near.select("_track", (c("n") + 1).alias("n"), "road", c("x").alias("_x"), c("y").alias("_y"), c("along").alias("_along")), ["_track", "n", "road"])
     stayed = stayed.select("_track", "n", "road", c("road").alias("before"), F.abs(c("along") - c("_along")).alias("_way"), F.hypot(c("x") - c("_x"), c("y") - c("_y")).alias("_line"))
     least = met.unionByName(stayed).groupBy("_track", "n", "road", "before").agg(F.min("_way").alias("_way"), F.min("_line").alias("_line"))
     return least.select("_track", "n", "road", "before", F.round(F.abs(c("_way") - c("_line")) / slack * UNIT).cast("bigint").alias("cost"))
 
 
-def likeliest(rows: pd.DataFrame, jump: int) -> pd.DataFrame:
-    """Viterbi over one track: rows (n, road, own, sources), a row for each road of a step, sources (before, cost).
+def likeliest(steps: list[tuple[int, list]], jump: int) -> Iterator[tuple]:
+    """Viterbi over one track: (n, road) of the cheapest way, last step first; steps are (n, [(road, own, sources)]),
+    sources {"before", "cost"}.
 
     A road is reached from one that connects with it, or by a jump from the best road of the step before. The lesser
     road wins a tie.
     """
-    steps = []
-    for n, here in rows.sort_values(["n", "road"]).groupby("n"):
-        reached, came = {}, {}
-        last = steps[-1][1] if steps else {}
+    last, came = {}, []
+    for _, here in steps:
         best = min(((cost, road) for road, cost in last.items()), default=None)
-        for road, own, sources in zip(here["road"], here["own"], here["sources"], strict=True):
+        reached, back = {}, {}
+        for road, own, sources in here:
             ways = [(last[s["before"]] + s["cost"], s["before"]) for s in sources if s["before"] in last]
             if best is not None:
                 ways.append((best[0] + jump, best[1]))
-            cost, came[road] = min(ways, default=(0, None))
+            cost, back[road] = min(ways, default=(0, None))
             reached[road] = cost + own
-        steps.append((n, reached, came))
-    found, road = [], min((cost, road) for road, cost in steps[-1][1].items())[1]
-    for n, _, came in reversed(steps):
-        found.append((rows["_track"].iloc[0], n, road))
-        road = came[road]
-    return pd.DataFrame(found, columns=["_track", "n", "road"])
+        last = reached
+        came.append(back)
+    road = min((cost, road) for road, cost in last.items())[1]
+    for (n, _), back in zip(reversed(steps), reversed(came), strict=True):
+        yield n, road
+        road = back[road]
+
+
+def walked(states: DataFrame, jump: int) -> DataFrame:
+    """(_track, n, road) of each track's likeliest way; states are (_track, n, road, own, sources), one for each road of a step.
+
+    Tracks are dealt over tasks and sorted, so a task reads them one after another and holds one at a time.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out = to_arrow_schema(states.select("_track", "n", "road").schema)
+
+    def run(batches):
+        def rows():
+            for batch in batches:
+                yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+        done: list[tuple] = []
+        for track, own in groupby(rows(), itemgetter(0)):
+            steps = [(n, [row[2:] for row in here]) for n, here in groupby(own, itemgetter(1))]
+            done.extend((track, *found) for found in likeliest(steps, jump))
+            if len(done) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*done, strict=True), out, strict=True)], schema=out)
+                done = []
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*done, strict=True), out, strict=True)], schema=out)
+
+    dealt = states.select("_track", "n", "road", "own", "sources").repartition("_track").sortWithinPartitions("_track", "n", "road")
+    return dealt.mapInArrow(run, states.select("_track", "n", "road").schema)
 
 
 def match_tracks(points: DataFrame, roads: DataFrame, track: str, order: str, radius: float = 50.0, noise: float = 10.0, slack: float = 20.0, hops: int = 3, jump: float = 30.0) -> DataFrame:
@@ -120,9 +153,7 @@ def match_tracks(points: DataFrame, roads: DataFrame, track: str, order: str, ra
     sources = moves.groupBy("_track", "n", "road").agg(F.collect_list(F.struct("before", "cost")).alias("sources"))
     none = F.array().cast(sources.schema["sources"].dataType)
     states = near.select("_track", "n", "road", "own").join(sources, ["_track", "n", "road"], "left").withColumn("sources", F.coalesce("sources", none))
-    types = {f.name: f.dataType.simpleString() for f in states.schema}
-    paid = round(jump * UNIT)
-    chosen = states.groupBy("_track").applyInPandas(lambda rows: likeliest(rows, paid), f"_track {types['_track']}, n int, road {types['road']}")
+    chosen = walked(states, round(jump * UNIT))
     placed = near.join(chosen, ["_track", "n", "road"]).select("_track", "_o", c("x").alias("_x"), c("y").alias("_y"), "road", "along")
     same = (c(track) == c("_track")) & (c(order) == c("_o")) & (points["x"].cast("double") == c("_x")) & (points["y"].cast("double") == c("_y"))
     return points.join(placed, same, "left").drop("_track", "_o", "_x", "_y")
