@@ -140,3 +140,17 @@ def test_labels_equal_a_plain_version(spark):
     for r in out:
         labels, score = plain_labels(texts[r["doc_id"]])
         assert r["labels"] == labels and abs(r["score"] - score) < 1e-12
+
+
+def test_planted_lines_equal_sql(spark, duck, data):
+    from compare import same_rows
+
+    cursor = duck.execute(L.PLANTED_SQL)
+    columns = [d[0] for d in cursor.description]
+    same_rows(L.licenses_planted(spark, data), cursor.fetchall(), columns)
+
+
+@pytest.mark.parametrize(("line", "labels", "kind"), L._PLANTED)
+def test_planted_lines(line, labels, kind):
+    assert L.scan(line.encode())[2] == sorted(labels.split())
+    assert kind == "tag" or plain_labels(line)[0] == labels

@@ -20,6 +20,7 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tramline.llm.common import Buffer, arrow_schema, rows, table, words
 
@@ -223,3 +224,45 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every whole document."""
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+#: Last lines of licenses_planted, by the remainder of the id, and the labels that each must give, worked out by hand.
+_PLANTED = (
+    ("// SPDX-License-Identifier: (MIT OR GPL-2.0) */", "mit", "tag"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 AND (MIT OR CC0-1.0)", "gpl cc0", "tag"),
+    ("spdx-license-identifier: Apache-2.0/MIT", "mit", "tag"),
+    ("SPDX-License-Identifier: Strange-1.0 and ISC This file is part of x", "other isc", "tag"),
+    ("SPDX-License-Identifier: AGPL-3.0-or-later OR LGPL-2.1+ AND MPL-2.0", "lgpl mpl", "tag"),
+    ("SPDX-License-Identifier: see the file", "", "tag"),
+    ("Licensed under the Apache License, Version 2.0.", "apache", "notice"),
+)
+
+
+def licenses_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with a tag and an expression, a tag without one, or a notice behind seven of eight."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = F.pmod(F.col("doc_id"), F.lit(len(_PLANTED) + 1))
+    more = F.coalesce(*(F.when(left == i, F.lit(f"\n{line}")) for i, (line, _, _) in enumerate(_PLANTED)), F.lit(""))
+    out = scan_licenses(docs.select("doc_id", F.concat(F.coalesce("text", F.lit("")), more).alias("text")))
+    return out.select("doc_id", "n_words", "labels", F.round("score", 6).alias("score"))
+
+
+def _values(*columns: list[str]) -> str:
+    return ", ".join(f"({', '.join(row)})" for row in zip(*columns, strict=True))
+
+
+def _quoted(values) -> list[str]:
+    return ["'" + v.replace("'", "''") + "'" for v in values]
+
+
+PLANTED_SQL = rf"""
+WITH plant(i, line, labels, kind) AS (VALUES {_values([str(i) for i in range(len(_PLANTED))], *(_quoted(column) for column in zip(*_PLANTED, strict=True)))}),
+phrase(p, label, weight) AS (VALUES {_values(_quoted([*NOTICES, *BASE]), _quoted([*NOTICES.values(), *BASE.values()]), [str(WEIGHTS["notice"])] * len(NOTICES) + [str(WEIGHTS["base"])] * len(BASE))}),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') || coalesce(chr(10) || line, '') AS text, labels, kind FROM documents LEFT JOIN plant ON i = doc_id % {len(_PLANTED) + 1}),
+w AS (SELECT r, doc_id, labels, kind, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS own FROM d),
+l AS (SELECT *, ' ' || array_to_string(own, ' ') || ' ' AS line FROM w),
+f AS (SELECT r, label, weight FROM l JOIN phrase ON contains(line, ' ' || p || ' ')
+  UNION ALL SELECT r, unnest(string_split(labels, ' ')), {WEIGHTS["tag"]} FROM l WHERE kind = 'tag' AND labels <> ''),
+k AS (SELECT r, label, max(weight) AS weight FROM f GROUP BY ALL),
+s AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels, 1 - product(1 - weight) AS score FROM k GROUP BY r)
+SELECT l.doc_id, len(own) AS n_words, coalesce(s.labels, '') AS labels, round(coalesce(CAST(s.score AS DOUBLE), 0.0), 6) AS score FROM l LEFT JOIN s USING (r)"""

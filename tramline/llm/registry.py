@@ -18,6 +18,7 @@ QUERIES = {
     "op11_fill_in_middle": infill.op11_fill_in_middle,
     "op12_minhash_dedup": superminhash.op12_minhash_dedup,
     "op13_prefix_trie": prefixtrie.op13_prefix_trie,
+    "licenses_planted": licenses.licenses_planted,
     "secrets_planted": secrets.secrets_planted,
     "secrets_second_scan": secrets.secrets_second_scan,
 }
@@ -29,6 +30,7 @@ SQL = {
     "op11_fill_in_middle": infill.ORACLE_SQL,
     "op12_minhash_dedup": superminhash.ORACLE_SQL,
     "op13_prefix_trie": prefixtrie.ORACLE_SQL,
+    "licenses_planted": licenses.PLANTED_SQL,
     "secrets_planted": secrets.PLANTED_SQL,
     "secrets_second_scan": secrets.SECOND_SCAN_SQL,
 }
