@@ -107,3 +107,9 @@ def test_grid_origin():
     lat, lon = geo.grid_to_wgs84([836694.05], [819069.80])
     assert abs((lat[0] - (22 + 18 / 60 + 43.68 / 3600)) * 3600 + 5.5) < 0.1
     assert abs((lon[0] - (114 + 10 / 60 + 42.80 / 3600)) * 3600 - 8.8) < 0.1
+
+
+@pytest.mark.parametrize("color", ["51F989", "55EFB2"])
+def test_a_luma_of_just_186_is_black(spark, color):
+    """Sums of the three shares as floating-point numbers stay below 186."""
+    assert value(spark, X.text_color(F.col("c")), c=color) == "000000"

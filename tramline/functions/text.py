@@ -155,8 +155,8 @@ def hex_color(value: Column) -> Column:
 def text_color(color: Column) -> Column:
     """Black on colours whose luma is 186 or more, else white."""
     part = lambda i: F.conv(F.substring(color, i, 2), 16, 10).try_cast("int")
-    luma = 0.299 * part(1) + 0.587 * part(3) + 0.114 * part(5)
-    return F.when(color.isNotNull(), F.when(luma >= 186, "000000").otherwise("FFFFFF"))
+    luma = 299 * part(1) + 587 * part(3) + 114 * part(5)  # in thousandths: whole numbers meet 186 exactly
+    return F.when(color.isNotNull(), F.when(luma >= 186_000, "000000").otherwise("FFFFFF"))
 
 
 def similarity(a: Column, b: Column) -> Column:
