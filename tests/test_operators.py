@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tramline.operators import fares, schedule, selection, spatial
+from tramline.operators import calendars, fares, schedule, selection, spatial
 
 
 def test_intervals_equal_the_sequential_rule(spark):
@@ -216,3 +216,13 @@ def test_near_pairs_of_a_crowded_cell(spark):
     df = spark.createDataFrame(rows, "id int, name string, x double, y double")
     got = [tuple(r) for r in spatial.near_pairs(df, "name", "id", "x", "y", 5.0, crowd=20).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_calendars_dates_are_one_before_they_meet_services(spark):
+    """A date that is published many times is joined once, and the least exception counts, a null never before one that is known."""
+    known = spark.createDataFrame([("a", 20240101 + i % 3, 1 + i % 2) for i in range(3000)] + [("a", 20240101, None), ("b", 20240101, 2), ("c", 20240109, 1)], "service_id string, date int, exception_type int")
+    services = spark.createDataFrame([(f"S{i}", "a") for i in range(20)] * 2 + [("S0", "b"), ("T", None)], "service_id string, original_service_id string")
+    out = calendars.calendar_dates(services, known)
+    assert sorted(map(tuple, out.collect())) == sorted((f"S{i}", 20240101 + d, 1) for i in range(20) for d in range(3))
+    below = out._jdf.queryExecution().optimizedPlan().toString().partition("Join Inner")[2]
+    assert below.count("Aggregate [") == 2  # services and dates, each one first

@@ -26,9 +26,15 @@ def calendar(services: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def calendar_dates(services: DataFrame, known: DataFrame) -> DataFrame:
-    """Exceptions of services that have a public calendar, one for each service and date."""
-    own = services.select("service_id", "original_service_id").distinct().join(known.withColumnRenamed("service_id", "original_service_id"), "original_service_id")
-    return keep_first(own, ["service_id", "date"], [F.col("exception_type")]).select("service_id", "date", "exception_type")
+    """Exceptions of services that have a public calendar, one for each service and date.
+
+    Of several for one date the least counts. A calendar's own dates are made one first, so what is joined grows with
+    services times dates and not with how often a date is published.
+    """
+    least = F.min("exception_type").alias("exception_type")
+    dates = known.groupBy(F.col("service_id").alias("original_service_id"), "date").agg(least)
+    own = services.select("service_id", "original_service_id").distinct().join(dates, "original_service_id")
+    return own.groupBy("service_id", "date").agg(least)
 
 
 def translations(df: DataFrame, table: str, field: str, record: str, **languages: str | Column) -> DataFrame:
