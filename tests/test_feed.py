@@ -486,3 +486,12 @@ def test_further_readers(spark, tmp_path):
     assert abs(out[0]["lat"] - 22.3106) < 0.001 and out[1]["lat"] is None
     cells = html.table_cells(spark.createDataFrame([("p", "<table><tr><th>Line</th></tr><tr><td>Tuen Ma Line</td><td>2.7-3</td><td>3</td><td>4</td><td></td><td>5</td></tr></table>")], "page string, html string"), "page", "html")
     assert [tuple(r) for r in readers.headways(cells, "page").collect()] == [("Tuen Ma Line", "2.7-3", "3", "4", None, "5")]
+
+
+def test_fare_tables_are_never_broadcast(spark):
+    """Rules that are exploded are estimated at the size of what they are made of; a broadcast of them took the driver's memory."""
+    pairs = spark.range(5).selectExpr("id", "explode(sequence(1, 6)) AS s").selectExpr("concat_ws('-', id, 1, s, s + 1) AS fare_id", "double(s) AS price", "'HKD' AS currency_type")
+    own = spark.createDataFrame([("T1", "3", 0), ("T2", "9", 0)], "trip_id string, gov_route_id string, direction_id int")
+    out = feed.trip_fares(own, pairs.select("fare_id"), pairs.drop("s"))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in out.collect()) == [("T1", s, s + 1, float(s), "HKD") for s in range(1, 7)]

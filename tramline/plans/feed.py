@@ -501,12 +501,16 @@ def pathways(platforms: DataFrame, entrances: DataFrame, exits: DataFrame, exit_
 
 
 def trip_fares(own_trips: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame) -> DataFrame:
-    """(trip_id, start_seq, end_seq, price, currency, place): fares of a trip's government route and direction, in the rules' order."""
+    """(trip_id, start_seq, end_seq, price, currency): fares of a trip's government route and direction.
+
+    Both fare tables have a row for each pair of stops of a route, and an estimate of a table that is exploded doesn't
+    count its rows; so they are merged, never broadcast.
+    """
     part = lambda i: X.part_of(F.col("fare_id"), i)
     keyed = fare_rules.select("fare_id", part(0).alias("gov_route_id"), part(1).try_cast("int").alias("gov_direction"), part(2).try_cast("int").alias("start_seq"), part(3).try_cast("int").alias("end_seq"))
-    priced = keyed.join(fare_attributes.select("fare_id", "price", F.col("currency_type").alias("currency")), "fare_id")
+    priced = keyed.join(fare_attributes.select("fare_id", "price", F.col("currency_type").alias("currency")).hint("merge"), "fare_id")
     own = own_trips.where("gov_route_id IS NOT NULL").select("trip_id", "gov_route_id", F.when(F.col("direction_id") == 1, 2).otherwise(1).alias("gov_direction")).distinct()
-    return own.join(priced, ["gov_route_id", "gov_direction"]).select("trip_id", "start_seq", "end_seq", "price", "currency")
+    return own.join(priced.hint("merge"), ["gov_route_id", "gov_direction"]).select("trip_id", "start_seq", "end_seq", "price", "currency")
 
 
 def fare_stages(priced: DataFrame, times: DataFrame) -> DataFrame:
