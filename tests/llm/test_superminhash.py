@@ -136,3 +136,12 @@ def test_ids_of_text_and_no_rows(spark, no_docs):
 def test_query(spark, data, duck):
     answer = duck.execute(op.ORACLE_SQL)
     same_rows(op.op12_minhash_dedup(spark, data), answer.fetchall(), [d[0] for d in answer.description])
+
+
+def test_the_pivot_is_the_class_that_meets_most(spark):
+    """A class that shares all bands with ten others, of which each shares one with it alone, is the pivot of every bucket, though its key is the greatest."""
+    word = lambda band, i: (band * 1000 + i).to_bytes(8, "big")
+    base = [word(b, 0) for b in range(32)]
+    of = [(b"z", b"".join(base))] + [(bytes([97 + i]), b"".join(base[b] if b in (i, 31) else word(b, i + 1) for b in range(32))) for i in range(10)]
+    met = op.meetings(spark.createDataFrame([(bytearray(k), bytearray(v)) for k, v in of], "key binary, signature binary")).collect()
+    assert {bytes(r["pivot"]) for r in met} == {b"z"} and len(met) == 2 * 10 + 11

@@ -11,9 +11,9 @@ sets larger than the signature is one rank or two. Classes whose values agree in
 a whole band of four meet in a bucket.
 
 Only groups are asked for, so links that join what is joined already need no
-look. First every class of a bucket is verified against the bucket's least
-class, its pivot: a group of n copies costs n verifications, and a pivot of any
-number of classes is spread over chunks. Union-find makes groups of these links.
+look. First every class of a bucket is verified against the bucket's pivot, the
+class that meets most others: a group of n copies costs n verifications, and a
+pivot of any number of classes is spread over chunks. Union-find makes groups of these links.
 A bucket that is one group then is done. In the others the classes that are
 outside the pivot's group are compared with all others of the bucket, tile by
 tile: signatures first, and of the pairs that may be links the likelier first,
@@ -42,7 +42,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramline.llm.common import LOWER_BYTES, Buffer, arrow_schema, rows, small, spread_join, stored, table, text_key
@@ -54,7 +54,7 @@ VALUES, BAND = 128, 4
 #: A link may be lost before verification with this probability at most.
 MISS = 1e-9
 #: Classes that are verified against a pivot in one group of rows, and classes of a tile.
-CHUNK, TILE = 256, 128
+CHUNK, TILE = 256, 512
 #: Elements whose orders are drawn together.
 BLOCK = 4096
 
@@ -137,14 +137,22 @@ def classes(docs: DataFrame, id_column: str = "doc_id") -> tuple[DataFrame, Data
 
 
 def meetings(of: DataFrame, values: int = VALUES, band: int = BAND) -> DataFrame:
-    """(bucket, key, band, n, pivot) of each class in each bucket of two or more."""
+    """(bucket, key, band, n, pivot) of each class in each bucket of two or more.
+
+    The pivot of a bucket is the class that meets most others in all of its buckets, of equal ones the least. What most
+    copies were made of shares more bands with them than they share with one another, so it has links to most, and
+    few are left for the tiles; buckets of one group have one pivot, so its pairs are verified once.
+    """
     width, bands = 2 * band, values // band
     pieces = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.substring(F.col("signature"), k * width + 1, F.lit(width)))
     entry = of.select("key", F.posexplode(pieces).alias("band", "piece"))
     entry = entry.select("key", "band", F.concat(F.unhex(F.lpad(F.hex("band"), 2, "0")), "piece").alias("bucket"))
-    buckets = stored(entry.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).where("n > 1"))
+    sizes = stored(entry.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     # a row of a bucket streams past one row of the right side; Spark splits the partition of a hot bucket
-    return stored(entry.join(buckets, "bucket").select("bucket", "key", "band", "n", "pivot"))
+    shared = entry.join(sizes, "bucket").withColumn("weight", F.sum("n").over(Window.partitionBy("key")))
+    shared = stored(shared.select("bucket", "key", "band", "n", "weight"))
+    pivots = stored(shared.groupBy("bucket").agg(F.min(F.struct((-F.col("weight")).alias("w"), "key"))["key"].alias("pivot")))
+    return stored(shared.join(pivots, "bucket").select("bucket", "key", "band", "n", "pivot"))
 
 
 def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
