@@ -495,3 +495,12 @@ def test_fare_tables_are_never_broadcast(spark):
     out = feed.trip_fares(own, pairs.select("fare_id"), pairs.drop("s"))
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in out.collect()) == [("T1", s, s + 1, float(s), "HKD") for s in range(1, 7)]
+
+
+def test_spellings_that_are_equal_are_asked_once(spark):
+    """A trip's variant in two spellings is two rows of the join with terminals, not eight."""
+    lines = spark.createDataFrame([("L", "UT", "A", "a", 1), ("L", "UT", "B", "b", 2)], "line string, direction string, name_en string, name_tc string, sequence int")
+    trips = spark.createDataFrame([("MTRR-L-UT", 0)], "trip_id string, direction_id int")
+    out = feed.rail_headsigns(trips, feed.rail_terminals(lines))
+    assert [tuple(r) for r in out.collect()] == [("MTRR-L-UT", "B", "b")]
+    assert out._jdf.queryExecution().analyzed().toString().count("posexplode(array_distinct(") == 2

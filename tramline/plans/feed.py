@@ -223,7 +223,7 @@ def rail_terminals(lines: DataFrame) -> DataFrame:
     last = lines.where("name_en IS NOT NULL AND direction <> ''").groupBy("line", "direction").agg(F.trim(F.max_by("name_en", "sequence")).alias("en"), F.trim(F.max_by("name_tc", "sequence")).alias("tc"))
     d, tail = F.col("direction"), F.regexp_replace("direction", "^[^-]*-", "")
     spelled = F.array(d, F.upper(d), F.lower(d), tail, F.upper(tail), F.lower(tail), F.when(F.upper(d).endswith("UT"), F.lit("UT")), F.when(F.upper(d).endswith("UT"), F.lit("ut")), F.when(F.upper(d).endswith("DT"), F.lit("DT")), F.when(F.upper(d).endswith("DT"), F.lit("dt")))
-    every = last.select("line", "direction", "en", "tc", F.posexplode(spelled).alias("rank", "variant")).where("variant IS NOT NULL")
+    every = last.select("line", "direction", "en", "tc", F.posexplode(F.array_distinct(spelled)).alias("rank", "variant")).where("variant IS NOT NULL")
     return selection.keep_first(every, ["line", "variant"], [F.col("rank") > 0, F.col("direction"), F.col("rank")]).select("line", "variant", "en", "tc")
 
 
@@ -233,7 +233,7 @@ def rail_headsigns(own_trips: DataFrame, terminals: DataFrame) -> DataFrame:
     tail = F.regexp_replace(variant, "^[^-]*-", "")
     side = F.when(F.col("direction_id") == 0, "UT").when(F.col("direction_id") == 1, "DT")
     asked = F.array(variant, F.upper(variant), F.lower(variant), tail, F.upper(tail), F.lower(tail), side, F.lower(side))
-    every = own_trips.select("trip_id", X.part_of(F.col("trip_id"), 1).alias("line"), F.posexplode(asked).alias("asked", "variant"))
+    every = own_trips.select("trip_id", X.part_of(F.col("trip_id"), 1).alias("line"), F.posexplode(F.array_distinct(asked)).alias("asked", "variant"))
     return every.join(terminals, ["line", "variant"]).groupBy("trip_id").agg(F.min_by("en", "asked").alias("en"), F.min_by("tc", "asked").alias("tc"))
 
 
