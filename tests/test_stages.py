@@ -80,3 +80,21 @@ def test_empty_tables(spark, tmp_path):
     stage = stages.Stages(spark, str(tmp_path))
     assert stage("none", lambda: spark.range(0)).count() == 0
     assert stages.Stages(spark, str(tmp_path))("none", lambda: spark.range(9)).count() == 0
+
+
+def test_stages_broadcast_by_the_size_of_rows_and_not_of_files(spark, tmp_path, monkeypatch):
+    """A million equal texts are a small file and many rows; a stage's plan doesn't take the one for the other, and the session keeps its settings."""
+    spark.range(1_000_000, numPartitions=1).selectExpr("id", "repeat('x', 1000) AS text").write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many")).where("id % 2 = 0")
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(k, None) for k in keys]
+    plan = lambda: (spark.range(3_000_000).join(many, "id"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    with stages.measured_joins(spark):
+        assert "BroadcastHashJoin" not in plan()
+        assert spark.conf.get(keys[1]) == before[0]
+    assert [spark.conf.get(k, None) for k in keys] == before
+    seen = []
+    monkeypatch.setattr(stages, "measured_joins", lambda s, f=stages.measured_joins: seen.append(s) or f(s))
+    stages.Stages(spark, str(tmp_path))("a", lambda: spark.range(2))
+    assert seen == [spark] and [spark.conf.get(k, None) for k in keys] == before

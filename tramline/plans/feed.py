@@ -554,7 +554,8 @@ def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFra
     """All tables of a bus feed.
 
     What several tables need is a stage: written once and read again, so no plan repeats the steps before it, and a
-    job that is started again on the folder of its stages skips those that are whole. With ``invert``, trips whose ends
+    job that is started again on the folder of its stages skips those that are whole. The tables that joins make are
+    stages too, so that one of them is worked on at a time. With ``invert``, trips whose ends
     lie at the government's other ends take its other direction.
     """
     spark = edges.sparkSession
@@ -584,15 +585,15 @@ def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFra
         "routes": own_routes,
         "trips": headsigns(shaped),
         "stop_times": times,
-        "frequencies": frequencies(own_trips, gov),
-        "calendar": calendars.calendar(own_trips, gov_calendar),
-        "calendar_dates": calendars.calendar_dates(own_trips, gov_calendar_dates),
-        "translations": translate(silver, own_routes, own_trips),
-        "fare_stages": fare_stages(priced, times),
-        "special_fare_rules": special_fares(priced, times),
+        "frequencies": stage("frequencies", lambda: frequencies(own_trips, gov)),
+        "calendar": stage("calendar", lambda: calendars.calendar(own_trips, gov_calendar)),
+        "calendar_dates": stage("calendar_dates", lambda: calendars.calendar_dates(own_trips, gov_calendar_dates)),
+        "translations": stage("translations", lambda: translate(silver, own_routes, own_trips)),
+        "fare_stages": stage("fare_stages", lambda: fare_stages(priced, times)),
+        "special_fare_rules": stage("special_fare_rules", lambda: special_fares(priced, times)),
     }
     if waypoints is not None:
-        out["shapes"] = selection.referential(shapes(ways), shaped.where("shape_id IS NOT NULL"), "shape_id")
+        out["shapes"] = stage("shapes", lambda: selection.referential(shapes(ways), shaped.where("shape_id IS NOT NULL"), "shape_id"))
     return out
 
 
