@@ -91,3 +91,21 @@ def test_awkward_rows(spark):
     assert {r["road"] for r in out} == {1, None} and {r["n"] for r in out} == {"n"}
     assert M.match_tracks(points.where("false"), roads, "k", "o").count() == 0
     assert {r["road"] for r in M.match_tracks(points, roads.where("false"), "k", "o").collect()} == {None}
+
+
+def test_a_step_asks_once_for_each_end(spark):
+    """Four roads meet near both points: 12 pairs of roads at four pairs of ends are 48 questions, from five ends they are five."""
+    roads = [(i, "m", e, 0.0, 0.0, 100.0 * dx, 100.0 * dy) for i, (e, dx, dy) in enumerate((("n", 0, 1), ("e", 1, 0), ("s", 0, -1), ("w", -1, 0)))]
+    points = spark.createDataFrame([("t", 1, 3.0, 1.0), ("t", 2, 2.0, 5.0)], "_track string, _o int, x double, y double")
+    network = spark.createDataFrame(roads, ROADS)
+    steps = M.in_steps(M.nearby_roads(points, network, 50.0), 10.0)
+    assert [(r["n"], len(r["here"]), r["asked"] and sorted(r["asked"])) for r in steps.orderBy("n").collect()] == [(1, 4, None), (2, 4, ["e", "m", "n", "s", "w"])]
+    told = {r["u"]: {v: way for v, way in r["to"]} for r in M.ways_asked(steps, M.ways_between(network, 3)).collect()}
+    assert told == {u: {v: 100.0 * (2 if "m" not in (u, v) else 1) * (u != v) for v in "mnesw"} for u in "mnesw"}
+
+
+def test_moves_cost_what_the_way_differs_from_the_line():
+    earlier = [(1, 0, "a", "b", 90.0, 10.0), (2, 0, "b", "c", 5.0, 95.0), (3, 0, None, "z", 1.0, 1.0)]
+    ways = {"a": {"b": 100.0, "c": 200.0}, "b": {"b": 0.0, "c": 100.0}, "c": {"b": 100.0, "c": 0.0}}
+    assert M.moves((2, 0, "b", "c", 30.0, 70.0), earlier, ways, 42.0, 20.0) == [{"before": 1, "cost": 100_000}, {"before": 2, "cost": 850_000}]
+    assert M.moves((2, 0, "b", "c", 30.0, 70.0), earlier, {}, 25.0, 20.0) == [{"before": 2, "cost": 0}]

@@ -57,24 +57,52 @@ def ways_between(roads: DataFrame, hops: int) -> DataFrame:
     return found
 
 
-def transitions(near: DataFrame, ways: DataFrame, slack: float) -> DataFrame:
-    """(_track, n, road, before, cost): from a road of step n-1 to one of step n, dearer the more the way between them
-    differs from the straight line; roads that no known way connects have no row.
+def in_steps(near: DataFrame, noise: float) -> DataFrame:
+    """(_track, n, _o, x, y, line, asked, ends, here): the points of each track that have roads near them, in order.
 
-    near has (_track, n, x, y, road, a, b, length, along). Only roads near two successive points of one track are paired, at each of
-    their two ends, and looked up in the known ways.
+    near has (_track, _o, x, y, road, a, b, length, along, away). here are the roads of a point, line is the straight way from the
+    point before; asked and ends are the ends of roads there and here, between which ways are to be looked up. One
+    shuffle by track makes all of it.
     """
     c = F.col
-    earlier = near.select("_track", (c("n") + 1).alias("n"), c("road").alias("before"), c("x").alias("_x"), c("y").alias("_y"), c("a").alias("_a"), c("b").alias("_b"), c("along").alias("_along"), (c("length") - c("along")).alias("_left"))
-    pairs = near.where("n > 1").join(earlier, ["_track", "n"]).where("road <> before")
-    crossings = [F.struct(u.alias("u"), v.alias("v"), (before + after).alias("off")) for u, before in ((c("_a"), c("_along")), (c("_b"), c("_left"))) for v, after in ((c("a"), c("along")), (c("b"), c("length") - c("along")))]
-    line = F.hypot(c("x") - c("_x"), c("y") - c("_y"))
-    asked = pairs.select("_track", "n", "road", "before", line.alias("_line"), F.explode(F.array(*crossings)).alias("_end"))
-    met = asked.join(ways.select(c("a").alias("_u"), c("b").alias("_v"), "way"), (c("_end.u") == c("_u")) & (c("_end.v") == c("_v"))).select("_track", "n", "road", "before", (c("_end.off") + c("way")).alias("_way"), "_line")
-    stayed = near.select("_track", "n", "road", "x", "y", "along").join(near.select("_track", (c("n") + 1).alias("n"), "road", c("x").alias("_x"), c("y").alias("_y"), c("along").alias("_along")), ["_track", "n", "road"])
-    stayed = stayed.select("_track", "n", "road", c("road").alias("before"), F.abs(c("along") - c("_along")).alias("_way"), F.hypot(c("x") - c("_x"), c("y") - c("_y")).alias("_line"))
-    least = met.unionByName(stayed).groupBy("_track", "n", "road", "before").agg(F.min("_way").alias("_way"), F.min("_line").alias("_line"))
-    return least.select("_track", "n", "road", "before", F.round(F.abs(c("_way") - c("_line")) / slack * UNIT).cast("bigint").alias("cost"))
+    own = F.round(F.pow(c("away") / noise, 2) / 2 * UNIT).cast("bigint")
+    road = F.struct("road", own.alias("own"), "a", "b", "along", (c("length") - c("along")).alias("left"))
+    each = near.select("_track", "_o", "x", "y", road.alias("_road")).repartition("_track").groupBy("_track", "_o", "x", "y").agg(F.collect_list("_road").alias("here"))
+    each = each.withColumn("ends", F.array_compact(F.array_distinct(F.concat("here.a", "here.b"))))
+    w = Window.partitionBy("_track").orderBy("_o", "x", "y")
+    line = F.hypot(c("x") - F.lag("x").over(w), c("y") - F.lag("y").over(w))
+    return each.select("_track", F.row_number().over(w).alias("n"), "_o", "x", "y", line.alias("line"), F.lag("ends").over(w).alias("asked"), "ends", "here")
+
+
+def ways_asked(steps: DataFrame, ways: DataFrame) -> DataFrame:
+    """(_track, n, u, to): the known ways from an end u of a road near the point before to the ends of those near this one.
+
+    A step asks once for each end, with all that it asks for, and not for each pair of roads and of their ends; what it
+    is told is no more than it asked for.
+    """
+    c = F.col
+    reach = ways.groupBy(c("a").alias("u")).agg(F.collect_list(F.struct(c("b").alias("v"), "way")).alias("_reach"))
+    asked = steps.where("asked IS NOT NULL").select("_track", "n", F.explode("asked").alias("u"), "ends")
+    told = asked.join(reach, "u").select("_track", "n", "u", F.filter("_reach", lambda e: F.array_contains(c("ends"), e["v"])).alias("to"))
+    return told.where(F.size("to") > 0)
+
+
+def moves(road: tuple, earlier: list[tuple], ways: dict, line: float, slack: float) -> list[dict]:
+    """{"before", "cost"} of each road of the step before from which a known way leads here, dearer the more the way
+    differs from the straight line; roads are (road, own, a, b, along, left), ways {u: {v: way}}."""
+    name, _, a, b, along, left = road
+    here, found = ((a, along), (b, left)), []
+    for before, _, u, w, gone, rest in earlier:
+        if before == name:
+            way = abs(along - gone)
+        else:
+            way = min([out + back + to[v] for e, out in ((u, gone), (w, rest)) if (to := ways.get(e)) for v, back in here if v in to], default=None)
+            if way is None:
+                continue
+        cost = abs(way - line) / slack * UNIT
+        whole = int(cost)
+        found.append({"before": before, "cost": whole + (cost - whole >= 0.5)})
+    return found
 
 
 def likeliest(steps: list[tuple[int, list]], jump: int) -> Iterator[tuple]:
@@ -102,32 +130,53 @@ def likeliest(steps: list[tuple[int, list]], jump: int) -> Iterator[tuple]:
         road = back[road]
 
 
-def walked(states: DataFrame, jump: int) -> DataFrame:
-    """(_track, n, road) of each track's likeliest way; states are (_track, n, road, own, sources), one for each road of a step.
+def listed(column: pa.Array) -> list[list[tuple]]:
+    """The rows of a column of lists of structs; null has no items."""
+    items, at = list(zip(*(field.to_pylist() for field in column.values.flatten()), strict=True)), column.offsets.to_pylist()
+    return [items[i:j] for i, j in zip(at, at[1:], strict=False)]
+
 
-    Tracks are dealt over tasks and sorted, so a task reads them one after another and holds one at a time.
+def walked(steps: DataFrame, told: DataFrame, jump: int, slack: float) -> DataFrame:
+    """(_track, n, road, along) of each track's likeliest way; steps and told are those of in_steps and ways_asked.
+
+    Tracks are dealt over tasks and sorted, the ways of a step before the step, so a task reads them one after another and holds
+    one at a time.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    out = to_arrow_schema(states.select("_track", "n", "road").schema)
+    kind = steps.schema["here"].dataType.elementType
+    shape = steps.select("_track", "n", F.lit(None).cast(kind["road"].dataType).alias("road"), F.lit(None).cast("double").alias("along")).schema
+    out = to_arrow_schema(shape)
 
     def run(batches):
         def rows():
             for batch in batches:
-                yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+                track, n, line, here, u, to = batch.columns
+                yield from zip(track.to_pylist(), n.to_pylist(), line.to_pylist(), listed(here), u.to_pylist(), listed(to), strict=True)
+
+        def table(done):
+            return pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*done, strict=True), out, strict=True)], schema=out)
 
         done: list[tuple] = []
         for track, own in groupby(rows(), itemgetter(0)):
-            steps = [(n, [row[2:] for row in here]) for n, here in groupby(own, itemgetter(1))]
-            done.extend((track, *found) for found in likeliest(steps, jump))
+            steps, along, ways, earlier = [], {}, {}, []
+            for _, n, line, here, u, to in own:
+                if not here:
+                    ways[u] = dict(to)
+                    continue
+                steps.append((n, [(road[0], road[1], moves(road, earlier, ways, line, slack)) for road in here]))
+                along.update({(n, road[0]): road[4] for road in here})
+                ways, earlier = {}, here
+            done.extend((track, n, road, along[n, road]) for n, road in likeliest(steps, jump))
             if len(done) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*done, strict=True), out, strict=True)], schema=out)
+                yield table(done)
                 done = []
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*done, strict=True), out, strict=True)], schema=out)
+            yield table(done)
 
-    dealt = states.select("_track", "n", "road", "own", "sources").repartition("_track").sortWithinPartitions("_track", "n", "road")
-    return dealt.mapInArrow(run, states.select("_track", "n", "road").schema)
+    both = told.withColumn("_step", F.lit(False)).unionByName(steps.select("_track", "n", "line", "here", F.lit(True).alias("_step")), allowMissingColumns=True)
+    dealt = both.repartition("_track").sortWithinPartitions("_track", "n", "_step").select("_track", "n", "line", "here", "u", "to")
+    return dealt.mapInArrow(run, shape)
 
 
 def match_tracks(points: DataFrame, roads: DataFrame, track: str, order: str, radius: float = 50.0, noise: float = 10.0, slack: float = 20.0, hops: int = 3, jump: float = 30.0) -> DataFrame:
@@ -135,25 +184,19 @@ def match_tracks(points: DataFrame, roads: DataFrame, track: str, order: str, ra
 
     A point is dear by the square of its distance to the road (``noise``), a step by how much the way on the network
     differs from the straight line (``slack``); where no way of at most ``hops`` roads connects two steps, a ``jump``
-    is paid. Everything but the last pass is joins; that pass sees one track, whose rows are its points times the roads
-    within the radius of one. All roads within the radius take part. A point with no road near it, or without a place, an order
+    is paid. What is near and the ways between are found by joins; the last pass sees one track, with the roads within the
+    radius of each of its points and the ways between them. All roads within the radius take part. A point with no road near it, or without a place, an order
     or a track, has null, and the step goes on from the point before. Points of a track with equal order are ranked by
     place; equal points are equal rows of the result, and equal roads are one; other roads have ids of their own. What is
-    near is written down once, as four later steps read it. Columns that points have besides are kept, but for road and
+    near is written down once, a row for a point, as three later steps read it. Columns that points have besides are kept, but for road and
     along.
     """
     c = F.col
     points = points.drop(*({"road", "along"} - {track, order}))
     whole = points.where(c(track).isNotNull() & c(order).isNotNull() & c("x").isNotNull() & c("y").isNotNull())
     asked = whole.select(c(track).alias("_track"), c(order).alias("_o"), c("x").cast("double").alias("x"), c("y").cast("double").alias("y")).distinct()
-    near = nearby_roads(asked, roads, radius)
-    near = near.withColumn("n", F.dense_rank().over(Window.partitionBy("_track").orderBy("_o", "x", "y")))
-    near = kept(near.withColumn("own", F.round(F.pow(c("away") / noise, 2) / 2 * UNIT).cast("bigint")))
-    moves = transitions(near, ways_between(roads, hops), slack)
-    sources = moves.groupBy("_track", "n", "road").agg(F.collect_list(F.struct("before", "cost")).alias("sources"))
-    none = F.array().cast(sources.schema["sources"].dataType)
-    states = near.select("_track", "n", "road", "own").join(sources, ["_track", "n", "road"], "left").withColumn("sources", F.coalesce("sources", none))
-    chosen = walked(states, round(jump * UNIT))
-    placed = near.join(chosen, ["_track", "n", "road"]).select("_track", "_o", c("x").alias("_x"), c("y").alias("_y"), "road", "along")
+    steps = kept(in_steps(nearby_roads(asked, roads, radius), noise))
+    chosen = walked(steps, ways_asked(steps, ways_between(roads, hops)), round(jump * UNIT), slack)
+    placed = steps.select("_track", "n", "_o", c("x").alias("_x"), c("y").alias("_y")).join(chosen, ["_track", "n"]).drop("n")
     same = (c(track) == c("_track")) & (c(order) == c("_o")) & (points["x"].cast("double") == c("_x")) & (points["y"].cast("double") == c("_y"))
     return points.join(placed, same, "left").drop("_track", "_o", "_x", "_y")
