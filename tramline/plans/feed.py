@@ -252,18 +252,27 @@ def rail_platforms(raw: DataFrame, station_of: DataFrame) -> DataFrame:
 
 def rail_stop_times(lines: DataFrame, own_trips: DataFrame, platforms: DataFrame, edges: DataFrame) -> DataFrame:
     """Times at platforms: of the line, direction and destination, else of the line and direction, else any of the station;
-    stations without a platform are left out. Seconds come from edges forward or backward, else their guarded median."""
-    w = Window.partitionBy("line", "direction").orderBy("sequence")
-    own = lines.withColumns({"before": F.lag("station_code").over(w), "destination": F.last("station_code").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    stations without a platform are left out. Seconds come from edges forward or backward, else their guarded median.
+
+    Platforms of a line and direction are laid before its stops and dealt with them once, so neither choice of them is a join.
+    """
+    way, stop = ["line", "direction"], F.col("_side") == 1
+    marks = platforms.where("line IS NOT NULL AND direction IS NOT NULL AND station_code IS NOT NULL").select(*way, "station_code", F.lit(0).alias("_side"), "stop_id", F.col("destination").alias("_for"))
+    both = lines.select(*way, "station_code", F.lit(1).alias("_side"), "sequence").unionByName(marks, allowMissingColumns=True).repartition(*way)
+    laid = Window.partitionBy(*way).orderBy("_side", "sequence")
+    both = both.withColumns({"before": F.when(F.lag("_side").over(laid) == 1, F.lag("station_code").over(laid)), "destination": F.last("station_code").over(laid.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    least = lambda which: F.min(F.when(~stop & which, F.col("stop_id"))).over(Window.partitionBy(*way, "station_code"))
+    own = both.withColumns({"_exact": least(F.col("_for") == F.col("destination")), "_line": least(F.col("_for").isNull())}).where(stop).select(*way, "station_code", "sequence", "before", F.coalesce("_exact", "_line").alias("_own"))
     default = schedule.guarded_median(edges, "seconds", 30, 600, STOP_SECONDS)
     own = own.withColumns({"from_id": F.col("before"), "to_id": F.col("station_code")}).join(F.broadcast(default))  # one row
     timed = schedule.edge_seconds(own, edges, "from_id", "to_id", "seconds", F.col("median"))
+    w = Window.partitionBy(*way).orderBy("sequence")
     timed = timed.withColumn("offset", F.sum(F.when(F.col("before").isNull(), 0).otherwise(F.col("seconds").cast("int"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    pick = lambda keys, df: df.groupBy(*keys).agg(F.min("stop_id").alias("stop_id"))
-    exact, line_only, any_ = pick(["station_code", "line", "direction", "destination"], platforms.where("destination IS NOT NULL")), pick(["station_code", "line", "direction"], platforms.where("destination IS NULL")), pick(["station_code"], platforms)
-    placed = selection.first_of(timed, (exact, ["station_code", "line", "direction", "destination"], "stop_id"), (line_only, ["station_code", "line", "direction"], "stop_id"), (any_, ["station_code"], "stop_id"), into="stop_id").where("stop_id IS NOT NULL")
+    called = own_trips.select("trip_id", *way).join(timed.select(*way, "station_code", "sequence", "offset", "_own"), way)
+    any_ = platforms.groupBy("station_code").agg(F.min("stop_id").alias("_any"))
+    placed = called.join(any_, "station_code", "left").withColumn("stop_id", F.coalesce("_own", "_any")).where("stop_id IS NOT NULL")
     clock = T.to_clock(F.col("offset"))
-    return own_trips.select("trip_id", "line", "direction").join(placed, ["line", "direction"]).select("trip_id", clock.alias("arrival_time"), clock.alias("departure_time"), "stop_id", F.col("sequence").alias("stop_sequence"))
+    return placed.select("trip_id", clock.alias("arrival_time"), clock.alias("departure_time"), "stop_id", F.col("sequence").alias("stop_sequence"))
 
 
 class LightRail(NamedTuple):

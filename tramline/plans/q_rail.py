@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tramline.operators import selection
@@ -74,12 +75,12 @@ SELECT 'MTRR-' || line || '-' || direction AS trip_id, {clock_sql("sec")} AS arr
 def rail_stop_times(read):
     """Times at platforms, by destination, direction or station, from seconds between stations or their guarded median."""
     own = lines(read)
-    flagged = raw_lines(read).where("Sequence <> 'n/a'").selectExpr("`Station Code` AS station_code", "`Line Code` AS line", "trim(Direction) AS direction", "l_returnflag")
-    ends = own.groupBy("line", "direction").agg(F.max_by("station_code", "sequence").alias("destination"))
+    flagged = raw_lines(read).where("Sequence <> 'n/a'").selectExpr("`Station Code` AS station_code", "`Line Code` AS line", "trim(Direction) AS direction", "l_returnflag", "int(double(Sequence)) AS sequence")
+    whole = Window.partitionBy("line", "direction").orderBy("sequence").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     any_ = read("part").where("p_size > 20").selectExpr("concat('S', p_partkey % 53) AS station_code", "concat('P', p_partkey) AS stop_id")
-    way = flagged.where("l_returnflag = 'R'").selectExpr("station_code", "concat('Q', line) AS stop_id", "line", "direction")
-    exact = flagged.where("l_returnflag = 'A'").join(ends, ["line", "direction"]).selectExpr("station_code", "concat('X', line) AS stop_id", "line", "direction", "destination")
-    platforms = selection.union_all(exact, way, any_)
+    of_line = flagged.withColumn("destination", F.last("station_code").over(whole)).where("l_returnflag IN ('R', 'A')")
+    of_line = of_line.selectExpr("station_code", "concat(if(l_returnflag = 'R', 'Q', 'X'), line) AS stop_id", "line", "direction", "if(l_returnflag = 'A', destination, null) AS destination")
+    platforms = selection.union_all(of_line, any_)
     edges = read("part").groupBy(F.expr("concat('S', p_partkey % 53)").alias("from_id"), F.expr("concat('S', p_partkey * 7 % 53)").alias("to_id")).agg(F.min(60 + F.col("p_size") * 80).cast("double").alias("seconds"))
     return feed.rail_stop_times(own, feed.rail_trips(own), platforms, edges).select("trip_id", "arrival_time", "stop_id", "stop_sequence")
 
