@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 DAY = 86_400
 
 
+def gap(second: Column, order: WindowSpec) -> Column:
+    """Seconds to the next departure; the last keeps the gap before it, a single one lasts a day."""
+    following, before = F.lead(second).over(order), F.lag(second).over(order)
+    return F.when(following.isNotNull(), following - second).when(before.isNotNull(), second - before).otherwise(DAY)
+
+
 def headways(departures: DataFrame, trip: str, second: str) -> DataFrame:
     """(trip, start, end, headway) between consecutive distinct departures.
 
     The last departure keeps the gap before it; a single one lasts a day.
     """
-    order = Window.partitionBy(trip).orderBy(second)
     one = departures.where(F.col(second).isNotNull()).select(trip, second).distinct()
-    gaps = one.select(trip, F.col(second).alias("start"), F.lead(second).over(order).alias("next"), F.lag(second).over(order).alias("before"))
-    gap = F.when(F.col("next").isNotNull(), F.col("next") - F.col("start")).when(F.col("before").isNotNull(), F.col("start") - F.col("before")).otherwise(DAY)
-    return gaps.select(trip, "start", (F.col("start") + gap).alias("end"), gap.alias("headway"))
+    gaps = one.select(trip, F.col(second).alias("start"), gap(F.col(second), Window.partitionBy(trip).orderBy(second)).alias("headway"))
+    return gaps.select(trip, "start", (F.col("start") + F.col("headway")).alias("end"), "headway")
 
 
 def coalesce_intervals(intervals: DataFrame, trip: str, start: str = "start", end: str = "end", headway: str = "headway") -> DataFrame:
@@ -26,12 +30,15 @@ def coalesce_intervals(intervals: DataFrame, trip: str, start: str = "start", en
     Rows are unique by (trip, start).
     """
     order = Window.partitionBy(trip).orderBy(start)
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     runs = intervals.withColumn("_turn", F.when(F.lag(headway).over(order) == F.col(headway), 0).otherwise(1)).withColumn("_run", F.sum("_turn").over(order))
-    in_run = Window.partitionBy(trip, "_run").orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
-    broken = runs.withColumn("_break", F.when(F.col(start) <= F.max(end).over(in_run), 0).otherwise(1)).withColumn("_island", F.sum("_break").over(order))
-    islands = broken.groupBy(trip, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), F.first(headway).alias(headway)).drop("_island")
-    following = F.lead(start).over(order)
-    return islands.withColumn(end, F.when(following < F.col(end), following).otherwise(F.col(end)))
+    # runs and islands are numbered upwards, so the greatest pair is of the latest; all windows share one order
+    reached = runs.withColumn("_reached", F.max(F.struct("_run", F.col(end).alias("_end"))).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    meets = (F.col("_reached._run") == F.col("_run")) & (F.col(start) <= F.col("_reached._end"))
+    broken = reached.withColumn("_break", F.when(meets, 0).otherwise(1)).withColumn("_island", F.sum("_break").over(order))
+    marked = broken.withColumns({"_start": F.max(F.when(F.col("_break") == 1, F.col(start))).over(so_far), "_end": F.max(F.struct("_island", F.col(end).alias("_end"))).over(so_far)["_end"], "_next": F.lead("_island").over(order)})
+    islands = marked.where("_next IS NULL OR _next <> _island").withColumn("_following", F.lead("_start").over(order))
+    return islands.select(trip, F.col("_start").alias(start), F.when(F.col("_following") < F.col("_end"), F.col("_following")).otherwise(F.col("_end")).alias(end), headway)
 
 
 def departure_blocks(departures: DataFrame, trip: str, second: str, tolerance: float = 0.1, least: int = 60, keep_tail: bool = False) -> DataFrame:

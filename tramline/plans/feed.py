@@ -323,15 +323,20 @@ def gov_patterns(own_trips: DataFrame, gov: Gov) -> DataFrame:
 
 
 def frequencies(own_trips: DataFrame, gov: Gov) -> DataFrame:
-    """Government frequencies of matched trips; for trips without any, headways between first departures. None overlap."""
-    pairs = gov_patterns(own_trips, gov)
-    given = pairs.join(gov.frequencies.withColumnRenamed("trip_id", "gov_trip_id"), "gov_trip_id").select("trip_id", T.to_seconds(F.col("start_time")).alias("start"), T.to_seconds(F.col("end_time")).alias("end"), F.col("headway_secs").alias("headway"))
+    """Government frequencies of matched trips; for trips without any, headways between first departures. None overlap.
+
+    Pairs of trips are made once: each looks up both, and what holds for the trip is settled where its rows lie together.
+    """
+    given = gov.frequencies.select(F.col("trip_id").alias("gov_trip_id"), T.to_seconds(F.col("start_time")).alias("start"), T.to_seconds(F.col("end_time")).alias("end"), F.col("headway_secs").alias("headway"), F.lit(True).alias("_given"))
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     first = gov.stop_times.withColumn("at", T.to_seconds(F.coalesce(blank("departure_time"), blank("arrival_time")))).where("at IS NOT NULL").groupBy(F.col("trip_id").alias("gov_trip_id")).agg(F.min_by("at", "stop_sequence").alias("second"))
-    missing = pairs.join(given.select("trip_id").distinct(), "trip_id", "left_anti").join(first, "gov_trip_id")
-    made = schedule.headways(missing, "trip_id", "second")
-    every = given.unionByName(made.select("trip_id", "start", "end", "headway")).where("start IS NOT NULL AND end IS NOT NULL")
-    return clocked(schedule.coalesce_intervals(selection.keep_first(every, ["trip_id", "start"], [F.col("end"), F.col("headway")]), "trip_id"))
+    both = gov_patterns(own_trips, gov).join(given, "gov_trip_id", "left").join(first, "gov_trip_id", "left").where("_given OR second IS NOT NULL")
+    known = both.withColumn("_known", F.max("_given").over(Window.partitionBy("trip_id")))
+    every = known.where("CASE WHEN _known THEN _given AND start IS NOT NULL AND end IS NOT NULL ELSE true END").select("trip_id", F.when(F.col("_known"), F.col("start")).otherwise(F.col("second")).alias("start"), "end", "headway", "_known")
+    one = selection.keep_first(every, ["trip_id", "start"], [F.col("end"), F.col("headway")])
+    gap = schedule.gap(F.col("start"), Window.partitionBy("trip_id").orderBy("start"))
+    own = one.withColumn("_gap", F.when(F.col("_known").isNull(), gap))
+    return clocked(schedule.coalesce_intervals(own.select("trip_id", "start", F.coalesce("end", F.col("start") + F.col("_gap")).alias("end"), F.coalesce("_gap", "headway").alias("headway")), "trip_id"))
 
 
 def clocked(intervals: DataFrame) -> DataFrame:
