@@ -61,6 +61,17 @@ def test_ties_are_kept(spark):
     assert [r["v"] for r in selection.keep_first(df, "k", [F.col("d"), F.col("v")]).collect()] == ["x"]
 
 
+def test_top_group_keeps_all_its_rows(spark):
+    """Most rows win, then the least mean, then the least id; keys without groups keep all rows."""
+    rows = [("a", "g1", 1, 2), ("a", "g2", 2, 1), ("a", "g2", 3, 1), ("b", "g3", 4, 5), ("b", "g4", 5, 3), ("c", "g6", 6, 1), ("c", "g5", 7, 1), ("d", None, 8, 1), ("d", None, 9, 2)]
+    df = spark.createDataFrame(rows, "k string, g string, v int, diff int")
+    kept = selection.keep_top_group(df, "k", F.col("g"), "diff")
+    assert kept.columns == df.columns
+    assert {r["v"] for r in kept.collect()} == {2, 3, 5, 7, 8, 9}
+    ranked = {(r["k"], r["g"]) for r in selection.rank_groups(df, "k", "g", "diff").collect()}
+    assert {(r["k"], r["g"]) for r in kept.collect()} == ranked
+
+
 def test_overlap_of_circular_arrays(spark):
     def merged(out, back):
         return spark.range(1).select(schedule.merge_overlap(F.array(*map(F.lit, out)), F.array(*map(F.lit, back))).alias("x")).first()["x"]

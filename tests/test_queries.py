@@ -27,6 +27,15 @@ def test_query_equals_sql(spark, duck, data, name):
     same_rows(df, cursor.fetchall(), columns)
 
 
+def test_matching_finds_its_pairs_once(spark, data):
+    """The best route of Lantao's is found among the pairs at hand, and of stops only the numbers are read."""
+    plan = catalog.QUERIES["feed_match"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x]
+    assert len(scans) <= 8
+    assert {x.partition("[")[2].partition("]")[0].count(",") for x in scans if "l_orderkey" in x} == {1}
+    assert "concat_ws(|" not in plan
+
+
 def test_entry(spark):
     import __spark_entry__
 

@@ -42,14 +42,15 @@ def primary_and_alternative(df: DataFrame, keys: str | list[str], order: list[Co
     return ranked.groupBy(*_cols(keys)).agg(*(F.max(F.when(F.col("_rank") == i, F.col(c))).alias(c if i == 1 else f"{c}_alt") for c in columns for i in (1, 2)))
 
 
-def best_matches(left: DataFrame, right: DataFrame, name: str, left_count: str, right_count: str, tolerance: Column, key: str, condition: Column | None = None) -> DataFrame:
+def best_matches(left: DataFrame, right: DataFrame, name: str, left_count: str, right_count: str, tolerance: Column, key: str | list[str], condition: Column | None = None) -> DataFrame:
     """Tolerance join: equal names, counts apart by at most ``tolerance``, all rows of the least difference for each key.
 
-    The name is the equi-join key, so the inequality is only a residual.
+    The name is the equi-join key, so the inequality is only a residual. It stands before the keys that the condition
+    adds, as sorts compare the first key first.
     """
-    joined = left.join(right, name).withColumn("count_diff", F.abs(F.col(left_count) - F.col(right_count))).where(F.col("count_diff") <= tolerance)
-    if condition is not None:
-        joined = joined.where(condition)
+    same = F.col(name) == F.col("_name")
+    joined = left.join(right.withColumnRenamed(name, "_name"), same if condition is None else same & condition).drop("_name")
+    joined = joined.withColumn("count_diff", F.abs(F.col(left_count) - F.col(right_count))).where(F.col("count_diff") <= tolerance)
     return keep_ties(joined, key, F.col("count_diff"))
 
 
@@ -59,6 +60,17 @@ def rank_groups(df: DataFrame, keys: str | list[str], group: str, diff: str) ->
     return keep_first(each, keys, [F.desc("patterns"), F.round("mean_diff", 9), F.col(group)])
 
 
+def keep_top_group(df: DataFrame, keys: str | list[str], group: Column, diff: str) -> DataFrame:
+    """All rows of the group that ``rank_groups`` puts first for their key, found in one pass over the rows.
+
+    Where ``group`` is null for all rows of a key, they are one group and stay.
+    """
+    each, of_key = Window.partitionBy(*_cols(keys), "_group"), Window.partitionBy(*_cols(keys))
+    sized = df.withColumn("_group", group).withColumns({"_patterns": F.count("*").over(each), "_mean": F.round(F.avg(diff).over(each), 9)})
+    ranked = sized.withColumn("_rank", F.rank().over(of_key.orderBy(F.desc("_patterns"), "_mean", "_group")))
+    return ranked.where("_rank = 1").drop("_group", "_patterns", "_mean", "_rank")
+
+
 def nearest_within(joined: DataFrame, key: str, distance: Column, radius: float, tie: str) -> DataFrame:
     """Of candidate pairs, the nearest within a radius for each key; the lesser tie column wins."""
     found = joined.withColumn("distance", distance).where(F.col("distance") <= radius)

@@ -76,8 +76,8 @@ def splice_one_way(silver: Silver, gov: Gov, agency: str = "CTB") -> Silver:
 
 
 def operator_counts(silver: Silver) -> DataFrame:
-    """Routes with their number of stops."""
-    return silver.routes.join(silver.patterns.groupBy("agency", "route_key").agg(F.count("*").alias("stop_count")), ["agency", "route_key"])
+    """Routes with their number of stops. Keys begin with the one of many values, which sorts compare first."""
+    return silver.routes.join(silver.patterns.groupBy("route_key", "agency").agg(F.count("*").alias("stop_count")), ["route_key", "agency"])
 
 
 def gov_counts(gov: Gov) -> DataFrame:
@@ -92,14 +92,16 @@ def match(silver: Silver, gov: Gov, register: DataFrame | None = None) -> DataFr
     the tolerance with all ties; variants by name are left out. Green minibuses are matched by place instead.
     New Lantao routes keep the government route with most services. With a register, Citybus routes are those that it names."""
     spark = silver.routes.sparkSession
-    public = gov_counts(gov).where(~X.is_variant_name(F.coalesce("long_name", F.lit("")))).join(F.broadcast(rules(spark)), "agency_id")
-    public = public.withColumnRenamed("agency", "_for")
     elsewhere = ["GMB"] if register is None else ["GMB", "CTB"]
-    mine = operator_counts(silver).where(~F.col("agency").isin(elsewhere)).withColumn("match_key", F.concat_ws("|", "agency", "route_key"))
+    may_match = F.col("agency_id").isin([g for a, gs, _, _ in AGENCIES if a not in elsewhere for g in gs])
+    named = gov.routes.where(may_match & ~X.is_variant_name(F.coalesce("route_long_name", F.lit(""))))
+    # trips of other routes are left out before their stops are looked up
+    counted = gov_counts(gov._replace(routes=named, trips=selection.referential(gov.trips, named, "route_id")))
+    public = counted.join(F.broadcast(rules(spark)), "agency_id").withColumnRenamed("agency", "_for")
+    mine = operator_counts(silver).where(~F.col("agency").isin(elsewhere))
     fits = (F.col("agency") == F.col("_for")) & (~F.col("same_direction") | (F.col("bound") == F.col("gov_bound")))
-    best = selection.best_matches(mine, public, "route", "stop_count", "gov_stops", F.col("tolerance"), "match_key", fits)
-    top = selection.rank_groups(best.where("agency = 'NLB'"), "match_key", "gov_route_id", "count_diff").select("match_key", F.col("gov_route_id").alias("_top"))
-    best = best.join(top, "match_key", "left").where("_top IS NULL OR _top = gov_route_id")
+    best = selection.best_matches(mine, public, "route", "stop_count", "gov_stops", F.col("tolerance"), ["route_key", "agency"], fits)
+    best = selection.keep_top_group(best, ["route_key", "agency"], F.when(F.col("agency") == "NLB", F.col("gov_route_id")), "count_diff")
     found = best.select("agency", "route_key", "gov_route_id", "service_id", "gov_bound", "count_diff")
     others = match_by_place(silver, gov)
     if register is not None:
