@@ -109,3 +109,100 @@ def test_moves_cost_what_the_way_differs_from_the_line():
     ways = {"a": {"b": 100.0, "c": 200.0}, "b": {"b": 0.0, "c": 100.0}, "c": {"b": 100.0, "c": 0.0}}
     assert M.moves((2, 0, "b", "c", 30.0, 70.0), earlier, ways, 42.0, 20.0) == [{"before": 1, "cost": 100_000}, {"before": 2, "cost": 850_000}]
     assert M.moves((2, 0, "b", "c", 30.0, 70.0), earlier, {}, 25.0, 20.0) == [{"before": 2, "cost": 0}]
+
+
+def plainly(points, roads, ways, radius=50.0, noise=10.0, slack=20.0, jump=30_000_000):
+    """{(track, order, x, y): road} by ``moves`` and ``likeliest``, one track and one point after another."""
+    import math
+
+    out = {}
+    for track in {p[0] for p in points}:
+        steps, earlier, last = [], [], None
+        for point in sorted({p for p in points if p[0] == track}):
+            _, _, x, y = point
+            here = []
+            for road, a, b, ax, ay, bx, by in roads:
+                length = math.hypot(bx - ax, by - ay)
+                share = min(max(((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / length**2, 0.0), 1.0) if length else 0.0
+                away = math.hypot(x - (ax + (bx - ax) * share), y - (ay + (by - ay) * share))
+                if away <= radius:
+                    here.append((road, round((away / noise) ** 2 / 2 * M.UNIT), a, b, share * length, length - share * length))
+            if here:
+                line = math.hypot(x - last[0], y - last[1]) if last else 0.0
+                steps.append((point, [(r[0], r[1], M.moves(r, earlier, ways, line, slack)) for r in here]))
+                earlier, last = here, (x, y)
+        if steps:
+            out.update(M.likeliest(steps, jump))
+    return out
+
+
+def town(seed):
+    """Random streets with named ends, some double, closed, without an end or of no length, and walks with jumps among them."""
+    rng = random.Random(seed)
+    place = {f"p{i}": (rng.uniform(-900, 900), rng.uniform(-900, 900)) for i in range(120)}
+    roads = []
+    for a, (x, y) in place.items():
+        for b in sorted(place, key=lambda p: (place[p][0] - x) ** 2 + (place[p][1] - y) ** 2)[rng.choice((0, 1)) : 4]:
+            roads.append((len(roads), a if rng.random() > 0.03 else None, b, x, y, *place[b]))
+    points = []
+    for track in range(40):
+        x, y = rng.uniform(-900, 900), rng.uniform(-900, 900)
+        for step in range(rng.randint(1, 25)):
+            x, y = (x + rng.gauss(0, 40), y + rng.gauss(0, 40)) if rng.random() > 0.05 else (rng.uniform(-1500, 1500), rng.uniform(-900, 900))
+            points += [(track, step // 2, x, y)] * rng.choice((1, 1, 2))
+    return points, roads
+
+
+@pytest.mark.parametrize(("seed", "hops", "tile", "part"), [(1, 3, 32, 200_000), (2, 3, 2, 20), (3, 4, 3, 50), (4, 1, 2, 20), (5, 0, 1, 10)])
+def test_tiles_and_parts_give_what_the_whole_network_gives(spark, monkeypatch, seed, hops, tile, part):
+    """Tracks over many tiles and homes in many parts, against all roads and all ways."""
+    monkeypatch.setattr(M, "TILE", tile)
+    monkeypatch.setattr(M, "PART", part)
+    points, roads = town(seed)
+    network = spark.createDataFrame(roads, ROADS)
+    ways = {}
+    for r in M.ways_between(network, hops).collect():
+        ways.setdefault(r["a"], {})[r["b"]] = r["way"]
+    out = M.match_tracks(spark.createDataFrame(points, "k int, o int, x double, y double").repartition(3), network, "k", "o", hops=hops).collect()
+    assert sorted(tuple(r)[:4] for r in out) == sorted(points)
+    truth = plainly(points, roads, ways)
+    assert {p: truth.get(p) for p in points} == {tuple(r)[:4]: r["road"] for r in out}
+    assert len({r["road"] for r in out}) > 50
+
+
+@pytest.mark.parametrize("pairs", [1, 40, 500_000])
+def test_the_pass_in_pieces(monkeypatch, pairs):
+    """However few pairs are weighed in one go, all tracks come out the same."""
+    import numpy as np
+
+    monkeypatch.setattr(M, "PAIRS", pairs)
+    points, roads = town(7)
+    own = sorted(set(points))
+    steps = {(min(a, b), max(a, b), np.hypot(bx - ax, by - ay)) for _, a, b, ax, ay, bx, by in roads if a}
+    least = {e: min(w for u, v, w in steps if (u, v) == e) for e in {s[:2] for s in steps}}
+    net = M.network({(*r, float(np.hypot(r[5] - r[3], r[6] - r[4]))) for r in roads}, {(*e, w) for e, w in least.items()})
+    track, x, y = (np.array([p[i] for p in own]) for i in (0, 2, 3))
+    found, _ = M.likeliest_of_all(track, x, y, net, M.on_cells(net, 50.0), 50.0, 10.0, 20.0, 3, 30_000_000)
+    ways = {u: {v: 0.0 for v in (u,)} for e in least for u in e}
+    for _ in range(3):
+        ways = {u: {v: min(w for w in (to.get(v), *(to[m] + s for m, s in neighbours(least, v) if m in to)) if w is not None) for v in {*to, *(n for m in to for n, _ in neighbours(least, m))}} for u, to in ways.items()}
+    truth = plainly(points, roads, ways)
+    assert [None if i < 0 else net.names[i] for i in found] == [truth.get(p) for p in own]
+
+
+def neighbours(least, end):
+    return [(v if u == end else u, w) for (u, v), w in least.items() if end in (u, v)]
+
+
+def test_points_are_dealt_once_and_without_their_roads(spark, data):
+    """Nothing is written down on the way; no join but that of tiles has roads, and rows of points go to their homes once."""
+    import os
+
+    from tramline.plans import catalog
+
+    top = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(top))
+    plan = catalog.QUERIES["matched_tracks"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert set(os.listdir(top)) == before
+    exchanges = [x.partition("(")[2].partition(")")[0] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert sum("_part#" in x for x in exchanges) == 1 and not any("_track" in x for x in exchanges)
