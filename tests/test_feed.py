@@ -530,3 +530,31 @@ def test_frequencies_make_pairs_once(spark):
     assert sorted(tuple(r) for r in found.collect()) == [("t1", "06:00:00", "08:00:00", 600), ("t2", "06:00:00", "06:20:00", 600)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 3, plan
+
+
+def test_prices_of_a_route(spark):
+    """A fare needs a rule and a price; of several for a pair of stops the dearest counts; ids that are none are left out."""
+    ids = ["7-1-1-2", "7-1-1-3", "7-1-1-3-b", "7-2-1-2", "8-1-1-2", None, "x"]
+    rules = spark.createDataFrame([(i, "7") for i in ids], "fare_id string, route_id string").unionByName(spark.createDataFrame([("9-1-1-2", "9")], "fare_id string, route_id string"))
+    prices = spark.createDataFrame([("7-1-1-2", 3.0), ("7-1-1-3", 4.0), ("7-1-1-3-b", 5.0), ("7-2-1-2", 6.0), ("7-2-1-2", 7.0), ("8-1-1-2", None), ("6-1-1-2", 1.0), (None, 2.0)], "fare_id string, price double").withColumn("currency_type", F.lit("HKD"))
+    out = {(r["gov_route_id"], r["gov_direction"], r["start_seq"], r["end_seq"]): r["price"] for r in feed.route_prices(rules, prices).collect()}
+    assert out == {("7", 1, 1, 2): 3.0, ("7", 1, 1, 3): 5.0, ("7", 2, 1, 2): 7.0, ("8", 1, 1, 2): None}
+
+
+def test_special_fares_ask_a_route_once(spark):
+    """Two trips of a route, one of which ends where the cheaper price does; stops at both ends; and no row for each trip and fare."""
+    own = spark.createDataFrame([("a", "7", 0), ("b", "7", 0), ("c", "7", 1), ("d", None, 0)], "trip_id string, gov_route_id string, direction_id int")
+    fares = spark.createDataFrame([("7-1-1-2", 3.0), ("7-1-1-3", 3.0), ("7-1-1-4", 5.0), ("7-1-2-3", 3.0), ("7-1-2-4", 5.0), ("7-2-1-2", 9.0)], "fare_id string, price double").withColumn("currency_type", F.lit("HKD"))
+    called = spark.createDataFrame([(t, f"{t}{i}", str(i)) for t, n in (("a", 4), ("b", 3), ("c", 4), ("d", 4)) for i in range(1, n + 1)] + [("a", "odd", "x")], "trip_id string, stop_id string, stop_sequence string")
+    out = feed.special_fares(own, fares.select("fare_id"), fares.drop("price", "currency_type").join(fares, "fare_id"), called)
+    assert [tuple(r) for r in out.collect()] == [("a-1-2-3-3.0", "trip", "a", "a1", "a3", 3.0, "HKD")]
+
+
+def test_special_fares_shuffle_fares_by_route_alone(spark, data):
+    """Fares are dealt by route, once, and never by trip or by their own ids; the text of times isn't made."""
+    from tramline.plans import catalog
+
+    plan = catalog.QUERIES["feed_special_fares"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    dealt = [x.partition("Exchange hashpartitioning(")[2] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert not any("fare_id" in x.replace("split(fare_id", "") or "end_seq" in x for x in dealt) and len(dealt) <= 14
+    assert sum("split(fare_id" in x for x in dealt) == 1

@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from tramline.operators.selection import as_of
 
 
+def price_ranges(fares: DataFrame, keys: list[str], *also: str) -> DataFrame:
+    """(keys, start_seq, price, min_end, max_end): the alightings of each price, where a boarding stop has several; with what the last one has ``also``.
+
+    fares has keys, start_seq, end_seq, price.
+    """
+    each = fares.groupBy(*keys, "start_seq", "price").agg(F.min("end_seq").alias("min_end"), F.max("end_seq").alias("max_end"), *(F.max_by(c, "end_seq").alias(c) for c in also))
+    return each.withColumn("_prices", F.count("*").over(Window.partitionBy(*keys, "start_seq"))).where("_prices > 1").drop("_prices")
+
+
 def special_ranges(fares: DataFrame, last: DataFrame) -> DataFrame:
-    """(trip_id, start_seq, min_end, max_end, price): where a boarding stop has several prices, those that end before the trip does.
+    """(trip_id, start_seq, price, min_end, max_end): where a boarding stop has several prices, those that end before the trip does.
 
     fares has trip_id, start_seq, end_seq, price; last has trip_id, last_seq.
     """
-    each = fares.groupBy("trip_id", "start_seq", "price").agg(F.min("end_seq").alias("min_end"), F.max("end_seq").alias("max_end"))
-    several = each.groupBy("trip_id", "start_seq").agg(F.count("*").alias("prices")).where("prices > 1").drop("prices")
-    return each.join(several, ["trip_id", "start_seq"], "left_semi").join(last, "trip_id").where("max_end < last_seq").drop("last_seq")
+    return price_ranges(fares, ["trip_id"]).join(last, "trip_id").where("max_end < last_seq").drop("last_seq")
 
 
 def least_holding(asked: DataFrame, rules: DataFrame, keys: list[str], low: str, high: str, start: str, end: str, value: str) -> DataFrame:

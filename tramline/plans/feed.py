@@ -516,6 +516,11 @@ def pathways(platforms: DataFrame, entrances: DataFrame, exits: DataFrame, exit_
 # -- fares ----------------------------------------------------------------------------------------
 
 
+def directed(own_trips: DataFrame) -> DataFrame:
+    """(trip_id, gov_route_id, gov_direction) of the trips that have a government route."""
+    return own_trips.where("gov_route_id IS NOT NULL").select("trip_id", "gov_route_id", F.when(F.col("direction_id") == 1, 2).otherwise(1).alias("gov_direction")).distinct()
+
+
 def trip_fares(own_trips: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame) -> DataFrame:
     """(trip_id, start_seq, end_seq, price, currency): fares of a trip's government route and direction.
 
@@ -525,8 +530,7 @@ def trip_fares(own_trips: DataFrame, fare_rules: DataFrame, fare_attributes: Dat
     part = lambda i: X.part_of(F.col("fare_id"), i)
     keyed = fare_rules.select("fare_id", part(0).alias("gov_route_id"), part(1).try_cast("int").alias("gov_direction"), part(2).try_cast("int").alias("start_seq"), part(3).try_cast("int").alias("end_seq"))
     priced = keyed.join(fare_attributes.select("fare_id", "price", F.col("currency_type").alias("currency")).hint("merge"), "fare_id")
-    own = own_trips.where("gov_route_id IS NOT NULL").select("trip_id", "gov_route_id", F.when(F.col("direction_id") == 1, 2).otherwise(1).alias("gov_direction")).distinct()
-    return own.join(priced.hint("merge"), ["gov_route_id", "gov_direction"]).select("trip_id", "start_seq", "end_seq", "price", "currency")
+    return directed(own_trips).join(priced.hint("merge"), ["gov_route_id", "gov_direction"]).select("trip_id", "start_seq", "end_seq", "price", "currency")
 
 
 def fare_stages(priced: DataFrame, times: DataFrame) -> DataFrame:
@@ -544,14 +548,43 @@ def fare_mismatches(own_trips: DataFrame, times: DataFrame, gov: Gov) -> DataFra
     return mine.join(sample, "key").where("our_stop_count <> gov_stop_count").select("trip_id", "our_stop_count", "gov_sample", "gov_stop_count")
 
 
-def special_fares(priced: DataFrame, times: DataFrame) -> DataFrame:
-    """Trip rules for prices that hold for a limited range only; of equal destinations and prices the earliest boarding."""
-    at = times.select("trip_id", "stop_id", F.col("stop_sequence").cast("string").try_cast("int").alias("seq")).where("seq IS NOT NULL")
-    last = at.groupBy("trip_id").agg(F.max("seq").alias("last_seq"))
-    one = priced.groupBy("trip_id", "start_seq", "end_seq").agg(F.max_by("price", "price").alias("price"), F.max("currency").alias("currency"))
-    found = fares.special_ranges(one, last).join(one.select("trip_id", "start_seq", F.col("end_seq").alias("max_end"), "currency"), ["trip_id", "start_seq", "max_end"])
-    stop = lambda seq, name: at.select("trip_id", F.col("seq").alias(seq), F.col("stop_id").alias(name))
-    named = found.join(stop("start_seq", "onboarding_stop_id"), ["trip_id", "start_seq"]).join(stop("max_end", "offboarding_stop_id"), ["trip_id", "max_end"])
+def route_prices(fare_rules: DataFrame, fare_attributes: DataFrame) -> DataFrame:
+    """(gov_route_id, gov_direction, start_seq, end_seq, price, currency): one fare for each pair of stops of a government route, the dearest.
+
+    Rules and attributes of a fare meet where the fares of their route lie, so that all that is asked of a route needs no
+    other shuffle. There are as many parts as the session has for shuffles: fares are short in files and long in memory.
+    """
+    part = lambda i: X.part_of(F.col("fare_id"), i)
+    rules = fare_rules.select("fare_id", F.lit(True).alias("_rule"))
+    prices = fare_attributes.select("fare_id", "price", F.col("currency_type").alias("currency"), F.lit(True).alias("_priced"))
+    both = rules.unionByName(prices, allowMissingColumns=True).where("fare_id IS NOT NULL")
+    both = both.repartition(int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), part(0))
+    routed = both.withColumns({"gov_route_id": part(0), "_key": F.xxhash64("fare_id")})
+    # numbers are sorted first
+    met = routed.withColumn("_met", F.max("_rule").over(Window.partitionBy("_key", "gov_route_id", "fare_id"))).where("_met AND _priced")
+    keyed = met.select("gov_route_id", *(part(i).try_cast("int").alias(name) for i, name in ((1, "gov_direction"), (2, "start_seq"), (3, "end_seq"))), "price", "currency")
+    return keyed.groupBy("gov_route_id", "gov_direction", "start_seq", "end_seq").agg(F.max("price").alias("price"), F.max("currency").alias("currency"))
+
+
+def calls(own_trips: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(trip_id, stop_id, stop_sequence): the stops of every trip, without times."""
+    return own_trips.select("trip_id", "agency", "route_key").join(patterns, ["agency", "route_key"]).select("trip_id", "stop_id", F.col("sequence").alias("stop_sequence"))
+
+
+def special_fares(own_trips: DataFrame, fare_rules: DataFrame, fare_attributes: DataFrame, called: DataFrame) -> DataFrame:
+    """Trip rules for prices that hold for a limited range only; of equal destinations and prices the earliest boarding.
+
+    Ranges are found once for each government route and direction, not for each of its trips, of which each has one route. What they
+    are asked of a trip's stops (called: trip_id, stop_id, stop_sequence) is settled where these lie together. Ranges are merged,
+    as an estimate of fares that are exploded doesn't count their rows.
+    """
+    ranges = fares.price_ranges(route_prices(fare_rules, fare_attributes), ["gov_route_id", "gov_direction"], "currency")
+    found = directed(own_trips).join(ranges.hint("merge"), ["gov_route_id", "gov_direction"]).drop("gov_route_id", "gov_direction")
+    at = called.select("trip_id", F.struct(F.col("stop_sequence").cast("string").try_cast("int").alias("seq"), "stop_id").alias("_call")).where("_call.seq IS NOT NULL")
+    stops_of = at.groupBy("trip_id").agg(F.collect_list("_call").alias("_calls"))
+    held = found.join(stops_of, "trip_id").where(F.col("max_end") < F.array_max("_calls.seq"))
+    stop = lambda seq: F.explode(F.transform(F.filter("_calls", lambda e: e["seq"] == F.col(seq)), lambda e: e["stop_id"]))
+    named = held.withColumn("onboarding_stop_id", stop("start_seq")).withColumn("offboarding_stop_id", stop("max_end"))
     first = selection.keep_first(named, ["trip_id", "offboarding_stop_id", "price"], [F.col("start_seq")])
     return first.select(F.concat_ws("-", "trip_id", *(F.col(c).cast("string") for c in ("start_seq", "min_end", "max_end", "price"))).alias("special_fare_id"), F.lit("trip").alias("rule_type"), "trip_id", "onboarding_stop_id", "offboarding_stop_id", "price", "currency")
 
@@ -606,7 +639,7 @@ def build(parts: list[Silver], gov: Gov, edges: DataFrame, gov_calendar: DataFra
         "calendar_dates": stage("calendar_dates", lambda: calendars.calendar_dates(own_trips, gov_calendar_dates)),
         "translations": stage("translations", lambda: translate(silver, own_routes, own_trips)),
         "fare_stages": stage("fare_stages", lambda: fare_stages(priced, times)),
-        "special_fare_rules": stage("special_fare_rules", lambda: special_fares(priced, times)),
+        "special_fare_rules": stage("special_fare_rules", lambda: special_fares(own_trips, fare_rules, fare_attributes, times)),
     }
     if waypoints is not None:
         out["shapes"] = stage("shapes", lambda: selection.referential(shapes(ways), shaped.where("shape_id IS NOT NULL"), "shape_id"))
